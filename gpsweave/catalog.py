@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from .config import DEFAULT, FIXTURE_GRID
 from .functions.geo import round6
+from .functions.geo import grid_id
+from .operators import lifecycle as L
 from .operators import trips as T
+from .operators import views as V
 from .session import configure
 from .sources import fixtures as FX
 
@@ -120,5 +123,176 @@ def q_stats_line(spark, sf_dir):
     ).alias("line"))
 
 
+# ------------------------------------------------- state machine (exact, R)
+def _lc(spark, sf_dir, cfg=DEFAULT):
+    return L.lifecycle(FX.trips(spark, sf_dir, cfg), cfg)
+
+
+def _state(spark, sf_dir):
+    return V.vehicle_state(_lc(spark, sf_dir))
+
+
+@query("instant_speed")
+def q_instant_speed(spark, sf_dir):
+    """Speed against the anchor (last ping that passed the speed gates)."""
+    return _lc(spark, sf_dir).filter(F.col("speed_reason") == "ok").select(
+        "taxi_id", "event_id", "ts_ms", "speed_kmph", "is_speeding")
+
+
+@query("speeding_flag_count")
+def q_speeding_flag_count(spark, sf_dir):
+    """Running count of speeding outputs per vehicle, reset at trip end."""
+    return _lc(spark, sf_dir).filter(F.col("is_speeding")).select(
+        "taxi_id", "event_id", "speeding_count")
+
+
+@query("speed_outputs")
+def q_speed_outputs(spark, sf_dir):
+    """The side output of the speed operator, with the 0.5 km grid cell."""
+    return _lc(spark, sf_dir).filter(F.col("speed_reason") == "ok").select(
+        "taxi_id", "event_id", "ts_ms", "latitude", "longitude", "speed_kmph",
+        grid_id(F.col("latitude"), F.col("longitude")).alias("grid_id"))
+
+
+@query("speeding_alert")
+def q_speeding_alert(spark, sf_dir):
+    """Alert text for every speeding output."""
+    return _lc(spark, sf_dir).filter(F.col("is_speeding")).select(
+        "taxi_id", "event_id", F.concat(F.lit("Speeding Alert! TaxiID="), F.col("taxi_id"),
+                                        F.lit(" | Speed="), F.col("speed_kmph").cast("string"),
+                                        F.lit(" km/h")).alias("alert"))
+
+
+@query("reject_reasons")
+def q_reject_reasons(spark, sf_dir):
+    """How many pings each gate dropped or skipped."""
+    lc = _lc(spark, sf_dir)
+    reason = F.explode(F.array(
+        F.when(F.col("kind") == "late", F.lit("out_of_order")),
+        F.when(F.col("kind") == "discarded", F.lit("discarded_beyond_15km")),
+        F.when(F.col("avg_reason") != "ok", F.col("avg_reason")),
+        F.when(F.col("speed_reason").isin("speed_skipped", "speed_unrealistic"), F.col("speed_reason"))))
+    return (lc.select(reason.alias("reason")).filter(F.col("reason").isNotNull())
+            .groupBy("reason").agg(F.count("*").alias("pings")))
+
+
+@query("removal_events")
+def q_removal_events(spark, sf_dir):
+    """Removal messages, only on a change of status to removed."""
+    return V.event_log(_lc(spark, sf_dir)).filter(F.col("kind") == "removal").select(
+        "taxi_id", "event_id", "message")
+
+
+@query("trip_resets")
+def q_trip_resets(spark, sf_dir):
+    """T15 (exact): pings after which the trip totals are cleared, and why."""
+    return _lc(spark, sf_dir).filter(F.col("trip_reset").isNotNull()).select(
+        "taxi_id", "event_id", "trip_reset", "total_distance_km", "total_time_s")
+
+
+@query("average_speed_exact")
+def q_average_speed_exact(spark, sf_dir):
+    """T17 with the reference's full reset rules (end flag and zone removal)."""
+    return _lc(spark, sf_dir).filter(F.col("avg_reason") == "ok").select(
+        "taxi_id", "event_id", "ts_ms", "total_distance_km", "total_time_s", "average_speed_kmph")
+
+
+@query("halt_events_exact")
+def q_halt_events_exact(spark, sf_dir):
+    """T14 (exact): halt / resume events with the steps the machine really takes."""
+    return _lc(spark, sf_dir).filter(F.col("halt_event").isNotNull()).select(
+        "taxi_id", "event_id", "halt_event", "status")
+
+
+@query("status_machine")
+def q_status_machine(spark, sf_dir):
+    """V2: every status transition (active / inactive / halted / removed)."""
+    lc = _lc(spark, sf_dir)
+    return lc.filter(~F.col("status").eqNullSafe(F.col("status_before"))).select(
+        "taxi_id", "event_id", "status_before", "status")
+
+
+@query("status_counts")
+def q_status_counts(spark, sf_dir):
+    """V3: vehicles per final status."""
+    return V.status_counts(_state(spark, sf_dir))
+
+
+@query("status_members")
+def q_status_members(spark, sf_dir):
+    """V4: members of each status set."""
+    return V.status_members(_state(spark, sf_dir))
+
+
+@query("fleet_distance")
+def q_fleet_distance(spark, sf_dir):
+    """V5: fleet-wide distance counter."""
+    d = V.fleet_distance(_lc(spark, sf_dir))
+    return d.select(round6(F.col("total_distance_all_km")).alias("total_distance_all_km"))
+
+
+@query("violation_members")
+def q_violation_members(spark, sf_dir):
+    """V6: vehicles currently beyond 10 km or currently speeding."""
+    return V.violation_members(_state(spark, sf_dir))
+
+
+@query("violation_counts")
+def q_violation_counts(spark, sf_dir):
+    """V7: counts of V6."""
+    return V.violation_counts(_state(spark, sf_dir))
+
+
+@query("event_log")
+def q_event_log(spark, sf_dir):
+    """V8: all logged messages with their order keys."""
+    return V.event_log(_lc(spark, sf_dir))
+
+
+@query("vehicle_current")
+def q_vehicle_current(spark, sf_dir):
+    """V1: current state row of every vehicle."""
+    st = _state(spark, sf_dir)
+    return st.select("taxi_id", "status", round6(F.col("total_distance_km")).alias("total_distance_km"),
+                     "last_update_ms", "latitude", "longitude", "average_speed_kmph",
+                     "current_speed_kmph", "speeding", "ten_km_crossed",
+                     F.col("area_violations").alias("area_violations"))
+
+
+# map rectangle of the in-bounds view (the inner city)
+BOUNDS = (39.85, 116.30, 39.98, 116.50)
+
+
+@query("vehicles_in_bounds")
+def q_vehicles_in_bounds(spark, sf_dir):
+    """V9: vehicles whose current position is inside a map rectangle."""
+    return V.vehicles_in_bounds(_state(spark, sf_dir), *BOUNDS).select(
+        "taxi_id", "latitude", "longitude", "status")
+
+
+@query("vehicle_lookup")
+def q_vehicle_lookup(spark, sf_dir):
+    """Lookup by violation: the vehicles whose latest speed output was speeding."""
+    return V.vehicle_lookup(_state(spark, sf_dir), violation="speeding").select(
+        "taxi_id", "status", "current_speed_kmph")
+
+
+@query("fleet_dashboard")
+def q_fleet_dashboard(spark, sf_dir):
+    """One row of dashboard figures."""
+    d = V.fleet_dashboard(_state(spark, sf_dir))
+    return d.select(*V.STATUSES, round6(F.col("mean_average_speed_kmph")).alias("mean_average_speed_kmph"),
+                    "speeding_vehicles", "area_violation_vehicles",
+                    round6(F.col("total_distance_all_km")).alias("total_distance_all_km"))
+
+
+@query("vehicle_removed_key")
+def q_vehicle_removed_key(spark, sf_dir):
+    """The state after deleting the vehicles whose final status is removed."""
+    st = _state(spark, sf_dir)
+    gone = st.filter(F.col("status") == "removed").select("taxi_id")
+    return V.remove_vehicles(st, gone).select("taxi_id", "status")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

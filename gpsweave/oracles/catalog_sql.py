@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..config import DEFAULT
 from .fixtures_sql import TRIPS, with_
+from .lifecycle_sql import lifecycle_ctes
 from .trips_sql import r6, steps_ctes
 
 ORACLES: dict[str, str] = {}
@@ -40,5 +41,89 @@ ORACLES["stats_line"] = _steps_query(
     "FROM steps WHERE avg_reason = 'ok'")
 
 
+
+def _lc_query(select: str) -> str:
+    return f"{with_(TRIPS, lifecycle_ctes('trips', DEFAULT))},\n{STATE}\n{select}"
+
+
+# one row per vehicle, as ``views.vehicle_state``
+STATE = """
+state AS (
+  SELECT taxi_id,
+         arg_max(status, k) AS status, arg_max(stored_total, k) AS total_distance_km,
+         arg_max(warned, k) AS ten_km_crossed, arg_max(area_violations, k) AS area_violations,
+         arg_max(ts_ms, k) FILTER (WHERE avg_reason = 'ok') AS last_update_ms,
+         arg_max(latitude, k) FILTER (WHERE avg_reason = 'ok') AS latitude,
+         arg_max(longitude, k) FILTER (WHERE avg_reason = 'ok') AS longitude,
+         arg_max(average_speed_kmph, k) FILTER (WHERE avg_reason = 'ok') AS average_speed_kmph,
+         arg_max(speed_kmph, k) FILTER (WHERE speed_reason = 'ok') AS current_speed_kmph,
+         arg_max(is_speeding, k) FILTER (WHERE speed_reason = 'ok') AS speeding,
+         sum(fleet_delta) AS fleet_km
+  FROM lc GROUP BY taxi_id)"""
+
+GRID = DEFAULT
+GRID_ID_SQL = (f"concat(CAST(trunc((latitude - {GRID.grid_min_lat!r}::DOUBLE) / {GRID.lat_delta!r}::DOUBLE) AS INTEGER), '_', "
+               f"CAST(trunc((longitude - {GRID.grid_min_lon!r}::DOUBLE) / {GRID.lon_delta!r}::DOUBLE) AS INTEGER))")
+
+ORACLES["instant_speed"] = _lc_query(
+    "SELECT taxi_id, event_id, ts_ms, speed_kmph, is_speeding FROM lc WHERE speed_reason = 'ok'")
+ORACLES["speeding_flag_count"] = _lc_query(
+    "SELECT taxi_id, event_id, speeding_count FROM lc WHERE is_speeding")
+ORACLES["speed_outputs"] = _lc_query(
+    f"SELECT taxi_id, event_id, ts_ms, latitude, longitude, speed_kmph, {GRID_ID_SQL} AS grid_id "
+    "FROM lc WHERE speed_reason = 'ok'")
+ORACLES["speeding_alert"] = _lc_query(
+    "SELECT taxi_id, event_id, concat('Speeding Alert! TaxiID=', taxi_id, ' | Speed=', "
+    "CAST(speed_kmph AS VARCHAR), ' km/h') AS alert FROM lc WHERE is_speeding")
+ORACLES["reject_reasons"] = _lc_query("""
+SELECT reason, count(*) AS pings FROM (
+  SELECT CASE WHEN kind = 'late' THEN 'out_of_order' END AS reason FROM lc
+  UNION ALL SELECT CASE WHEN kind = 'discarded' THEN 'discarded_beyond_15km' END FROM lc
+  UNION ALL SELECT CASE WHEN avg_reason <> 'ok' THEN avg_reason END FROM lc
+  UNION ALL SELECT CASE WHEN speed_reason IN ('speed_skipped', 'speed_unrealistic') THEN speed_reason END FROM lc
+) r WHERE reason IS NOT NULL GROUP BY reason""")
+ORACLES["removal_events"] = _lc_query(
+    "SELECT taxi_id, event_id, message FROM lc_events WHERE kind = 'removal'")
+ORACLES["trip_resets"] = _lc_query(
+    "SELECT taxi_id, event_id, trip_reset, total_distance_km, total_time_s FROM lc WHERE trip_reset IS NOT NULL")
+ORACLES["average_speed_exact"] = _lc_query(
+    "SELECT taxi_id, event_id, ts_ms, total_distance_km, total_time_s, average_speed_kmph "
+    "FROM lc WHERE avg_reason = 'ok'")
+ORACLES["halt_events_exact"] = _lc_query(
+    "SELECT taxi_id, event_id, halt_event, status FROM lc WHERE halt_event IS NOT NULL")
+ORACLES["status_machine"] = _lc_query(
+    "SELECT taxi_id, event_id, status_before, status FROM lc WHERE status IS DISTINCT FROM status_before")
+ORACLES["status_counts"] = _lc_query(
+    "SELECT status, count(*) AS vehicles FROM state WHERE status IS NOT NULL GROUP BY status")
+ORACLES["status_members"] = _lc_query("SELECT status, taxi_id FROM state WHERE status IS NOT NULL")
+ORACLES["fleet_distance"] = _lc_query(
+    f"SELECT {r6('sum(fleet_delta)')} AS total_distance_all_km FROM lc")
+ORACLES["violation_members"] = _lc_query(
+    "SELECT taxi_id, coalesce(ten_km_crossed, false) AS area_10km, coalesce(speeding, false) AS speeding "
+    "FROM state WHERE coalesce(ten_km_crossed, false) OR coalesce(speeding, false)")
+ORACLES["violation_counts"] = _lc_query(
+    "SELECT count(*) FILTER (WHERE coalesce(speeding, false)) AS speeding_vehicles, "
+    "count(*) FILTER (WHERE coalesce(ten_km_crossed, false)) AS area_violation_vehicles "
+    "FROM state WHERE coalesce(ten_km_crossed, false) OR coalesce(speeding, false)")
+ORACLES["event_log"] = _lc_query("SELECT taxi_id, event_id, arrival_key, sub, kind, message FROM lc_events")
+ORACLES["vehicle_current"] = _lc_query(
+    f"SELECT taxi_id, status, {r6('total_distance_km')} AS total_distance_km, last_update_ms, latitude, "
+    "longitude, average_speed_kmph, current_speed_kmph, speeding, ten_km_crossed, area_violations FROM state")
+ORACLES["vehicles_in_bounds"] = _lc_query(
+    "SELECT taxi_id, latitude, longitude, status FROM state "
+    "WHERE latitude BETWEEN 39.85::DOUBLE AND 39.98::DOUBLE AND longitude BETWEEN 116.30::DOUBLE AND 116.50::DOUBLE")
+ORACLES["vehicle_lookup"] = _lc_query(
+    "SELECT taxi_id, status, current_speed_kmph FROM state WHERE coalesce(speeding, false)")
+ORACLES["fleet_dashboard"] = _lc_query(
+    "SELECT count(*) FILTER (WHERE status = 'active') AS active, count(*) FILTER (WHERE status = 'inactive') AS inactive, "
+    "count(*) FILTER (WHERE status = 'halted') AS halted, count(*) FILTER (WHERE status = 'removed') AS removed, "
+    f"{r6('avg(average_speed_kmph)')} AS mean_average_speed_kmph, "
+    "count(*) FILTER (WHERE coalesce(speeding, false)) AS speeding_vehicles, "
+    "count(*) FILTER (WHERE coalesce(ten_km_crossed, false)) AS area_violation_vehicles, "
+    f"{r6('sum(fleet_km)')} AS total_distance_all_km FROM state")
+ORACLES["vehicle_removed_key"] = _lc_query(
+    "SELECT taxi_id, status FROM state WHERE taxi_id NOT IN (SELECT taxi_id FROM state WHERE status = 'removed')")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -74,4 +74,4 @@ requests AS (
 
 def with_(*ctes: str) -> str:
     """``WITH`` clause joining CTE texts (the ``trips`` CTE first when used)."""
-    return "WITH " + ",\n".join(c.strip() for c in ctes)
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes)
