@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from .config import DEFAULT, FIXTURE_GRID
 from .functions.geo import round6
 from .functions.geo import grid_id
+from .functions.num import idiv
+from .operators import grid as G
+from .operators import joins as J
 from .operators import lifecycle as L
+from .operators import opsmetrics as M
+from .operators import parse as P
+from .operators import prep as Q
 from .operators import trips as T
 from .operators import views as V
 from .session import configure
@@ -294,5 +300,270 @@ def q_vehicle_removed_key(spark, sf_dir):
     return V.remove_vehicles(st, gone).select("taxi_id", "status")
 
 
+# ------------------------------------------------------- parse and prepare
+@query("parse_ping")
+def q_parse_ping(spark, sf_dir):
+    """Wire messages parsed to typed pings; header and bad lines dropped."""
+    msgs = FX.messages(FX.trips(spark, sf_dir))
+    return P.parse_pings(msgs, keep=["event_id"])
+
+
+def _raw(spark, sf_dir):
+    return FX.raw_pings(FX.trips(spark, sf_dir))
+
+
+@query("positional_schema")
+def q_positional_schema(spark, sf_dir):
+    """Q1: raw rows under the fixed four-column schema (arity checked)."""
+    raw = _raw(spark, sf_dir).select("taxi_id", "date_time", "longitude", "latitude", "event_id")
+    return Q.positional(raw, keep=["event_id"])
+
+
+@query("coerce_timestamps")
+def q_coerce_timestamps(spark, sf_dir):
+    """Q2: rows whose date_time parses, with the parsed time (epoch seconds)."""
+    df = Q.coerce_timestamps(_raw(spark, sf_dir))
+    return df.select("event_id", "taxi_id", F.unix_seconds("ts").alias("ts_s"))
+
+
+@query("validate_bbox")
+def q_validate_bbox(spark, sf_dir):
+    """Q3: rows inside the inclusive city box (after Q2)."""
+    df = Q.validate_bbox(Q.coerce_timestamps(_raw(spark, sf_dir)))
+    return df.select("event_id", "taxi_id", "longitude", "latitude")
+
+
+@query("add_end_flag")
+def q_add_end_flag(spark, sf_dir):
+    """Q4/Q5: prepared rows with end_flag = 1 on each vehicle's last row."""
+    df = Q.prepare(_raw(spark, sf_dir))
+    return df.select("event_id", "taxi_id", F.unix_seconds("ts").alias("ts_s"), "longitude", "latitude",
+                     "end_flag")
+
+
+@query("time_sort")
+def q_time_sort(spark, sf_dir):
+    """Q6: prepared rows in final time order."""
+    df = Q.time_sort(Q.prepare(_raw(spark, sf_dir)))
+    return df.select("event_id", "taxi_id", F.unix_seconds("ts").alias("ts_s"), "end_flag")
+
+
+@query("drop_duplicates")
+def q_drop_duplicates(spark, sf_dir):
+    """Q7: distinct raw rows (library option)."""
+    raw = _raw(spark, sf_dir).select(*Q.RAW_COLUMNS)
+    return Q.drop_duplicates(raw)
+
+
+@query("drop_nulls")
+def q_drop_nulls(spark, sf_dir):
+    """Q7: raw rows without nulls (library option)."""
+    return Q.drop_nulls(_raw(spark, sf_dir).select("event_id", *Q.RAW_COLUMNS))
+
+
+@query("prep_report")
+def q_prep_report(spark, sf_dir):
+    """Q8: preparation report (files, skipped files, rows per rule, columns)."""
+    return Q.prep_report(_raw(spark, sf_dir), FX.file_list(spark, sf_dir))
+
+
+@query("unsorted_vehicle_audit")
+def q_unsorted_vehicle_audit(spark, sf_dir):
+    """Q9: vehicles whose timestamps are not non-decreasing in file order."""
+    return Q.unsorted_vehicles(_raw(spark, sf_dir))
+
+
+@query("file_line_counts")
+def q_file_line_counts(spark, sf_dir):
+    """Q10: non-blank lines per listed file (0 for empty files)."""
+    return Q.file_line_counts(FX.file_lines(FX.trips(spark, sf_dir)), FX.file_list(spark, sf_dir))
+
+
+@query("file_line_profile")
+def q_file_line_profile(spark, sf_dir):
+    """Q10: file summary (totals, max, min over non-empty, files at min, mean, empty)."""
+    p = Q.file_line_profile(FX.file_lines(FX.trips(spark, sf_dir)), FX.file_list(spark, sf_dir))
+    return p.withColumn("avg_lines", round6(F.col("avg_lines")))
+
+
+@query("order_ratio")
+def q_order_ratio(spark, sf_dir):
+    """Q11: in-order / out-of-order pings against the immediately preceding ping."""
+    r = Q.order_ratio(FX.trips(spark, sf_dir))
+    return r.select("in_order", "out_of_order", round6(F.col("in_order_pct")).alias("in_order_pct"),
+                    round6(F.col("out_of_order_pct")).alias("out_of_order_pct"))
+
+
+@query("replay_schedule")
+def q_replay_schedule(spark, sf_dir):
+    """Q12: replay batches (rows per timestamp) and the delay to the next batch."""
+    r = Q.replay_schedule(Q.prepare(_raw(spark, sf_dir)))
+    return r.select(F.unix_seconds("batch_ts").alias("batch_ts_s"), "rows", "delay_s")
+
+
+@query("stamp_message")
+def q_stamp_message(spark, sf_dir):
+    """Q13: producer text of each prepared row (produced epoch = row time)."""
+    df = Q.prepare(_raw(spark, sf_dir))
+    return Q.stamp_message(df, F.unix_seconds("ts")).select(
+        "taxi_id", "message")
+
+
+# ------------------------------------------------------------------- grid
+def _grid_speeds(spark, sf_dir):
+    return FX.grid_speeds(spark, sf_dir, FX.trips(spark, sf_dir))
+
+
+def _cells(spark, sf_dir):
+    return G.grid_window(_grid_speeds(spark, sf_dir), FIXTURE_GRID)
+
+
+@query("grid_id")
+def q_grid_id(spark, sf_dir):
+    """G1: 0.5 km cell of every forwarded ping."""
+    s = _steps(spark, sf_dir).filter("forwarded")
+    return G.with_grid_id(s).select("taxi_id", "event_id", "grid_id")
+
+
+@query("grid_bounds")
+def q_grid_bounds(spark, sf_dir):
+    """Corners of every 0.5 km cell that received a forwarded ping."""
+    s = _steps(spark, sf_dir).filter("forwarded")
+    cells = G.with_grid_bounds(G.with_grid_id(s).select("grid_id").distinct())
+    return cells.select("grid_id", *[round6(F.col(c)).alias(c) for c in
+                                     ("bottom_left_lat", "bottom_left_lon", "top_right_lat", "top_right_lon")])
+
+
+@query("grid_window")
+def q_grid_window(spark, sf_dir):
+    """Per one-day window and 5 km cell: mean latest speed and vehicle count."""
+    c = _cells(spark, sf_dir)
+    return c.select(F.unix_seconds(F.col("window.start")).alias("window_start_s"), "grid_id",
+                    round6(F.col("avg_speed_kmph")).alias("avg_speed_kmph"), "vehicles")
+
+
+@query("traffic_status")
+def q_traffic_status(spark, sf_dir):
+    """Cells per traffic status."""
+    c = _cells(spark, sf_dir)
+    return (c.select(G.traffic_status(F.col("avg_speed_kmph"), F.col("vehicles")).alias("traffic_status"))
+            .groupBy("traffic_status").agg(F.count("*").alias("cells")))
+
+
+@query("grid_snapshot")
+def q_grid_snapshot(spark, sf_dir):
+    """Stored cell rows (bounds, mean speed, count, status, update time)."""
+    snap = G.grid_snapshot(_cells(spark, sf_dir), FIXTURE_GRID)
+    return snap.select("grid_id", *[round6(F.col(c)).alias(c) for c in
+                                    ("bottom_left_lat", "bottom_left_lon", "top_right_lat", "top_right_lon",
+                                     "avg_speed_kmph")],
+                       "vehicles", "traffic_status", F.unix_seconds("updated_at").alias("updated_at_s"))
+
+
+@query("recent_grids")
+def q_recent_grids(spark, sf_dir):
+    """The 20 most recently updated cells (top-k report)."""
+    snap = G.grid_snapshot(_cells(spark, sf_dir), FIXTURE_GRID)
+    r = G.recent_grids(snap, 20)
+    return r.select("grid_id", F.unix_seconds("updated_at").alias("updated_at_s"), "vehicles",
+                    "traffic_status")
+
+
+@query("grid_moves")
+def q_grid_moves(spark, sf_dir):
+    """Speed outputs whose 0.5 km cell differs from the vehicle's previous one."""
+    sp = G.with_grid_id(_lc(spark, sf_dir).filter(F.col("speed_reason") == "ok"))
+    return G.grid_moves(sp).select("taxi_id", "event_id", "prev_grid_id", "grid_id")
+
+
+# ------------------------------------------------------------- ops metrics
+HOUR = 3600
+
+
+def _req(spark, sf_dir):
+    return FX.requests(spark, sf_dir)
+
+
+@query("interval_metrics")
+def q_interval_metrics(spark, sf_dir):
+    """M1: per operator and hour: latency, throughput, errors, cache figures."""
+    m = M.interval_metrics(_req(spark, sf_dir), HOUR)
+    return m.select("operator_name", F.unix_seconds("interval_start").alias("interval_start_s"),
+                    "latency_ms", round6(F.col("throughput")).alias("throughput"), "messages", "errors")
+
+
+@query("cache_hit_ratio")
+def q_cache_hit_ratio(spark, sf_dir):
+    """M2: cache hit ratio per operator and hour."""
+    m = M.interval_metrics(_req(spark, sf_dir), HOUR)
+    return m.select("operator_name", F.unix_seconds("interval_start").alias("interval_start_s"),
+                    "cache_hits", "cache_misses", round6(F.col("cache_hit_ratio")).alias("cache_hit_ratio"))
+
+
+@query("endpoint_metrics")
+def q_endpoint_metrics(spark, sf_dir):
+    """M3: per endpoint and hour: requests, errors, mean latency, requests/s."""
+    m = M.endpoint_metrics(_req(spark, sf_dir), HOUR)
+    return m.select(F.unix_seconds("interval_start").alias("interval_start_s"), "endpoint", "request_count",
+                    "error_count", round6(F.col("latency_ms")).alias("latency_ms"),
+                    round6(F.col("req_per_sec")).alias("req_per_sec"))
+
+
+@query("endpoint_status_counts")
+def q_endpoint_status_counts(spark, sf_dir):
+    """M3: requests per status code, endpoint and hour."""
+    m = M.endpoint_status_counts(_req(spark, sf_dir), HOUR)
+    return m.select(F.unix_seconds("interval_start").alias("interval_start_s"), "endpoint", "status_code", "n")
+
+
+@query("flatten_endpoints")
+def q_flatten_endpoints(spark, sf_dir):
+    """M4: endpoint metrics flattened to <endpoint>_<metric> name/value pairs."""
+    req = _req(spark, sf_dir)
+    f = M.flatten_endpoints(M.endpoint_metrics(req, HOUR), M.endpoint_status_counts(req, HOUR))
+    return f.select(F.unix_seconds("interval_start").alias("interval_start_s"), "name",
+                    round6(F.col("value")).alias("value"))
+
+
+@query("metric_series")
+def q_metric_series(spark, sf_dir):
+    """M5: (operator, metric, time, value) series of the interval metrics."""
+    s = M.metric_series(M.interval_metrics(_req(spark, sf_dir), HOUR))
+    return s.select("operator_name", "metric", F.unix_seconds("interval_start").alias("interval_start_s"),
+                    round6(F.col("value")).alias("value"))
+
+
+@query("error_log")
+def q_error_log(spark, sf_dir):
+    """M6: error log lines of the failed requests."""
+    return M.error_log(_req(spark, sf_dir))
+
+
+@query("end_to_end_latency")
+def q_end_to_end_latency(spark, sf_dir):
+    """Latency of each written stats row, processed at the end of its 5 s interval."""
+    lc = _lc(spark, sf_dir).filter(F.col("avg_reason") == "ok")
+    produced_ms = (F.col("produced_ts") * 1000).cast("long")
+    processed_ms = (idiv(produced_ms, 5000) + 1) * 5000
+    return lc.select("taxi_id", "event_id", (processed_ms - produced_ms).alias("latency_ms"))
+
+
+# the fixture's override of the reference's 5 s interval (FIXTURES.md)
+JOIN_BOUND_MS = 30 * 60 * 1000
+
+
+@query("location_speed_interval_join")
+def q_location_speed_interval_join(spark, sf_dir):
+    """Forwarded pings joined with the same vehicle's speeds within +-30 min."""
+    lc = _lc(spark, sf_dir)
+    pings = lc.filter(F.col("kind") == "forwarded").select("taxi_id", "event_id", "ts_ms", "latitude",
+                                                           "longitude", "end_flag")
+    speeds = lc.filter(F.col("speed_reason") == "ok").select("taxi_id", "event_id", "ts_ms",
+                                                             F.col("speed_kmph").alias("kmph"), "is_speeding")
+    j = J.interval_join(pings, speeds, JOIN_BOUND_MS)
+    return j.select("taxi_id", "event_id", "speed_event_id", "ts_ms", "speed_kmph", "speed_is_speeding",
+                    "end_flag", grid_id(F.col("latitude"), F.col("longitude")).alias("grid_id"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

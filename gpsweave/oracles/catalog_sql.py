@@ -3,13 +3,31 @@
 from __future__ import annotations
 
 from ..config import DEFAULT
-from .fixtures_sql import TRIPS, with_
+from ..config import FIXTURE_GRID
+from .fixtures_sql import FILE_LINES, GRID_SPEEDS, MESSAGES, RAW_PINGS, REQUESTS, TRIPS, with_
 from .lifecycle_sql import lifecycle_ctes
 from .trips_sql import r6, steps_ctes
 
 ORACLES: dict[str, str] = {}
 
 
+def grid_id_sql(cfg, lat="latitude", lon="longitude") -> str:
+    return (f"concat(CAST(trunc(({lat} - {cfg.grid_min_lat!r}::DOUBLE) / {cfg.lat_delta!r}::DOUBLE) AS INTEGER), '_', "
+            f"CAST(trunc(({lon} - {cfg.grid_min_lon!r}::DOUBLE) / {cfg.lon_delta!r}::DOUBLE) AS INTEGER))")
+
+
+def bounds_sql(cfg, gid="grid_id") -> str:
+    la = f"CAST(split_part({gid}, '_', 1) AS INTEGER)"
+    lo = f"CAST(split_part({gid}, '_', 2) AS INTEGER)"
+    bl_lat = f"({cfg.grid_min_lat!r}::DOUBLE + {la} * {cfg.lat_delta!r}::DOUBLE)"
+    bl_lon = f"({cfg.grid_min_lon!r}::DOUBLE + {lo} * {cfg.lon_delta!r}::DOUBLE)"
+    return (f"{r6(bl_lat)} AS bottom_left_lat, {r6(bl_lon)} AS bottom_left_lon, "
+            f"{r6(f'{bl_lat} + {cfg.lat_delta!r}::DOUBLE')} AS top_right_lat, "
+            f"{r6(f'{bl_lon} + {cfg.lon_delta!r}::DOUBLE')} AS top_right_lon")
+
+
+
+
 def _steps_query(select: str) -> str:
     return f"{with_(TRIPS, steps_ctes('trips', DEFAULT))}\n{select}"
 
@@ -61,16 +79,13 @@ state AS (
          sum(fleet_delta) AS fleet_km
   FROM lc GROUP BY taxi_id)"""
 
-GRID = DEFAULT
-GRID_ID_SQL = (f"concat(CAST(trunc((latitude - {GRID.grid_min_lat!r}::DOUBLE) / {GRID.lat_delta!r}::DOUBLE) AS INTEGER), '_', "
-               f"CAST(trunc((longitude - {GRID.grid_min_lon!r}::DOUBLE) / {GRID.lon_delta!r}::DOUBLE) AS INTEGER))")
 
 ORACLES["instant_speed"] = _lc_query(
     "SELECT taxi_id, event_id, ts_ms, speed_kmph, is_speeding FROM lc WHERE speed_reason = 'ok'")
 ORACLES["speeding_flag_count"] = _lc_query(
     "SELECT taxi_id, event_id, speeding_count FROM lc WHERE is_speeding")
 ORACLES["speed_outputs"] = _lc_query(
-    f"SELECT taxi_id, event_id, ts_ms, latitude, longitude, speed_kmph, {GRID_ID_SQL} AS grid_id "
+    f"SELECT taxi_id, event_id, ts_ms, latitude, longitude, speed_kmph, {grid_id_sql(DEFAULT)} AS grid_id "
     "FROM lc WHERE speed_reason = 'ok'")
 ORACLES["speeding_alert"] = _lc_query(
     "SELECT taxi_id, event_id, concat('Speeding Alert! TaxiID=', taxi_id, ' | Speed=', "
@@ -125,5 +140,182 @@ ORACLES["vehicle_removed_key"] = _lc_query(
     "SELECT taxi_id, status FROM state WHERE taxi_id NOT IN (SELECT taxi_id FROM state WHERE status = 'removed')")
 
 
+# ------------------------------------------------------- parse and prepare
+ORACLES["parse_ping"] = f"""{with_(TRIPS, MESSAGES)}
+SELECT * FROM (
+  SELECT event_id, f[1] AS taxi_id,
+         epoch_ms(try_strptime(f[2], '%Y-%m-%d %H:%M:%S')) AS ts_ms,
+         TRY_CAST(f[4] AS DOUBLE) AS latitude, TRY_CAST(f[3] AS DOUBLE) AS longitude,
+         (trim(f[5]) = '1' OR lower(trim(f[5])) = 'true') AS end_flag,
+         TRY_CAST(f[6] AS DOUBLE) AS produced_ts
+  FROM (SELECT event_id, string_split(message, ',') AS f FROM messages WHERE NOT starts_with(message, 'taxi_id')) m
+) p WHERE taxi_id IS NOT NULL AND ts_ms IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
+      AND end_flag IS NOT NULL AND produced_ts IS NOT NULL"""
+
+TSP = "try_strptime(date_time, '%Y-%m-%d %H:%M:%S')"
+BBOX = "coalesce(longitude BETWEEN 110.0 AND 125.0 AND latitude BETWEEN 35.0 AND 45.0, false)"
+PREPARED = f"""
+_ts AS (SELECT *, {TSP} AS ts FROM raw_pings WHERE {TSP} IS NOT NULL),
+prepared AS (
+  SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY taxi_id ORDER BY ts DESC, arrival_key DESC, event_id DESC) = 1
+                 THEN 1 ELSE 0 END AS end_flag
+  FROM _ts WHERE {BBOX})"""
+
+
+def _raw_query(select: str, *extra: str) -> str:
+    return f"{with_(TRIPS, RAW_PINGS, *extra)}\n{select}"
+
+
+ORACLES["positional_schema"] = _raw_query("SELECT taxi_id, date_time, longitude, latitude, event_id FROM raw_pings")
+ORACLES["coerce_timestamps"] = _raw_query(
+    f"SELECT event_id, taxi_id, epoch({TSP})::BIGINT AS ts_s FROM raw_pings WHERE {TSP} IS NOT NULL")
+ORACLES["validate_bbox"] = _raw_query(
+    f"SELECT event_id, taxi_id, longitude, latitude FROM raw_pings WHERE {TSP} IS NOT NULL AND {BBOX}")
+ORACLES["add_end_flag"] = _raw_query(
+    "SELECT event_id, taxi_id, epoch(ts)::BIGINT AS ts_s, longitude, latitude, end_flag FROM prepared", PREPARED)
+ORACLES["time_sort"] = _raw_query(
+    "SELECT event_id, taxi_id, epoch(ts)::BIGINT AS ts_s, end_flag FROM prepared", PREPARED)
+ORACLES["drop_duplicates"] = _raw_query("SELECT DISTINCT taxi_id, date_time, longitude, latitude FROM raw_pings")
+ORACLES["drop_nulls"] = _raw_query(
+    "SELECT event_id, taxi_id, date_time, longitude, latitude FROM raw_pings "
+    "WHERE taxi_id IS NOT NULL AND date_time IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL")
+ORACLES["prep_report"] = f"""{with_(TRIPS, RAW_PINGS, FILE_LINES)}
+SELECT r.*, f.*, 4 AS cols_before, 5 AS cols_after FROM
+ (SELECT count(*) AS rows_before, count(*) FILTER (WHERE {TSP} IS NULL) AS rows_bad_timestamp,
+         count(*) FILTER (WHERE {TSP} IS NOT NULL AND NOT {BBOX}) AS rows_outside_bbox,
+         count(*) FILTER (WHERE {TSP} IS NOT NULL AND {BBOX}) AS rows_after FROM raw_pings) r,
+ (SELECT count(*) AS files, count(*) FILTER (WHERE n IS NULL) AS files_skipped_empty
+  FROM file_list l LEFT JOIN (SELECT concat('veh_', taxi_id, '.txt') AS file_name, count(*) AS n
+                              FROM raw_pings GROUP BY 1) c USING (file_name)) f"""
+ORACLES["unsorted_vehicle_audit"] = _raw_query(f"""
+SELECT DISTINCT taxi_id FROM (
+  SELECT taxi_id, ts, lag(ts) OVER (PARTITION BY taxi_id ORDER BY arrival_key, event_id) AS prev_ts
+  FROM (SELECT *, {TSP} AS ts FROM raw_pings WHERE {TSP} IS NOT NULL) v) x
+WHERE prev_ts > ts""")
+LINE_COUNTS = """
+_lines AS (SELECT l.file_name, coalesce(c.lines, 0)::BIGINT AS lines FROM file_list l
+           LEFT JOIN (SELECT file_name, count(*) AS lines FROM file_lines WHERE length(trim(line)) > 0 GROUP BY 1) c
+           USING (file_name))"""
+ORACLES["file_line_counts"] = f"{with_(TRIPS, FILE_LINES, LINE_COUNTS)}\nSELECT file_name, lines FROM _lines"
+ORACLES["file_line_profile"] = f"""{with_(TRIPS, FILE_LINES, LINE_COUNTS)},
+_s AS (SELECT count(*) AS total_files, sum(lines) AS total_lines, max(lines) AS max_lines,
+              coalesce(min(lines) FILTER (WHERE lines > 0), 0) AS min_lines,
+              count(*) FILTER (WHERE lines = 0) AS empty_files FROM _lines)
+SELECT total_files, CAST(total_lines AS BIGINT) AS total_lines, max_lines, min_lines,
+       (SELECT count(*) FROM _lines WHERE lines = _s.min_lines) AS files_at_min,
+       {r6('CAST(total_lines AS DOUBLE) / total_files')} AS avg_lines, empty_files FROM _s"""
+ORACLES["order_ratio"] = f"""{with_(TRIPS)},
+_o AS (SELECT ts_ms, lag(ts_ms) OVER (PARTITION BY taxi_id ORDER BY arrival_key, event_id) AS p FROM trips),
+_c AS (SELECT count(*) FILTER (WHERE p IS NULL OR ts_ms >= p) AS in_order,
+              count(*) FILTER (WHERE NOT (p IS NULL OR ts_ms >= p)) AS out_of_order FROM _o)
+SELECT in_order, out_of_order, {r6('in_order * 100.0::DOUBLE / (in_order + out_of_order)')} AS in_order_pct,
+       {r6('out_of_order * 100.0::DOUBLE / (in_order + out_of_order)')} AS out_of_order_pct FROM _c"""
+ORACLES["replay_schedule"] = _raw_query("""
+SELECT epoch(ts)::BIGINT AS batch_ts_s, rows, (epoch(lead(ts) OVER (ORDER BY ts)) - epoch(ts))::BIGINT AS delay_s
+FROM (SELECT ts, count(*) AS rows FROM prepared GROUP BY ts) g""", PREPARED)
+ORACLES["stamp_message"] = _raw_query("""
+SELECT taxi_id, concat_ws(',', taxi_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), CAST(longitude AS VARCHAR),
+       CAST(latitude AS VARCHAR), CAST(end_flag AS VARCHAR), CAST(epoch(ts)::BIGINT AS VARCHAR)) AS message
+FROM prepared""", PREPARED)
+
+
+# ------------------------------------------------------------------- grid
+FG = FIXTURE_GRID
+CELLS = f"""
+_gl AS (SELECT (epoch_us(ts) // 86400000000) * 86400 AS window_start_s, {grid_id_sql(FG)} AS grid_id, taxi_id,
+               speed_kmph, ROW_NUMBER() OVER (PARTITION BY (epoch_us(ts) // 86400000000), {grid_id_sql(FG)}, taxi_id
+                                              ORDER BY ts DESC, event_id DESC) AS rn
+        FROM grid_speeds),
+cells AS (SELECT window_start_s, grid_id,
+                 (sum(floor(speed_kmph * 1000000.0::DOUBLE + 0.5)) / count(*)) / 1000000.0::DOUBLE AS avg_speed_kmph,
+                 count(*) AS vehicles
+          FROM _gl WHERE rn = 1 GROUP BY window_start_s, grid_id),
+snap AS (SELECT *, CASE WHEN avg_speed_kmph < 5.0 AND vehicles >= 3 THEN 'CONGESTED'
+                        WHEN avg_speed_kmph < 15.0 AND vehicles >= 3 THEN 'MODERATE'
+                        WHEN avg_speed_kmph < 10.0 AND vehicles >= 2 THEN 'MODERATE' ELSE 'FREE_FLOW' END
+                        AS traffic_status, window_start_s + 86400 AS updated_at_s FROM cells)"""
+
+
+def _grid_query(select: str) -> str:
+    return f"{with_(TRIPS, GRID_SPEEDS, CELLS)}\n{select}"
+
+
+ORACLES["grid_id"] = _steps_query(f"SELECT taxi_id, event_id, {grid_id_sql(DEFAULT)} AS grid_id FROM steps WHERE forwarded")
+ORACLES["grid_bounds"] = _steps_query(
+    f"SELECT grid_id, {bounds_sql(DEFAULT)} FROM (SELECT DISTINCT {grid_id_sql(DEFAULT)} AS grid_id FROM steps "
+    "WHERE forwarded) g")
+ORACLES["grid_window"] = _grid_query(
+    f"SELECT window_start_s, grid_id, {r6('avg_speed_kmph')} AS avg_speed_kmph, vehicles FROM cells")
+ORACLES["traffic_status"] = _grid_query("SELECT traffic_status, count(*) AS cells FROM snap GROUP BY 1")
+ORACLES["grid_snapshot"] = _grid_query(
+    f"SELECT grid_id, {bounds_sql(FG)}, {r6('avg_speed_kmph')} AS avg_speed_kmph, vehicles, traffic_status, "
+    "updated_at_s FROM snap")
+ORACLES["recent_grids"] = _grid_query("""
+SELECT grid_id, updated_at_s, vehicles, traffic_status FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY grid_id ORDER BY updated_at_s DESC) AS rn FROM snap) s
+WHERE rn = 1 ORDER BY updated_at_s DESC, grid_id LIMIT 20""")
+ORACLES["grid_moves"] = _lc_query(f"""
+SELECT taxi_id, event_id, prev_grid_id, grid_id FROM (
+  SELECT taxi_id, event_id, {grid_id_sql(DEFAULT)} AS grid_id,
+         lag({grid_id_sql(DEFAULT)}) OVER (PARTITION BY taxi_id ORDER BY k) AS prev_grid_id
+  FROM lc WHERE speed_reason = 'ok') m
+WHERE prev_grid_id IS NOT NULL AND prev_grid_id <> grid_id""")
+
+
+# ------------------------------------------------------------- ops metrics
+def _req_query(select: str) -> str:
+    return f"{with_(REQUESTS)},\n" + """
+_m AS (SELECT endpoint AS operator_name, (ts_us // 3600000000) * 3600 AS interval_start_s,
+              avg(latency_s) FILTER (WHERE NOT is_error) AS _lat,
+              count(*) FILTER (WHERE NOT is_error) AS messages, count(*) FILTER (WHERE is_error) AS errors,
+              count(*) FILTER (WHERE cache_hit) AS cache_hits, count(*) FILTER (WHERE NOT cache_hit) AS cache_misses
+       FROM requests GROUP BY 1, 2),
+_e AS (SELECT (ts_us // 3600000000) * 3600 AS interval_start_s, endpoint,
+              count(*) FILTER (WHERE NOT is_error) AS request_count, count(*) FILTER (WHERE is_error) AS error_count,
+              coalesce(avg(latency_s) FILTER (WHERE NOT is_error) * 1000, 0.0) AS latency_ms
+       FROM requests GROUP BY 1, 2),
+_sc AS (SELECT (ts_us // 3600000000) * 3600 AS interval_start_s, endpoint, CAST(status_code AS VARCHAR) AS status_code,
+               count(*) AS n FROM requests GROUP BY 1, 2, 3)
+""" + select
+
+
+M_LAT = "coalesce(floor(_lat * 1000 * 100 + 0.5) / 100, 0.0)"
+ORACLES["interval_metrics"] = _req_query(
+    f"SELECT operator_name, interval_start_s, {M_LAT} AS latency_ms, {r6('messages / 3600.0::DOUBLE')} AS throughput, "
+    "messages, errors FROM _m")
+ORACLES["cache_hit_ratio"] = _req_query(
+    f"SELECT operator_name, interval_start_s, cache_hits, cache_misses, "
+    f"{r6('CAST(cache_hits AS DOUBLE) / nullif(cache_hits + cache_misses, 0)')} AS cache_hit_ratio FROM _m")
+ORACLES["endpoint_metrics"] = _req_query(
+    f"SELECT interval_start_s, endpoint, request_count, error_count, {r6('latency_ms')} AS latency_ms, "
+    f"{r6('request_count / 3600.0::DOUBLE')} AS req_per_sec FROM _e")
+ORACLES["endpoint_status_counts"] = _req_query("SELECT interval_start_s, endpoint, status_code, n FROM _sc")
+ORACLES["flatten_endpoints"] = _req_query(f"""
+SELECT interval_start_s, name, {r6('value')} AS value FROM (
+  SELECT interval_start_s, concat(endpoint, '_request_count') AS name, CAST(request_count AS DOUBLE) AS value FROM _e
+  UNION ALL SELECT interval_start_s, concat(endpoint, '_error_count'), CAST(error_count AS DOUBLE) FROM _e
+  UNION ALL SELECT interval_start_s, concat(endpoint, '_latency_ms'), latency_ms FROM _e
+  UNION ALL SELECT interval_start_s, concat(endpoint, '_req_per_sec'), request_count / 3600.0::DOUBLE FROM _e
+  UNION ALL SELECT interval_start_s, concat(endpoint, '_', status_code), CAST(n AS DOUBLE) FROM _sc) f""")
+ORACLES["metric_series"] = _req_query(f"""
+SELECT operator_name, metric, interval_start_s, {r6('value')} AS value FROM (
+  SELECT operator_name, 'latency_ms' AS metric, interval_start_s, {M_LAT} AS value FROM _m
+  UNION ALL SELECT operator_name, 'throughput', interval_start_s, messages / 3600.0::DOUBLE FROM _m
+  UNION ALL SELECT operator_name, 'errors', interval_start_s, CAST(errors AS DOUBLE) FROM _m
+  UNION ALL SELECT operator_name, 'cache_hit_ratio', interval_start_s,
+                   CAST(cache_hits AS DOUBLE) / nullif(cache_hits + cache_misses, 0) FROM _m) s""")
+ORACLES["error_log"] = f"""{with_(REQUESTS)}
+SELECT event_id, endpoint, printf('[%s] ERROR (%s): status %d', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'), endpoint,
+       status_code) AS line FROM requests WHERE is_error"""
+ORACLES["end_to_end_latency"] = _lc_query("""
+SELECT taxi_id, event_id, ((p // 5000) + 1) * 5000 - p AS latency_ms FROM (
+  SELECT taxi_id, event_id, CAST(trunc(produced_ts * 1000) AS BIGINT) AS p FROM lc WHERE avg_reason = 'ok') x""")
+ORACLES["location_speed_interval_join"] = _lc_query(f"""
+SELECT p.taxi_id, p.event_id, s.event_id AS speed_event_id, p.ts_ms, s.speed_kmph,
+       s.is_speeding AS speed_is_speeding, p.end_flag, {grid_id_sql(DEFAULT, 'p.latitude', 'p.longitude')} AS grid_id
+FROM lc p JOIN lc s ON s.taxi_id = p.taxi_id AND s.ts_ms BETWEEN p.ts_ms - 1800000 AND p.ts_ms + 1800000
+WHERE p.kind = 'forwarded' AND s.speed_reason = 'ok'""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
