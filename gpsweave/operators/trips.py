@@ -25,7 +25,7 @@ Output of ``ping_steps`` (one row per ping):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
@@ -60,68 +60,189 @@ def average_gate(total_km: Column, total_s: Column, cfg: FleetConfig = DEFAULT):
     return reason, F.when(reason == "ok", avg)
 
 
+def _secs(ms: Column) -> Column:
+    """Whole seconds of a millisecond gap, 0 if not positive."""
+    return F.when(ms > 0, idiv(ms, 1000)).otherwise(F.lit(0).cast("long"))
+
+
+def _cents(km: Column) -> Column:
+    """A step rounded to whole cents of a km (0 for no movement)."""
+    return F.when(km > 0, F.floor(km * 100 + 0.5)).otherwise(F.lit(0)).cast("long")
+
+
 def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
-    """T3–T17 for every ping; see the module docstring for the columns."""
-    df = late_filter(pings, cfg)
+    """T3–T17 for every ping; see the module docstring for the columns.
+
+    Plan (``K`` = vehicle, ``C`` = chunk of arrival positions):
+
+    1. ``c_max_ts``: newest ts of the earlier chunks, from a partial aggregate
+       per (K, C) and a window over that small table;
+    2. the pings, joined with it, are shuffled once on (K, C); windows within
+       (K, C) give every value that only needs the chunk's own earlier rows;
+    3. one summary row per (K, C) (first / last forwarded ping, local sums,
+       halt facts) gets, by windows over the summary table alone, everything
+       that crosses chunk borders: the previous forwarded ping, the border
+       step, running sums, the trip start and the halt flag;
+    4. that carry is joined back on (K, C) and combined row by row.
+
+    The summary branch recomputes step 2 (one more shuffle of the pings); no
+    step is computed more than twice, and no task holds more than one chunk.
+    """
+    span = cfg.scan_chunk_span
+    part = ["taxi_id", "_chunk"]
+    order = [F.col(c) for c in ORDER]
+    ord_struct = F.struct(*order)
+    base = pings.withColumn("_chunk", arrival_chunk("arrival_key", span))
+    prev_chunks = (Window.partitionBy("taxi_id").orderBy("_chunk")
+                   .rowsBetween(Window.unboundedPreceding, -1))
+
+    # 1. newest ts of the earlier chunks
+    c1 = (base.groupBy(*part).agg(F.max("ts_ms").alias("_cmax"))
+          .select(*part, F.max("_cmax").over(prev_chunks).alias("c_max_ts")))
+    rows = base.join(c1, part, "left")
+
+    # 2. windows within the chunk
+    w = Window.partitionBy(*part).orderBy(*order)
+    excl = w.rowsBetween(Window.unboundedPreceding, -1)
+    incl = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_lpm", F.max("ts_ms").over(excl))
+    prev_max = F.greatest(F.col("c_max_ts"), F.col("_lpm"))
     d = distance_from_center_km(F.col("latitude"), F.col("longitude"), cfg)
-    df = (df.withColumn("d_center_km", d)
-          .withColumn("discarded", F.col("accepted") & (F.col("d_center_km") > cfg.remove_radius_km))
-          .withColumn("forwarded", F.col("accepted") & (F.col("d_center_km") <= cfg.remove_radius_km))
-          .withColumn("far", F.col("d_center_km") > cfg.warn_radius_km))
-    chunk = F.col("_chunk")
+    rows = rows.withColumns({"prev_max_ts": prev_max, "d_center_km": d})
+    accepted = F.col("prev_max_ts").isNull() | (F.col("ts_ms") >= F.col("prev_max_ts"))
+    rows = rows.withColumn("accepted", accepted)
+    rows = rows.withColumns({
+        "discarded": F.col("accepted") & (F.col("d_center_km") > cfg.remove_radius_km),
+        "forwarded": F.col("accepted") & (F.col("d_center_km") <= cfg.remove_radius_km),
+        "far": F.col("d_center_km") > cfg.warn_radius_km})
     fwd = F.col("forwarded")
-
-    # level 2: previous forwarded ping, area violation count
-    df = keyed_scan(df, KEY, ORDER, chunk, [
-        Running("area_violations", "sum", F.col("discarded").cast("int")),
-        Running("trip_no", "sum", (fwd & F.col("end_flag")).cast("int"), inclusive=False),
-        Running("prev", "last", F.when(fwd, F.struct(
-            F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
-            F.col("ts_ms").alias("ts"), F.col("far").alias("far"),
-            F.col("end_flag").alias("end"))), inclusive=False),
-    ])
-    prev = F.col("prev")
-    has_step = fwd & prev.isNotNull() & ~prev["end"]
-    step_km = haversine_km(prev["lat"], prev["lon"], F.col("latitude"), F.col("longitude"), cfg)
-    step_ms = F.col("ts_ms") - prev["ts"]
+    fwd_row = F.when(fwd, F.struct(
+        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("ts_ms").alias("ts"),
+        F.col("far").alias("far"), F.col("end_flag").alias("end")))
+    rows = rows.withColumn("_fwd_row", fwd_row)
+    rows = rows.withColumns({
+        "_lprev": F.last("_fwd_row", ignorenulls=True).over(excl),
+        "_ldisc": F.sum(F.col("discarded").cast("long")).over(incl),
+        "_lend": F.coalesce(F.sum((fwd & F.col("end_flag")).cast("long")).over(excl), F.lit(0).cast("long"))})
+    lprev = F.col("_lprev")
+    lstep = F.coalesce(fwd & lprev.isNotNull() & ~lprev["end"], F.lit(False))
+    rows = rows.withColumns({
+        "_lstep": lstep,
+        "_lkm": F.when(lstep, haversine_km(lprev["lat"], lprev["lon"], F.col("latitude"), F.col("longitude"), cfg)),
+        "_ls": F.when(lstep, _secs(F.col("ts_ms") - lprev["ts"]))})
+    rows = rows.withColumns({
+        "_lstill": F.col("_lstep") & (F.col("_lkm") < cfg.min_distance_km),
+        "_lmoving": F.col("_lstep") & (F.col("_lkm") >= cfg.min_distance_km)})
+    still_s = F.when(F.col("_lstill"), F.col("_ls")).otherwise(F.lit(0).cast("long"))
+    rows = rows.withColumns({
+        "_lc": F.sum(_cents(F.col("_lkm"))).over(incl),
+        "_lsec": F.sum(F.coalesce(F.col("_ls"), F.lit(0))).over(incl),
+        "_lst": F.sum(still_s).over(incl)})
+
+    # 3. chunk summary and the carries across chunks (small table)
+    when_ord = lambda cond: F.when(cond, ord_struct)
+    summ = rows.groupBy(*part).agg(
+        F.min_by("_fwd_row", when_ord(fwd)).alias("first_fwd"),
+        F.max_by("_fwd_row", when_ord(fwd)).alias("last_fwd"),
+        F.sum(F.col("discarded").cast("long")).alias("disc_total"),
+        F.sum((fwd & F.col("end_flag")).cast("long")).alias("end_total"),
+        F.sum(_cents(F.col("_lkm"))).alias("tot_cents"),
+        F.sum(F.coalesce(F.col("_ls"), F.lit(0))).alias("tot_secs"),
+        F.sum(still_s).alias("tot_still"),
+        F.max_by(F.struct(F.col("_lc").alias("c"), F.col("_lsec").alias("s")),
+                 when_ord(fwd & F.col("end_flag"))).alias("last_end_cum"),
+        F.max(when_ord(F.col("_lmoving"))).alias("last_moving"),
+        F.max(when_ord(F.col("_lstill"))).alias("last_still"),
+        F.max_by("_lst", when_ord(F.col("_lstill"))).alias("still_at_last_still"))
+    zero = F.lit(0).cast("long")
+    carry = summ.withColumns({
+        "c_prev": F.last("last_fwd", ignorenulls=True).over(prev_chunks),
+        "c_disc": F.coalesce(F.sum("disc_total").over(prev_chunks), zero),
+        "c_end": F.coalesce(F.sum("end_total").over(prev_chunks), zero)})
+    cp, ff = F.col("c_prev"), F.col("first_fwd")
+    b_has = F.coalesce(ff.isNotNull() & cp.isNotNull() & ~cp["end"], F.lit(False))
+    b_km = F.when(b_has, haversine_km(cp["lat"], cp["lon"], ff["lat"], ff["lon"], cfg))
+    carry = carry.withColumns({
+        "b_has": b_has, "b_km": b_km,
+        "b_s": F.when(b_has, _secs(ff["ts"] - cp["ts"])).otherwise(zero)})
+    b_still = F.col("b_has") & (F.col("b_km") < cfg.min_distance_km)
+    carry = carry.withColumns({
+        "b_cents": _cents(F.col("b_km")),
+        "b_still": b_still,
+        "b_moving": F.col("b_has") & (F.col("b_km") >= cfg.min_distance_km),
+        "b_still_s": F.when(b_still, F.col("b_s")).otherwise(zero)})
+    carry = carry.withColumns({
+        "c_cents": F.coalesce(F.sum(F.col("tot_cents") + F.col("b_cents")).over(prev_chunks), zero),
+        "c_secs": F.coalesce(F.sum(F.col("tot_secs") + F.col("b_s")).over(prev_chunks), zero),
+        "c_still": F.coalesce(F.sum(F.col("tot_still") + F.col("b_still_s")).over(prev_chunks), zero)})
+    lec = F.col("last_end_cum")
+    end_cum = F.when(lec.isNotNull(), F.struct(
+        (F.col("c_cents") + F.col("b_cents") + lec["c"]).alias("c"),
+        (F.col("c_secs") + F.col("b_s") + lec["s"]).alias("s")))
+    # halt flag at the end of the chunk: the last step that set or cleared it
+    lm, ls = F.col("last_moving"), F.col("last_still")
+    still_base = F.col("c_still") + F.col("b_still_s")
+    local_still_sets = (ls.isNotNull() & (lm.isNull() | (ls > lm))
+                        & (still_base + F.col("still_at_last_still") >= cfg.halt_after_s))
+    border_still_sets = (ls.isNull() & lm.isNull() & F.col("b_still") & (still_base >= cfg.halt_after_s))
+    halted_end = (F.when(local_still_sets | border_still_sets, F.lit(True))
+                  .when(lm.isNotNull() | F.col("b_moving"), F.lit(False)))
+    carry = carry.withColumns({"_end_cum": end_cum, "_halted_end": halted_end})
+    carry = carry.withColumns({
+        "c_base": F.last("_end_cum", ignorenulls=True).over(prev_chunks),
+        "c_halted": F.last("_halted_end", ignorenulls=True).over(prev_chunks)})
+    carry = carry.select(*part, "c_prev", "c_disc", "c_end", "b_has", "b_km", "b_s", "b_cents", "b_still_s",
+                         "c_cents", "c_secs", "c_still", "c_base", "c_halted")
+
+    # 4. combine row by row
+    df = rows.join(carry, part, "left")
+    border = fwd & lprev.isNull()
+    b_step = border & F.col("b_has")
+    prev = F.coalesce(lprev, F.col("c_prev"))
     warned_before = F.coalesce(prev["far"], F.lit(False))
-    df = (df.withColumn("has_step", F.coalesce(has_step, F.lit(False)))
-          .withColumn("step_km", F.when(F.col("has_step"), step_km))
-          .withColumn("step_s", F.when(F.col("has_step"),
-                                       F.when(step_ms > 0, idiv(step_ms, 1000)).otherwise(F.lit(0).cast("long"))))
-          .withColumn("still", F.col("has_step") & (F.col("step_km") < cfg.min_distance_km))
-          .withColumn("area_event", F.when(fwd & F.col("far") & ~warned_before, F.lit("warn"))
-                      .when(fwd & ~F.col("far") & warned_before, F.lit("reset"))))
-    # The reference rounds the running total to cents after every step;
-    # the total is a whole number of cents, so this is a sum of rounded steps
-    cents = F.when(F.col("step_km") > 0, F.floor(F.col("step_km") * 100 + 0.5)).otherwise(F.lit(0))
-
-    # level 3: running sums over the vehicle
-    df = keyed_scan(df, KEY, ORDER, chunk, [
-        Running("cum_cents", "sum", cents),
-        Running("cum_s", "sum", F.coalesce(F.col("step_s"), F.lit(0))),
-        Running("still_s_total", "sum", F.when(F.col("still"), F.col("step_s")).otherwise(F.lit(0))),
-    ])
-    # level 4: trip start (values at the last forwarded end flag) and halt flag
+    # the border step belongs to the chunk's first forwarded ping: rows from
+    # there on include it
+    after_border = fwd | lprev.isNotNull()
+    b_before = F.when(after_border, F.col("b_cents")).otherwise(zero)
+    lbase = F.last(F.when(fwd & F.col("end_flag"), F.struct(F.col("_lc").alias("c"), F.col("_lsec").alias("s"))),
+                   ignorenulls=True).over(excl)
+    df = df.withColumns({
+        "area_violations": F.col("c_disc") + F.col("_ldisc"),
+        "trip_no": F.col("c_end") + F.col("_lend"),
+        "has_step": F.col("_lstep") | F.coalesce(b_step, F.lit(False)),
+        "step_km": F.when(F.col("_lstep"), F.col("_lkm")).when(b_step, F.col("b_km")),
+        "step_s": F.when(F.col("_lstep"), F.col("_ls")).when(b_step, F.col("b_s")),
+        "area_event": F.when(fwd & F.col("far") & ~warned_before, F.lit("warn"))
+                       .when(fwd & ~F.col("far") & warned_before, F.lit("reset")),
+        "_cum_c": F.col("c_cents") + b_before + F.col("_lc"),
+        "_cum_s": F.col("c_secs") + F.when(after_border, F.col("b_s")).otherwise(zero) + F.col("_lsec"),
+        "still_s_total": F.col("c_still") + F.when(after_border, F.col("b_still_s")).otherwise(zero)
+                         + F.col("_lst"),
+        "_lbase": lbase})
+    df = df.withColumn("still", F.col("has_step") & (F.col("step_km") < cfg.min_distance_km))
+    local_base_c = F.col("c_cents") + F.col("b_cents") + F.col("_lbase")["c"]
+    local_base_s = F.col("c_secs") + F.col("b_s") + F.col("_lbase")["s"]
+    base_c = F.coalesce(F.when(F.col("_lbase").isNotNull(), local_base_c), F.col("c_base")["c"], zero)
+    base_s = F.coalesce(F.when(F.col("_lbase").isNotNull(), local_base_s), F.col("c_base")["s"], zero)
     halt_set = (F.when(F.col("still") & (F.col("still_s_total") >= cfg.halt_after_s), F.lit(True))
                 .when(F.col("has_step") & ~F.col("still"), F.lit(False)))
-    df = keyed_scan(df, KEY, ORDER, chunk, [
-        Running("trip_base", "last", F.when(fwd & F.col("end_flag"),
-                                            F.struct(F.col("cum_cents").alias("c"), F.col("cum_s").alias("s"))),
-                inclusive=False),
-        Running("_halted", "last", halt_set),
-        Running("_halted_before", "last", halt_set, inclusive=False),
-    ])
-    total_cents = F.col("cum_cents") - F.coalesce(F.col("trip_base")["c"], F.lit(0))
-    total_s = F.col("cum_s") - F.coalesce(F.col("trip_base")["s"], F.lit(0))
-    halted = F.coalesce(F.col("_halted"), F.lit(False))
-    halted_before = F.coalesce(F.col("_halted_before"), F.lit(False))
-    df = (df.withColumn("total_distance_km", F.when(fwd, total_cents / 100.0))
-          .withColumn("total_time_s", F.when(fwd, total_s.cast("long")))
-          .withColumn("halted", halted)
-          .withColumn("halt_event", F.when(fwd & halted & ~halted_before, F.lit("halt"))
-                      .when(fwd & ~halted & halted_before, F.lit("resume"))))
+    df = df.withColumns({
+        "total_distance_km": F.when(fwd, (F.col("_cum_c") - base_c) / 100.0),
+        "total_time_s": F.when(fwd, (F.col("_cum_s") - base_s).cast("long")),
+        "_hs": halt_set})
+    df = df.withColumns({
+        "_h": F.last("_hs", ignorenulls=True).over(incl),
+        "_hb": F.last("_hs", ignorenulls=True).over(excl)})
+    halted = F.coalesce(F.col("_h"), F.col("c_halted"), F.lit(False))
+    halted_before = F.coalesce(F.col("_hb"), F.col("c_halted"), F.lit(False))
+    df = df.withColumns({
+        "halted": halted,
+        "halt_event": F.when(fwd & halted & ~halted_before, F.lit("halt"))
+                       .when(fwd & ~halted & halted_before, F.lit("resume"))})
     reason, avg = average_gate(F.col("total_distance_km"), F.col("total_time_s"), cfg)
-    df = (df.withColumn("avg_reason", F.when(fwd, reason))
-          .withColumn("average_speed_kmph", F.when(fwd, avg)))
-    return df.drop("prev", "trip_base", "_halted", "_halted_before", "cum_cents", "cum_s", "far")
+    df = df.withColumns({"avg_reason": F.when(fwd, reason), "average_speed_kmph": F.when(fwd, avg)})
+    keep = [c for c in pings.columns] + [
+        "prev_max_ts", "accepted", "d_center_km", "discarded", "forwarded", "area_violations", "trip_no",
+        "has_step", "step_km", "step_s", "still", "area_event", "still_s_total", "total_distance_km",
+        "total_time_s", "halted", "halt_event", "avg_reason", "average_speed_kmph"]
+    return df.select(*keep)

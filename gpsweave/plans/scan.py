@@ -104,19 +104,17 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
         .over(all_chunks if a.whole else prev_chunks).alias(f"_c_{a.name}")
         for a in aggs])
 
+    local = {}
     for a in aggs:
         if a.whole:
-            df = df.withColumn(f"_l_{a.name}", F.lit(None))
-            continue
-        frame = w.rowsBetween(Window.unboundedPreceding, 0 if a.inclusive else -1)
-        df = df.withColumn(f"_l_{a.name}", _window_agg(a.kind, a.expr).over(frame))
-    out = df.join(carry, part, "left")
-    for a in aggs:
-        if a.whole:
-            out = out.withColumn(a.name, F.col(f"_c_{a.name}"))
+            local[f"_l_{a.name}"] = F.lit(None)
         else:
-            out = out.withColumn(a.name, _combine(a.kind, F.col(f"_c_{a.name}"),
-                                                  F.col(f"_l_{a.name}")))
+            frame = w.rowsBetween(Window.unboundedPreceding, 0 if a.inclusive else -1)
+            local[f"_l_{a.name}"] = _window_agg(a.kind, a.expr).over(frame)
+    out = df.withColumns(local).join(carry, part, "left")
+    combined = {a.name: F.col(f"_c_{a.name}") if a.whole
+                else _combine(a.kind, F.col(f"_c_{a.name}"), F.col(f"_l_{a.name}")) for a in aggs}
+    out = out.withColumns(combined)
     return out.drop(*[f"_l_{a.name}" for a in aggs], *[f"_c_{a.name}" for a in aggs])
 
 
