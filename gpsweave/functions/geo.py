@@ -29,8 +29,25 @@ def haversine_km(lat1, lon1, lat2, lon2, cfg: FleetConfig = DEFAULT) -> Column:
     return F.lit(cfg.earth_radius_km) * (2 * F.atan2(F.sqrt(a), F.sqrt(1 - a)))
 
 
-def distance_from_center_km(lat, lon, cfg: FleetConfig = DEFAULT) -> Column:
-    return haversine_km(F.lit(cfg.center_lat), F.lit(cfg.center_lon), lat, lon, cfg)
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, cfg: FleetConfig = DEFAULT) -> str:
+    """The same formula as ``haversine_km`` as Spark SQL text over column
+    expressions given as text (``F.expr`` builds it in one call instead of one
+    driver round trip per operator)."""
+    d2r = f"{DEG_TO_RAD!r}D"
+    hl = f"((({lat2}) - ({lat1})) * {d2r}) / 2"
+    hn = f"((({lon2}) - ({lon1})) * {d2r}) / 2"
+    a = (f"(sin({hl}) * sin({hl}) + cos(({lat1}) * {d2r}) * cos(({lat2}) * {d2r})"
+         f" * sin({hn}) * sin({hn}))")
+    return f"({cfg.earth_radius_km!r}D * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
+
+
+def haversine_expr(lat1: str, lon1: str, lat2: str, lon2: str, cfg: FleetConfig = DEFAULT) -> Column:
+    return F.expr(haversine_sql(lat1, lon1, lat2, lon2, cfg))
+
+
+def distance_from_center_km(lat="latitude", lon="longitude", cfg: FleetConfig = DEFAULT) -> Column:
+    """T4 over two column names."""
+    return haversine_expr(f"{cfg.center_lat!r}D", f"{cfg.center_lon!r}D", lat, lon, cfg)
 
 
 def round_half_up(x, digits: int = 2) -> Column:

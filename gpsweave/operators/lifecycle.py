@@ -306,7 +306,7 @@ def run_sorted(batches, cfg: FleetConfig = DEFAULT):
 
 def with_center_distance(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """T4 in the JVM, before the rows go to Python."""
-    return pings.withColumn("d_center_km", distance_from_center_km(F.col("latitude"), F.col("longitude"), cfg))
+    return pings.withColumn("d_center_km", distance_from_center_km("latitude", "longitude", cfg))
 
 
 def lifecycle(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:

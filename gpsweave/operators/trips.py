@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
-from ..functions.geo import distance_from_center_km, haversine_km, round_half_up
+from ..functions.geo import distance_from_center_km, haversine_expr, round_half_up
 from ..functions.num import idiv
 from ..plans.scan import Running, arrival_chunk, keyed_scan
 
@@ -107,7 +107,7 @@ def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     incl = w.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_lpm", F.max("ts_ms").over(excl))
     prev_max = F.greatest(F.col("c_max_ts"), F.col("_lpm"))
-    d = distance_from_center_km(F.col("latitude"), F.col("longitude"), cfg)
+    d = distance_from_center_km("latitude", "longitude", cfg)
     rows = rows.withColumns({"prev_max_ts": prev_max, "d_center_km": d})
     accepted = F.col("prev_max_ts").isNull() | (F.col("ts_ms") >= F.col("prev_max_ts"))
     rows = rows.withColumn("accepted", accepted)
@@ -128,7 +128,7 @@ def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     lstep = F.coalesce(fwd & lprev.isNotNull() & ~lprev["end"], F.lit(False))
     rows = rows.withColumns({
         "_lstep": lstep,
-        "_lkm": F.when(lstep, haversine_km(lprev["lat"], lprev["lon"], F.col("latitude"), F.col("longitude"), cfg)),
+        "_lkm": F.when(lstep, haversine_expr("_lprev.lat", "_lprev.lon", "latitude", "longitude", cfg)),
         "_ls": F.when(lstep, _secs(F.col("ts_ms") - lprev["ts"]))})
     rows = rows.withColumns({
         "_lstill": F.col("_lstep") & (F.col("_lkm") < cfg.min_distance_km),
@@ -161,7 +161,7 @@ def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
         "c_end": F.coalesce(F.sum("end_total").over(prev_chunks), zero)})
     cp, ff = F.col("c_prev"), F.col("first_fwd")
     b_has = F.coalesce(ff.isNotNull() & cp.isNotNull() & ~cp["end"], F.lit(False))
-    b_km = F.when(b_has, haversine_km(cp["lat"], cp["lon"], ff["lat"], ff["lon"], cfg))
+    b_km = F.when(b_has, haversine_expr("c_prev.lat", "c_prev.lon", "first_fwd.lat", "first_fwd.lon", cfg))
     carry = carry.withColumns({
         "b_has": b_has, "b_km": b_km,
         "b_s": F.when(b_has, _secs(ff["ts"] - cp["ts"])).otherwise(zero)})
