@@ -64,7 +64,7 @@ def round2(x: float) -> float:
     return math.floor(x * 100.0 + 0.5) / 100.0
 
 
-@dataclass
+@dataclass(slots=True)
 class VehicleState:
     """Everything the machine remembers about one vehicle."""
     max_ts: int | None = None          # T3 newest accepted ts
@@ -153,126 +153,123 @@ class VehicleStep:
             st.status = "active"
             ev.append("resume", MSG_RESUMED.format(id=tid))
 
-    def step(self, st: VehicleState, r: dict) -> dict:
+    def step(self, st: VehicleState, r: tuple) -> tuple:
+        """``r`` holds the ``IN_COLS`` values; returns the ``OUT_COLS`` values."""
         cfg = self.cfg
-        tid, ts, lat, lon, end = r["taxi_id"], int(r["ts_ms"]), r["latitude"], r["longitude"], bool(r["end_flag"])
-        out = {k: r[k] for k in IN_COLS}
-        out.update(kind=None, area_event=None, step_km=None, step_s=None, halt_event=None,
-                   total_distance_km=None, total_time_s=None, trip_reset=None, avg_reason=None,
-                   average_speed_kmph=None, speed_reason=None, speed_kmph=None, is_speeding=None,
-                   fleet_delta=0.0, status_before=st.status)
+        tid, _eid, _ak, ts, lat, lon, end, _pt, d = r
+        ts, end = int(ts), bool(end)
+        status_before = st.status
+        kind = area_event = step_km = step_s = halt_event = None
+        total_km = total_s = trip_reset = avg_reason = avg = None
+        speed_reason = spd_out = speeding_out = None
+        fleet_delta = 0.0
         ev = _Events()
 
         # Drop pings older than the newest accepted one (ties kept)
         if st.max_ts is not None and ts < st.max_ts:
-            out["kind"] = "late"
-            return self._finish(out, st, ev)
-        st.max_ts = ts
-        d = r["d_center_km"]
-
-        # Beyond 15 km -> removed, stored total zeroed, not forwarded
-        if d > cfg.remove_radius_km:
-            st.area_count += 1
-            out["kind"] = "discarded"
-            if st.status != "removed":
-                st.status = "removed"
-                ev.append("removal", MSG_REMOVED.format(id=tid, n=st.area_count))
-            st.stored_total = 0.0
-            return self._finish(out, st, ev)
-        out["kind"] = "forwarded"
-
-        # 10 km warning / reset
-        if d <= cfg.warn_radius_km and st.warned:
-            st.warned = False
-            out["area_event"] = "reset"
-        if d > cfg.warn_radius_km and not st.warned:
-            st.warned = True
-            out["area_event"] = "warn"
-            ev.append("area_warning", MSG_AREA_WARN.format(id=tid))
-
-        # Step from the last kept location, totals, halts, fleet total
-        if st.has_last:
-            dist = haversine(st.last_lat, st.last_lon, lat, lon, cfg.earth_radius_km)
-            dms = ts - st.last_ts
-            secs = dms // 1000 if dms > 0 else 0
-            st.tot_s += secs
-            out["step_km"], out["step_s"] = dist, secs
-            if dist > 0:
-                st.tot_cents += math.floor(dist * 100 + 0.5)
-                total = st.tot_cents / 100.0
-                delta = total - st.stored_total
-                st.stored_total = total
-                if delta > 0:
-                    out["fleet_delta"] = delta
-            if dist < cfg.min_distance_km:
-                st.halt_s += secs
-                if not st.halted and st.halt_s >= cfg.halt_after_s:
-                    st.halted = True
-                    out["halt_event"] = "halt"
-                    self._set_halt(st, True, tid, ev)
-            elif st.halted:
-                st.halted = False
-                out["halt_event"] = "resume"
-                self._set_halt(st, False, tid, ev)
-
-        # Emit the totals, then clear at trip end or while removed
-        total_km, total_s = st.tot_cents / 100.0, st.tot_s
-        out["total_distance_km"], out["total_time_s"] = total_km, total_s
-        if end or st.status == "removed":
-            out["trip_reset"] = "end_flag" if end else "removal"
-            st.has_last, st.tot_cents, st.tot_s = False, 0, 0
+            kind = "late"
         else:
-            st.has_last, st.last_lat, st.last_lon, st.last_ts = True, lat, lon, ts
-
-        # T17 + status write (V1/V2): only a passing stats row reaches the store
-        if total_s < cfg.min_time_s or total_km < cfg.min_distance_km:
-            out["avg_reason"] = "average_skipped"
-        else:
-            avg = round2(total_km / (total_s / 3600.0))
-            if avg > cfg.max_speed_kmph:
-                out["avg_reason"] = "average_unrealistic"
+            st.max_ts = ts
+            if d > cfg.remove_radius_km:
+                # Beyond 15 km -> removed, stored total zeroed, not forwarded
+                kind = "discarded"
+                st.area_count += 1
+                if st.status != "removed":
+                    st.status = "removed"
+                    ev.append("removal", MSG_REMOVED.format(id=tid, n=st.area_count))
+                st.stored_total = 0.0
             else:
-                out["avg_reason"], out["average_speed_kmph"] = "ok", avg
-                st.stored_total = total_km
-                if end:
-                    if st.status != "inactive":
-                        if st.status is None:
-                            ev.append("inactive", MSG_INACTIVE_NEW.format(id=tid))
-                        st.status = "inactive"
-                elif st.status not in ("halted", "active"):
-                    ev.append("active", MSG_ACTIVE_FROM[st.status].format(id=tid))
-                    st.status = "active"
-
-        # Speed against the anchor (ignores the status)
-        if st.has_anchor:
-            dkm = haversine(st.anchor_lat, st.anchor_lon, lat, lon, cfg.earth_radius_km)
-            dt = (ts - st.anchor_ts) / 1000.0
-            if dt < cfg.min_time_s or dkm < cfg.min_distance_km:
-                out["speed_reason"] = "speed_skipped"
-                return self._finish(out, st, ev)
-            spd = math.floor((dkm / dt) * 3600 * 100.0 + 0.5) / 100.0
-            if spd >= cfg.max_speed_kmph:
-                out["speed_reason"] = "speed_unrealistic"
-                return self._finish(out, st, ev)
-            speeding = spd > cfg.speed_limit_kmph
-            out["speed_reason"], out["speed_kmph"], out["is_speeding"] = "ok", spd, speeding
-            if speeding:
-                st.speeding_count += 1
-                ev.append("speeding", MSG_SPEEDING.format(id=tid, n=st.speeding_count))
-        else:
-            out["speed_reason"] = "first"
-        if end:
-            st.has_anchor, st.speeding_count = False, 0
-        else:
-            st.has_anchor, st.anchor_lat, st.anchor_lon, st.anchor_ts = True, lat, lon, ts
-        return self._finish(out, st, ev)
-
-    @staticmethod
-    def _finish(out: dict, st: VehicleState, ev: "_Events") -> dict:
-        out.update(area_violations=st.area_count, warned=st.warned, halted=st.halted,
-                   speeding_count=st.speeding_count, status=st.status,
-                   stored_total=st.stored_total, events=ev.items)
-        return out
+                kind = "forwarded"
+                # 10 km warning / reset
+                if d <= cfg.warn_radius_km and st.warned:
+                    st.warned = False
+                    area_event = "reset"
+                if d > cfg.warn_radius_km and not st.warned:
+                    st.warned = True
+                    area_event = "warn"
+                    ev.append("area_warning", MSG_AREA_WARN.format(id=tid))
+
+                # Step from the last kept location, totals, halts, fleet total
+                if st.has_last:
+                    dist = haversine(st.last_lat, st.last_lon, lat, lon, cfg.earth_radius_km)
+                    dms = ts - st.last_ts
+                    secs = dms // 1000 if dms > 0 else 0
+                    st.tot_s += secs
+                    step_km, step_s = dist, secs
+                    if dist > 0:
+                        st.tot_cents += math.floor(dist * 100 + 0.5)
+                        total = st.tot_cents / 100.0
+                        delta = total - st.stored_total
+                        st.stored_total = total
+                        if delta > 0:
+                            fleet_delta = delta
+                    if dist < cfg.min_distance_km:
+                        st.halt_s += secs
+                        if not st.halted and st.halt_s >= cfg.halt_after_s:
+                            st.halted = True
+                            halt_event = "halt"
+                            self._set_halt(st, True, tid, ev)
+                    elif st.halted:
+                        st.halted = False
+                        halt_event = "resume"
+                        self._set_halt(st, False, tid, ev)
+
+                # Emit the totals, then clear at trip end or while removed
+                total_km, total_s = st.tot_cents / 100.0, st.tot_s
+                if end or st.status == "removed":
+                    trip_reset = "end_flag" if end else "removal"
+                    st.has_last, st.tot_cents, st.tot_s = False, 0, 0
+                else:
+                    st.has_last, st.last_lat, st.last_lon, st.last_ts = True, lat, lon, ts
+
+                # T17 + status write (V1/V2): only a passing stats row reaches the store
+                if total_s < cfg.min_time_s or total_km < cfg.min_distance_km:
+                    avg_reason = "average_skipped"
+                else:
+                    a = round2(total_km / (total_s / 3600.0))
+                    if a > cfg.max_speed_kmph:
+                        avg_reason = "average_unrealistic"
+                    else:
+                        avg_reason, avg = "ok", a
+                        st.stored_total = total_km
+                        if end:
+                            if st.status != "inactive":
+                                if st.status is None:
+                                    ev.append("inactive", MSG_INACTIVE_NEW.format(id=tid))
+                                st.status = "inactive"
+                        elif st.status not in ("halted", "active"):
+                            ev.append("active", MSG_ACTIVE_FROM[st.status].format(id=tid))
+                            st.status = "active"
+
+                # Speed against the anchor (ignores the status); a
+                # skipped ping neither moves nor clears the anchor
+                moves = True
+                if st.has_anchor:
+                    dkm = haversine(st.anchor_lat, st.anchor_lon, lat, lon, cfg.earth_radius_km)
+                    dt = (ts - st.anchor_ts) / 1000.0
+                    if dt < cfg.min_time_s or dkm < cfg.min_distance_km:
+                        speed_reason, moves = "speed_skipped", False
+                    else:
+                        spd = math.floor((dkm / dt) * 3600 * 100.0 + 0.5) / 100.0
+                        if spd >= cfg.max_speed_kmph:
+                            speed_reason, moves = "speed_unrealistic", False
+                        else:
+                            speeding = spd > cfg.speed_limit_kmph
+                            speed_reason, spd_out, speeding_out = "ok", spd, speeding
+                            if speeding:
+                                st.speeding_count += 1
+                                ev.append("speeding", MSG_SPEEDING.format(id=tid, n=st.speeding_count))
+                else:
+                    speed_reason = "first"
+                if moves:
+                    if end:
+                        st.has_anchor, st.speeding_count = False, 0
+                    else:
+                        st.has_anchor, st.anchor_lat, st.anchor_lon, st.anchor_ts = True, lat, lon, ts
+
+        return (*r, kind, st.area_count, area_event, st.warned, step_km, step_s, halt_event, st.halted,
+                total_km, total_s, trip_reset, avg_reason, avg, speed_reason, spd_out, speeding_out,
+                st.speeding_count, status_before, st.status, fleet_delta, st.stored_total, ev.items)
 
 
 class _Events:
@@ -285,6 +282,11 @@ class _Events:
         self.items.append({"sub": len(self.items), "kind": kind, "message": message})
 
 
+def run_rows(machine: "VehicleStep", st: VehicleState, cols: list) -> list:
+    """Step through rows given as column lists (``IN_COLS`` order) of one vehicle."""
+    return [machine.step(st, r) for r in zip(*cols)]
+
+
 def run_sorted(batches, cfg: FleetConfig = DEFAULT):
     """``mapInPandas`` body: batches of one partition sorted by vehicle, arrival.
 
@@ -295,12 +297,12 @@ def run_sorted(batches, cfg: FleetConfig = DEFAULT):
     for pdf in batches:
         if pdf.empty:
             continue
-        rows = pdf[IN_COLS].to_dict("records")
         outs = []
-        for r in rows:
-            if r["taxi_id"] != key:
-                key, st = r["taxi_id"], VehicleState()
-            outs.append(machine.step(st, r))
+        step = machine.step
+        for r in zip(*[pdf[c].tolist() for c in IN_COLS]):
+            if r[0] != key:
+                key, st = r[0], VehicleState()
+            outs.append(step(st, r))
         yield pd.DataFrame(outs, columns=OUT_COLS)
 
 

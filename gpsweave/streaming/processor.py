@@ -36,7 +36,7 @@ class VehicleProcessor(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         pdf = pdf.sort_values(["arrival_key", "event_id"], kind="stable")
         st = VehicleState(*self.state.get()) if self.state.exists() else VehicleState()
-        outs = [self.machine.step(st, r) for r in pdf[IN_COLS].to_dict("records")]
+        outs = [self.machine.step(st, r) for r in zip(*[pdf[c].tolist() for c in IN_COLS])]
         self.state.update(st.as_tuple())
         out = pd.DataFrame(outs, columns=OUT_COLS)
         out["event_time"] = pd.to_datetime(out["ts_ms"], unit="ms")
