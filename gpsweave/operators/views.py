@@ -15,10 +15,48 @@ ORDER_COLS = ("arrival_key", "event_id")
 STATUSES = ("active", "inactive", "halted", "removed")
 
 
-def _last(col, cond=None):
-    """Value of ``col`` at the vehicle's latest ping (where ``cond`` holds)."""
+# field groups of the stored vehicle row and the rows that write them
+GROUPS = {
+    # written by every accepted ping (status machine, stored total, flags)
+    "last": ["status", "total_distance_km", "ten_km_crossed", "area_violations"],
+    # written only by a stats row that passed the average gate
+    "ok": ["last_update_ms", "latitude", "longitude", "average_speed_kmph"],
+    # written only by a speed output
+    "speed": ["current_speed_kmph", "speeding"],
+}
+
+
+def vehicle_state_partial(lc: DataFrame) -> DataFrame:
+    """Per vehicle: each field group at its latest writing ping, with that
+    ping's order (``<group>_order``) so partial states can be merged later."""
     order = F.struct(*ORDER_COLS)
-    return F.max_by(col, order if cond is None else F.when(cond, order))
+    src = {"status": "status", "total_distance_km": "stored_total", "ten_km_crossed": "warned",
+           "area_violations": "area_violations", "last_update_ms": "ts_ms", "latitude": "latitude",
+           "longitude": "longitude", "average_speed_kmph": "average_speed_kmph",
+           "current_speed_kmph": "speed_kmph", "speeding": "is_speeding"}
+    cond = {"last": None, "ok": F.col("avg_reason") == "ok", "speed": F.col("speed_reason") == "ok"}
+    aggs = []
+    for g, cols in GROUPS.items():
+        key = order if cond[g] is None else F.when(cond[g], order)
+        aggs.append(F.max_by(F.struct(*[F.col(src[c]).alias(c) for c in cols]), key).alias(g))
+        aggs.append(F.max(key).alias(f"{g}_order"))
+    aggs.append(F.sum("fleet_delta").alias("fleet_km"))
+    return lc.groupBy("taxi_id").agg(*aggs)
+
+
+def merge_vehicle_state(parts: DataFrame) -> DataFrame:
+    """Merge partial states (any number of rows per vehicle): each group from
+    the row where it was written last; fleet contributions add up."""
+    aggs = []
+    for g in GROUPS:
+        aggs.append(F.max_by(g, f"{g}_order").alias(g))
+        aggs.append(F.max(f"{g}_order").alias(f"{g}_order"))
+    return parts.groupBy("taxi_id").agg(*aggs, F.sum("fleet_km").alias("fleet_km"))
+
+
+def flatten_state(parts: DataFrame) -> DataFrame:
+    return parts.select("taxi_id", *[F.col(f"{g}.{c}").alias(c) for g, cols in GROUPS.items() for c in cols],
+                        "fleet_km")
 
 
 def vehicle_state(lc: DataFrame) -> DataFrame:
@@ -29,21 +67,7 @@ def vehicle_state(lc: DataFrame) -> DataFrame:
     (it is also written and zeroed outside the gate); speed fields come from the
     latest speed output.
     """
-    ok = F.col("avg_reason") == "ok"
-    spd = F.col("speed_reason") == "ok"
-    return lc.groupBy("taxi_id").agg(
-        _last(F.col("status")).alias("status"),
-        _last(F.col("stored_total")).alias("total_distance_km"),
-        _last(F.col("warned")).alias("ten_km_crossed"),
-        _last(F.col("area_violations")).alias("area_violations"),
-        _last(F.col("ts_ms"), ok).alias("last_update_ms"),
-        _last(F.col("latitude"), ok).alias("latitude"),
-        _last(F.col("longitude"), ok).alias("longitude"),
-        _last(F.col("average_speed_kmph"), ok).alias("average_speed_kmph"),
-        _last(F.col("speed_kmph"), spd).alias("current_speed_kmph"),
-        _last(F.col("is_speeding"), spd).alias("speeding"),
-        F.sum("fleet_delta").alias("fleet_km"),
-    )
+    return flatten_state(vehicle_state_partial(lc))
 
 
 def status_counts(state: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.views import merge_vehicle_state, vehicle_state_partial
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -24,11 +26,22 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def newest_row(key: list[str], order: list[str]):
+    """Merge rule: the newest row per key by ``order`` wins."""
+    def merge(df: DataFrame) -> DataFrame:
+        ordk = F.struct(*[F.col(c) for c in order])
+        return (df.groupBy(*key).agg(F.max_by(F.struct(*df.columns), ordk).alias("_r")).select("_r.*"))
+    return merge
+
+
 class VersionedTable:
-    """Upsert table: one row per ``key``, the newest by ``order`` wins."""
+    """Upsert table: rows of the stored version and of the batch are combined
+    by ``merge`` (default: newest row per ``key`` by ``order``)."""
 
-    def __init__(self, root: str, key: list[str], order: list[str], keep_versions: int = 3):
-        self.root, self.key, self.order, self.keep = root.rstrip("/"), key, order, keep_versions
+    def __init__(self, root: str, key: list[str], order: list[str] | None = None, keep_versions: int = 3,
+                 merge=None):
+        self.root, self.key, self.keep = root.rstrip("/"), key, keep_versions
+        self.merge = merge or newest_row(key, order)
 
     def versions(self, spark: SparkSession) -> list[int]:
         fs, p, jvm = _fs(spark, self.root)
@@ -47,15 +60,11 @@ class VersionedTable:
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cols = batch.columns
-        ordk = F.struct(*[F.col(c) for c in self.order])
-        newest = lambda df: (df.groupBy(*self.key)
-                             .agg(F.max_by(F.struct(*cols), ordk).alias("_r")).select("_r.*"))
         prior = [v for v in self.versions(spark) if v < batch_id]
-        merged = newest(batch)
+        merged = batch
         if prior:
-            cur = spark.read.parquet(f"{self.root}/v={prior[-1]}")
-            merged = newest(cur.unionByName(merged))
+            merged = spark.read.parquet(f"{self.root}/v={prior[-1]}").unionByName(batch)
+        merged = self.merge(merged)
         merged.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
         self._retain(spark)
 
@@ -76,6 +85,11 @@ def append_batch(batch: DataFrame, batch_id: int, path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+def vehicle_state_table(root: str) -> VersionedTable:
+    """The served vehicle rows; ``views.flatten_state`` reads them flat."""
+    return VersionedTable(f"{root}/state", ["taxi_id"], merge=merge_vehicle_state)
+
+
 def state_sinks(root: str):
     """``foreachBatch`` function writing the vehicle-state views of one batch:
 
@@ -84,7 +98,7 @@ def state_sinks(root: str):
     * ``events``: S12 event log (one row per message);
     * ``pings``: the per-ping outputs (input of the grid stream and audits).
     """
-    state = VersionedTable(f"{root}/state", ["taxi_id"], ["arrival_key", "event_id"])
+    state = vehicle_state_table(root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -93,9 +107,7 @@ def state_sinks(root: str):
             ev = batch.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e")).select(
                 "taxi_id", "event_id", "arrival_key", "e.sub", "e.kind", "e.message")
             append_batch(ev, batch_id, f"{root}/events")
-            state.upsert(batch.select("taxi_id", "event_id", "arrival_key", "ts_ms", "latitude", "longitude",
-                                      "status", "stored_total", "warned", "area_violations", "halted",
-                                      "speeding_count"), batch_id)
+            state.upsert(vehicle_state_partial(batch), batch_id)
         finally:
             batch.unpersist()
     return write
