@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT, FleetConfig
+from ..operators.grid import grid_snapshot
 from ..operators.views import merge_vehicle_state, vehicle_state_partial
 
 
@@ -103,7 +105,9 @@ def state_sinks(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            append_batch(batch.drop("events"), batch_id, f"{root}/pings")
+            # End-to-end latency against the producer's stamp, at write time
+            latency = F.unix_millis(F.current_timestamp()) - (F.col("produced_ts") * 1000).cast("long")
+            append_batch(batch.drop("events").withColumn("latency_ms", latency), batch_id, f"{root}/pings")
             ev = batch.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e")).select(
                 "taxi_id", "event_id", "arrival_key", "e.sub", "e.kind", "e.message")
             append_batch(ev, batch_id, f"{root}/events")
@@ -113,6 +117,14 @@ def state_sinks(root: str):
     return write
 
 
+def grid_sinks(root: str, cfg: FleetConfig = DEFAULT):
+    """``foreachBatch`` for closed grid windows: snapshot rows
+    appended; ``grid.recent_grids`` over the table gives the recency order (G6)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(grid_snapshot(batch, cfg), batch_id, f"{root}/grids")
+    return write
+
+
 def console_sink(df: DataFrame, truncate: bool = False):
     """Print lines on the driver console (debugging only)."""
     return df.writeStream.format("console").option("truncate", truncate)
