@@ -7,6 +7,7 @@ rounded to 6 decimals with ``round6`` in both so the engines agree exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ from .operators import parse as P
 from .operators import prep as Q
 from .operators import trips as T
 from .operators import views as V
-from .session import configure
+from .session import configure, scratch_path
+from .sources import files as FS
 from .sources import fixtures as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -565,5 +567,46 @@ def q_location_speed_interval_join(spark, sf_dir):
                     "end_flag", grid_id(F.col("latitude"), F.col("longitude")).alias("grid_id"))
 
 
+# ------------------------------------------------ connectors (round trips)
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("raw_csv_scan")
+def q_raw_csv_scan(spark, sf_dir):
+    """S3/Q1: raw rows written as headerless per-vehicle CSV files and read back
+    by the raw scanner (arity checked)."""
+    path = _scratch(spark, "raw")
+    FS.raw_files_sink(_raw(spark, sf_dir), path)
+    if FS.raw_arity(spark, path, glob="*.csv").first().max_fields != len(Q.RAW_COLUMNS):
+        raise ValueError("unexpected number of columns in the raw files")
+    df = FS.raw_csv_scan(spark, path, glob="*.csv", recursive=True)
+    return df.select(*Q.RAW_COLUMNS)
+
+
+@query("prepared_csv_scan")
+def q_prepared_csv_scan(spark, sf_dir):
+    """Prepared rows written as one time-ordered CSV with a header and read back."""
+    path = _scratch(spark, "prepared")
+    df = Q.prepare(_raw(spark, sf_dir)).select(
+        "taxi_id", F.date_format("ts", Q.TS_PATTERN).alias("date_time"), "longitude", "latitude", "end_flag")
+    FS.csv_sink(df, path, ["date_time", "taxi_id", "longitude", "latitude"])
+    return FS.prepared_csv_scan(spark, path)
+
+
+@query("metrics_json_scan")
+def q_metrics_json_scan(spark, sf_dir):
+    """Interval metrics appended as JSON lines and read back."""
+    path = _scratch(spark, "metrics")
+    m = M.interval_metrics(_req(spark, sf_dir), HOUR).select(
+        "operator_name", F.date_format("interval_start", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        "latency_ms", "throughput", "cache_hits", "cache_misses", "cache_hit_ratio")
+    FS.metrics_log_sink(m, path)
+    back = FS.metrics_json_scan(spark, path)
+    return back.select("operator_name", F.unix_seconds("ts").alias("interval_start_s"), "latency_ms",
+                       round6(F.col("throughput")).alias("throughput"), "cache_hits", "cache_misses",
+                       round6(F.col("cache_hit_ratio")).alias("cache_hit_ratio"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -317,5 +317,16 @@ FROM lc p JOIN lc s ON s.taxi_id = p.taxi_id AND s.ts_ms BETWEEN p.ts_ms - 18000
 WHERE p.kind = 'forwarded' AND s.speed_reason = 'ok'""")
 
 
+# ------------------------------------------------ connectors (round trips)
+ORACLES["raw_csv_scan"] = _raw_query("SELECT taxi_id, date_time, longitude, latitude FROM raw_pings")
+ORACLES["prepared_csv_scan"] = _raw_query(
+    "SELECT taxi_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_time, longitude, latitude, "
+    "CAST(end_flag AS INTEGER) AS end_flag FROM prepared", PREPARED)
+ORACLES["metrics_json_scan"] = _req_query(
+    f"SELECT operator_name, interval_start_s, {M_LAT} AS latency_ms, "
+    f"{r6('messages / 3600.0::DOUBLE')} AS throughput, cache_hits, cache_misses, "
+    f"{r6('CAST(cache_hits AS DOUBLE) / nullif(cache_hits + cache_misses, 0)')} AS cache_hit_ratio FROM _m")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
