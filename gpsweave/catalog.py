@@ -25,6 +25,7 @@ from .operators import parse as P
 from .operators import prep as Q
 from .operators import trips as T
 from .operators import views as V
+from .plans.materialize import materialize
 from .session import configure, scratch_path
 from .sources import files as FS
 from .sources import fixtures as FX
@@ -297,7 +298,8 @@ def q_fleet_dashboard(spark, sf_dir):
 @query("vehicle_removed_key")
 def q_vehicle_removed_key(spark, sf_dir):
     """The state after deleting the vehicles whose final status is removed."""
-    st = _state(spark, sf_dir)
+    # the served state (one row per vehicle) is read twice: write it once
+    st = materialize(_state(spark, sf_dir))
     gone = st.filter(F.col("status") == "removed").select("taxi_id")
     return V.remove_vehicles(st, gone).select("taxi_id", "status")
 
@@ -399,7 +401,8 @@ def q_order_ratio(spark, sf_dir):
 @query("replay_schedule")
 def q_replay_schedule(spark, sf_dir):
     """Q12: replay batches (rows per timestamp) and the delay to the next batch."""
-    r = Q.replay_schedule(Q.prepare(_raw(spark, sf_dir)))
+    # the replay reads the prepared rows; only their times matter (no end flag)
+    r = Q.replay_schedule(Q.validate_bbox(Q.coerce_timestamps(_raw(spark, sf_dir))))
     return r.select(F.unix_seconds("batch_ts").alias("batch_ts_s"), "rows", "delay_s")
 
 
@@ -557,13 +560,11 @@ JOIN_BOUND_MS = 30 * 60 * 1000
 @query("location_speed_interval_join")
 def q_location_speed_interval_join(spark, sf_dir):
     """Forwarded pings joined with the same vehicle's speeds within +-30 min."""
-    lc = _lc(spark, sf_dir)
-    pings = lc.filter(F.col("kind") == "forwarded").select("taxi_id", "event_id", "ts_ms", "latitude",
-                                                           "longitude", "end_flag")
-    speeds = lc.filter(F.col("speed_reason") == "ok").select("taxi_id", "event_id", "ts_ms",
-                                                             F.col("speed_kmph").alias("kmph"), "is_speeding")
-    j = J.interval_join(pings, speeds, JOIN_BOUND_MS)
-    return j.select("taxi_id", "event_id", "speed_event_id", "ts_ms", "speed_kmph", "speed_is_speeding",
+    lc = _lc(spark, sf_dir).select("taxi_id", "event_id", "ts_ms", "latitude", "longitude", "end_flag", "kind",
+                                   "speed_reason", F.col("speed_kmph").alias("kmph"), "is_speeding")
+    j = J.interval_pairs(lc, F.col("kind") == "forwarded", F.col("speed_reason") == "ok", JOIN_BOUND_MS,
+                         ["event_id", "ts_ms", "kmph", "is_speeding"])
+    return j.select("taxi_id", "event_id", "speed_event_id", "ts_ms", F.col("speed_kmph"), "speed_is_speeding",
                     "end_flag", grid_id(F.col("latitude"), F.col("longitude")).alias("grid_id"))
 
 

@@ -11,12 +11,11 @@ shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
 from ..functions.geo import grid_bounds, grid_id
-from ..plans.scan import Running, arrival_chunk, keyed_scan
 
 # --- fixed values: traffic status rule of the reference, in order ---
 CONGESTED_BELOW, CONGESTED_MIN_VEHICLES = 5.0, 3
@@ -83,9 +82,13 @@ def recent_grids(snapshots: DataFrame, k: int) -> DataFrame:
     return latest.select("grid_id", "s.*").orderBy(F.col("updated_at").desc(), "grid_id").limit(k)
 
 
-def grid_moves(speed_rows: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
-    """Speed outputs whose cell differs from the vehicle's previous output."""
-    df = keyed_scan(speed_rows, ["taxi_id"], ["arrival_key", "event_id"],
-                    arrival_chunk("arrival_key", cfg.scan_chunk_span),
-                    [Running("prev_grid_id", "last", F.col("grid_id"), inclusive=False)])
+def grid_moves(speed_rows: DataFrame) -> DataFrame:
+    """Speed outputs whose cell differs from the vehicle's previous output.
+
+    The speed outputs come from the per-vehicle state machine, which already
+    runs each vehicle in one task; a window on the same key reads that output
+    once (a chunked scan would read it twice and so run the machine twice).
+    """
+    w = Window.partitionBy("taxi_id").orderBy("arrival_key", "event_id")
+    df = speed_rows.withColumn("prev_grid_id", F.lag("grid_id").over(w))
     return df.filter(F.col("prev_grid_id").isNotNull() & (F.col("prev_grid_id") != F.col("grid_id")))

@@ -12,7 +12,7 @@ tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.num import idiv
@@ -30,3 +30,17 @@ def interval_join(pings: DataFrame, speeds: DataFrame, bound_ms: int) -> DataFra
     j = p.join(s, (p["taxi_id"] == s["_tid"]) & (p["_jb"] == s["_sb"]))
     j = j.filter(F.col("speed_ts_ms").between(F.col("ts_ms") - bound_ms, F.col("ts_ms") + bound_ms))
     return j.drop("_b", "_jb", "_sb", "_tid")
+
+
+def interval_pairs(rows: DataFrame, left: Column, right: Column, bound_ms: int,
+                   right_cols: list[str]) -> DataFrame:
+    """Right columns come out as ``speed_<name>``.
+
+    The same pairs when both sides are rows of one per-vehicle table (the
+    state machine's output): a range frame of +-``bound_ms`` on event time
+    collects the matching right rows for every left row, so the table is read
+    once and no self-join recomputes it."""
+    w = (Window.partitionBy("taxi_id").orderBy("ts_ms").rangeBetween(-bound_ms, bound_ms))
+    cand = F.collect_list(F.when(right, F.struct(*[F.col(c).alias(f"speed_{c}") for c in right_cols]))).over(w)
+    return (rows.withColumn("_m", cand).filter(left)
+            .select("*", F.explode("_m").alias("_r")).select("*", "_r.*").drop("_m", "_r"))
