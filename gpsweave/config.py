@@ -46,8 +46,13 @@ class FleetConfig:
     # --- engine parameters (ours, not the reference's) ---
     # width of one arrival-order chunk in the keyed scans: a vehicle's rows are
     # split into chunks of this many arrival positions so that one very hot
-    # vehicle is spread over many tasks (see plans/scan.py)
-    scan_chunk_span: int = 1 << 16
+    # vehicle is spread over many tasks (see plans/scan.py). A chunk holds at
+    # most span x (the vehicle's share of arrivals) rows, and the per-chunk
+    # summary has about (rows / rows per chunk) rows. Choose
+    #   span ~ target rows per chunk / largest vehicle share
+    # e.g. 2^22 positions and a vehicle with a third of all pings -> ~1.4 M rows
+    # per chunk, while a vehicle with 1e-4 of the pings has ~400 rows per chunk.
+    scan_chunk_span: int = 1 << 22
 
     def with_(self, **kw) -> "FleetConfig":
         return replace(self, **kw)

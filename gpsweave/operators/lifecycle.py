@@ -29,7 +29,6 @@ from dataclasses import astuple, dataclass, fields
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, FleetConfig

@@ -25,12 +25,11 @@ Output of ``ping_steps`` (one row per ping):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
-from ..functions.geo import distance_from_center_km, haversine_expr, round_half_up
-from ..functions.num import idiv
+from ..functions.geo import haversine_sql, round_half_up
 from ..plans.scan import Running, arrival_chunk, keyed_scan
 
 KEY = ["taxi_id"]
@@ -60,14 +59,28 @@ def average_gate(total_km: Column, total_s: Column, cfg: FleetConfig = DEFAULT):
     return reason, F.when(reason == "ok", avg)
 
 
-def _secs(ms: Column) -> Column:
-    """Whole seconds of a millisecond gap, 0 if not positive."""
-    return F.when(ms > 0, idiv(ms, 1000)).otherwise(F.lit(0).cast("long"))
+def _secs(ms: str) -> str:
+    """T10 as SQL: whole seconds of a millisecond gap, 0 if not positive."""
+    return f"CASE WHEN ({ms}) > 0 THEN ({ms}) div 1000 ELSE 0L END"
 
 
-def _cents(km: Column) -> Column:
-    """A step rounded to whole cents of a km (0 for no movement)."""
-    return F.when(km > 0, F.floor(km * 100 + 0.5)).otherwise(F.lit(0)).cast("long")
+def _cents(km: str) -> str:
+    """T11 as SQL: a step rounded to whole cents of a km (0 for no movement)."""
+    return f"CAST(CASE WHEN ({km}) > 0 THEN floor(({km}) * 100 + 0.5) ELSE 0 END AS BIGINT)"
+
+
+def _exprs(cols: dict[str, str]) -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in cols.items()}
+
+
+# windows: within a chunk (inclusive / exclusive of the current row) and over
+# the earlier chunks of a vehicle in the summary table
+_IN = ("OVER (PARTITION BY taxi_id, _chunk ORDER BY arrival_key, event_id "
+       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+_EX = ("OVER (PARTITION BY taxi_id, _chunk ORDER BY arrival_key, event_id "
+       "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+_PREV = "OVER (PARTITION BY taxi_id ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_ORD = "struct(arrival_key, event_id)"
 
 
 def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
@@ -87,161 +100,131 @@ def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
 
     The summary branch recomputes step 2 (one more shuffle of the pings); no
     step is computed more than twice, and no task holds more than one chunk.
+    Expressions are SQL text (one driver call each, same Catalyst plan).
     """
-    span = cfg.scan_chunk_span
+    c = cfg
     part = ["taxi_id", "_chunk"]
-    order = [F.col(c) for c in ORDER]
-    ord_struct = F.struct(*order)
-    base = pings.withColumn("_chunk", arrival_chunk("arrival_key", span))
-    prev_chunks = (Window.partitionBy("taxi_id").orderBy("_chunk")
-                   .rowsBetween(Window.unboundedPreceding, -1))
+    base = pings.withColumn("_chunk", arrival_chunk("arrival_key", c.scan_chunk_span))
 
     # 1. newest ts of the earlier chunks
     c1 = (base.groupBy(*part).agg(F.max("ts_ms").alias("_cmax"))
-          .select(*part, F.max("_cmax").over(prev_chunks).alias("c_max_ts")))
+          .select(*part, F.expr(f"max(_cmax) {_PREV}").alias("c_max_ts")))
     rows = base.join(c1, part, "left")
 
     # 2. windows within the chunk
-    w = Window.partitionBy(*part).orderBy(*order)
-    excl = w.rowsBetween(Window.unboundedPreceding, -1)
-    incl = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_lpm", F.max("ts_ms").over(excl))
-    prev_max = F.greatest(F.col("c_max_ts"), F.col("_lpm"))
-    d = distance_from_center_km("latitude", "longitude", cfg)
-    rows = rows.withColumns({"prev_max_ts": prev_max, "d_center_km": d})
-    accepted = F.col("prev_max_ts").isNull() | (F.col("ts_ms") >= F.col("prev_max_ts"))
-    rows = rows.withColumn("accepted", accepted)
-    rows = rows.withColumns({
-        "discarded": F.col("accepted") & (F.col("d_center_km") > cfg.remove_radius_km),
-        "forwarded": F.col("accepted") & (F.col("d_center_km") <= cfg.remove_radius_km),
-        "far": F.col("d_center_km") > cfg.warn_radius_km})
-    fwd = F.col("forwarded")
-    fwd_row = F.when(fwd, F.struct(
-        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("ts_ms").alias("ts"),
-        F.col("far").alias("far"), F.col("end_flag").alias("end")))
-    rows = rows.withColumn("_fwd_row", fwd_row)
-    rows = rows.withColumns({
-        "_lprev": F.last("_fwd_row", ignorenulls=True).over(excl),
-        "_ldisc": F.sum(F.col("discarded").cast("long")).over(incl),
-        "_lend": F.coalesce(F.sum((fwd & F.col("end_flag")).cast("long")).over(excl), F.lit(0).cast("long"))})
-    lprev = F.col("_lprev")
-    lstep = F.coalesce(fwd & lprev.isNotNull() & ~lprev["end"], F.lit(False))
-    rows = rows.withColumns({
-        "_lstep": lstep,
-        "_lkm": F.when(lstep, haversine_expr("_lprev.lat", "_lprev.lon", "latitude", "longitude", cfg)),
-        "_ls": F.when(lstep, _secs(F.col("ts_ms") - lprev["ts"]))})
-    rows = rows.withColumns({
-        "_lstill": F.col("_lstep") & (F.col("_lkm") < cfg.min_distance_km),
-        "_lmoving": F.col("_lstep") & (F.col("_lkm") >= cfg.min_distance_km)})
-    still_s = F.when(F.col("_lstill"), F.col("_ls")).otherwise(F.lit(0).cast("long"))
-    rows = rows.withColumns({
-        "_lc": F.sum(_cents(F.col("_lkm"))).over(incl),
-        "_lsec": F.sum(F.coalesce(F.col("_ls"), F.lit(0))).over(incl),
-        "_lst": F.sum(still_s).over(incl)})
+    rows = rows.withColumns(_exprs({
+        "_lpm": f"max(ts_ms) {_EX}",
+        "d_center_km": haversine_sql(f"{c.center_lat!r}D", f"{c.center_lon!r}D", "latitude", "longitude", c)}))
+    rows = rows.withColumn("prev_max_ts", F.expr("greatest(c_max_ts, _lpm)"))
+    rows = rows.withColumn("accepted", F.expr("prev_max_ts IS NULL OR ts_ms >= prev_max_ts"))
+    rows = rows.withColumns(_exprs({
+        "discarded": f"accepted AND d_center_km > {c.remove_radius_km!r}D",
+        "forwarded": f"accepted AND d_center_km <= {c.remove_radius_km!r}D",
+        "far": f"d_center_km > {c.warn_radius_km!r}D"}))
+    rows = rows.withColumn("_fwd_row", F.expr(
+        "CASE WHEN forwarded THEN named_struct('lat', latitude, 'lon', longitude, 'ts', ts_ms, "
+        "'far', far, 'end', end_flag) END"))
+    rows = rows.withColumns(_exprs({
+        "_lprev": f"last(_fwd_row, true) {_EX}",
+        "_ldisc": f"sum(CAST(discarded AS BIGINT)) {_IN}",
+        "_lend": f"coalesce(sum(CAST(forwarded AND end_flag AS BIGINT)) {_EX}, 0L)"}))
+    rows = rows.withColumn("_lstep", F.expr("coalesce(forwarded AND _lprev IS NOT NULL AND NOT _lprev.end, false)"))
+    rows = rows.withColumns(_exprs({
+        "_lkm": f"CASE WHEN _lstep THEN {haversine_sql('_lprev.lat', '_lprev.lon', 'latitude', 'longitude', c)} END",
+        "_ls": f"CASE WHEN _lstep THEN {_secs('ts_ms - _lprev.ts')} END"}))
+    rows = rows.withColumns(_exprs({
+        "_lstill": f"_lstep AND _lkm < {c.min_distance_km!r}D",
+        "_lmoving": f"_lstep AND _lkm >= {c.min_distance_km!r}D"}))
+    still_s = "CASE WHEN _lstill THEN _ls ELSE 0L END"
+    rows = rows.withColumns(_exprs({
+        "_lc": f"sum({_cents('_lkm')}) {_IN}",
+        "_lsec": f"sum(coalesce(_ls, 0L)) {_IN}",
+        "_lst": f"sum({still_s}) {_IN}"}))
 
     # 3. chunk summary and the carries across chunks (small table)
-    when_ord = lambda cond: F.when(cond, ord_struct)
-    summ = rows.groupBy(*part).agg(
-        F.min_by("_fwd_row", when_ord(fwd)).alias("first_fwd"),
-        F.max_by("_fwd_row", when_ord(fwd)).alias("last_fwd"),
-        F.sum(F.col("discarded").cast("long")).alias("disc_total"),
-        F.sum((fwd & F.col("end_flag")).cast("long")).alias("end_total"),
-        F.sum(_cents(F.col("_lkm"))).alias("tot_cents"),
-        F.sum(F.coalesce(F.col("_ls"), F.lit(0))).alias("tot_secs"),
-        F.sum(still_s).alias("tot_still"),
-        F.max_by(F.struct(F.col("_lc").alias("c"), F.col("_lsec").alias("s")),
-                 when_ord(fwd & F.col("end_flag"))).alias("last_end_cum"),
-        F.max(when_ord(F.col("_lmoving"))).alias("last_moving"),
-        F.max(when_ord(F.col("_lstill"))).alias("last_still"),
-        F.max_by("_lst", when_ord(F.col("_lstill"))).alias("still_at_last_still"))
-    zero = F.lit(0).cast("long")
-    carry = summ.withColumns({
-        "c_prev": F.last("last_fwd", ignorenulls=True).over(prev_chunks),
-        "c_disc": F.coalesce(F.sum("disc_total").over(prev_chunks), zero),
-        "c_end": F.coalesce(F.sum("end_total").over(prev_chunks), zero)})
-    cp, ff = F.col("c_prev"), F.col("first_fwd")
-    b_has = F.coalesce(ff.isNotNull() & cp.isNotNull() & ~cp["end"], F.lit(False))
-    b_km = F.when(b_has, haversine_expr("c_prev.lat", "c_prev.lon", "first_fwd.lat", "first_fwd.lon", cfg))
-    carry = carry.withColumns({
-        "b_has": b_has, "b_km": b_km,
-        "b_s": F.when(b_has, _secs(ff["ts"] - cp["ts"])).otherwise(zero)})
-    b_still = F.col("b_has") & (F.col("b_km") < cfg.min_distance_km)
-    carry = carry.withColumns({
-        "b_cents": _cents(F.col("b_km")),
-        "b_still": b_still,
-        "b_moving": F.col("b_has") & (F.col("b_km") >= cfg.min_distance_km),
-        "b_still_s": F.when(b_still, F.col("b_s")).otherwise(zero)})
-    carry = carry.withColumns({
-        "c_cents": F.coalesce(F.sum(F.col("tot_cents") + F.col("b_cents")).over(prev_chunks), zero),
-        "c_secs": F.coalesce(F.sum(F.col("tot_secs") + F.col("b_s")).over(prev_chunks), zero),
-        "c_still": F.coalesce(F.sum(F.col("tot_still") + F.col("b_still_s")).over(prev_chunks), zero)})
-    lec = F.col("last_end_cum")
-    end_cum = F.when(lec.isNotNull(), F.struct(
-        (F.col("c_cents") + F.col("b_cents") + lec["c"]).alias("c"),
-        (F.col("c_secs") + F.col("b_s") + lec["s"]).alias("s")))
+    summ = rows.groupBy(*part).agg(*[F.expr(e).alias(n) for n, e in {
+        "first_fwd": f"min_by(_fwd_row, CASE WHEN forwarded THEN {_ORD} END)",
+        "last_fwd": f"max_by(_fwd_row, CASE WHEN forwarded THEN {_ORD} END)",
+        "disc_total": "sum(CAST(discarded AS BIGINT))",
+        "end_total": "sum(CAST(forwarded AND end_flag AS BIGINT))",
+        "tot_cents": f"sum({_cents('_lkm')})",
+        "tot_secs": "sum(coalesce(_ls, 0L))",
+        "tot_still": f"sum({still_s})",
+        "last_end_cum": f"max_by(named_struct('c', _lc, 's', _lsec), CASE WHEN forwarded AND end_flag THEN {_ORD} END)",
+        "last_moving": f"max(CASE WHEN _lmoving THEN {_ORD} END)",
+        "last_still": f"max(CASE WHEN _lstill THEN {_ORD} END)",
+        "still_at_last_still": f"max_by(_lst, CASE WHEN _lstill THEN {_ORD} END)"}.items()])
+    carry = summ.withColumns(_exprs({
+        "c_prev": f"last(last_fwd, true) {_PREV}",
+        "c_disc": f"coalesce(sum(disc_total) {_PREV}, 0L)",
+        "c_end": f"coalesce(sum(end_total) {_PREV}, 0L)"}))
+    carry = carry.withColumn("b_has", F.expr(
+        "coalesce(first_fwd IS NOT NULL AND c_prev IS NOT NULL AND NOT c_prev.end, false)"))
+    carry = carry.withColumns(_exprs({
+        "b_km": f"CASE WHEN b_has THEN {haversine_sql('c_prev.lat', 'c_prev.lon', 'first_fwd.lat', 'first_fwd.lon', c)} END",
+        "b_s": f"CASE WHEN b_has THEN {_secs('first_fwd.ts - c_prev.ts')} ELSE 0L END"}))
+    carry = carry.withColumns(_exprs({
+        "b_cents": _cents("b_km"),
+        "b_still": f"b_has AND b_km < {c.min_distance_km!r}D",
+        "b_moving": f"b_has AND b_km >= {c.min_distance_km!r}D"}))
+    carry = carry.withColumn("b_still_s", F.expr("CASE WHEN b_still THEN b_s ELSE 0L END"))
+    carry = carry.withColumns(_exprs({
+        "c_cents": f"coalesce(sum(tot_cents + b_cents) {_PREV}, 0L)",
+        "c_secs": f"coalesce(sum(tot_secs + b_s) {_PREV}, 0L)",
+        "c_still": f"coalesce(sum(tot_still + b_still_s) {_PREV}, 0L)"}))
     # halt flag at the end of the chunk: the last step that set or cleared it
-    lm, ls = F.col("last_moving"), F.col("last_still")
-    still_base = F.col("c_still") + F.col("b_still_s")
-    local_still_sets = (ls.isNotNull() & (lm.isNull() | (ls > lm))
-                        & (still_base + F.col("still_at_last_still") >= cfg.halt_after_s))
-    border_still_sets = (ls.isNull() & lm.isNull() & F.col("b_still") & (still_base >= cfg.halt_after_s))
-    halted_end = (F.when(local_still_sets | border_still_sets, F.lit(True))
-                  .when(lm.isNotNull() | F.col("b_moving"), F.lit(False)))
-    carry = carry.withColumns({"_end_cum": end_cum, "_halted_end": halted_end})
-    carry = carry.withColumns({
-        "c_base": F.last("_end_cum", ignorenulls=True).over(prev_chunks),
-        "c_halted": F.last("_halted_end", ignorenulls=True).over(prev_chunks)})
+    carry = carry.withColumns(_exprs({
+        "_end_cum": ("CASE WHEN last_end_cum IS NOT NULL THEN named_struct("
+                     "'c', c_cents + b_cents + last_end_cum.c, 's', c_secs + b_s + last_end_cum.s) END"),
+        "_halted_end": (
+            "CASE WHEN (last_still IS NOT NULL AND (last_moving IS NULL OR last_still > last_moving)"
+            f" AND c_still + b_still_s + still_at_last_still >= {c.halt_after_s})"
+            f" OR (last_still IS NULL AND last_moving IS NULL AND b_still AND c_still + b_still_s >= {c.halt_after_s})"
+            " THEN true WHEN last_moving IS NOT NULL OR b_moving THEN false END")}))
+    carry = carry.withColumns(_exprs({
+        "c_base": f"last(_end_cum, true) {_PREV}",
+        "c_halted": f"last(_halted_end, true) {_PREV}"}))
     carry = carry.select(*part, "c_prev", "c_disc", "c_end", "b_has", "b_km", "b_s", "b_cents", "b_still_s",
                          "c_cents", "c_secs", "c_still", "c_base", "c_halted")
 
-    # 4. combine row by row
+    # 4. combine row by row; the border step belongs to the chunk's first
+    # forwarded ping, so rows from there on include it
     df = rows.join(carry, part, "left")
-    border = fwd & lprev.isNull()
-    b_step = border & F.col("b_has")
-    prev = F.coalesce(lprev, F.col("c_prev"))
-    warned_before = F.coalesce(prev["far"], F.lit(False))
-    # the border step belongs to the chunk's first forwarded ping: rows from
-    # there on include it
-    after_border = fwd | lprev.isNotNull()
-    b_before = F.when(after_border, F.col("b_cents")).otherwise(zero)
-    lbase = F.last(F.when(fwd & F.col("end_flag"), F.struct(F.col("_lc").alias("c"), F.col("_lsec").alias("s"))),
-                   ignorenulls=True).over(excl)
-    df = df.withColumns({
-        "area_violations": F.col("c_disc") + F.col("_ldisc"),
-        "trip_no": F.col("c_end") + F.col("_lend"),
-        "has_step": F.col("_lstep") | F.coalesce(b_step, F.lit(False)),
-        "step_km": F.when(F.col("_lstep"), F.col("_lkm")).when(b_step, F.col("b_km")),
-        "step_s": F.when(F.col("_lstep"), F.col("_ls")).when(b_step, F.col("b_s")),
-        "area_event": F.when(fwd & F.col("far") & ~warned_before, F.lit("warn"))
-                       .when(fwd & ~F.col("far") & warned_before, F.lit("reset")),
-        "_cum_c": F.col("c_cents") + b_before + F.col("_lc"),
-        "_cum_s": F.col("c_secs") + F.when(after_border, F.col("b_s")).otherwise(zero) + F.col("_lsec"),
-        "still_s_total": F.col("c_still") + F.when(after_border, F.col("b_still_s")).otherwise(zero)
-                         + F.col("_lst"),
-        "_lbase": lbase})
-    df = df.withColumn("still", F.col("has_step") & (F.col("step_km") < cfg.min_distance_km))
-    local_base_c = F.col("c_cents") + F.col("b_cents") + F.col("_lbase")["c"]
-    local_base_s = F.col("c_secs") + F.col("b_s") + F.col("_lbase")["s"]
-    base_c = F.coalesce(F.when(F.col("_lbase").isNotNull(), local_base_c), F.col("c_base")["c"], zero)
-    base_s = F.coalesce(F.when(F.col("_lbase").isNotNull(), local_base_s), F.col("c_base")["s"], zero)
-    halt_set = (F.when(F.col("still") & (F.col("still_s_total") >= cfg.halt_after_s), F.lit(True))
-                .when(F.col("has_step") & ~F.col("still"), F.lit(False)))
-    df = df.withColumns({
-        "total_distance_km": F.when(fwd, (F.col("_cum_c") - base_c) / 100.0),
-        "total_time_s": F.when(fwd, (F.col("_cum_s") - base_s).cast("long")),
-        "_hs": halt_set})
-    df = df.withColumns({
-        "_h": F.last("_hs", ignorenulls=True).over(incl),
-        "_hb": F.last("_hs", ignorenulls=True).over(excl)})
-    halted = F.coalesce(F.col("_h"), F.col("c_halted"), F.lit(False))
-    halted_before = F.coalesce(F.col("_hb"), F.col("c_halted"), F.lit(False))
-    df = df.withColumns({
-        "halted": halted,
-        "halt_event": F.when(fwd & halted & ~halted_before, F.lit("halt"))
-                       .when(fwd & ~halted & halted_before, F.lit("resume"))})
+    df = df.withColumns(_exprs({
+        "_after_border": "forwarded OR _lprev IS NOT NULL",
+        "_b_step": "forwarded AND _lprev IS NULL AND b_has",
+        "_prev": "coalesce(_lprev, c_prev)",
+        "_lbase": f"last(CASE WHEN forwarded AND end_flag THEN named_struct('c', _lc, 's', _lsec) END, true) {_EX}"}))
+    df = df.withColumns(_exprs({
+        "area_violations": "c_disc + _ldisc",
+        "trip_no": "c_end + _lend",
+        "has_step": "_lstep OR coalesce(_b_step, false)",
+        "step_km": "CASE WHEN _lstep THEN _lkm WHEN _b_step THEN b_km END",
+        "step_s": "CASE WHEN _lstep THEN _ls WHEN _b_step THEN b_s END",
+        "area_event": ("CASE WHEN forwarded AND far AND NOT coalesce(_prev.far, false) THEN 'warn' "
+                       "WHEN forwarded AND NOT far AND coalesce(_prev.far, false) THEN 'reset' END"),
+        "_cum_c": "c_cents + CASE WHEN _after_border THEN b_cents ELSE 0L END + _lc",
+        "_cum_s": "c_secs + CASE WHEN _after_border THEN b_s ELSE 0L END + _lsec",
+        "still_s_total": "c_still + CASE WHEN _after_border THEN b_still_s ELSE 0L END + _lst",
+        "_base_c": "coalesce(CASE WHEN _lbase IS NOT NULL THEN c_cents + b_cents + _lbase.c END, c_base.c, 0L)",
+        "_base_s": "coalesce(CASE WHEN _lbase IS NOT NULL THEN c_secs + b_s + _lbase.s END, c_base.s, 0L)"}))
+    df = df.withColumn("still", F.expr(f"has_step AND step_km < {c.min_distance_km!r}D"))
+    df = df.withColumns(_exprs({
+        "total_distance_km": "CASE WHEN forwarded THEN (_cum_c - _base_c) / 100.0D END",
+        "total_time_s": "CASE WHEN forwarded THEN CAST(_cum_s - _base_s AS BIGINT) END",
+        "_hs": (f"CASE WHEN still AND still_s_total >= {c.halt_after_s} THEN true "
+                "WHEN has_step AND NOT still THEN false END")}))
+    df = df.withColumns(_exprs({"_h": f"last(_hs, true) {_IN}", "_hb": f"last(_hs, true) {_EX}"}))
+    df = df.withColumns(_exprs({
+        "halted": "coalesce(_h, c_halted, false)",
+        "_halted_before": "coalesce(_hb, c_halted, false)"}))
+    df = df.withColumn("halt_event", F.expr(
+        "CASE WHEN forwarded AND halted AND NOT _halted_before THEN 'halt' "
+        "WHEN forwarded AND NOT halted AND _halted_before THEN 'resume' END"))
     reason, avg = average_gate(F.col("total_distance_km"), F.col("total_time_s"), cfg)
-    df = df.withColumns({"avg_reason": F.when(fwd, reason), "average_speed_kmph": F.when(fwd, avg)})
-    keep = [c for c in pings.columns] + [
+    df = df.withColumns({"avg_reason": F.when(F.col("forwarded"), reason),
+                         "average_speed_kmph": F.when(F.col("forwarded"), avg)})
+    keep = [col for col in pings.columns] + [
         "prev_max_ts", "accepted", "d_center_km", "discarded", "forwarded", "area_violations", "trip_no",
         "has_step", "step_km", "step_s", "still", "area_event", "still_s_total", "total_distance_km",
         "total_time_s", "halted", "halt_event", "avg_reason", "average_speed_kmph"]
