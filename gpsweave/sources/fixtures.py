@@ -37,83 +37,77 @@ def fmt_ts_ms(col) -> F.Column:
     return F.date_format(F.timestamp_millis(col), TS_FORMAT)
 
 
+FMT_SQL = f"date_format(timestamp_millis(ts_ms), '{TS_FORMAT}')"
+
+
+def _sel(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Projection given as SQL expression text (one driver call per column)."""
+    return df.select(*[F.expr(e).alias(n) for n, e in cols.items()])
+
+
 def trips(spark: SparkSession, sf_dir: str, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """One ping per event: ``taxi_id, ts_ms, latitude, longitude, end_flag,
     produced_ts, arrival_key, event_id, lat_e6, lon_e6, value``."""
     ev = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "value",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    order_key = F.struct("us", "event_id")
+        "event_id", "user_id", "value", F.expr("unix_micros(CAST(ts AS TIMESTAMP))").alias("us"))
     # position in the user's time order and "is the user's last event", both as
     # chunked scans so that one busy user is not a single task
     ev = keyed_scan(ev, ["user_id"], ["us", "event_id"], idiv(F.col("us"), DAY_US), [
         Running("_n", "sum", F.lit(1)),
-        Running("_last", "max", order_key, whole=True),
+        Running("_last", "max", F.struct("us", "event_id"), whole=True),
     ], chunk_col="_uchunk")
-    rn = F.col("_n") - 1
-    slot = idiv(rn, 3)
-    s = idiv(F.col("us") - F.lit(EPOCH_US), COMPRESS_US)
-    lat_e6 = F.lit(LAT0_E6) + (F.pmod(F.col("user_id") * LAT_MUL_USER + slot * LAT_MUL_SLOT,
-                                      F.lit(LAT_MOD)) - LAT_OFF) * LAT_STEP
-    lon_e6 = F.lit(LON0_E6) + (F.pmod(F.col("user_id") * LON_MUL_USER + slot * LON_MUL_SLOT,
-                                      F.lit(LON_MOD)) - LON_OFF) * LON_STEP
-    g = ev.select("event_id", "user_id", "value", "us",
-                  (F.col("_last") == order_key).alias("end_flag"),
-                  s.alias("s"), lat_e6.alias("lat_e6"), lon_e6.alias("lon_e6"))
-    return g.select(
-        F.col("user_id").cast("string").alias("taxi_id"),
-        ((F.lit(EPOCH_S) + F.col("s")) * 1000).alias("ts_ms"),
-        (F.col("lat_e6").cast("double") / 1000000).alias("latitude"),
-        (F.col("lon_e6").cast("double") / 1000000).alias("longitude"),
-        "end_flag",
-        (F.col("us").cast("double") / 1000000).alias("produced_ts"),
-        (F.col("event_id") + F.when(F.pmod("event_id", F.lit(LATE_EVERY)) == 0, LATE_BY)
-         .otherwise(0)).alias("arrival_key"),
-        "event_id", "lat_e6", "lon_e6", "value")
-
-
-def _e6_text(col: str) -> F.Column:
+    g = _sel(ev, {
+        "event_id": "event_id", "user_id": "user_id", "value": "value", "us": "us",
+        "end_flag": "_last = struct(us, event_id)",
+        "s": f"(us - {EPOCH_US}L) div {COMPRESS_US}",
+        "lat_e6": f"{LAT0_E6} + (pmod(user_id * {LAT_MUL_USER} + ((_n - 1) div 3) * {LAT_MUL_SLOT}, {LAT_MOD})"
+                  f" - {LAT_OFF}) * {LAT_STEP}",
+        "lon_e6": f"{LON0_E6} + (pmod(user_id * {LON_MUL_USER} + ((_n - 1) div 3) * {LON_MUL_SLOT}, {LON_MOD})"
+                  f" - {LON_OFF}) * {LON_STEP}"})
+    return _sel(g, {
+        "taxi_id": "CAST(user_id AS STRING)",
+        "ts_ms": f"({EPOCH_S} + s) * 1000",
+        "latitude": "CAST(lat_e6 AS DOUBLE) / 1000000",
+        "longitude": "CAST(lon_e6 AS DOUBLE) / 1000000",
+        "end_flag": "end_flag",
+        "produced_ts": "CAST(us AS DOUBLE) / 1000000",
+        "arrival_key": f"event_id + CASE WHEN pmod(event_id, {LATE_EVERY}) = 0 THEN {LATE_BY} ELSE 0 END",
+        "event_id": "event_id", "lat_e6": "lat_e6", "lon_e6": "lon_e6", "value": "value"})
+
+
+def _e6_text(col: str) -> str:
     """``116.397200`` from ``116397200`` without floating point."""
-    return F.concat(idiv(F.col(col), 1000000).cast("string"), F.lit("."),
-                    F.lpad(F.pmod(F.col(col), F.lit(1000000)).cast("string"), 6, "0"))
+    return f"concat(CAST({col} div 1000000 AS STRING), '.', lpad(CAST(pmod({col}, 1000000) AS STRING), 6, '0'))"
 
 
 def messages(trips_df: DataFrame) -> DataFrame:
     """Wire text of each ping (input of the parser), with malformed lines mixed in."""
-    eid = F.col("event_id")
-    good = F.concat_ws(",", F.col("taxi_id"), fmt_ts_ms(F.col("ts_ms")), _e6_text("lon_e6"),
-                       _e6_text("lat_e6"),
-                       F.when(F.col("end_flag"), F.lit(" True ")).otherwise(F.lit("0")),
-                       idiv(F.col("ts_ms"), 1000).cast("string"))
-    msg = (F.when(F.pmod(eid, F.lit(97)) == 0, F.lit("taxi_id,date_time,longitude,latitude,end_flag"))
-           .when(F.pmod(eid, F.lit(89)) == 0, F.concat(F.col("taxi_id"), F.lit(",bad-date,116.4,39.9,0,1.0")))
-           .when(F.pmod(eid, F.lit(83)) == 0, F.concat(F.col("taxi_id"), F.lit(",2024-01-01 00:00:00,116.4")))
-           .when(F.pmod(eid, F.lit(79)) == 0, F.concat(F.col("taxi_id"), F.lit(",2024-01-01 00:00:00,abc,39.9,0,1.0")))
-           .otherwise(good))
-    return trips_df.select("event_id", "arrival_key", msg.alias("message"))
+    good = (f"concat_ws(',', taxi_id, {FMT_SQL}, {_e6_text('lon_e6')}, {_e6_text('lat_e6')}, "
+            "CASE WHEN end_flag THEN ' True ' ELSE '0' END, CAST(ts_ms div 1000 AS STRING))")
+    return _sel(trips_df, {
+        "event_id": "event_id", "arrival_key": "arrival_key",
+        "message": ("CASE WHEN pmod(event_id, 97) = 0 THEN 'taxi_id,date_time,longitude,latitude,end_flag' "
+                    "WHEN pmod(event_id, 89) = 0 THEN concat(taxi_id, ',bad-date,116.4,39.9,0,1.0') "
+                    "WHEN pmod(event_id, 83) = 0 THEN concat(taxi_id, ',2024-01-01 00:00:00,116.4') "
+                    "WHEN pmod(event_id, 79) = 0 THEN concat(taxi_id, ',2024-01-01 00:00:00,abc,39.9,0,1.0') "
+                    f"ELSE {good} END")})
 
 
 def raw_pings(trips_df: DataFrame) -> DataFrame:
     """Rows of the raw per-vehicle files, with bad dates and off-map points."""
-    eid = F.col("event_id")
-    return trips_df.select(
-        "event_id", "arrival_key", "taxi_id",
-        F.when(F.pmod(eid, F.lit(89)) == 0, F.lit("not a date"))
-        .otherwise(fmt_ts_ms(F.col("ts_ms"))).alias("date_time"),
-        F.when(F.pmod(eid, F.lit(71)) == 0, F.lit(100.0))
-        .when(F.pmod(eid, F.lit(67)) == 0, F.lit(125.0))
-        .when(F.pmod(eid, F.lit(61)) == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("longitude")).alias("longitude"),
-        F.when(F.pmod(eid, F.lit(59)) == 0, F.lit(45.5))
-        .otherwise(F.col("latitude")).alias("latitude"))
+    return _sel(trips_df, {
+        "event_id": "event_id", "arrival_key": "arrival_key", "taxi_id": "taxi_id",
+        "date_time": f"CASE WHEN pmod(event_id, 89) = 0 THEN 'not a date' ELSE {FMT_SQL} END",
+        "longitude": ("CASE WHEN pmod(event_id, 71) = 0 THEN 100.0D WHEN pmod(event_id, 67) = 0 THEN 125.0D "
+                      "WHEN pmod(event_id, 61) = 0 THEN CAST(NULL AS DOUBLE) ELSE longitude END"),
+        "latitude": "CASE WHEN pmod(event_id, 59) = 0 THEN 45.5D ELSE latitude END"})
 
 
 def file_lines(trips_df: DataFrame) -> DataFrame:
     """``file_name, line`` of the raw files; every 53rd line is blank."""
-    return trips_df.select(
-        F.concat(F.lit("veh_"), F.col("taxi_id"), F.lit(".txt")).alias("file_name"),
-        F.when(F.pmod(F.col("event_id"), F.lit(53)) == 0, F.lit("  "))
-        .otherwise(F.concat(F.col("taxi_id"), F.lit(","), fmt_ts_ms(F.col("ts_ms")))).alias("line"))
+    return _sel(trips_df, {
+        "file_name": "concat('veh_', taxi_id, '.txt')",
+        "line": f"CASE WHEN pmod(event_id, 53) = 0 THEN '  ' ELSE concat(taxi_id, ',', {FMT_SQL}) END"})
 
 
 def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
