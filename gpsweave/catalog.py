@@ -54,7 +54,7 @@ def _steps(spark, sf_dir, cfg=DEFAULT):
 @query("late_filter")
 def q_late_filter(spark, sf_dir):
     """Per ping, whether it is accepted (not older than the newest before)."""
-    return _steps(spark, sf_dir).select("taxi_id", "event_id", "ts_ms", "accepted")
+    return T.late_filter(FX.trips(spark, sf_dir)).select("taxi_id", "event_id", "ts_ms", "accepted")
 
 
 @query("distance_from_center")

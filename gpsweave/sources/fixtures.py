@@ -33,10 +33,6 @@ DAY_US = 86400000000            # scan chunk of the fixture: one day of event ti
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def fmt_ts_ms(col) -> F.Column:
-    return F.date_format(F.timestamp_millis(col), TS_FORMAT)
-
-
 FMT_SQL = f"date_format(timestamp_millis(ts_ms), '{TS_FORMAT}')"
 
 
