@@ -80,3 +80,23 @@ def alert_stream(vehicle_out: DataFrame) -> DataFrame:
     return vehicle_out.filter(F.col("is_speeding")).select(
         "taxi_id", "ts_ms", F.concat(F.lit("Speeding Alert! TaxiID="), F.col("taxi_id"), F.lit(" | Speed="),
                                      F.col("speed_kmph").cast("string"), F.lit(" km/h")).alias("alert"))
+
+
+def location_speed_join_stream(pings_out: DataFrame, speeds_out: DataFrame, bound: str = "5 seconds",
+                               watermark: str = "10 seconds") -> DataFrame:
+    """T25 live: forwarded pings joined with the same vehicle's speed outputs
+    within +-``bound`` of event time (stream-stream inner join; both sides
+    watermarked so join state is dropped once it can no longer match).
+
+    Both inputs are streams over the written per-ping table (two reads of it).
+    """
+    p = (pings_out.filter(F.col("kind") == "forwarded")
+         .select("taxi_id", "event_id", "ts_ms", "latitude", "longitude", "end_flag", "event_time")
+         .withWatermark("event_time", watermark))
+    s = (speeds_out.filter(F.col("speed_reason") == "ok")
+         .select(F.col("taxi_id").alias("s_taxi_id"), F.col("event_id").alias("speed_event_id"),
+                 F.col("event_time").alias("s_time"), F.col("speed_kmph"), F.col("is_speeding").alias("speed_is_speeding"))
+         .withWatermark("s_time", watermark))
+    cond = F.expr(f"taxi_id = s_taxi_id AND s_time BETWEEN event_time - INTERVAL {bound} "
+                  f"AND event_time + INTERVAL {bound}")
+    return p.join(s, cond).drop("s_taxi_id", "s_time")

@@ -11,7 +11,8 @@ from conftest import SF001
 from gpsweave.operators.lifecycle import lifecycle
 from gpsweave.operators.parse import parse_pings
 from gpsweave.sources import fixtures as FX
-from gpsweave.streaming.pipeline import file_messages, grid_stream, vehicle_stream
+from gpsweave.operators.joins import interval_pairs
+from gpsweave.streaming.pipeline import file_messages, grid_stream, location_speed_join_stream, vehicle_stream
 from gpsweave.operators.views import flatten_state, vehicle_state
 from gpsweave.config import DEFAULT
 from gpsweave.operators.grid import grid_snapshot, grid_window
@@ -95,3 +96,25 @@ def test_grid_stream_over_written_outputs(spark):
     batch_rows = {(r.grid_id, r.updated_at, r.vehicles) for r in batch.collect()}
     assert live_rows and live_rows <= batch_rows
     assert spark.read.parquet(f"{root}/sinks/pings").filter(F.col("latency_ms").isNull()).count() == 0
+
+
+def test_interval_join_stream_matches_batch_pairs(spark):
+    root = tempfile.mkdtemp(prefix="gw-join-")
+    msgs = FX.messages(FX.trips(spark, SF001))
+    files = _stage_files(spark, msgs, root, per_file=500)
+    _publish(files, f"{root}/in")
+    _run(spark, f"{root}/in", root)
+    schema = spark.read.parquet(f"{root}/sinks/pings").schema
+    a = spark.readStream.schema(schema).parquet(f"{root}/sinks/pings")
+    b = spark.readStream.schema(schema).parquet(f"{root}/sinks/pings")
+    j = location_speed_join_stream(a, b, bound="30 minutes", watermark="3650 days")
+    q = (j.writeStream.format("parquet").option("path", f"{root}/pairs")
+         .option("checkpointLocation", f"{root}/jckpt").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.read.parquet(f"{root}/pairs").select("event_id", "speed_event_id", "speed_kmph")
+    table = spark.read.parquet(f"{root}/sinks/pings").withColumnRenamed("speed_kmph", "kmph")
+    want = interval_pairs(table, F.col("kind") == "forwarded", F.col("speed_reason") == "ok", 30 * 60 * 1000,
+                          ["event_id", "kmph"]).select("event_id", "speed_event_id", "speed_kmph")
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
