@@ -125,6 +125,18 @@ def grid_sinks(root: str, cfg: FleetConfig = DEFAULT):
     return write
 
 
+def start_fresh(spark: SparkSession, root: str) -> None:
+    """Clear every output of a sink folder before a fresh start (a new
+    query checkpoint replays the topic from the earliest offset). A restart
+    that resumes from an existing checkpoint must not call this: its sinks
+    are idempotent and continue where they stopped."""
+    fs, p, jvm = _fs(spark, root.rstrip("/"))
+    for name in ("state", "pings", "events", "grids"):
+        sub = jvm.org.apache.hadoop.fs.Path(p, name)
+        if fs.exists(sub):
+            fs.delete(sub, True)
+
+
 def console_sink(df: DataFrame, truncate: bool = False):
     """Print lines on the driver console (debugging only)."""
     return df.writeStream.format("console").option("truncate", truncate)

@@ -100,3 +100,14 @@ def test_append_batch_replay_overwrites_its_partition(spark):
     append_batch(df, 1, path)
     append_batch(df, 1, path)
     assert spark.read.parquet(path).count() == 4
+
+
+def test_start_fresh_clears_sink_tables(spark):
+    from gpsweave.streaming.sinks import start_fresh
+    root = tempfile.mkdtemp(prefix="gw-fresh-")
+    df = spark.createDataFrame([("a",)], "m string")
+    append_batch(df, 0, f"{root}/events")
+    VersionedTable(f"{root}/state", ["m"], ["m"]).upsert(df, 0)
+    start_fresh(spark, root)
+    assert not os.path.exists(f"{root}/events") and not os.path.exists(f"{root}/state")
+    assert VersionedTable(f"{root}/state", ["m"], ["m"]).read(spark) is None
