@@ -44,15 +44,16 @@ class FleetConfig:
     # operational metric interval in seconds
     metric_interval_s: int = 5
     # --- engine parameters (ours, not the reference's) ---
-    # width of one arrival-order chunk in the keyed scans: a vehicle's rows are
-    # split into chunks of this many arrival positions so that one very hot
-    # vehicle is spread over many tasks (see plans/scan.py). A chunk holds at
-    # most span x (the vehicle's share of arrivals) rows, and the per-chunk
-    # summary has about (rows / rows per chunk) rows. Choose
-    #   span ~ target rows per chunk / largest vehicle share
-    # e.g. 2^22 positions and a vehicle with a third of all pings -> ~1.4 M rows
-    # per chunk, while a vehicle with 1e-4 of the pings has ~400 rows per chunk.
+    # chunking of the per-vehicle scans (see plans/scan.py): arrival positions
+    # are cut into buckets of ``scan_chunk_span``. A chunk holds at most
+    # span x (the vehicle's share of arrivals) rows: 2^22 positions give
+    # ~1.4 M rows to a vehicle with a third of all pings and ~400 rows to one
+    # with 1e-4 of them (rule: span ~ target rows per chunk / largest share).
+    # With ``scan_chunk_rows`` > 0 the buckets are split further by density
+    # (``density_chunks``): about that many rows per chunk for any share, at the
+    # cost of one narrow counting pass.
     scan_chunk_span: int = 1 << 22
+    scan_chunk_rows: int = 0
 
     def with_(self, **kw) -> "FleetConfig":
         return replace(self, **kw)

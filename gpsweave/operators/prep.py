@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
 from ..functions.num import idiv
-from ..plans.scan import Running, arrival_chunk, keyed_scan
+from ..plans.scan import Running, keyed_scan, vehicle_chunks
 
 RAW_COLUMNS = ["taxi_id", "date_time", "longitude", "latitude"]
 TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
@@ -109,8 +109,8 @@ def prep_report(raw: DataFrame, files: DataFrame, cfg: FleetConfig = DEFAULT) ->
 
 def unsorted_vehicles(raw: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """Q9: vehicles whose timestamps decrease somewhere in file order."""
-    df = coerce_timestamps(raw)
-    df = keyed_scan(df, ["taxi_id"], FILE_ORDER, arrival_chunk("arrival_key", cfg.scan_chunk_span),
+    df = vehicle_chunks(coerce_timestamps(raw), "arrival_key", cfg.scan_chunk_span, cfg.scan_chunk_rows)
+    df = keyed_scan(df, ["taxi_id"], FILE_ORDER, F.col("_chunk"),
                     [Running("_prev_ts", "last", F.col("ts"), inclusive=False)])
     return df.filter(F.col("_prev_ts") > F.col("ts")).select("taxi_id").distinct()
 
@@ -142,7 +142,8 @@ def file_line_profile(lines: DataFrame, files: DataFrame) -> DataFrame:
 def order_ratio(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """Q11: pings in order / out of order against the immediately preceding
     ping of the vehicle (fleet-wide totals and percentages)."""
-    df = keyed_scan(pings, ["taxi_id"], FILE_ORDER, arrival_chunk("arrival_key", cfg.scan_chunk_span),
+    df = vehicle_chunks(pings, "arrival_key", cfg.scan_chunk_span, cfg.scan_chunk_rows)
+    df = keyed_scan(df, ["taxi_id"], FILE_ORDER, F.col("_chunk"),
                     [Running("_prev_ts", "last", F.col("ts_ms"), inclusive=False)])
     in_order = F.col("_prev_ts").isNull() | (F.col("ts_ms") >= F.col("_prev_ts"))
     c = df.agg(F.count_if(in_order).alias("in_order"), F.count_if(~in_order).alias("out_of_order"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
 from ..functions.geo import haversine_sql, round_half_up
-from ..plans.scan import Running, arrival_chunk, keyed_scan
+from ..plans.scan import Running, keyed_scan, vehicle_chunks
 
 KEY = ["taxi_id"]
 ORDER = ["arrival_key", "event_id"]
@@ -42,7 +42,8 @@ def late_filter(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     The newest *accepted* ts equals the newest ts of all earlier pings (a
     rejected ping is older than that maximum), so a running max suffices.
     """
-    df = keyed_scan(pings, KEY, ORDER, arrival_chunk("arrival_key", cfg.scan_chunk_span),
+    df = vehicle_chunks(pings, "arrival_key", cfg.scan_chunk_span, cfg.scan_chunk_rows)
+    df = keyed_scan(df, KEY, ORDER, F.col("_chunk"),
                     [Running("prev_max_ts", "max", F.col("ts_ms"), inclusive=False)])
     return df.withColumn("accepted", F.col("prev_max_ts").isNull()
                          | (F.col("ts_ms") >= F.col("prev_max_ts")))
@@ -104,7 +105,7 @@ def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """
     c = cfg
     part = ["taxi_id", "_chunk"]
-    base = pings.withColumn("_chunk", arrival_chunk("arrival_key", c.scan_chunk_span))
+    base = vehicle_chunks(pings, "arrival_key", c.scan_chunk_span, c.scan_chunk_rows)
 
     # 1. newest ts of the earlier chunks
     c1 = (base.groupBy(*part).agg(F.max("ts_ms").alias("_cmax"))

@@ -1,4 +1,5 @@
-"""Cutting lineage for a small result that a plan reads more than once.
+"""Cutting lineage for a small result that a plan reads more than once
+(per-chunk count tables, the served vehicle state).
 
 ``materialize`` writes it once with ``checkpoint()`` into the shared folder
 named by ``spark.checkpoint.dir`` (set only when absent, e.g. in local tests);

@@ -21,7 +21,8 @@ def test_trip_chain_stays_linear_and_jvm_only(spark, tmp_path):
     assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
     # main branch and summary branch, each with the small newest-ts pre-aggregate
     assert len(re.findall(r"FileScan parquet", plan)) <= 4
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 8
+    # two shuffles of the pings (main, summary); the rest move per-chunk tables
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 12
 
 
 def test_scans_prune_columns(spark):

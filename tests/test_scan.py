@@ -31,3 +31,20 @@ def test_keyed_scan_equals_plain_window(spark, rows, span):
     a = sorted(tuple(r) for r in got.select(*cols).collect())
     b = sorted(tuple(r) for r in want.select(*cols).collect())
     assert a == b
+
+
+def test_density_chunks_bound_a_hot_key(spark):
+    from gpsweave.plans.scan import density_chunks
+    n = 30000
+    # one key holds a third of all positions, 200 others share the rest
+    df = spark.range(n).select(F.col("id").alias("pos"),
+                               F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 200).alias("k"))
+    ch = density_chunks(df, ["k"], "pos", coarse_span=1 << 20, target_rows=500)
+    sizes = ch.groupBy("k", "_chunk").count()
+    hot = sizes.filter("k = -1")
+    assert hot.count() == 20                              # 10,000 rows in ~500-row chunks
+    assert hot.agg(F.max("count")).first()[0] <= 3 * 500
+    assert sizes.filter("k <> -1").agg(F.max("count")).first()[0] == 100   # sparse keys: one chunk each
+    # chunk ids are monotone in position within every key
+    w = Window.partitionBy("k").orderBy("pos")
+    assert ch.select((F.col("_chunk") < F.lag("_chunk").over(w)).alias("b")).filter("b").count() == 0

@@ -17,9 +17,9 @@ COLS = ["taxi_id", "event_id", "accepted", "discarded", "forwarded", "area_viola
         "halted", "halt_event", "avg_reason"]
 
 
-@pytest.mark.parametrize("span", [1, 7, 97, 1 << 40])
-def test_steps_match_plain_windows_for_any_chunk_span(spark, duck01, span):
-    cfg = DEFAULT.with_(scan_chunk_span=span)
+@pytest.mark.parametrize("span,rows", [(1, 0), (7, 0), (97, 0), (1 << 40, 0), (1 << 40, 5), (997, 2)])
+def test_steps_match_plain_windows_for_any_chunking(spark, duck01, span, rows):
+    cfg = DEFAULT.with_(scan_chunk_span=span, scan_chunk_rows=rows)
     s = ping_steps(trips(spark, SF01, cfg), cfg).select(
         *[F.col(c).cast("long") if c in ("area_violations", "trip_no", "still_s_total") else F.col(c)
           for c in COLS], round6(F.col("step_km")).alias("step_km"))
