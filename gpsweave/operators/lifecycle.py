@@ -13,7 +13,7 @@ written as running aggregates:
 Batch runs it with ``mapInPandas`` over pings hash-partitioned by vehicle and
 sorted by arrival (state is carried across Arrow batches, so a vehicle's rows
 are streamed, never collected); streams run the same function inside
-``transformWithStateInPandas`` (``streaming/pipeline.py``). Everything that
+``transformWithStateInPandas`` (``streaming/live.py``). Everything that
 does not need this state (grids, views, metrics, windowed trip operators)
 stays in JVM expressions.
 

@@ -12,7 +12,7 @@ from gpsweave.operators.lifecycle import lifecycle
 from gpsweave.operators.parse import parse_pings
 from gpsweave.sources import fixtures as FX
 from gpsweave.operators.joins import interval_pairs
-from gpsweave.streaming.pipeline import file_messages, grid_stream, location_speed_join_stream, vehicle_stream
+from gpsweave.streaming.live import file_messages, grid_stream, location_speed_join_stream, vehicle_stream
 from gpsweave.operators.views import flatten_state, vehicle_state
 from gpsweave.config import DEFAULT
 from gpsweave.operators.grid import grid_snapshot, grid_window
