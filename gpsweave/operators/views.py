@@ -20,7 +20,9 @@ GROUPS = {
     # written by every accepted ping (status machine, stored total, flags)
     "last": ["status", "total_distance_km", "ten_km_crossed", "area_violations"],
     # written only by a stats row that passed the average gate
-    "ok": ["last_update_ms", "latitude", "longitude", "average_speed_kmph"],
+    "ok": ["last_update_ms", "latitude", "longitude"],
+    # ... and the average only when it is positive (finite by construction)
+    "avg": ["average_speed_kmph"],
     # written only by a speed output
     "speed": ["current_speed_kmph", "speeding"],
 }
@@ -34,7 +36,9 @@ def vehicle_state_partial(lc: DataFrame) -> DataFrame:
            "area_violations": "area_violations", "last_update_ms": "ts_ms", "latitude": "latitude",
            "longitude": "longitude", "average_speed_kmph": "average_speed_kmph",
            "current_speed_kmph": "speed_kmph", "speeding": "is_speeding"}
-    cond = {"last": None, "ok": F.col("avg_reason") == "ok", "speed": F.col("speed_reason") == "ok"}
+    cond = {"last": None, "ok": F.col("avg_reason") == "ok",
+            "avg": (F.col("avg_reason") == "ok") & (F.col("average_speed_kmph") > 0),
+            "speed": F.col("speed_reason") == "ok"}
     aggs = []
     for g, cols in GROUPS.items():
         key = order if cond[g] is None else F.when(cond[g], order)

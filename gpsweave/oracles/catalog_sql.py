@@ -73,7 +73,8 @@ state AS (
          arg_max(ts_ms, k) FILTER (WHERE avg_reason = 'ok') AS last_update_ms,
          arg_max(latitude, k) FILTER (WHERE avg_reason = 'ok') AS latitude,
          arg_max(longitude, k) FILTER (WHERE avg_reason = 'ok') AS longitude,
-         arg_max(average_speed_kmph, k) FILTER (WHERE avg_reason = 'ok') AS average_speed_kmph,
+         arg_max(average_speed_kmph, k) FILTER (WHERE avg_reason = 'ok' AND average_speed_kmph > 0)
+           AS average_speed_kmph,
          arg_max(speed_kmph, k) FILTER (WHERE speed_reason = 'ok') AS current_speed_kmph,
          arg_max(is_speeding, k) FILTER (WHERE speed_reason = 'ok') AS speeding,
          sum(fleet_delta) AS fleet_km

@@ -96,3 +96,16 @@ def test_inactive_logged_only_without_previous_status(spark):
     out = run(spark, [(0, north(1), 0), (180, north(2), 1)])
     assert out[1]["status"] == "inactive"
     assert [e["message"] for e in out[1]["events"]] == ["[Status Update] 7is now INACTIVE."]
+
+
+def test_zero_average_updates_position_but_keeps_stored_average(spark):
+    from gpsweave.operators.views import vehicle_state
+    rows = [(0, north(1), 0), (180, north(2), 1),                 # trip 1: 20 km/h, ends
+            (200, north(3), 0), (20200, north(3.011), 0)]         # trip 2: 0.01 km in 20000 s -> 0.00 km/h
+    lc = lifecycle(pings(spark, rows))
+    out = [r.asDict() for r in lc.orderBy("arrival_key").collect()]
+    assert out[1]["average_speed_kmph"] == 20.0
+    assert out[3]["avg_reason"] == "ok" and out[3]["average_speed_kmph"] == 0.0
+    st = vehicle_state(lc).first()
+    assert st.average_speed_kmph == 20.0                          # not overwritten by 0.0
+    assert st.last_update_ms == out[3]["ts_ms"] and st.latitude == out[3]["latitude"]
