@@ -1,8 +1,9 @@
 """Headline-query timings: one JSON line on stdout.
 
 Runs each headline query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
-on ``local[$BENCH_CPUS]``: one warm-up, then the median of 3 timed runs, each
-executed to completion through the ``noop`` sink (no driver collect).
+on ``local[$BENCH_CPUS]``: a warm-up pass over all queries, then the median of
+3 timed runs of each, executed to completion through the ``noop`` sink (no
+driver collect).
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ def main() -> None:
                           extra={"spark.driver.memory": "8g"})
     qs = queries()
     out = {}
+    for n in names:  # warm-up pass over every query before any timing (JIT, caches)
+        qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for n in names:
-        qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
         times = []
         for _ in range(runs):
             t0 = time.perf_counter()
