@@ -609,5 +609,24 @@ def q_metrics_json_scan(spark, sf_dir):
                        round6(F.col("cache_hit_ratio")).alias("cache_hit_ratio"))
 
 
+# ------------------------------------------------------ the live path
+REPLAY_FILE_SPAN = 2500   # arrival positions per replay file (one micro-batch each)
+
+
+@query("vehicle_stream_replay")
+def q_vehicle_stream_replay(spark, sf_dir):
+    """S1/S2/T1 + the stateful machine in Structured Streaming: the wire
+    messages replayed as files, micro-batch by micro-batch, through the live
+    path and its sinks; the per-ping outputs read back."""
+    from .streaming.live import replay_vehicle_stream, stage_replay_files
+    root = _scratch(spark, "replay")
+    stage_replay_files(FX.messages(FX.trips(spark, sf_dir)), f"{root}/in", REPLAY_FILE_SPAN)
+    out = replay_vehicle_stream(spark, f"{root}/in", f"{root}/out")
+    return out.select("taxi_id", "event_id", "kind", "status", "area_violations", "halt_event",
+                      "total_distance_km", "total_time_s", "avg_reason", "average_speed_kmph",
+                      "speed_reason", "speed_kmph", "speeding_count",
+                      round6(F.col("stored_total")).alias("stored_total"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

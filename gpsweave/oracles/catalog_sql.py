@@ -329,5 +329,25 @@ ORACLES["metrics_json_scan"] = _req_query(
     f"{r6('CAST(cache_hits AS DOUBLE) / nullif(cache_hits + cache_misses, 0)')} AS cache_hit_ratio FROM _m")
 
 
+# ------------------------------------------------------ the live path
+PARSED = """
+parsed AS (
+  SELECT * FROM (
+    SELECT event_id, arrival_key, f[1] AS taxi_id,
+           epoch_ms(try_strptime(f[2], '%Y-%m-%d %H:%M:%S')) AS ts_ms,
+           TRY_CAST(f[4] AS DOUBLE) AS latitude, TRY_CAST(f[3] AS DOUBLE) AS longitude,
+           (trim(f[5]) = '1' OR lower(trim(f[5])) = 'true') AS end_flag,
+           TRY_CAST(f[6] AS DOUBLE) AS produced_ts
+    FROM (SELECT event_id, arrival_key, string_split(message, ',') AS f FROM messages
+          WHERE NOT starts_with(message, 'taxi_id')) m
+  ) p WHERE taxi_id IS NOT NULL AND ts_ms IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
+        AND end_flag IS NOT NULL AND produced_ts IS NOT NULL)"""
+ORACLES["vehicle_stream_replay"] = (
+    f"{with_(TRIPS, MESSAGES, PARSED, lifecycle_ctes('parsed', DEFAULT))}\n"
+    "SELECT taxi_id, event_id, kind, status, area_violations, halt_event, total_distance_km, total_time_s, "
+    f"avg_reason, average_speed_kmph, speed_reason, speed_kmph, speeding_count, {r6('stored_total')} AS stored_total "
+    "FROM lc")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
