@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import zipfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Settings every query of this package assumes. Event time is parsed as UTC;
@@ -15,14 +18,46 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # stateful processors keep several state variables (column families)
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (state machine,
+    stateful processors): zip it once per application and add it with
+    ``addPyFile``, as ``--py-files`` would. Only code goes this way."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    # the streaming Python runners do not see added py-files: send this
+    # package's functions and classes by value in every pickled closure
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="gpsweave-code-"), "gpsweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators need to an existing session."""
+    """Apply the runtime settings the operators need to an existing session
+    and ship the package to the Python workers."""
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
@@ -35,8 +70,6 @@ def build_session(master: str | None = None, app: str = "gpsweave",
         b = b.master(master)
     conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
-    conf["spark.sql.streaming.stateStore.providerClass"] = (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
