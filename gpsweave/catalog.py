@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import DEFAULT, FIXTURE_GRID
-from .functions.geo import round6
-from .functions.geo import grid_id
+from .functions.geo import grid_id, round6
 from .functions.num import idiv
 from .operators import grid as G
 from .operators import joins as J

@@ -1,9 +1,11 @@
-"""Per-vehicle trip operators as chained running aggregates.
+"""Per-vehicle trip operators (T3–T17) as chunked running aggregates.
 
 Each ping is processed in arrival order (``arrival_key, event_id``) per
-vehicle, as the reference's keyed state sees it. Everything here is a column
-expression over running aggregates (``plans/scan.py``), so the whole chain
-shuffles the pings once and splits a hot vehicle over many tasks.
+vehicle, as the reference's keyed state sees it. Every quantity is a running
+aggregate over the vehicle's earlier pings, computed within chunks of arrival
+positions plus a carry from the earlier chunks; the carries come from windows
+over a small per-chunk summary table (see ``ping_steps``). A hot vehicle is
+thus spread over many tasks, and no Python runs in this chain.
 
 Trips are cut by end flags only; the extra reset a vehicle gets after leaving
 the 15 km zone depends on the status machine and lives in ``lifecycle.py``.
