@@ -111,3 +111,12 @@ def test_start_fresh_clears_sink_tables(spark):
     start_fresh(spark, root)
     assert not os.path.exists(f"{root}/events") and not os.path.exists(f"{root}/state")
     assert VersionedTable(f"{root}/state", ["m"], ["m"]).read(spark) is None
+
+
+def test_profile_when_every_file_is_empty(spark):
+    d = tempfile.mkdtemp(prefix="gw-empty-")
+    for i in range(3):
+        open(f"{d}/{i}.txt", "w").close()
+    prof = Q.file_line_profile(S.file_text_lines(spark, d), S.file_listing(spark, d).select("file_name")).first()
+    assert (prof.total_files, prof.total_lines, prof.max_lines, prof.min_lines, prof.empty_files) == (3, 0, 0, 0, 3)
+    assert prof.avg_lines == 0.0
