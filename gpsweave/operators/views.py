@@ -28,22 +28,25 @@ GROUPS = {
 }
 
 
+# source column of each stored field, and the pings that write each group
+_SRC = {"status": "status", "total_distance_km": "stored_total", "ten_km_crossed": "warned",
+        "area_violations": "area_violations", "last_update_ms": "ts_ms", "latitude": "latitude",
+        "longitude": "longitude", "average_speed_kmph": "average_speed_kmph",
+        "current_speed_kmph": "speed_kmph", "speeding": "is_speeding"}
+_WRITES = {"last": None, "ok": "avg_reason = 'ok'", "avg": "avg_reason = 'ok' AND average_speed_kmph > 0",
+           "speed": "speed_reason = 'ok'"}
+
+
 def vehicle_state_partial(lc: DataFrame) -> DataFrame:
     """Per vehicle: each field group at its latest writing ping, with that
     ping's order (``<group>_order``) so partial states can be merged later."""
-    order = F.struct(*ORDER_COLS)
-    src = {"status": "status", "total_distance_km": "stored_total", "ten_km_crossed": "warned",
-           "area_violations": "area_violations", "last_update_ms": "ts_ms", "latitude": "latitude",
-           "longitude": "longitude", "average_speed_kmph": "average_speed_kmph",
-           "current_speed_kmph": "speed_kmph", "speeding": "is_speeding"}
-    cond = {"last": None, "ok": F.col("avg_reason") == "ok",
-            "avg": (F.col("avg_reason") == "ok") & (F.col("average_speed_kmph") > 0),
-            "speed": F.col("speed_reason") == "ok"}
+    order = f"struct({', '.join(ORDER_COLS)})"
     aggs = []
     for g, cols in GROUPS.items():
-        key = order if cond[g] is None else F.when(cond[g], order)
-        aggs.append(F.max_by(F.struct(*[F.col(src[c]).alias(c) for c in cols]), key).alias(g))
-        aggs.append(F.max(key).alias(f"{g}_order"))
+        key = order if _WRITES[g] is None else f"CASE WHEN {_WRITES[g]} THEN {order} END"
+        fields = ", ".join(f"'{c}', {_SRC[c]}" for c in cols)
+        aggs.append(F.expr(f"max_by(named_struct({fields}), {key})").alias(g))
+        aggs.append(F.expr(f"max({key})").alias(f"{g}_order"))
     aggs.append(F.sum("fleet_delta").alias("fleet_km"))
     return lc.groupBy("taxi_id").agg(*aggs)
 
