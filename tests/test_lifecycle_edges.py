@@ -109,3 +109,34 @@ def test_zero_average_updates_position_but_keeps_stored_average(spark):
     st = vehicle_state(lc).first()
     assert st.average_speed_kmph == 20.0                          # not overwritten by 0.0
     assert st.last_update_ms == out[3]["ts_ms"] and st.latitude == out[3]["latitude"]
+
+
+def test_order_ratio_compares_with_previous_ping_not_newest(spark):
+    """ts 10, 30, 20, 25: T3 drops 20 and 25 (below the newest accepted, 30);
+    Q11 counts 25 as in order (it follows 20)."""
+    from gpsweave.operators.prep import order_ratio
+    p = north(1)
+    df = pings(spark, [(10, p, 0), (30, p, 0), (20, p, 0), (25, p, 0)])
+    r = order_ratio(df).first()
+    assert (r.in_order, r.out_of_order) == (3, 1)
+    assert [x["kind"] for x in run(spark, [(10, p, 0), (30, p, 0), (20, p, 0), (25, p, 0)])] == \
+        ["forwarded", "forwarded", "late", "late"]
+
+
+def test_two_excursions_count_and_refund_the_fleet_total(spark):
+    rows = [(0, north(1), 0), (180, north(2), 0),          # in: 1 km, active
+            (240, north(16), 0),                           # out: removed, stored total 0
+            (420, north(3), 0),                            # in: step from the pre-excursion place
+            (600, north(4), 0),
+            (660, north(17), 0),                           # out again
+            (840, north(5), 0)]                            # in again
+    out = run(spark, rows)
+    assert out[0]["status"] is None                        # first ping: no stats row passes yet
+    assert [r["status"] for r in out[1:]] == ["active", "removed", "active", "active", "removed", "active"]
+    assert [r["area_violations"] for r in out] == [0, 0, 1, 1, 1, 2, 2]
+    assert out[3]["fleet_delta"] == 2.0 and out[3]["trip_reset"] == "removal"
+    assert out[6]["fleet_delta"] == 1.0 and out[6]["trip_reset"] == "removal"
+    removals = [e["message"] for r in out for e in r["events"] if e["kind"] == "removal"]
+    assert removals == [
+        "[Removal Alert] Taxi Id:7 removed after exceeding 15km zone. Area violations: 1.",
+        "[Removal Alert] Taxi Id:7 removed after exceeding 15km zone. Area violations: 2."]
