@@ -45,6 +45,19 @@ def main() -> None:
         schema_txt = "; ".join(s.replace(":bigint", "").replace(":string", "").replace(":double", "")
                                .replace(":timestamp_ntz", "").replace(":int", "") for s in schemas)
         lines.append(f"| {name} | " + " | ".join(map(str, counts)) + f" | {schema_txt} |")
+    # formatted plans of a few headline queries (operator tree part)
+    for name in ("interval_metrics", "grid_window", "status_counts"):
+        df = queries()[name](spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
+        text = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        lines += ["", f"## `{name}` (explain formatted, operator tree and scans)", "", "```"]
+        tree, details = text.split("\n\n\n", 1) if "\n\n\n" in text else (text, "")
+        lines += tree.splitlines()[:60]
+        lines += [ln for ln in details.splitlines()
+                  if ln.startswith(("PushedFilters", "ReadSchema", "(")) and ("Scan" in ln or "Pushed" in ln
+                                                                             or "ReadSchema" in ln)][:20]
+        lines.append("```")
     with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
     spark.stop()
