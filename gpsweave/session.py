@@ -31,12 +31,17 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers (state machine,
     stateful processors): zip it once per application and add it with
     ``addPyFile``, as ``--py-files`` would. Only code goes this way."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
     # the streaming Python runners do not see added py-files: send this
     # package's functions and classes by value in every pickled closure
-    cloudpickle.register_pickle_by_value(sys.modules[__package__])
+    if __package__ not in getattr(cloudpickle.cloudpickle, "_PICKLE_BY_VALUE_MODULES", ()):
+        cloudpickle.register_pickle_by_value(sys.modules[__package__])
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:          # a Spark Connect session has no SparkContext
+        sc, app = None, f"connect-{id(spark)}"
+    if app in _SHIPPED:
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="gpsweave-code-"), "gpsweave.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
@@ -47,8 +52,11 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(app)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -90,7 +98,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="gpsweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:          # Spark Connect: the server reads spark.checkpoint.dir
+        pass
     return d
 
 
