@@ -120,3 +120,18 @@ def test_profile_when_every_file_is_empty(spark):
     prof = Q.file_line_profile(S.file_text_lines(spark, d), S.file_listing(spark, d).select("file_name")).first()
     assert (prof.total_files, prof.total_lines, prof.max_lines, prof.min_lines, prof.empty_files) == (3, 0, 0, 0, 3)
     assert prof.avg_lines == 0.0
+
+
+def test_message_sink_file_fallback_roundtrip(spark):
+    from conftest import SF001
+    from gpsweave.operators.parse import parse_pings
+    from gpsweave.sources import fixtures as FX
+    trips = FX.trips(spark, SF001)
+    msgs = FX.messages(trips).join(trips.select("event_id", "taxi_id"), "event_id")
+    path = tempfile.mkdtemp(prefix="gw-msg-") + "/topic"
+    S.message_sink(msgs, path=path)
+    back = spark.read.text(path).withColumnRenamed("value", "message")
+    a = parse_pings(back).select("taxi_id", "ts_ms", "latitude", "longitude", "end_flag")
+    b = parse_pings(msgs).select("taxi_id", "ts_ms", "latitude", "longitude", "end_flag")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
