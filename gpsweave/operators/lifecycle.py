@@ -318,5 +318,8 @@ def lifecycle(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     rows stay in one task by design (see the module docstring).
     """
     df = with_center_distance(pings, cfg).select(*IN_COLS)
-    df = df.repartition("taxi_id").sortWithinPartitions("taxi_id", "arrival_key", "event_id")
+    # the Python step is CPU-bound per row: keep the configured number of
+    # partitions (AQE would coalesce by bytes and starve the Python stage)
+    n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(n, "taxi_id").sortWithinPartitions("taxi_id", "arrival_key", "event_id")
     return df.mapInPandas(lambda it: run_sorted(it, cfg), schema=OUT_SCHEMA)
