@@ -41,3 +41,15 @@ def test_bucketed_join_equals_range_frame_pairs(spark):
     b = interval_join(pings, speeds, bound).select("event_id", "speed_event_id", "speed_kmph")
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_alert_projection_and_console_sink_builder(spark):
+    from gpsweave.streaming.live import alert_stream
+    from gpsweave.streaming.sinks import console_sink
+    lc = lifecycle(trips(spark, SF001))
+    alerts = alert_stream(lc)
+    n = lc.filter("is_speeding").count()
+    assert alerts.count() == n > 0
+    assert alerts.first().alert.startswith("Speeding Alert! TaxiID=")
+    live = spark.readStream.format("rate").load().selectExpr("CAST(value AS STRING) AS line")
+    assert console_sink(live) is not None      # builder only; nothing is started
