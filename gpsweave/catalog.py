@@ -627,5 +627,30 @@ def q_vehicle_stream_replay(spark, sf_dir):
                       round6(F.col("stored_total")).alias("stored_total"))
 
 
+# a replay of history: every ping may be days behind the newest one, so the
+# join keeps its state for the whole replay
+REPLAY_WATERMARK = "3650 days"
+
+
+@query("location_speed_join_stream_replay")
+def q_location_speed_join_stream_replay(spark, sf_dir):
+    """T25 live: the replayed per-ping outputs joined stream-to-stream (same
+    vehicle, speed within +-30 min of the ping), written and read back."""
+    from .streaming.live import location_speed_join_stream, replay_vehicle_stream, stage_replay_files
+    root = _scratch(spark, "replay-join")
+    stage_replay_files(FX.messages(FX.trips(spark, sf_dir)), f"{root}/in", REPLAY_FILE_SPAN)
+    pings = replay_vehicle_stream(spark, f"{root}/in", f"{root}/out")
+    a = spark.readStream.schema(pings.schema).parquet(f"{root}/out/pings")
+    b = spark.readStream.schema(pings.schema).parquet(f"{root}/out/pings")
+    j = location_speed_join_stream(a, b, bound="30 minutes", watermark=REPLAY_WATERMARK)
+    q = (j.writeStream.format("parquet").option("path", f"{root}/pairs")
+         .option("checkpointLocation", f"{root}/pairs_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination(1800)
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{root}/pairs").select(
+        "taxi_id", "event_id", "speed_event_id", "ts_ms", "speed_kmph", "speed_is_speeding", "end_flag")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -348,6 +348,13 @@ ORACLES["vehicle_stream_replay"] = (
     f"avg_reason, average_speed_kmph, speed_reason, speed_kmph, speeding_count, {r6('stored_total')} AS stored_total "
     "FROM lc")
 
+ORACLES["location_speed_join_stream_replay"] = (
+    f"{with_(TRIPS, MESSAGES, PARSED, lifecycle_ctes('parsed', DEFAULT))}\n"
+    "SELECT p.taxi_id, p.event_id, s.event_id AS speed_event_id, p.ts_ms, s.speed_kmph, "
+    "s.is_speeding AS speed_is_speeding, p.end_flag "
+    "FROM lc p JOIN lc s ON s.taxi_id = p.taxi_id AND s.ts_ms BETWEEN p.ts_ms - 1800000 AND p.ts_ms + 1800000 "
+    "WHERE p.kind = 'forwarded' AND s.speed_reason = 'ok'")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
