@@ -41,5 +41,6 @@ def ascii_lower(text: Column) -> Column:
 
 
 def bucket_of(column: str, n: int) -> Column:
-    """crc32 of a column's text, modulo n (the split rule of labelled rows)."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+    """crc32 of a column's text, modulo n (the split rule of labelled rows); null
+    counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -7,7 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_documents
+from .common import read_documents, read_table
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    return contamination(read_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +25,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_documents(spark, sf_dir))
 
 
+def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .brown_lm import brown_scores
+    return brown_scores(read_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_license_scan, op8_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_decontaminate, op2_license_scan, op8_exact_dedup, op10_brown_lm)}
