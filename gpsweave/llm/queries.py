@@ -20,11 +20,21 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read_documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+    return toxicity_scores(read_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
     return exact_dedup(read_documents(spark, sf_dir))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_scores
+    return quality_scores(read_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .brown_lm import brown_scores
     return brown_scores(read_documents(spark, sf_dir))
@@ -32,4 +42,4 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_license_scan, op8_exact_dedup, op10_brown_lm)}
+        op1_decontaminate, op2_license_scan, op3_toxicity, op8_exact_dedup, op9_quality, op10_brown_lm)}
