@@ -3,12 +3,15 @@ whole table and returns its full result."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_documents, read_table
 
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
@@ -25,6 +28,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op4_piece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .piece_fst import encode_documents
+    return encode_documents(read_documents(spark, sf_dir), PIECE_MODEL)
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import conversation_digests
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -51,4 +59,4 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_license_scan, op3_toxicity, op6_chat_format, op8_exact_dedup, op9_quality, op10_brown_lm)}
+        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op6_chat_format, op8_exact_dedup, op9_quality, op10_brown_lm)}
