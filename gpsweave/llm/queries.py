@@ -42,6 +42,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(rows.unionByName(more))
 
 
+def op7_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_index import remove_repeats
+    return remove_repeats(read_documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
     return exact_dedup(read_documents(spark, sf_dir))
@@ -59,4 +64,4 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op6_chat_format, op8_exact_dedup, op9_quality, op10_brown_lm)}
+        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm)}
