@@ -33,6 +33,11 @@ def op4_piece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_documents(spark, sf_dir), PIECE_MODEL)
 
 
+def op5_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .partenum import jaccard_components
+    return jaccard_components(read_documents(spark, sf_dir))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import conversation_digests
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,4 +69,4 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm)}
+        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op5_partenum, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm)}
