@@ -100,10 +100,16 @@ def license_scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES,
     need = [ceil(containment * len(s) - 1e-9) for s in sets]
     vocabulary = sorted({w for s in sets for w in s})
     norm = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("low", ascii_lower(F.col("text")))
+    # one scan: the base columns, the notices' words a text holds, and the lower-cased
+    # text where they are enough for some notice
+    enough = F.lit(False)
+    for w, n in zip(sets, need):
+        enough = enough | (F.size(F.array_intersect(_strings(w), F.col("vocabulary"))) >= n)
     base = written(
-        phrase_places(norm.select("doc_id", F.xxhash64("text").alias("h"), _words(F.col("low")).alias("words")))
-        .withColumn("vocabulary", F.array_intersect(_strings(vocabulary), _tokens(F.col("words"))))
-        .drop("words"), "licenses")
+        phrase_places(norm.withColumn("words", _words(F.col("low"))))
+        .withColumn("vocabulary", F.array_intersect(_tokens(F.col("words")), _strings(vocabulary)))
+        .select("doc_id", F.xxhash64("text").alias("h"), "n_words", "n_base", "first_word", "last_word", "base_list",
+                "vocabulary", F.when(enough, F.col("low")).alias("candidate")), "licenses")
 
     # document frequency of the notices' words over the whole corpus
     count = {r["w"]: r["n"] for r in base.select(F.explode("vocabulary").alias("w"))
@@ -118,14 +124,8 @@ def license_scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES,
             prefixes.append((s[at], i, at, len(s), need[i], s, notices[i][1]))
     prefix = spark.createDataFrame(prefixes, "token string, notice int, at int, size int, need int, words array<string>, label string")
 
-    # blocks only of texts that hold enough words of some notice
-    enough = F.lit(False)
-    for s, n in zip(sets, need):
-        enough = enough | (F.size(F.array_intersect(_strings(s), F.col("held"))) >= n)
-    blocks = (norm.select("doc_id", F.xxhash64("text").alias("h"), "low",
-                          F.array_intersect(_strings(order), _tokens(_words(F.col("low")))).alias("held"))
-              .filter(enough)
-              .select("doc_id", "h", F.explode(F.split("low", BLOCK_END)).alias("block"))
+    blocks = (base.filter(F.col("candidate").isNotNull())
+              .select("doc_id", "h", F.explode(F.split("candidate", BLOCK_END)).alias("block"))
               .select("doc_id", "h", F.array_intersect(_strings(order), _tokens(_words(F.col("block")))).alias("block"))
               .filter(F.size("block") >= min(need)))
     pairs = (blocks.select("doc_id", "h", "block", F.size("block").alias("n"), F.posexplode("block").alias("pos", "token"))
@@ -137,7 +137,7 @@ def license_scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES,
     found = written(pairs.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_hash"))
                     .agg(F.collect_set("label").alias("more"), F.max("share").alias("share")), "notices")
     joined = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
-    return (base.join(found, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    return (base.drop("vocabulary", "candidate").join(found, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
             .select("doc_id", "n_words", "n_base", "first_word", "last_word",
                     joined(F.col("base_list")).alias("base_labels"),
                     joined(F.concat("base_list", F.coalesce("more", _strings([])))).alias("labels"),
