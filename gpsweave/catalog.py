@@ -18,13 +18,14 @@ from .functions.geo import grid_id, round6
 from .functions.num import idiv
 from .operators import grid as G
 from .operators import joins as J
-from .operators import lifecycle as L
+from .operators import machine as X
 from .operators import opsmetrics as M
 from .operators import parse as P
 from .operators import prep as Q
+from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
-from .plans.materialize import materialize
+from .plans.scan import Running, keyed_scan
 from .session import configure, scratch_path
 from .sources import files as FS
 from .sources import fixtures as FX
@@ -45,119 +46,145 @@ def query(name: str):
     return deco
 
 
-def _steps(spark, sf_dir, cfg=DEFAULT):
-    return T.ping_steps(FX.trips(spark, sf_dir, cfg), cfg)
+def _pings(spark, sf_dir):
+    return FX.trips(spark, sf_dir)
+
+
+def _fence(spark, sf_dir, cfg=DEFAULT):
+    return T.fence_steps(_pings(spark, sf_dir), cfg)
+
+
+def _trips(spark, sf_dir):
+    return X.trip_chain(_pings(spark, sf_dir))
+
+
+def _speeds(spark, sf_dir):
+    return S.speed_chain(_pings(spark, sf_dir))
+
+
+def _state(spark, sf_dir):
+    return V.vehicle_state(_trips(spark, sf_dir), _speeds(spark, sf_dir))
+
+
+def _stored(df, name):
+    """A result that a plan reads twice, written once to the shared folder."""
+    path = _scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# ---------------------------------------------------------- geofence (chunked)
+# a few pings per chunk: at any scale these two queries cross chunk borders
+BORDERS = DEFAULT.with_(scan_chunk_rows=3)
 
 
-# ---------------------------------------------------------------- trips (W)
 @query("late_filter")
 def q_late_filter(spark, sf_dir):
     """Per ping, whether it is accepted (not older than the newest before)."""
-    return T.late_filter(FX.trips(spark, sf_dir)).select("taxi_id", "event_id", "ts_ms", "accepted")
+    return T.late_filter(_pings(spark, sf_dir)).select("taxi_id", "event_id", "ts_ms", "accepted")
+
+
+@query("late_filter_chunk_borders")
+def q_late_filter_chunk_borders(spark, sf_dir):
+    """T3 with three pings per chunk: the carries decide."""
+    return T.late_filter(_pings(spark, sf_dir), BORDERS).select("taxi_id", "event_id", "ts_ms", "accepted")
 
 
 @query("distance_from_center")
 def q_distance_from_center(spark, sf_dir):
     """T4: distance from the centre of every accepted ping."""
-    s = _steps(spark, sf_dir)
-    return s.filter("accepted").select("taxi_id", "event_id",
-                                       round6(F.col("d_center_km")).alias("d_center_km"))
+    return _fence(spark, sf_dir).filter("accepted").select(
+        "taxi_id", "event_id", round6(F.col("d_center_km")).alias("d_center_km"))
 
 
 @query("geofence_discard")
 def q_geofence_discard(spark, sf_dir):
     """T5: the pings forwarded after dropping late ones and those beyond 15 km."""
-    s = _steps(spark, sf_dir)
-    return s.filter("forwarded").select("taxi_id", "event_id", "ts_ms", "latitude", "longitude")
+    return _fence(spark, sf_dir).filter("forwarded").select("taxi_id", "event_id", "ts_ms", "latitude", "longitude")
 
 
 @query("area_violation_count")
 def q_area_violation_count(spark, sf_dir):
     """Running count of beyond-15-km pings, on each such ping."""
-    s = _steps(spark, sf_dir)
-    return s.filter("discarded").select("taxi_id", "event_id",
-                                        F.col("area_violations").cast("long").alias("area_violations"))
+    return _fence(spark, sf_dir).filter("discarded").select("taxi_id", "event_id", "area_violations")
 
 
 @query("geofence_transitions")
 def q_geofence_transitions(spark, sf_dir):
     """Warn on crossing 10 km outwards, reset on coming back."""
-    s = _steps(spark, sf_dir)
-    return s.filter(F.col("area_event").isNotNull()).select(
+    return _fence(spark, sf_dir).filter(F.col("area_event").isNotNull()).select(
         "taxi_id", "event_id", "area_event", round6(F.col("d_center_km")).alias("d_center_km"))
 
 
+@query("fence_chunk_borders")
+def q_fence_chunk_borders(spark, sf_dir):
+    """T3-T7 with three pings per chunk: the carries decide."""
+    return _fence(spark, sf_dir, BORDERS).select("taxi_id", "event_id", "accepted", "forwarded", "area_violations", "area_event")
+
+
+# ------------------------------------------------- trip and status machine
 @query("step_distance")
 def q_step_distance(spark, sf_dir):
-    """Km and whole seconds from the previous forwarded ping of the trip."""
-    s = _steps(spark, sf_dir)
-    return s.filter("has_step").select("taxi_id", "event_id",
-                                       round6(F.col("step_km")).alias("step_km"), "step_s")
+    """Km and whole seconds of every step within a trip."""
+    return _trips(spark, sf_dir).filter("has_step").select(
+        "taxi_id", "event_id", round6(F.col("step_km")).alias("step_km"), "step_s")
 
 
 @query("trip_stats")
 def q_trip_stats(spark, sf_dir):
-    """Running trip distance (cents) and time on every forwarded ping."""
-    s = _steps(spark, sf_dir)
-    return s.filter("forwarded").select(
-        "taxi_id", "event_id", "ts_ms", F.col("trip_no").cast("long").alias("trip_no"),
-        "total_distance_km", "total_time_s", "latitude", "longitude", "produced_ts")
+    """Running trip distance (cents) and time on every forwarded ping."""
+    return _trips(spark, sf_dir).filter("kind = 'forwarded'").select(
+        "taxi_id", "event_id", "ts_ms", "trip_no", "total_distance_km", "total_time_s", "latitude", "longitude", "produced_ts")
 
 
 @query("halt_detection")
 def q_halt_detection(spark, sf_dir):
     """Halt after 180 cumulative still seconds, resume on a moving step."""
-    s = _steps(spark, sf_dir)
-    return s.filter(F.col("halt_event").isNotNull()).select(
-        "taxi_id", "event_id", "halt_event", F.col("still_s_total").cast("long").alias("still_s_total"))
+    return _trips(spark, sf_dir).filter(F.col("halt_event").isNotNull()).select(
+        "taxi_id", "event_id", "halt_event", "still_s_total", "status")
+
+
+@query("trip_resets")
+def q_trip_resets(spark, sf_dir):
+    """Pings after which the trip totals are cleared, and why."""
+    return _trips(spark, sf_dir).filter(F.col("trip_reset").isNotNull()).select(
+        "taxi_id", "event_id", "trip_reset", "total_distance_km", "total_time_s")
 
 
 @query("average_speed")
 def q_average_speed(spark, sf_dir):
     """Average trip speed where the gate passes (time >= 2 s, distance >= 0.01 km, <= 300 km/h)."""
-    s = _steps(spark, sf_dir)
-    return s.filter(F.col("avg_reason") == "ok").select(
+    return _trips(spark, sf_dir).filter("avg_reason = 'ok'").select(
         "taxi_id", "event_id", "ts_ms", "total_distance_km", "total_time_s", "average_speed_kmph")
 
 
 @query("stats_line")
 def q_stats_line(spark, sf_dir):
     """The printed statistics line of each passing stats row."""
-    s = _steps(spark, sf_dir).filter(F.col("avg_reason") == "ok")
-    return s.select("taxi_id", "event_id", F.concat(
+    return _trips(spark, sf_dir).filter("avg_reason = 'ok'").select("taxi_id", "event_id", F.concat(
         F.lit("Taxi ID: "), F.col("taxi_id"),
         F.lit(" | Total Distance: "), F.col("total_distance_km").cast("string"), F.lit(" km"),
         F.lit("| Average Speed: "), F.col("average_speed_kmph").cast("string"), F.lit(" km/h"),
     ).alias("line"))
 
 
-# ------------------------------------------------- state machine (exact, R)
-def _lc(spark, sf_dir, cfg=DEFAULT):
-    return L.lifecycle(FX.trips(spark, sf_dir, cfg), cfg)
-
-
-def _state(spark, sf_dir):
-    return V.vehicle_state(_lc(spark, sf_dir))
-
-
 @query("instant_speed")
 def q_instant_speed(spark, sf_dir):
     """Speed against the anchor (last ping that passed the speed gates)."""
-    return _lc(spark, sf_dir).filter(F.col("speed_reason") == "ok").select(
+    return _speeds(spark, sf_dir).filter("speed_reason = 'ok'").select(
         "taxi_id", "event_id", "ts_ms", "speed_kmph", "is_speeding")
 
 
 @query("speeding_flag_count")
 def q_speeding_flag_count(spark, sf_dir):
     """Running count of speeding outputs per vehicle, reset at trip end."""
-    return _lc(spark, sf_dir).filter(F.col("is_speeding")).select(
-        "taxi_id", "event_id", "speeding_count")
+    return _speeds(spark, sf_dir).filter("is_speeding").select("taxi_id", "event_id", "speeding_count")
 
 
 @query("speed_outputs")
 def q_speed_outputs(spark, sf_dir):
     """The side output of the speed operator, with the 0.5 km grid cell."""
-    return _lc(spark, sf_dir).filter(F.col("speed_reason") == "ok").select(
+    return _speeds(spark, sf_dir).filter("speed_reason = 'ok'").select(
         "taxi_id", "event_id", "ts_ms", "latitude", "longitude", "speed_kmph",
         grid_id(F.col("latitude"), F.col("longitude")).alias("grid_id"))
 
@@ -165,78 +192,56 @@ def q_speed_outputs(spark, sf_dir):
 @query("speeding_alert")
 def q_speeding_alert(spark, sf_dir):
     """Alert text for every speeding output."""
-    return _lc(spark, sf_dir).filter(F.col("is_speeding")).select(
-        "taxi_id", "event_id", F.concat(F.lit("Speeding Alert! TaxiID="), F.col("taxi_id"),
-                                        F.lit(" | Speed="), F.col("speed_kmph").cast("string"),
-                                        F.lit(" km/h")).alias("alert"))
+    return _speeds(spark, sf_dir).filter("is_speeding").select("taxi_id", "event_id", S.alert_text().alias("alert"))
 
 
 @query("reject_reasons")
 def q_reject_reasons(spark, sf_dir):
     """How many pings each gate dropped or skipped."""
-    lc = _lc(spark, sf_dir)
-    reason = F.explode(F.array(
+    trip = F.explode(F.array_compact(F.array(
         F.when(F.col("kind") == "late", F.lit("out_of_order")),
         F.when(F.col("kind") == "discarded", F.lit("discarded_beyond_15km")),
-        F.when(F.col("avg_reason") != "ok", F.col("avg_reason")),
-        F.when(F.col("speed_reason").isin("speed_skipped", "speed_unrealistic"), F.col("speed_reason"))))
-    return (lc.select(reason.alias("reason")).filter(F.col("reason").isNotNull())
-            .groupBy("reason").agg(F.count("*").alias("pings")))
+        F.when(F.col("avg_reason") != "ok", F.col("avg_reason")))))
+    speed = _speeds(spark, sf_dir).filter(F.col("speed_reason").isin("speed_skipped", "speed_unrealistic"))
+    reasons = _trips(spark, sf_dir).select(trip.alias("reason")).unionByName(speed.select(F.col("speed_reason").alias("reason")))
+    return reasons.groupBy("reason").agg(F.count("*").alias("pings"))
 
 
 @query("removal_events")
 def q_removal_events(spark, sf_dir):
     """Removal messages, only on a change of status to removed."""
-    return V.event_log(_lc(spark, sf_dir)).filter(F.col("kind") == "removal").select(
-        "taxi_id", "event_id", "message")
-
-
-@query("trip_resets")
-def q_trip_resets(spark, sf_dir):
-    """T15 (exact): pings after which the trip totals are cleared, and why."""
-    return _lc(spark, sf_dir).filter(F.col("trip_reset").isNotNull()).select(
-        "taxi_id", "event_id", "trip_reset", "total_distance_km", "total_time_s")
-
-
-@query("average_speed_exact")
-def q_average_speed_exact(spark, sf_dir):
-    """T17 with the reference's full reset rules (end flag and zone removal)."""
-    return _lc(spark, sf_dir).filter(F.col("avg_reason") == "ok").select(
-        "taxi_id", "event_id", "ts_ms", "total_distance_km", "total_time_s", "average_speed_kmph")
-
-
-@query("halt_events_exact")
-def q_halt_events_exact(spark, sf_dir):
-    """T14 (exact): halt / resume events with the steps the machine really takes."""
-    return _lc(spark, sf_dir).filter(F.col("halt_event").isNotNull()).select(
-        "taxi_id", "event_id", "halt_event", "status")
+    return (_trips(spark, sf_dir).select("taxi_id", "event_id", F.explode("events").alias("e"))
+            .filter("e.kind = 'removal'").select("taxi_id", "event_id", "e.message"))
 
 
 @query("status_machine")
 def q_status_machine(spark, sf_dir):
     """V2: every status transition (active / inactive / halted / removed)."""
-    lc = _lc(spark, sf_dir)
-    return lc.filter(~F.col("status").eqNullSafe(F.col("status_before"))).select(
+    return _trips(spark, sf_dir).filter(~F.col("status").eqNullSafe(F.col("status_before"))).select(
         "taxi_id", "event_id", "status_before", "status")
 
 
+def _trip_state(spark, sf_dir):
+    """The state without its speed fields: no speed anchor needed."""
+    return V.vehicle_state_partial(_trips(spark, sf_dir), V.TRIP_GROUPS).select("taxi_id", "last.*", "ok.*", "avg.*")
+
+
 @query("status_counts")
 def q_status_counts(spark, sf_dir):
     """V3: vehicles per final status."""
-    return V.status_counts(_state(spark, sf_dir))
+    return V.status_counts(_trip_state(spark, sf_dir))
 
 
 @query("status_members")
 def q_status_members(spark, sf_dir):
     """V4: members of each status set."""
-    return V.status_members(_state(spark, sf_dir))
+    return V.status_members(_trip_state(spark, sf_dir))
 
 
 @query("fleet_distance")
 def q_fleet_distance(spark, sf_dir):
     """V5: fleet-wide distance counter."""
-    d = V.fleet_distance(_lc(spark, sf_dir))
-    return d.select(round6(F.col("total_distance_all_km")).alias("total_distance_all_km"))
+    return V.fleet_distance(_trips(spark, sf_dir))
 
 
 @query("violation_members")
@@ -253,18 +258,16 @@ def q_violation_counts(spark, sf_dir):
 
 @query("event_log")
 def q_event_log(spark, sf_dir):
-    """V8: all logged messages with their order keys."""
-    return V.event_log(_lc(spark, sf_dir))
+    """V8: all logged messages, newest first."""
+    return V.newest_first(V.event_log(_trips(spark, sf_dir), _speeds(spark, sf_dir)))
 
 
 @query("vehicle_current")
 def q_vehicle_current(spark, sf_dir):
     """V1: current state row of every vehicle."""
-    st = _state(spark, sf_dir)
-    return st.select("taxi_id", "status", round6(F.col("total_distance_km")).alias("total_distance_km"),
-                     "last_update_ms", "latitude", "longitude", "average_speed_kmph",
-                     "current_speed_kmph", "speeding", "ten_km_crossed",
-                     F.col("area_violations").alias("area_violations"))
+    return _state(spark, sf_dir).select(
+        "taxi_id", "status", "total_distance_km", "last_update_ms", "latitude", "longitude", "average_speed_kmph",
+        "current_speed_kmph", "speeding", "speeding_speed_kmph", "ten_km_crossed", "area_violations")
 
 
 # map rectangle of the in-bounds view (the inner city)
@@ -274,7 +277,7 @@ BOUNDS = (39.85, 116.30, 39.98, 116.50)
 @query("vehicles_in_bounds")
 def q_vehicles_in_bounds(spark, sf_dir):
     """V9: vehicles whose current position is inside a map rectangle."""
-    return V.vehicles_in_bounds(_state(spark, sf_dir), *BOUNDS).select(
+    return V.vehicles_in_bounds(_trip_state(spark, sf_dir), *BOUNDS).select(
         "taxi_id", "latitude", "longitude", "status")
 
 
@@ -282,7 +285,21 @@ def q_vehicles_in_bounds(spark, sf_dir):
 def q_vehicle_lookup(spark, sf_dir):
     """Lookup by violation: the vehicles whose latest speed output was speeding."""
     return V.vehicle_lookup(_state(spark, sf_dir), violation="speeding").select(
-        "taxi_id", "status", "current_speed_kmph")
+        "taxi_id", "status", "current_speed_kmph", "speeding_speed_kmph")
+
+
+@query("vehicle_lookup_by_status")
+def q_vehicle_lookup_by_status(spark, sf_dir):
+    """Lookup by status: the halted vehicles."""
+    return V.vehicle_lookup(_state(spark, sf_dir), status="halted").select(
+        "taxi_id", "status", "latitude", "longitude", "current_speed_kmph")
+
+
+@query("vehicle_lookup_by_id")
+def q_vehicle_lookup_by_id(spark, sf_dir):
+    """Lookup by id: one vehicle's state row."""
+    return V.vehicle_lookup(_state(spark, sf_dir), taxi_id=7).select(
+        "taxi_id", "status", "total_distance_km", "average_speed_kmph", "current_speed_kmph")
 
 
 @query("fleet_dashboard")
@@ -290,15 +307,14 @@ def q_fleet_dashboard(spark, sf_dir):
     """One row of dashboard figures."""
     d = V.fleet_dashboard(_state(spark, sf_dir))
     return d.select(*V.STATUSES, round6(F.col("mean_average_speed_kmph")).alias("mean_average_speed_kmph"),
-                    "speeding_vehicles", "area_violation_vehicles",
-                    round6(F.col("total_distance_all_km")).alias("total_distance_all_km"))
+                    "speeding_vehicles", "area_violation_vehicles", "driving_vehicles", "total_distance_all_km")
 
 
 @query("vehicle_removed_key")
 def q_vehicle_removed_key(spark, sf_dir):
     """The state after deleting the vehicles whose final status is removed."""
     # the served state (one row per vehicle) is read twice: write it once
-    st = materialize(_state(spark, sf_dir))
+    st = _stored(_trip_state(spark, sf_dir).select("taxi_id", "status"), "state")
     gone = st.filter(F.col("status") == "removed").select("taxi_id")
     return V.remove_vehicles(st, gone).select("taxi_id", "status")
 
@@ -415,7 +431,7 @@ def q_stamp_message(spark, sf_dir):
 
 # ------------------------------------------------------------------- grid
 def _grid_speeds(spark, sf_dir):
-    return FX.grid_speeds(spark, sf_dir, FX.trips(spark, sf_dir))
+    return FX.grid_speeds(FX.trips(spark, sf_dir))
 
 
 def _cells(spark, sf_dir):
@@ -425,14 +441,14 @@ def _cells(spark, sf_dir):
 @query("grid_id")
 def q_grid_id(spark, sf_dir):
     """G1: 0.5 km cell of every forwarded ping."""
-    s = _steps(spark, sf_dir).filter("forwarded")
+    s = _fence(spark, sf_dir).filter("forwarded")
     return G.with_grid_id(s).select("taxi_id", "event_id", "grid_id")
 
 
 @query("grid_bounds")
 def q_grid_bounds(spark, sf_dir):
     """Corners of every 0.5 km cell that received a forwarded ping."""
-    s = _steps(spark, sf_dir).filter("forwarded")
+    s = _fence(spark, sf_dir).filter("forwarded")
     cells = G.with_grid_bounds(G.with_grid_id(s).select("grid_id").distinct())
     return cells.select("grid_id", *[round6(F.col(c)).alias(c) for c in
                                      ("bottom_left_lat", "bottom_left_lon", "top_right_lat", "top_right_lon")])
@@ -461,14 +477,14 @@ def q_grid_snapshot(spark, sf_dir):
     return snap.select("grid_id", *[round6(F.col(c)).alias(c) for c in
                                     ("bottom_left_lat", "bottom_left_lon", "top_right_lat", "top_right_lon",
                                      "avg_speed_kmph")],
-                       "vehicles", "traffic_status", F.unix_seconds("updated_at").alias("updated_at_s"))
+                       "avg_speed_text", "vehicles", "traffic_status", F.unix_seconds("updated_at").alias("updated_at_s"))
 
 
 @query("recent_grids")
 def q_recent_grids(spark, sf_dir):
-    """The 20 most recently updated cells (top-k report)."""
+    """Every cell's latest snapshot, most recently updated first."""
     snap = G.grid_snapshot(_cells(spark, sf_dir), FIXTURE_GRID)
-    r = G.recent_grids(snap, 20)
+    r = G.recent_grids(snap)
     return r.select("grid_id", F.unix_seconds("updated_at").alias("updated_at_s"), "vehicles",
                     "traffic_status")
 
@@ -476,12 +492,14 @@ def q_recent_grids(spark, sf_dir):
 @query("grid_moves")
 def q_grid_moves(spark, sf_dir):
     """Speed outputs whose 0.5 km cell differs from the vehicle's previous one."""
-    sp = G.with_grid_id(_lc(spark, sf_dir).filter(F.col("speed_reason") == "ok"))
-    return G.grid_moves(sp).select("taxi_id", "event_id", "prev_grid_id", "grid_id")
+    sp = G.with_grid_id(_speeds(spark, sf_dir).filter("speed_reason = 'ok'"))
+    return G.grid_moves(_stored(sp.select("taxi_id", "event_id", "arrival_key", "grid_id"), "speed-cells")).select("taxi_id", "event_id", "prev_grid_id", "grid_id")
 
 
 # ------------------------------------------------------------- ops metrics
 HOUR = 3600
+# columns of the metric log
+LOG_COLUMNS = ["operator_name", "latency_ms", "throughput", "cache_hits", "cache_misses", "cache_hit_ratio"]
 
 
 def _req(spark, sf_dir):
@@ -531,8 +549,8 @@ def q_flatten_endpoints(spark, sf_dir):
 
 @query("metric_series")
 def q_metric_series(spark, sf_dir):
-    """M5: (operator, metric, time, value) series of the interval metrics."""
-    s = M.metric_series(M.interval_metrics(_req(spark, sf_dir), HOUR))
+    """M5: (operator, metric, time, value) series of every column of the metric log."""
+    s = M.metric_series(M.interval_metrics(_req(spark, sf_dir), HOUR).select("interval_start", *LOG_COLUMNS))
     return s.select("operator_name", "metric", F.unix_seconds("interval_start").alias("interval_start_s"),
                     round6(F.col("value")).alias("value"))
 
@@ -543,13 +561,29 @@ def q_error_log(spark, sf_dir):
     return M.error_log(_req(spark, sf_dir))
 
 
+def _processed_stats(spark, sf_dir):
+    """Passing stats rows with the time they were produced and processed. The
+    stream's clock when a ping arrives is the newest production time among the
+    pings that have arrived, so a ping that arrives late has a latency."""
+    pings = _pings(spark, sf_dir).withColumn("_all", F.lit(1))
+    clock = keyed_scan(pings, ["_all"], ["arrival_key", "event_id"], idiv(F.col("arrival_key"), 4096),
+                       [Running("processed_us", "max", F.col("us"))], chunk_col="_achunk").drop("_all", "_achunk")
+    return X.trip_chain(clock).filter("avg_reason = 'ok'").select(
+        "taxi_id", "event_id", idiv(F.col("processed_us"), 1000).alias("processed_ms"), idiv(F.col("us"), 1000).alias("produced_ms"))
+
+
 @query("end_to_end_latency")
 def q_end_to_end_latency(spark, sf_dir):
-    """Latency of each written stats row, processed at the end of its 5 s interval."""
-    lc = _lc(spark, sf_dir).filter(F.col("avg_reason") == "ok")
-    produced_ms = (F.col("produced_ts") * 1000).cast("long")
-    processed_ms = (idiv(produced_ms, 5000) + 1) * 5000
-    return lc.select("taxi_id", "event_id", (processed_ms - produced_ms).alias("latency_ms"))
+    """Latency of each written stats row, from production to processing."""
+    return _processed_stats(spark, sf_dir).select(
+        "taxi_id", "event_id", (F.col("processed_ms") - F.col("produced_ms")).alias("latency_ms"))
+
+
+@query("latency_metrics")
+def q_latency_metrics(spark, sf_dir):
+    """T23 in M1: mean latency and throughput of the stats rows per hour."""
+    m = M.latency_metrics(_processed_stats(spark, sf_dir), HOUR)
+    return m.select("interval_start_s", "latency_ms", round6(F.col("throughput")).alias("throughput"), "messages")
 
 
 # the fixture's override of the reference's 5 s interval (FIXTURES.md)
@@ -559,10 +593,11 @@ JOIN_BOUND_MS = 30 * 60 * 1000
 @query("location_speed_interval_join")
 def q_location_speed_interval_join(spark, sf_dir):
     """Forwarded pings joined with the same vehicle's speeds within +-30 min."""
-    lc = _lc(spark, sf_dir).select("taxi_id", "event_id", "ts_ms", "latitude", "longitude", "end_flag", "kind",
-                                   "speed_reason", F.col("speed_kmph").alias("kmph"), "is_speeding")
-    j = J.interval_pairs(lc, F.col("kind") == "forwarded", F.col("speed_reason") == "ok", JOIN_BOUND_MS,
-                         ["event_id", "ts_ms", "kmph", "is_speeding"])
+    pings = X.kinds(_pings(spark, sf_dir)).filter("kind = 'forwarded'").select(
+        "taxi_id", "event_id", "ts_ms", "latitude", "longitude", "end_flag")
+    speeds = _speeds(spark, sf_dir).filter("speed_reason = 'ok'").select(
+        "taxi_id", "event_id", "ts_ms", F.col("speed_kmph").alias("kmph"), "is_speeding")
+    j = J.interval_join(pings, _stored(speeds, "speeds"), JOIN_BOUND_MS)
     return j.select("taxi_id", "event_id", "speed_event_id", "ts_ms", F.col("speed_kmph"), "speed_is_speeding",
                     "end_flag", grid_id(F.col("latitude"), F.col("longitude")).alias("grid_id"))
 
@@ -608,46 +643,67 @@ def q_metrics_json_scan(spark, sf_dir):
                        round6(F.col("cache_hit_ratio")).alias("cache_hit_ratio"))
 
 
+@query("file_report")
+def q_file_report(spark, sf_dir):
+    """State and lines of every listed raw file, empty ones named."""
+    path = _scratch(spark, "listed")
+    lines = FX.file_lines(FX.trips(spark, sf_dir)).select(F.col("line").alias("value"), F.regexp_replace("file_name", "[.]txt$", "").alias("vehicle"))
+    lines.hint("rebalance", "vehicle").write.partitionBy("vehicle").text(path)
+    r = FS.file_report(spark, path + "/*", glob="*.txt")
+    return r.groupBy("state").agg(F.sum("lines").cast("long").alias("lines"))
+
+
 # ------------------------------------------------------ the live path
-REPLAY_FILE_SPAN = 2500   # arrival positions per replay file (one micro-batch each)
+REPLAY_STEPS = 4   # runs of the stream over what has arrived so far
+
+
+def _replayed(spark, sf_dir):
+    from .streaming.live import replay_vehicle_stream
+    root = _scratch(spark, "replay")
+    replay_vehicle_stream(FX.messages(FX.trips(spark, sf_dir)), root, REPLAY_STEPS)
+    return root
 
 
 @query("vehicle_stream_replay")
 def q_vehicle_stream_replay(spark, sf_dir):
-    """S1/S2/T1 + the stateful machine in Structured Streaming: the wire
-    messages replayed as files, micro-batch by micro-batch, through the live
-    path and its sinks; the per-ping outputs read back."""
-    from .streaming.live import replay_vehicle_stream, stage_replay_files
-    root = _scratch(spark, "replay")
-    stage_replay_files(FX.messages(FX.trips(spark, sf_dir)), f"{root}/in", REPLAY_FILE_SPAN)
-    out = replay_vehicle_stream(spark, f"{root}/in", f"{root}/out")
+    """S1/S2/T1 + the stateful machine in Structured Streaming: wire messages
+    arrive in several parts, each taken by a run of the stream that goes on from
+    the checkpoint; the per-ping outputs read back."""
+    out = spark.read.parquet(f"{_replayed(spark, sf_dir)}/out/pings")
     return out.select("taxi_id", "event_id", "kind", "status", "area_violations", "halt_event",
                       "total_distance_km", "total_time_s", "avg_reason", "average_speed_kmph",
-                      "speed_reason", "speed_kmph", "speeding_count",
-                      round6(F.col("stored_total")).alias("stored_total"))
+                      "speed_reason", "speed_kmph", "speeding_count", "stored_total")
+
+
+@query("vehicle_state_stream_replay")
+def q_vehicle_state_stream_replay(spark, sf_dir):
+    """The served vehicle state after the replayed stream, merged
+    from the partial states its sink appended."""
+    from .streaming.sinks import read_vehicle_state
+    st = read_vehicle_state(spark, f"{_replayed(spark, sf_dir)}/out")
+    return st.select("taxi_id", "status", "total_distance_km", "last_update_ms", "average_speed_kmph",
+                     "current_speed_kmph", "speeding", "speeding_speed_kmph", "ten_km_crossed", "area_violations",
+                     (F.col("fleet_cents") / 100.0).alias("fleet_km"))
 
 
-# a replay of history: every ping may be days behind the newest one, so the
-# join keeps its state for the whole replay
-REPLAY_WATERMARK = "3650 days"
+@query("event_log_stream_replay")
+def q_event_log_stream_replay(spark, sf_dir):
+    """The event log the replayed stream appended."""
+    return spark.read.parquet(f"{_replayed(spark, sf_dir)}/out/events").select(
+        "taxi_id", "event_id", "arrival_key", "sub", "kind", "message")
 
 
 @query("location_speed_join_stream_replay")
 def q_location_speed_join_stream_replay(spark, sf_dir):
     """T25 live: the replayed per-ping outputs joined stream-to-stream (same
     vehicle, speed within +-30 min of the ping), written and read back."""
-    from .streaming.live import location_speed_join_stream, replay_vehicle_stream, stage_replay_files
-    root = _scratch(spark, "replay-join")
-    stage_replay_files(FX.messages(FX.trips(spark, sf_dir)), f"{root}/in", REPLAY_FILE_SPAN)
-    pings = replay_vehicle_stream(spark, f"{root}/in", f"{root}/out")
-    a = spark.readStream.schema(pings.schema).parquet(f"{root}/out/pings")
-    b = spark.readStream.schema(pings.schema).parquet(f"{root}/out/pings")
-    j = location_speed_join_stream(a, b, bound="30 minutes", watermark=REPLAY_WATERMARK)
-    q = (j.writeStream.format("parquet").option("path", f"{root}/pairs")
-         .option("checkpointLocation", f"{root}/pairs_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(1800)
-    if q.exception() is not None:
-        raise q.exception()
+    from .streaming.live import finish, location_speed_join_stream
+    root = _replayed(spark, sf_dir)
+    schema = spark.read.parquet(f"{root}/out/pings").schema
+    a, b = (spark.readStream.schema(schema).parquet(f"{root}/out/pings") for _ in range(2))
+    j = location_speed_join_stream(a, b, JOIN_BOUND_MS, watermark="2 hours")
+    finish(j.writeStream.format("parquet").option("path", f"{root}/pairs")
+           .option("checkpointLocation", f"{root}/pairs_checkpoint"))
     return spark.read.parquet(f"{root}/pairs").select(
         "taxi_id", "event_id", "speed_event_id", "ts_ms", "speed_kmph", "speed_is_speeding", "end_flag")
 

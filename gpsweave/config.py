@@ -44,16 +44,9 @@ class FleetConfig:
     # operational metric interval in seconds
     metric_interval_s: int = 5
     # --- engine parameters (ours, not the reference's) ---
-    # chunking of the per-vehicle scans (see plans/scan.py): arrival positions
-    # are cut into buckets of ``scan_chunk_span``. A chunk holds at most
-    # span x (the vehicle's share of arrivals) rows: 2^22 positions give
-    # ~1.4 M rows to a vehicle with a third of all pings and ~400 rows to one
-    # with 1e-4 of them (rule: span ~ target rows per chunk / largest share).
-    # With ``scan_chunk_rows`` > 0 the buckets are split further by density
-    # (``density_chunks``): about that many rows per chunk for any share, at the
-    # cost of one narrow counting pass.
-    scan_chunk_span: int = 1 << 22
-    scan_chunk_rows: int = 0
+    # chunking of the per-vehicle scans (plans/scan.py): about this many of a
+    # vehicle's own pings per chunk, for any vehicle and any data size
+    scan_chunk_rows: int = 1 << 20
 
     def with_(self, **kw) -> "FleetConfig":
         return replace(self, **kw)

@@ -18,21 +18,10 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def haversine_km(lat1, lon1, lat2, lon2, cfg: FleetConfig = DEFAULT) -> Column:
-    """Great-circle distance in km between two points given in degrees."""
-    lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
-    half_dlat = ((lat2 - lat1) * DEG_TO_RAD) / 2
-    half_dlon = ((lon2 - lon1) * DEG_TO_RAD) / 2
-    a = (F.sin(half_dlat) * F.sin(half_dlat)
-         + F.cos(lat1 * DEG_TO_RAD) * F.cos(lat2 * DEG_TO_RAD)
-         * F.sin(half_dlon) * F.sin(half_dlon))
-    return F.lit(cfg.earth_radius_km) * (2 * F.atan2(F.sqrt(a), F.sqrt(1 - a)))
-
-
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, cfg: FleetConfig = DEFAULT) -> str:
-    """The same formula as ``haversine_km`` as Spark SQL text over column
-    expressions given as text (``F.expr`` builds it in one call instead of one
-    driver round trip per operator)."""
+    """Great-circle distance in km between two points given in degrees, as Spark
+    SQL text over column expressions given as text (``F.expr`` builds it in one
+    call instead of one driver round trip per operator)."""
     d2r = f"{DEG_TO_RAD!r}D"
     hl = f"((({lat2}) - ({lat1})) * {d2r}) / 2"
     hn = f"((({lon2}) - ({lon1})) * {d2r}) / 2"

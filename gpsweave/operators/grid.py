@@ -11,16 +11,16 @@ shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
 from ..functions.geo import grid_bounds, grid_id
+from ..plans.scan import Running, keyed_scan, row_chunks
 
 # --- fixed values: traffic status rule of the reference, in order ---
-CONGESTED_BELOW, CONGESTED_MIN_VEHICLES = 5.0, 3
-MODERATE_BELOW, MODERATE_MIN_VEHICLES = 15.0, 3
-MODERATE_SPARSE_BELOW, MODERATE_SPARSE_MIN_VEHICLES = 10.0, 2
+# (status, mean speed below, vehicles at least); else FREE_FLOW
+STATUS_RULES = [("CONGESTED", 5.0, 3), ("MODERATE", 15.0, 3), ("MODERATE", 10.0, 2)]
 
 
 def with_grid_id(df: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
@@ -37,11 +37,10 @@ def with_grid_bounds(df: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
 
 def traffic_status(avg_speed, vehicles):
     """CONGESTED / MODERATE / FREE_FLOW from mean speed and vehicle count."""
-    return (F.when((avg_speed < CONGESTED_BELOW) & (vehicles >= CONGESTED_MIN_VEHICLES), F.lit("CONGESTED"))
-            .when((avg_speed < MODERATE_BELOW) & (vehicles >= MODERATE_MIN_VEHICLES), F.lit("MODERATE"))
-            .when((avg_speed < MODERATE_SPARSE_BELOW) & (vehicles >= MODERATE_SPARSE_MIN_VEHICLES),
-                  F.lit("MODERATE"))
-            .otherwise(F.lit("FREE_FLOW")))
+    out = F.lit("FREE_FLOW")
+    for name, below, least in reversed(STATUS_RULES):
+        out = F.when((avg_speed < below) & (vehicles >= least), F.lit(name)).otherwise(out)
+    return out
 
 
 def grid_window(speeds: DataFrame, cfg: FleetConfig = DEFAULT, ts_col: str = "ts",
@@ -75,20 +74,20 @@ def grid_snapshot(cells: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
         F.col("window.end").alias("updated_at"))
 
 
-def recent_grids(snapshots: DataFrame, k: int) -> DataFrame:
-    """The k most recently updated cells with their latest snapshot (top-k)."""
+def recent_grids(snapshots: DataFrame, k: int | None = None) -> DataFrame:
+    """The latest snapshot of every cell, most recently updated first (the
+    first ``k`` of them if asked for)."""
     latest = snapshots.groupBy("grid_id").agg(
         F.max_by(F.struct(*[c for c in snapshots.columns if c != "grid_id"]), F.col("updated_at")).alias("s"))
-    return latest.select("grid_id", "s.*").orderBy(F.col("updated_at").desc(), "grid_id").limit(k)
+    out = latest.select("grid_id", "s.*").orderBy(F.col("updated_at").desc(), "grid_id")
+    return out if k is None else out.limit(k)
 
 
-def grid_moves(speed_rows: DataFrame) -> DataFrame:
+def grid_moves(speed_rows: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """Speed outputs whose cell differs from the vehicle's previous output.
-
-    The speed outputs come from the per-vehicle state machine, which already
-    runs each vehicle in one task; a window on the same key reads that output
-    once (a chunked scan would read it twice and so run the machine twice).
-    """
-    w = Window.partitionBy("taxi_id").orderBy("arrival_key", "event_id")
-    df = speed_rows.withColumn("prev_grid_id", F.lag("grid_id").over(w))
-    return df.filter(F.col("prev_grid_id").isNotNull() & (F.col("prev_grid_id") != F.col("grid_id")))
+    ``speed_rows`` is a written table: the scan reads it for the chunk carries
+    and for the rows."""
+    df = row_chunks(speed_rows, ["taxi_id"], "arrival_key", cfg.scan_chunk_rows)
+    df = keyed_scan(df, ["taxi_id"], ["arrival_key", "event_id"], F.col("_chunk"),
+                    [Running("prev_grid_id", "last", F.col("grid_id"), inclusive=False)])
+    return df.filter(F.col("prev_grid_id").isNotNull() & (F.col("prev_grid_id") != F.col("grid_id"))).drop("_chunk")

@@ -1,21 +1,10 @@
-"""The per-vehicle state machine: speed anchor, status, fleet total, event log.
+"""The per-vehicle state machine ping by ping, for streams.
 
-Two parts of the reference are truly sequential per vehicle and cannot be
-written as running aggregates:
-
-* the instantaneous speed (T18) is measured against an *anchor* that only
-  moves when a ping passes the speed gates, so whether ping k passes depends on
-  which earlier ping passed;
-* the status machine (V2) decides, through the trip reset after leaving the
-  zone and the average-speed gate, which later pings have totals at all.
-
-``VehicleStep.step`` is that machine as one small pure function over one ping.
-Batch runs it with ``mapInPandas`` over pings hash-partitioned by vehicle and
-sorted by arrival (state is carried across Arrow batches, so a vehicle's rows
-are streamed, never collected); streams run the same function inside
-``transformWithStateInPandas`` (``streaming/live.py``). Everything that
-does not need this state (grids, views, metrics, windowed trip operators)
-stays in JVM expressions.
+``VehicleStep.step`` is the whole machine as one function over one ping:
+streams run it inside ``transformWithStateInPandas`` (``streaming/live.py``).
+Batch queries compute the same values as window expressions (``machine.py``)
+and, for the speed anchor, in ``speed.py``; ``lifecycle`` runs this step over a
+batch so that tests can hold the two forms against each other.
 
 Sequential reading of the reference (it is racy across operators; this is
 the consistent order): late filter, geofence, distance/halt, trip reset,
@@ -33,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, FleetConfig
 from ..functions.geo import distance_from_center_km
+from .parse import finite_positions
 
 DEG_TO_RAD = 0.017453292519943295
 
@@ -78,7 +68,7 @@ class VehicleState:
     halt_s: int = 0                    # T13 cumulative still seconds
     halted: bool = False
     status: str | None = None          # V2
-    stored_total: float = 0.0          # V5 stored total of the vehicle
+    stored_cents: int = 0              # V5 stored total of the vehicle
     has_anchor: bool = False           # T18 speed anchor
     anchor_lat: float = 0.0
     anchor_lon: float = 0.0
@@ -96,7 +86,7 @@ STATE_SCHEMA = T.StructType([
     T.StructField("last_ts", T.LongType()), T.StructField("tot_cents", T.LongType()),
     T.StructField("tot_s", T.LongType()), T.StructField("halt_s", T.LongType()),
     T.StructField("halted", T.BooleanType()), T.StructField("status", T.StringType()),
-    T.StructField("stored_total", T.DoubleType()), T.StructField("has_anchor", T.BooleanType()),
+    T.StructField("stored_cents", T.LongType()), T.StructField("has_anchor", T.BooleanType()),
     T.StructField("anchor_lat", T.DoubleType()), T.StructField("anchor_lon", T.DoubleType()),
     T.StructField("anchor_ts", T.LongType()), T.StructField("speeding_count", T.LongType()),
 ])
@@ -129,7 +119,7 @@ OUT_SCHEMA = T.StructType([
     T.StructField("speed_kmph", T.DoubleType()), T.StructField("is_speeding", T.BooleanType()),
     T.StructField("speeding_count", T.LongType()),
     T.StructField("status_before", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("fleet_delta", T.DoubleType()), T.StructField("stored_total", T.DoubleType()),
+    T.StructField("fleet_delta_cents", T.LongType()), T.StructField("stored_total", T.DoubleType()),
     T.StructField("events", T.ArrayType(EVENT)),
 ])
 OUT_COLS = OUT_SCHEMA.names
@@ -161,7 +151,7 @@ class VehicleStep:
         kind = area_event = step_km = step_s = halt_event = None
         total_km = total_s = trip_reset = avg_reason = avg = None
         speed_reason = spd_out = speeding_out = None
-        fleet_delta = 0.0
+        fleet_delta = 0
         ev = _Events()
 
         # Drop pings older than the newest accepted one (ties kept)
@@ -176,7 +166,7 @@ class VehicleStep:
                 if st.status != "removed":
                     st.status = "removed"
                     ev.append("removal", MSG_REMOVED.format(id=tid, n=st.area_count))
-                st.stored_total = 0.0
+                st.stored_cents = 0
             else:
                 kind = "forwarded"
                 # 10 km warning / reset
@@ -197,11 +187,8 @@ class VehicleStep:
                     step_km, step_s = dist, secs
                     if dist > 0:
                         st.tot_cents += math.floor(dist * 100 + 0.5)
-                        total = st.tot_cents / 100.0
-                        delta = total - st.stored_total
-                        st.stored_total = total
-                        if delta > 0:
-                            fleet_delta = delta
+                        fleet_delta = max(0, st.tot_cents - st.stored_cents)
+                        st.stored_cents = st.tot_cents
                     if dist < cfg.min_distance_km:
                         st.halt_s += secs
                         if not st.halted and st.halt_s >= cfg.halt_after_s:
@@ -214,7 +201,8 @@ class VehicleStep:
                         self._set_halt(st, False, tid, ev)
 
                 # Emit the totals, then clear at trip end or while removed
-                total_km, total_s = st.tot_cents / 100.0, st.tot_s
+                written_cents = st.tot_cents
+                total_km, total_s = written_cents / 100.0, st.tot_s
                 if end or st.status == "removed":
                     trip_reset = "end_flag" if end else "removal"
                     st.has_last, st.tot_cents, st.tot_s = False, 0, 0
@@ -230,7 +218,7 @@ class VehicleStep:
                         avg_reason = "average_unrealistic"
                     else:
                         avg_reason, avg = "ok", a
-                        st.stored_total = total_km
+                        st.stored_cents = written_cents
                         if end:
                             if st.status != "inactive":
                                 if st.status is None:
@@ -268,7 +256,7 @@ class VehicleStep:
 
         return (*r, kind, st.area_count, area_event, st.warned, step_km, step_s, halt_event, st.halted,
                 total_km, total_s, trip_reset, avg_reason, avg, speed_reason, spd_out, speeding_out,
-                st.speeding_count, status_before, st.status, fleet_delta, st.stored_total, ev.items)
+                st.speeding_count, status_before, st.status, fleet_delta, st.stored_cents / 100.0, ev.items)
 
 
 class _Events:
@@ -281,11 +269,6 @@ class _Events:
         self.items.append({"sub": len(self.items), "kind": kind, "message": message})
 
 
-def run_rows(machine: "VehicleStep", st: VehicleState, cols: list) -> list:
-    """Step through rows given as column lists (``IN_COLS`` order) of one vehicle."""
-    return [machine.step(st, r) for r in zip(*cols)]
-
-
 def run_sorted(batches, cfg: FleetConfig = DEFAULT):
     """``mapInPandas`` body: batches of one partition sorted by vehicle, arrival.
 
@@ -306,20 +289,14 @@ def run_sorted(batches, cfg: FleetConfig = DEFAULT):
 
 
 def with_center_distance(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
-    """T4 in the JVM, before the rows go to Python."""
-    return pings.withColumn("d_center_km", distance_from_center_km("latitude", "longitude", cfg))
+    """T4 in the JVM, before the rows go to Python; pings without a finite position are dropped."""
+    return finite_positions(pings).withColumn("d_center_km", distance_from_center_km("latitude", "longitude", cfg))
 
 
 def lifecycle(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
-    """One output row per ping (``OUT_SCHEMA``), in batch.
-
-    One shuffle on ``taxi_id``; each task streams its vehicles in arrival
-    order with bounded memory. A vehicle is a strict sequence here, so its
-    rows stay in one task by design (see the module docstring).
-    """
+    """One output row per ping (``OUT_SCHEMA``): the step over a batch, one
+    task per vehicle, in bounded memory. The reference form for tests."""
     df = with_center_distance(pings, cfg).select(*IN_COLS)
-    # the Python step is CPU-bound per row: keep the configured number of
-    # partitions (AQE would coalesce by bytes and starve the Python stage)
     n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df = df.repartition(n, "taxi_id").sortWithinPartitions("taxi_id", "arrival_key", "event_id")
     return df.mapInPandas(lambda it: run_sorted(it, cfg), schema=OUT_SCHEMA)

@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import round_half_up
+from ..functions.num import idiv
 
-METRICS = ("latency_ms", "throughput", "errors", "cache_hit_ratio")
+
+def _micros(seconds: str):
+    """Whole microseconds, so that sums don't depend on the partitioning."""
+    return F.floor(F.col(seconds) * 1e6 + 0.5).cast("long")
 
 
 def _win(interval_s: int):
@@ -27,14 +31,14 @@ def interval_metrics(events: DataFrame, interval_s: int, operator_col: str = "en
     appear (there is no row to group)."""
     ok = ~F.col("is_error")
     m = events.groupBy(_win(interval_s), F.col(operator_col).alias("operator_name")).agg(
-        F.avg(F.when(ok, F.col("latency_s"))).alias("_lat"),
+        F.sum(F.when(ok, _micros("latency_s"))).alias("_micros"),
         F.count_if(ok).alias("messages"),
         F.count_if(F.col("is_error")).alias("errors"),
         F.count_if(F.col("cache_hit")).alias("cache_hits"),
         F.count_if(~F.col("cache_hit")).alias("cache_misses"))
     return m.select(
         "operator_name", F.col("window.start").alias("interval_start"),
-        F.coalesce(round_half_up(F.col("_lat") * 1000, 2), F.lit(0.0)).alias("latency_ms"),
+        F.coalesce(round_half_up(F.try_divide(F.col("_micros"), F.col("messages")) / 1000, 2), F.lit(0.0)).alias("latency_ms"),
         (F.col("messages") / float(interval_s)).alias("throughput"),
         "messages", "errors", "cache_hits", "cache_misses",
         F.try_divide(F.col("cache_hits"), F.col("cache_hits") + F.col("cache_misses")).alias("cache_hit_ratio"))
@@ -47,9 +51,9 @@ def endpoint_metrics(events: DataFrame, interval_s: int) -> DataFrame:
     m = events.groupBy(_win(interval_s), "endpoint").agg(
         F.count_if(ok).alias("request_count"),
         F.count_if(F.col("is_error")).alias("error_count"),
-        F.avg(F.when(ok, F.col("latency_s"))).alias("_lat"))
+        F.sum(F.when(ok, _micros("latency_s"))).alias("_micros"))
     return m.select(F.col("window.start").alias("interval_start"), "endpoint", "request_count", "error_count",
-                    F.coalesce(F.col("_lat") * 1000, F.lit(0.0)).alias("latency_ms"),
+                    F.coalesce(F.try_divide(F.col("_micros"), F.col("request_count")) / 1000, F.lit(0.0)).alias("latency_ms"),
                     (F.col("request_count") / float(interval_s)).alias("req_per_sec"))
 
 
@@ -84,16 +88,14 @@ def flatten_endpoints(endpoint_rows: DataFrame, status_rows: DataFrame) -> DataF
 
 
 def metric_series(metrics: DataFrame) -> DataFrame:
-    """M5: (operator, metric, time, value) series of the interval metrics;
-    a log without ``operator_name`` is an error."""
+    """M5: (operator, metric, time, value) series of every column of a metric
+    log other than the operator and the time; a log without operators is an
+    error."""
     if "operator_name" not in metrics.columns:
-        raise ValueError("Missing 'operator_name' in log data")
-    return metrics.select(
-        "operator_name", "interval_start",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-                            for m in METRICS])).alias("kv")
-    ).select("operator_name", F.col("kv.metric").alias("metric"), "interval_start",
-             F.col("kv.value").alias("value"))
+        raise ValueError("the metric log doesn't name its operators")
+    names = [c for c in metrics.columns if c not in ("operator_name", "interval_start")]
+    return metrics.select("operator_name", "interval_start", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        ["operator_name", "interval_start"], names, "metric", "value")
 
 
 def error_log(events: DataFrame) -> DataFrame:
@@ -103,3 +105,14 @@ def error_log(events: DataFrame) -> DataFrame:
         "event_id", "endpoint",
         F.format_string("[%s] ERROR (%s): status %d", ts_text, F.col("endpoint"), F.col("status_code"))
         .alias("line"))
+
+
+def latency_metrics(stats: DataFrame, interval_s: int) -> DataFrame:
+    """T23 in M1: mean end-to-end latency (ms, 2 decimals) and throughput of the
+    stats rows per interval of the time they were processed. ``stats`` has
+    ``processed_ms`` and ``produced_ms``."""
+    start = idiv(F.col("processed_ms"), interval_s * 1000) * interval_s
+    m = stats.groupBy(start.alias("interval_start_s")).agg(
+        F.sum(F.col("processed_ms") - F.col("produced_ms")).alias("_ms"), F.count(F.lit(1)).alias("messages"))
+    return m.select("interval_start_s", round_half_up(F.col("_ms") / F.col("messages"), 2).alias("latency_ms"),
+                    (F.col("messages") / float(interval_s)).alias("throughput"), "messages")

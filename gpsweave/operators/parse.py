@@ -3,7 +3,8 @@
 ``taxi_id,yyyy-MM-dd HH:mm:ss,longitude,latitude,end_flag,produced_epoch_s``
 (extra fields ignored). Header lines start with ``taxi_id``. The timestamp is
 UTC. The end flag is true iff the trimmed field is ``1`` or ``true`` in any
-case. Every lenient parse is a ``try_`` function, so bad rows become null and
+case. Positions that aren't finite numbers (``NaN``, ``Infinity``) count as not
+parsed. Every lenient parse is a ``try_`` function, so bad rows become null and
 are filtered instead of failing the job (the session is ANSI).
 """
 
@@ -16,6 +17,13 @@ TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
 PING_COLUMNS = ["taxi_id", "ts_ms", "latitude", "longitude", "end_flag", "produced_ts"]
 
 
+def finite_positions(pings: DataFrame) -> DataFrame:
+    """The pings whose position is finite. One rule for every path: a NaN or
+    infinite coordinate has no distance, so the ping is dropped before T3."""
+    finite = lambda c: f"(NOT isnan({c}) AND abs({c}) < double('Infinity'))"
+    return pings.filter(f"{finite('latitude')} AND {finite('longitude')}")
+
+
 def parse_columns(parts: Column) -> dict[str, Column]:
     """Typed fields from the split message (``get`` is null past the end)."""
     field = lambda i: F.get(parts, i)
@@ -47,4 +55,4 @@ def parse_pings(messages: DataFrame, value_col: str = "message", keep: list[str]
     for c in cols.values():
         ok = c.isNotNull() if ok is None else ok & c.isNotNull()
     out = split.select(*keep, F.explode(F.when(ok, F.array(parsed))).alias("_p"))
-    return out.select(*keep, *[F.col(f"_p.{n}").alias(n) for n in PING_COLUMNS])
+    return finite_positions(out.select(*keep, *[F.col(f"_p.{n}").alias(n) for n in PING_COLUMNS]))

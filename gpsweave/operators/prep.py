@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
 from ..functions.num import idiv
-from ..plans.scan import Running, keyed_scan, vehicle_chunks
+from ..plans.materialize import materialize
+from ..plans.scan import Running, keyed_scan, row_chunks
 
 RAW_COLUMNS = ["taxi_id", "date_time", "longitude", "latitude"]
 TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
@@ -27,7 +28,7 @@ def positional(df: DataFrame, keep: list[str] = ()) -> DataFrame:
     """
     data = [c for c in df.columns if c not in keep]
     if len(data) != len(RAW_COLUMNS):
-        raise ValueError(f"Expected {len(RAW_COLUMNS)} columns, but got {len(data)}")
+        raise ValueError(f"raw rows have {len(data)} fields; {', '.join(RAW_COLUMNS)} are wanted")
     return df.select(*[F.col(c).alias(n) for c, n in zip(data, RAW_COLUMNS)], *keep)
 
 
@@ -50,14 +51,16 @@ def validate_bbox(df: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
 
 def add_end_flag(df: DataFrame) -> DataFrame:
     """Q4/Q5: ``end_flag`` = 1 on each vehicle's last row in (time, file) order.
+    Rows without a vehicle id stay, with flag 0.
 
-    The per-vehicle maximum is a partial aggregate (hot vehicles are combined
-    map-side) joined back on ``taxi_id``; AQE splits a skewed join partition.
+    The last row of every vehicle (a partial aggregate, one row per vehicle) is
+    written once and joined back. With no aggregate between the join and its
+    shuffles, adaptive execution can split a hot vehicle's partition.
     """
     order = F.struct("ts", *FILE_ORDER)
-    last = df.groupBy("taxi_id").agg(F.max(order).alias("_last"))
-    return (df.join(last, "taxi_id")
-            .withColumn("end_flag", (F.struct("ts", *FILE_ORDER) == F.col("_last")).cast("int"))
+    last = materialize(df.filter("taxi_id IS NOT NULL").groupBy("taxi_id").agg(F.max(order).alias("_last")))
+    return (df.join(last, "taxi_id", "left")
+            .withColumn("end_flag", F.coalesce((order == F.col("_last")).cast("int"), F.lit(0)))
             .drop("_last"))
 
 
@@ -101,15 +104,14 @@ def prep_report(raw: DataFrame, files: DataFrame, cfg: FleetConfig = DEFAULT) ->
         F.count("*").alias("n"))
     f = (files.join(per_file, "file_name", "left")
          .agg(F.count("*").alias("files"), F.count_if(F.col("n").isNull()).alias("files_skipped_empty")))
-    # both sides are single rows; a keyed join on a constant avoids a cartesian plan
-    return (rows.withColumn("_k", F.lit(1)).join(f.withColumn("_k", F.lit(1)), "_k").drop("_k")
-            .withColumn("cols_before", F.lit(len(RAW_COLUMNS)))
+    # two single rows side by side
+    return (rows.crossJoin(f).withColumn("cols_before", F.lit(len(RAW_COLUMNS)))
             .withColumn("cols_after", F.lit(len(RAW_COLUMNS) + 1)))
 
 
 def unsorted_vehicles(raw: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """Q9: vehicles whose timestamps decrease somewhere in file order."""
-    df = vehicle_chunks(coerce_timestamps(raw), "arrival_key", cfg.scan_chunk_span, cfg.scan_chunk_rows)
+    df = row_chunks(coerce_timestamps(raw), ["taxi_id"], "arrival_key", cfg.scan_chunk_rows)
     df = keyed_scan(df, ["taxi_id"], FILE_ORDER, F.col("_chunk"),
                     [Running("_prev_ts", "last", F.col("ts"), inclusive=False)])
     return df.filter(F.col("_prev_ts") > F.col("ts")).select("taxi_id").distinct()
@@ -142,7 +144,7 @@ def file_line_profile(lines: DataFrame, files: DataFrame) -> DataFrame:
 def order_ratio(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """Q11: pings in order / out of order against the immediately preceding
     ping of the vehicle (fleet-wide totals and percentages)."""
-    df = vehicle_chunks(pings, "arrival_key", cfg.scan_chunk_span, cfg.scan_chunk_rows)
+    df = row_chunks(pings, ["taxi_id"], "arrival_key", cfg.scan_chunk_rows)
     df = keyed_scan(df, ["taxi_id"], FILE_ORDER, F.col("_chunk"),
                     [Running("_prev_ts", "last", F.col("ts_ms"), inclusive=False)])
     in_order = F.col("_prev_ts").isNull() | (F.col("ts_ms") >= F.col("_prev_ts"))

@@ -1,38 +1,22 @@
-"""Per-vehicle trip operators (T3–T17) as chunked running aggregates.
+"""Geofence operators (T3–T7) as chunked running aggregates.
 
 Each ping is processed in arrival order (``arrival_key, event_id``) per
-vehicle, as the reference's keyed state sees it. Every quantity is a running
-aggregate over the vehicle's earlier pings, computed within chunks of arrival
-positions plus a carry from the earlier chunks; the carries come from windows
-over a small per-chunk summary table (see ``ping_steps``). A hot vehicle is
-thus spread over many tasks, and no Python runs in this chain.
-
-Trips are cut by end flags only; the extra reset a vehicle gets after leaving
-the 15 km zone depends on the status machine and lives in ``lifecycle.py``.
-
-Output of ``ping_steps`` (one row per ping):
-
-* ``accepted``       T3: not older than the newest ping seen before (ties kept)
-* ``d_center_km``    T4: distance from the centre
-* ``discarded``      T5: accepted and beyond 15 km (not forwarded)
-* ``forwarded``      accepted and within 15 km
-* ``area_violations`` T6: running count of discarded pings
-* ``trip_no``        T15: end flags of forwarded pings before this one
-* ``area_event``     T7: ``warn`` / ``reset`` on crossing 10 km, forwarded pings only
-* ``step_km, step_s`` T9/T10: step from the previous forwarded ping of the trip
-* ``total_distance_km, total_time_s`` T11/T12 within the trip (T15)
-* ``still_s_total, halted, halt_event`` T13/T14
-* ``avg_reason, average_speed_kmph`` T17
+vehicle, as the reference's keyed state sees it. Every value here is a running
+maximum, sum or last value over the vehicle's earlier pings, computed within
+chunks of the vehicle's pings plus a carry from the earlier chunks
+(``plans/scan.py``), so a hot vehicle spreads over many tasks. The totals, the
+gate and the status, which read each other, are in ``machine.py``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
-from ..functions.geo import haversine_sql, round_half_up
-from ..plans.scan import Running, keyed_scan, vehicle_chunks
+from ..functions.geo import haversine_sql
+from ..plans.scan import Running, keyed_scan, row_chunks
+from .parse import finite_positions
 
 KEY = ["taxi_id"]
 ORDER = ["arrival_key", "event_id"]
@@ -44,191 +28,36 @@ def late_filter(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     The newest *accepted* ts equals the newest ts of all earlier pings (a
     rejected ping is older than that maximum), so a running max suffices.
     """
-    df = vehicle_chunks(pings, "arrival_key", cfg.scan_chunk_span, cfg.scan_chunk_rows)
+    df = row_chunks(finite_positions(pings), KEY, "arrival_key", cfg.scan_chunk_rows)
     df = keyed_scan(df, KEY, ORDER, F.col("_chunk"),
                     [Running("prev_max_ts", "max", F.col("ts_ms"), inclusive=False)])
     return df.withColumn("accepted", F.col("prev_max_ts").isNull()
                          | (F.col("ts_ms") >= F.col("prev_max_ts")))
 
 
-def average_gate(total_km: Column, total_s: Column, cfg: FleetConfig = DEFAULT):
-    """(reason, average km/h). Reason is ``ok``, ``average_skipped`` or
-    ``average_unrealistic``; the average is null unless ``ok``."""
-    avg = round_half_up(total_km / (total_s / 3600.0), 2)
-    skipped = (total_s < cfg.min_time_s) | (total_km < cfg.min_distance_km)
-    reason = (F.when(skipped, F.lit("average_skipped"))
-              .when(avg > cfg.max_speed_kmph, F.lit("average_unrealistic"))
-              .otherwise(F.lit("ok")))
-    return reason, F.when(reason == "ok", avg)
-
-
-def _secs(ms: str) -> str:
-    """T10 as SQL: whole seconds of a millisecond gap, 0 if not positive."""
-    return f"CASE WHEN ({ms}) > 0 THEN ({ms}) div 1000 ELSE 0L END"
-
-
-def _cents(km: str) -> str:
-    """T11 as SQL: a step rounded to whole cents of a km (0 for no movement)."""
-    return f"CAST(CASE WHEN ({km}) > 0 THEN floor(({km}) * 100 + 0.5) ELSE 0 END AS BIGINT)"
-
-
-def _exprs(cols: dict[str, str]) -> dict[str, Column]:
-    return {k: F.expr(v) for k, v in cols.items()}
+def fence_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
+    """T3–T7 for every ping; adds
 
+    * ``accepted``        T3: not older than the newest ping seen before (ties kept)
+    * ``d_center_km``     T4: distance from the centre
+    * ``discarded``       T5: accepted and beyond 15 km (not forwarded)
+    * ``forwarded``       accepted and within 15 km
+    * ``area_violations`` T6: running count of discarded pings
+    * ``area_event``      T7: ``warn`` / ``reset`` on crossing 10 km, forwarded pings only
 
-# windows: within a chunk (inclusive / exclusive of the current row) and over
-# the earlier chunks of a vehicle in the summary table
-_IN = ("OVER (PARTITION BY taxi_id, _chunk ORDER BY arrival_key, event_id "
-       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-_EX = ("OVER (PARTITION BY taxi_id, _chunk ORDER BY arrival_key, event_id "
-       "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-_PREV = "OVER (PARTITION BY taxi_id ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-_ORD = "struct(arrival_key, event_id)"
-
-
-def ping_steps(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
-    """T3–T17 for every ping; see the module docstring for the columns.
-
-    Plan (``K`` = vehicle, ``C`` = chunk of arrival positions):
-
-    1. ``c_max_ts``: newest ts of the earlier chunks, from a partial aggregate
-       per (K, C) and a window over that small table;
-    2. the pings, joined with it, are shuffled once on (K, C); windows within
-       (K, C) give every value that only needs the chunk's own earlier rows;
-    3. one summary row per (K, C) (first / last forwarded ping, local sums,
-       halt facts) gets, by windows over the summary table alone, everything
-       that crosses chunk borders: the previous forwarded ping, the border
-       step, running sums, the trip start and the halt flag;
-    4. that carry is joined back on (K, C) and combined row by row.
-
-    The summary branch recomputes step 2 (one more shuffle of the pings); no
-    step is computed more than twice, and no task holds more than one chunk.
-    Expressions are SQL text (one driver call each, same Catalyst plan).
+    The second scan runs in the first one's chunks, so the pings keep their
+    partitioning.
     """
     c = cfg
-    part = ["taxi_id", "_chunk"]
-    base = vehicle_chunks(pings, "arrival_key", c.scan_chunk_span, c.scan_chunk_rows)
-
-    # 1. newest ts of the earlier chunks
-    c1 = (base.groupBy(*part).agg(F.max("ts_ms").alias("_cmax"))
-          .select(*part, F.expr(f"max(_cmax) {_PREV}").alias("c_max_ts")))
-    rows = base.join(c1, part, "left")
-
-    # 2. windows within the chunk
-    rows = rows.withColumns(_exprs({
-        "_lpm": f"max(ts_ms) {_EX}",
-        "d_center_km": haversine_sql(f"{c.center_lat!r}D", f"{c.center_lon!r}D", "latitude", "longitude", c)}))
-    rows = rows.withColumn("prev_max_ts", F.expr("greatest(c_max_ts, _lpm)"))
-    rows = rows.withColumn("accepted", F.expr("prev_max_ts IS NULL OR ts_ms >= prev_max_ts"))
-    rows = rows.withColumns(_exprs({
-        "discarded": f"accepted AND d_center_km > {c.remove_radius_km!r}D",
-        "forwarded": f"accepted AND d_center_km <= {c.remove_radius_km!r}D",
-        "far": f"d_center_km > {c.warn_radius_km!r}D"}))
-    rows = rows.withColumn("_fwd_row", F.expr(
-        "CASE WHEN forwarded THEN named_struct('lat', latitude, 'lon', longitude, 'ts', ts_ms, "
-        "'far', far, 'end', end_flag) END"))
-    rows = rows.withColumns(_exprs({
-        "_lprev": f"last(_fwd_row, true) {_EX}",
-        "_ldisc": f"sum(CAST(discarded AS BIGINT)) {_IN}",
-        "_lend": f"coalesce(sum(CAST(forwarded AND end_flag AS BIGINT)) {_EX}, 0L)"}))
-    rows = rows.withColumn("_lstep", F.expr("coalesce(forwarded AND _lprev IS NOT NULL AND NOT _lprev.end, false)"))
-    rows = rows.withColumns(_exprs({
-        "_lkm": f"CASE WHEN _lstep THEN {haversine_sql('_lprev.lat', '_lprev.lon', 'latitude', 'longitude', c)} END",
-        "_ls": f"CASE WHEN _lstep THEN {_secs('ts_ms - _lprev.ts')} END"}))
-    rows = rows.withColumns(_exprs({
-        "_lstill": f"_lstep AND _lkm < {c.min_distance_km!r}D",
-        "_lmoving": f"_lstep AND _lkm >= {c.min_distance_km!r}D"}))
-    still_s = "CASE WHEN _lstill THEN _ls ELSE 0L END"
-    rows = rows.withColumns(_exprs({
-        "_lc": f"sum({_cents('_lkm')}) {_IN}",
-        "_lsec": f"sum(coalesce(_ls, 0L)) {_IN}",
-        "_lst": f"sum({still_s}) {_IN}"}))
-
-    # 3. chunk summary and the carries across chunks (small table)
-    summ = rows.groupBy(*part).agg(*[F.expr(e).alias(n) for n, e in {
-        "first_fwd": f"min_by(_fwd_row, CASE WHEN forwarded THEN {_ORD} END)",
-        "last_fwd": f"max_by(_fwd_row, CASE WHEN forwarded THEN {_ORD} END)",
-        "disc_total": "sum(CAST(discarded AS BIGINT))",
-        "end_total": "sum(CAST(forwarded AND end_flag AS BIGINT))",
-        "tot_cents": f"sum({_cents('_lkm')})",
-        "tot_secs": "sum(coalesce(_ls, 0L))",
-        "tot_still": f"sum({still_s})",
-        "last_end_cum": f"max_by(named_struct('c', _lc, 's', _lsec), CASE WHEN forwarded AND end_flag THEN {_ORD} END)",
-        "last_moving": f"max(CASE WHEN _lmoving THEN {_ORD} END)",
-        "last_still": f"max(CASE WHEN _lstill THEN {_ORD} END)",
-        "still_at_last_still": f"max_by(_lst, CASE WHEN _lstill THEN {_ORD} END)"}.items()])
-    carry = summ.withColumns(_exprs({
-        "c_prev": f"last(last_fwd, true) {_PREV}",
-        "c_disc": f"coalesce(sum(disc_total) {_PREV}, 0L)",
-        "c_end": f"coalesce(sum(end_total) {_PREV}, 0L)"}))
-    carry = carry.withColumn("b_has", F.expr(
-        "coalesce(first_fwd IS NOT NULL AND c_prev IS NOT NULL AND NOT c_prev.end, false)"))
-    carry = carry.withColumns(_exprs({
-        "b_km": f"CASE WHEN b_has THEN {haversine_sql('c_prev.lat', 'c_prev.lon', 'first_fwd.lat', 'first_fwd.lon', c)} END",
-        "b_s": f"CASE WHEN b_has THEN {_secs('first_fwd.ts - c_prev.ts')} ELSE 0L END"}))
-    carry = carry.withColumns(_exprs({
-        "b_cents": _cents("b_km"),
-        "b_still": f"b_has AND b_km < {c.min_distance_km!r}D",
-        "b_moving": f"b_has AND b_km >= {c.min_distance_km!r}D"}))
-    carry = carry.withColumn("b_still_s", F.expr("CASE WHEN b_still THEN b_s ELSE 0L END"))
-    carry = carry.withColumns(_exprs({
-        "c_cents": f"coalesce(sum(tot_cents + b_cents) {_PREV}, 0L)",
-        "c_secs": f"coalesce(sum(tot_secs + b_s) {_PREV}, 0L)",
-        "c_still": f"coalesce(sum(tot_still + b_still_s) {_PREV}, 0L)"}))
-    # halt flag at the end of the chunk: the last step that set or cleared it
-    carry = carry.withColumns(_exprs({
-        "_end_cum": ("CASE WHEN last_end_cum IS NOT NULL THEN named_struct("
-                     "'c', c_cents + b_cents + last_end_cum.c, 's', c_secs + b_s + last_end_cum.s) END"),
-        "_halted_end": (
-            "CASE WHEN (last_still IS NOT NULL AND (last_moving IS NULL OR last_still > last_moving)"
-            f" AND c_still + b_still_s + still_at_last_still >= {c.halt_after_s})"
-            f" OR (last_still IS NULL AND last_moving IS NULL AND b_still AND c_still + b_still_s >= {c.halt_after_s})"
-            " THEN true WHEN last_moving IS NOT NULL OR b_moving THEN false END")}))
-    carry = carry.withColumns(_exprs({
-        "c_base": f"last(_end_cum, true) {_PREV}",
-        "c_halted": f"last(_halted_end, true) {_PREV}"}))
-    carry = carry.select(*part, "c_prev", "c_disc", "c_end", "b_has", "b_km", "b_s", "b_cents", "b_still_s",
-                         "c_cents", "c_secs", "c_still", "c_base", "c_halted")
-
-    # 4. combine row by row; the border step belongs to the chunk's first
-    # forwarded ping, so rows from there on include it
-    df = rows.join(carry, part, "left")
-    df = df.withColumns(_exprs({
-        "_after_border": "forwarded OR _lprev IS NOT NULL",
-        "_b_step": "forwarded AND _lprev IS NULL AND b_has",
-        "_prev": "coalesce(_lprev, c_prev)",
-        "_lbase": f"last(CASE WHEN forwarded AND end_flag THEN named_struct('c', _lc, 's', _lsec) END, true) {_EX}"}))
-    df = df.withColumns(_exprs({
-        "area_violations": "c_disc + _ldisc",
-        "trip_no": "c_end + _lend",
-        "has_step": "_lstep OR coalesce(_b_step, false)",
-        "step_km": "CASE WHEN _lstep THEN _lkm WHEN _b_step THEN b_km END",
-        "step_s": "CASE WHEN _lstep THEN _ls WHEN _b_step THEN b_s END",
-        "area_event": ("CASE WHEN forwarded AND far AND NOT coalesce(_prev.far, false) THEN 'warn' "
-                       "WHEN forwarded AND NOT far AND coalesce(_prev.far, false) THEN 'reset' END"),
-        "_cum_c": "c_cents + CASE WHEN _after_border THEN b_cents ELSE 0L END + _lc",
-        "_cum_s": "c_secs + CASE WHEN _after_border THEN b_s ELSE 0L END + _lsec",
-        "still_s_total": "c_still + CASE WHEN _after_border THEN b_still_s ELSE 0L END + _lst",
-        "_base_c": "coalesce(CASE WHEN _lbase IS NOT NULL THEN c_cents + b_cents + _lbase.c END, c_base.c, 0L)",
-        "_base_s": "coalesce(CASE WHEN _lbase IS NOT NULL THEN c_secs + b_s + _lbase.s END, c_base.s, 0L)"}))
-    df = df.withColumn("still", F.expr(f"has_step AND step_km < {c.min_distance_km!r}D"))
-    df = df.withColumns(_exprs({
-        "total_distance_km": "CASE WHEN forwarded THEN (_cum_c - _base_c) / 100.0D END",
-        "total_time_s": "CASE WHEN forwarded THEN CAST(_cum_s - _base_s AS BIGINT) END",
-        "_hs": (f"CASE WHEN still AND still_s_total >= {c.halt_after_s} THEN true "
-                "WHEN has_step AND NOT still THEN false END")}))
-    df = df.withColumns(_exprs({"_h": f"last(_hs, true) {_IN}", "_hb": f"last(_hs, true) {_EX}"}))
-    df = df.withColumns(_exprs({
-        "halted": "coalesce(_h, c_halted, false)",
-        "_halted_before": "coalesce(_hb, c_halted, false)"}))
-    df = df.withColumn("halt_event", F.expr(
-        "CASE WHEN forwarded AND halted AND NOT _halted_before THEN 'halt' "
-        "WHEN forwarded AND NOT halted AND _halted_before THEN 'resume' END"))
-    reason, avg = average_gate(F.col("total_distance_km"), F.col("total_time_s"), cfg)
-    df = df.withColumns({"avg_reason": F.when(F.col("forwarded"), reason),
-                         "average_speed_kmph": F.when(F.col("forwarded"), avg)})
-    keep = [col for col in pings.columns] + [
-        "prev_max_ts", "accepted", "d_center_km", "discarded", "forwarded", "area_violations", "trip_no",
-        "has_step", "step_km", "step_s", "still", "area_event", "still_s_total", "total_distance_km",
-        "total_time_s", "halted", "halt_event", "avg_reason", "average_speed_kmph"]
-    return df.select(*keep)
+    df = late_filter(pings, cfg).withColumn("d_center_km", F.expr(
+        haversine_sql(f"{c.center_lat!r}D", f"{c.center_lon!r}D", "latitude", "longitude", c)))
+    df = df.withColumns({"discarded": F.expr(f"accepted AND d_center_km > {c.remove_radius_km!r}D"),
+                         "forwarded": F.expr(f"accepted AND d_center_km <= {c.remove_radius_km!r}D"),
+                         "_far": F.expr(f"d_center_km > {c.warn_radius_km!r}D")})
+    df = keyed_scan(df, KEY, ORDER, F.col("_chunk"), [
+        Running("area_violations", "sum", F.col("discarded").cast("long")),
+        Running("_pfar", "last", F.when(F.col("forwarded"), F.col("_far")), inclusive=False)])
+    event = ("CASE WHEN forwarded AND _far AND NOT coalesce(_pfar, false) THEN 'warn' "
+             "WHEN forwarded AND NOT _far AND coalesce(_pfar, false) THEN 'reset' END")
+    return df.withColumn("area_event", F.expr(event)).select(
+        *pings.columns, "accepted", "d_center_km", "discarded", "forwarded", "area_violations", "area_event")

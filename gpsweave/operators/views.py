@@ -1,16 +1,19 @@
-"""Served current-state views (V1, V3–V12) over the state machine's output.
+"""Served current-state views (V1, V3–V12) over the per-ping outputs.
 
 The reference keeps a hash per vehicle, sets per status and counters in a
-key-value store; here each of these is a query over the per-ping output of
-``lifecycle``. One partial aggregation per vehicle (``max_by`` on the arrival
-order) yields the current state, so no vehicle's rows meet in one task.
+key-value store; here each of these is a query over the outputs of
+``machine.trip_chain`` and ``speed.speed_chain``. One partial aggregation per
+vehicle (``max_by`` on the arrival order) yields the current state. Sums are
+whole cents, so no partitioning changes a figure.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lifecycle import MSG_SPEEDING
+
 ORDER_COLS = ("arrival_key", "event_id")
 STATUSES = ("active", "inactive", "halted", "removed")
 
@@ -24,7 +27,7 @@ GROUPS = {
     # ... and the average only when it is positive (finite by construction)
     "avg": ["average_speed_kmph"],
     # written only by a speed output
-    "speed": ["current_speed_kmph", "speeding"],
+    "speed": ["current_speed_kmph", "speeding", "speeding_speed_kmph"],
 }
 
 
@@ -32,23 +35,30 @@ GROUPS = {
 _SRC = {"status": "status", "total_distance_km": "stored_total", "ten_km_crossed": "warned",
         "area_violations": "area_violations", "last_update_ms": "ts_ms", "latitude": "latitude",
         "longitude": "longitude", "average_speed_kmph": "average_speed_kmph",
-        "current_speed_kmph": "speed_kmph", "speeding": "is_speeding"}
+        "current_speed_kmph": "speed_kmph", "speeding": "is_speeding",
+        # the speed of a speeding vehicle, nothing once its latest output isn't speeding
+        "speeding_speed_kmph": "CASE WHEN is_speeding THEN speed_kmph END"}
 _WRITES = {"last": None, "ok": "avg_reason = 'ok'", "avg": "avg_reason = 'ok' AND average_speed_kmph > 0",
            "speed": "speed_reason = 'ok'"}
 
 
-def vehicle_state_partial(lc: DataFrame) -> DataFrame:
+TRIP_GROUPS, SPEED_GROUPS = ("last", "ok", "avg"), ("speed",)
+
+
+def vehicle_state_partial(rows: DataFrame, groups: tuple[str, ...] = tuple(GROUPS)) -> DataFrame:
     """Per vehicle: each field group at its latest writing ping, with that
-    ping's order (``<group>_order``) so partial states can be merged later."""
+    ping's order (``<group>_order``) so partial states can be merged later, and
+    the vehicle's share of the fleet counter in cents."""
     order = f"struct({', '.join(ORDER_COLS)})"
     aggs = []
-    for g, cols in GROUPS.items():
+    for g in groups:
         key = order if _WRITES[g] is None else f"CASE WHEN {_WRITES[g]} THEN {order} END"
-        fields = ", ".join(f"'{c}', {_SRC[c]}" for c in cols)
+        fields = ", ".join(f"'{c}', {_SRC[c]}" for c in GROUPS[g])
         aggs.append(F.expr(f"max_by(named_struct({fields}), {key})").alias(g))
         aggs.append(F.expr(f"max({key})").alias(f"{g}_order"))
-    aggs.append(F.sum("fleet_delta").alias("fleet_km"))
-    return lc.groupBy("taxi_id").agg(*aggs)
+    if "last" in groups:
+        aggs.append(F.sum("fleet_delta_cents").alias("fleet_cents"))
+    return rows.groupBy("taxi_id").agg(*aggs)
 
 
 def merge_vehicle_state(parts: DataFrame) -> DataFrame:
@@ -58,23 +68,24 @@ def merge_vehicle_state(parts: DataFrame) -> DataFrame:
     for g in GROUPS:
         aggs.append(F.max_by(g, f"{g}_order").alias(g))
         aggs.append(F.max(f"{g}_order").alias(f"{g}_order"))
-    return parts.groupBy("taxi_id").agg(*aggs, F.sum("fleet_km").alias("fleet_km"))
+    return parts.groupBy("taxi_id").agg(*aggs, F.sum("fleet_cents").alias("fleet_cents"))
 
 
 def flatten_state(parts: DataFrame) -> DataFrame:
     return parts.select("taxi_id", *[F.col(f"{g}.{c}").alias(c) for g, cols in GROUPS.items() for c in cols],
-                        "fleet_km")
+                        "fleet_cents")
 
 
-def vehicle_state(lc: DataFrame) -> DataFrame:
+def vehicle_state(trips: DataFrame, speeds: DataFrame) -> DataFrame:
     """V1 + V2 final state: one row per vehicle, as the store's hash holds it.
 
     Position, update time and average come from the latest stats row that
     passed the average gate; the stored total is the value after the last ping
     (it is also written and zeroed outside the gate); speed fields come from the
-    latest speed output.
+    latest speed output. Both inputs are aggregated before they meet.
     """
-    return flatten_state(vehicle_state_partial(lc))
+    t, s = vehicle_state_partial(trips, TRIP_GROUPS), vehicle_state_partial(speeds, SPEED_GROUPS)
+    return flatten_state(t.join(s, "taxi_id", "left"))
 
 
 def status_counts(state: DataFrame) -> DataFrame:
@@ -103,16 +114,29 @@ def violation_counts(state: DataFrame) -> DataFrame:
                  F.count_if(F.col("area_10km")).alias("area_violation_vehicles"))
 
 
-def fleet_distance(lc: DataFrame) -> DataFrame:
+def fleet_distance(trips: DataFrame) -> DataFrame:
     """V5: sum of the positive increments of every vehicle's stored total."""
-    return lc.agg(F.sum("fleet_delta").alias("total_distance_all_km"))
+    return trips.agg((F.coalesce(F.sum("fleet_delta_cents"), F.lit(0)) / 100.0).alias("total_distance_all_km"))
+
+
+def event_log(trips: DataFrame, speeds: DataFrame) -> DataFrame:
+    """V8: every logged message, one row each, numbered within its ping."""
+    by_trip = trips.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e")).select(
+        "taxi_id", "event_id", "arrival_key", "e.pos", "e.kind", "e.message")
+    head, _, tail = MSG_SPEEDING.replace("{id}", "{0}").partition("{0}")
+    middle, _, end = tail.partition("{n}")
+    by_speed = speeds.filter("is_speeding").select(
+        "taxi_id", "event_id", "arrival_key", F.lit(99).alias("pos"), F.lit("speeding").alias("kind"),
+        F.concat(F.lit(head), "taxi_id", F.lit(middle), F.col("speeding_no").cast("string"), F.lit(end)).alias("message"))
+    # a ping has at most a handful of messages: these windows stay tiny
+    sub = F.row_number().over(Window.partitionBy("taxi_id", "event_id", "arrival_key").orderBy("pos")) - 1
+    return by_trip.unionByName(by_speed).withColumn("sub", sub).select(
+        "taxi_id", "event_id", "arrival_key", "sub", "kind", "message")
 
 
-def event_log(lc: DataFrame) -> DataFrame:
-    """V8: every logged message, one row each (newest first on read)."""
-    return (lc.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e"))
-            .select("taxi_id", "event_id", "arrival_key", F.col("e.sub").alias("sub"),
-                    F.col("e.kind").alias("kind"), F.col("e.message").alias("message")))
+def newest_first(events: DataFrame) -> DataFrame:
+    """V8 as it is read: the latest message first."""
+    return events.orderBy(F.desc("arrival_key"), F.desc("event_id"), F.desc("sub"))
 
 
 def vehicles_in_bounds(state: DataFrame, lat_min: float, lon_min: float,
@@ -137,15 +161,17 @@ def vehicle_lookup(state: DataFrame, taxi_id=None, status=None, violation=None)
 
 
 def fleet_dashboard(state: DataFrame) -> DataFrame:
-    """One row with the dashboard figures."""
-    per_status = state.agg(
+    """One row with the dashboard figures. A vehicle is currently driving
+    if it is active and its latest speed output is above zero. The mean of the
+    averages is a sum of whole hundredths."""
+    hundredths = F.floor(F.col("average_speed_kmph") * 100 + 0.5).cast("long")
+    return state.agg(
         *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
-        F.avg("average_speed_kmph").alias("mean_average_speed_kmph"),
+        ((F.sum(hundredths) / F.count("average_speed_kmph")) / 100.0).alias("mean_average_speed_kmph"),
         F.count_if(F.coalesce(F.col("speeding"), F.lit(False))).alias("speeding_vehicles"),
         F.count_if(F.coalesce(F.col("ten_km_crossed"), F.lit(False))).alias("area_violation_vehicles"),
-        F.sum("fleet_km").alias("total_distance_all_km"),
-    )
-    return per_status
+        F.count_if((F.col("status") == "active") & (F.col("current_speed_kmph") > 0)).alias("driving_vehicles"),
+        (F.coalesce(F.sum("fleet_cents"), F.lit(0)) / 100.0).alias("total_distance_all_km"))
 
 
 def remove_vehicles(state: DataFrame, ids: DataFrame) -> DataFrame:

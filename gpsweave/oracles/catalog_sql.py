@@ -42,22 +42,9 @@ ORACLES["area_violation_count"] = _steps_query(
 ORACLES["geofence_transitions"] = _steps_query(
     f"SELECT taxi_id, event_id, area_event, {r6('d_center_km')} AS d_center_km FROM steps "
     "WHERE area_event IS NOT NULL")
-ORACLES["step_distance"] = _steps_query(
-    f"SELECT taxi_id, event_id, {r6('step_km')} AS step_km, step_s FROM steps WHERE has_step")
-ORACLES["trip_stats"] = _steps_query(
-    "SELECT taxi_id, event_id, ts_ms, CAST(trip_no AS BIGINT) AS trip_no, total_distance_km, total_time_s, "
-    "latitude, longitude, produced_ts FROM steps WHERE forwarded")
-ORACLES["halt_detection"] = _steps_query(
-    "SELECT taxi_id, event_id, halt_event, CAST(still_s_total AS BIGINT) AS still_s_total FROM steps "
-    "WHERE halt_event IS NOT NULL")
-ORACLES["average_speed"] = _steps_query(
-    "SELECT taxi_id, event_id, ts_ms, total_distance_km, total_time_s, _avg AS average_speed_kmph "
-    "FROM steps WHERE avg_reason = 'ok'")
-ORACLES["stats_line"] = _steps_query(
-    "SELECT taxi_id, event_id, concat('Taxi ID: ', taxi_id, ' | Total Distance: ', "
-    "CAST(total_distance_km AS VARCHAR), ' km', '| Average Speed: ', CAST(_avg AS VARCHAR), ' km/h') AS line "
-    "FROM steps WHERE avg_reason = 'ok'")
-
+ORACLES["late_filter_chunk_borders"] = ORACLES["late_filter"]
+ORACLES["fence_chunk_borders"] = _steps_query(
+    "SELECT taxi_id, event_id, accepted, forwarded, CAST(area_violations AS BIGINT) AS area_violations, area_event FROM steps")
 
 
 def _lc_query(select: str) -> str:
@@ -77,7 +64,9 @@ state AS (
            AS average_speed_kmph,
          arg_max(speed_kmph, k) FILTER (WHERE speed_reason = 'ok') AS current_speed_kmph,
          arg_max(is_speeding, k) FILTER (WHERE speed_reason = 'ok') AS speeding,
-         sum(fleet_delta) AS fleet_km
+         CASE WHEN arg_max(is_speeding, k) FILTER (WHERE speed_reason = 'ok')
+              THEN arg_max(speed_kmph, k) FILTER (WHERE speed_reason = 'ok') END AS speeding_speed_kmph,
+         sum(fleet_delta_cents) / 100.0::DOUBLE AS fleet_km
   FROM lc GROUP BY taxi_id)"""
 
 
@@ -102,18 +91,28 @@ ORACLES["removal_events"] = _lc_query(
     "SELECT taxi_id, event_id, message FROM lc_events WHERE kind = 'removal'")
 ORACLES["trip_resets"] = _lc_query(
     "SELECT taxi_id, event_id, trip_reset, total_distance_km, total_time_s FROM lc WHERE trip_reset IS NOT NULL")
-ORACLES["average_speed_exact"] = _lc_query(
+ORACLES["step_distance"] = _lc_query(
+    f"SELECT taxi_id, event_id, {r6('step_km')} AS step_km, step_s FROM lc WHERE step_km IS NOT NULL")
+ORACLES["trip_stats"] = _lc_query(
+    "SELECT taxi_id, event_id, ts_ms, trip_no, total_distance_km, total_time_s, latitude, longitude, produced_ts FROM ("
+    "SELECT *, CAST(count(trip_reset) OVER (PARTITION BY taxi_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+    "AS BIGINT) AS trip_no FROM lc) t WHERE kind = 'forwarded'")
+ORACLES["halt_detection"] = _lc_query(
+    "SELECT taxi_id, event_id, halt_event, s_halt_s AS still_s_total, status FROM lc WHERE halt_event IS NOT NULL")
+ORACLES["average_speed"] = _lc_query(
     "SELECT taxi_id, event_id, ts_ms, total_distance_km, total_time_s, average_speed_kmph "
     "FROM lc WHERE avg_reason = 'ok'")
-ORACLES["halt_events_exact"] = _lc_query(
-    "SELECT taxi_id, event_id, halt_event, status FROM lc WHERE halt_event IS NOT NULL")
+ORACLES["stats_line"] = _lc_query(
+    "SELECT taxi_id, event_id, concat('Taxi ID: ', taxi_id, ' | Total Distance: ', "
+    "CAST(total_distance_km AS VARCHAR), ' km', '| Average Speed: ', CAST(average_speed_kmph AS VARCHAR), ' km/h') AS line "
+    "FROM lc WHERE avg_reason = 'ok'")
 ORACLES["status_machine"] = _lc_query(
     "SELECT taxi_id, event_id, status_before, status FROM lc WHERE status IS DISTINCT FROM status_before")
 ORACLES["status_counts"] = _lc_query(
     "SELECT status, count(*) AS vehicles FROM state WHERE status IS NOT NULL GROUP BY status")
 ORACLES["status_members"] = _lc_query("SELECT status, taxi_id FROM state WHERE status IS NOT NULL")
 ORACLES["fleet_distance"] = _lc_query(
-    f"SELECT {r6('sum(fleet_delta)')} AS total_distance_all_km FROM lc")
+    "SELECT sum(fleet_delta_cents) / 100.0::DOUBLE AS total_distance_all_km FROM lc")
 ORACLES["violation_members"] = _lc_query(
     "SELECT taxi_id, coalesce(ten_km_crossed, false) AS area_10km, coalesce(speeding, false) AS speeding "
     "FROM state WHERE coalesce(ten_km_crossed, false) OR coalesce(speeding, false)")
@@ -123,20 +122,25 @@ ORACLES["violation_counts"] = _lc_query(
     "FROM state WHERE coalesce(ten_km_crossed, false) OR coalesce(speeding, false)")
 ORACLES["event_log"] = _lc_query("SELECT taxi_id, event_id, arrival_key, sub, kind, message FROM lc_events")
 ORACLES["vehicle_current"] = _lc_query(
-    f"SELECT taxi_id, status, {r6('total_distance_km')} AS total_distance_km, last_update_ms, latitude, "
-    "longitude, average_speed_kmph, current_speed_kmph, speeding, ten_km_crossed, area_violations FROM state")
+    "SELECT taxi_id, status, total_distance_km, last_update_ms, latitude, longitude, average_speed_kmph, "
+    "current_speed_kmph, speeding, speeding_speed_kmph, ten_km_crossed, area_violations FROM state")
 ORACLES["vehicles_in_bounds"] = _lc_query(
     "SELECT taxi_id, latitude, longitude, status FROM state "
     "WHERE latitude BETWEEN 39.85::DOUBLE AND 39.98::DOUBLE AND longitude BETWEEN 116.30::DOUBLE AND 116.50::DOUBLE")
 ORACLES["vehicle_lookup"] = _lc_query(
-    "SELECT taxi_id, status, current_speed_kmph FROM state WHERE coalesce(speeding, false)")
+    "SELECT taxi_id, status, current_speed_kmph, speeding_speed_kmph FROM state WHERE coalesce(speeding, false)")
+ORACLES["vehicle_lookup_by_status"] = _lc_query(
+    "SELECT taxi_id, status, latitude, longitude, current_speed_kmph FROM state WHERE status = 'halted'")
+ORACLES["vehicle_lookup_by_id"] = _lc_query(
+    "SELECT taxi_id, status, total_distance_km, average_speed_kmph, current_speed_kmph FROM state WHERE taxi_id = '7'")
 ORACLES["fleet_dashboard"] = _lc_query(
     "SELECT count(*) FILTER (WHERE status = 'active') AS active, count(*) FILTER (WHERE status = 'inactive') AS inactive, "
     "count(*) FILTER (WHERE status = 'halted') AS halted, count(*) FILTER (WHERE status = 'removed') AS removed, "
-    f"{r6('avg(average_speed_kmph)')} AS mean_average_speed_kmph, "
+    f"{r6('(sum(CAST(floor(average_speed_kmph * 100 + 0.5) AS BIGINT)) / count(average_speed_kmph)) / 100.0::DOUBLE')} AS mean_average_speed_kmph, "
     "count(*) FILTER (WHERE coalesce(speeding, false)) AS speeding_vehicles, "
     "count(*) FILTER (WHERE coalesce(ten_km_crossed, false)) AS area_violation_vehicles, "
-    f"{r6('sum(fleet_km)')} AS total_distance_all_km FROM state")
+    "count(*) FILTER (WHERE status = 'active' AND current_speed_kmph > 0) AS driving_vehicles, "
+    "sum(CAST(floor(fleet_km * 100 + 0.5) AS BIGINT)) / 100.0::DOUBLE AS total_distance_all_km FROM state")
 ORACLES["vehicle_removed_key"] = _lc_query(
     "SELECT taxi_id, status FROM state WHERE taxi_id NOT IN (SELECT taxi_id FROM state WHERE status = 'removed')")
 
@@ -151,7 +155,7 @@ SELECT * FROM (
          TRY_CAST(f[6] AS DOUBLE) AS produced_ts
   FROM (SELECT event_id, string_split(message, ',') AS f FROM messages WHERE NOT starts_with(message, 'taxi_id')) m
 ) p WHERE taxi_id IS NOT NULL AND ts_ms IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
-      AND end_flag IS NOT NULL AND produced_ts IS NOT NULL"""
+      AND end_flag IS NOT NULL AND produced_ts IS NOT NULL AND isfinite(latitude) AND isfinite(longitude)"""
 
 TSP = "try_strptime(date_time, '%Y-%m-%d %H:%M:%S')"
 BBOX = "coalesce(longitude BETWEEN 110.0 AND 125.0 AND latitude BETWEEN 35.0 AND 45.0, false)"
@@ -249,12 +253,12 @@ ORACLES["grid_window"] = _grid_query(
     f"SELECT window_start_s, grid_id, {r6('avg_speed_kmph')} AS avg_speed_kmph, vehicles FROM cells")
 ORACLES["traffic_status"] = _grid_query("SELECT traffic_status, count(*) AS cells FROM snap GROUP BY 1")
 ORACLES["grid_snapshot"] = _grid_query(
-    f"SELECT grid_id, {bounds_sql(FG)}, {r6('avg_speed_kmph')} AS avg_speed_kmph, vehicles, traffic_status, "
-    "updated_at_s FROM snap")
+    f"SELECT grid_id, {bounds_sql(FG)}, {r6('avg_speed_kmph')} AS avg_speed_kmph, CAST(CAST(round(CAST(CAST(avg_speed_kmph AS VARCHAR) AS DECIMAL(30, 17)), 2) AS DECIMAL(18, 2)) AS VARCHAR) AS avg_speed_text, "
+    "vehicles, traffic_status, updated_at_s FROM snap")
 ORACLES["recent_grids"] = _grid_query("""
 SELECT grid_id, updated_at_s, vehicles, traffic_status FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY grid_id ORDER BY updated_at_s DESC) AS rn FROM snap) s
-WHERE rn = 1 ORDER BY updated_at_s DESC, grid_id LIMIT 20""")
+WHERE rn = 1""")
 ORACLES["grid_moves"] = _lc_query(f"""
 SELECT taxi_id, event_id, prev_grid_id, grid_id FROM (
   SELECT taxi_id, event_id, {grid_id_sql(DEFAULT)} AS grid_id,
@@ -267,20 +271,22 @@ WHERE prev_grid_id IS NOT NULL AND prev_grid_id <> grid_id""")
 def _req_query(select: str) -> str:
     return f"{with_(REQUESTS)},\n" + """
 _m AS (SELECT endpoint AS operator_name, (ts_us // 3600000000) * 3600 AS interval_start_s,
-              avg(latency_s) FILTER (WHERE NOT is_error) AS _lat,
+              sum(CAST(floor(latency_s * 1000000.0::DOUBLE + 0.5) AS BIGINT)) FILTER (WHERE NOT is_error)
+                / nullif(count(*) FILTER (WHERE NOT is_error), 0) AS _lat,
               count(*) FILTER (WHERE NOT is_error) AS messages, count(*) FILTER (WHERE is_error) AS errors,
               count(*) FILTER (WHERE cache_hit) AS cache_hits, count(*) FILTER (WHERE NOT cache_hit) AS cache_misses
        FROM requests GROUP BY 1, 2),
 _e AS (SELECT (ts_us // 3600000000) * 3600 AS interval_start_s, endpoint,
               count(*) FILTER (WHERE NOT is_error) AS request_count, count(*) FILTER (WHERE is_error) AS error_count,
-              coalesce(avg(latency_s) FILTER (WHERE NOT is_error) * 1000, 0.0) AS latency_ms
+              coalesce(sum(CAST(floor(latency_s * 1000000.0::DOUBLE + 0.5) AS BIGINT)) FILTER (WHERE NOT is_error)
+                / nullif(count(*) FILTER (WHERE NOT is_error), 0) / 1000, 0.0) AS latency_ms
        FROM requests GROUP BY 1, 2),
 _sc AS (SELECT (ts_us // 3600000000) * 3600 AS interval_start_s, endpoint, CAST(status_code AS VARCHAR) AS status_code,
                count(*) AS n FROM requests GROUP BY 1, 2, 3)
 """ + select
 
 
-M_LAT = "coalesce(floor(_lat * 1000 * 100 + 0.5) / 100, 0.0)"
+M_LAT = "coalesce(floor(_lat / 1000 * 100 + 0.5) / 100, 0.0)"
 ORACLES["interval_metrics"] = _req_query(
     f"SELECT operator_name, interval_start_s, {M_LAT} AS latency_ms, {r6('messages / 3600.0::DOUBLE')} AS throughput, "
     "messages, errors FROM _m")
@@ -302,15 +308,27 @@ ORACLES["metric_series"] = _req_query(f"""
 SELECT operator_name, metric, interval_start_s, {r6('value')} AS value FROM (
   SELECT operator_name, 'latency_ms' AS metric, interval_start_s, {M_LAT} AS value FROM _m
   UNION ALL SELECT operator_name, 'throughput', interval_start_s, messages / 3600.0::DOUBLE FROM _m
-  UNION ALL SELECT operator_name, 'errors', interval_start_s, CAST(errors AS DOUBLE) FROM _m
+  UNION ALL SELECT operator_name, 'cache_hits', interval_start_s, CAST(cache_hits AS DOUBLE) FROM _m
+  UNION ALL SELECT operator_name, 'cache_misses', interval_start_s, CAST(cache_misses AS DOUBLE) FROM _m
   UNION ALL SELECT operator_name, 'cache_hit_ratio', interval_start_s,
                    CAST(cache_hits AS DOUBLE) / nullif(cache_hits + cache_misses, 0) FROM _m) s""")
 ORACLES["error_log"] = f"""{with_(REQUESTS)}
 SELECT event_id, endpoint, printf('[%s] ERROR (%s): status %d', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'), endpoint,
        status_code) AS line FROM requests WHERE is_error"""
-ORACLES["end_to_end_latency"] = _lc_query("""
-SELECT taxi_id, event_id, ((p // 5000) + 1) * 5000 - p AS latency_ms FROM (
-  SELECT taxi_id, event_id, CAST(trunc(produced_ts * 1000) AS BIGINT) AS p FROM lc WHERE avg_reason = 'ok') x""")
+# the newest production time among the pings that have arrived, per ping
+CLOCK = """
+clock AS (SELECT event_id, us // 1000 AS produced_ms,
+                 max(us) OVER (ORDER BY arrival_key, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) // 1000 AS processed_ms
+          FROM trips),
+stats AS (SELECT lc.taxi_id, lc.event_id, processed_ms, produced_ms FROM lc JOIN clock USING (event_id) WHERE avg_reason = 'ok')"""
+ORACLES["end_to_end_latency"] = _lc_query("").rstrip() + f""",
+{CLOCK}
+SELECT taxi_id, event_id, processed_ms - produced_ms AS latency_ms FROM stats"""
+ORACLES["latency_metrics"] = _lc_query("").rstrip() + f""",
+{CLOCK}
+SELECT (processed_ms // 3600000) * 3600 AS interval_start_s,
+       floor((sum(processed_ms - produced_ms) / count(*)) * 100 + 0.5) / 100 AS latency_ms,
+       {r6('count(*) / 3600.0::DOUBLE')} AS throughput, count(*) AS messages FROM stats GROUP BY 1"""
 ORACLES["location_speed_interval_join"] = _lc_query(f"""
 SELECT p.taxi_id, p.event_id, s.event_id AS speed_event_id, p.ts_ms, s.speed_kmph,
        s.is_speeding AS speed_is_speeding, p.end_flag, {grid_id_sql(DEFAULT, 'p.latitude', 'p.longitude')} AS grid_id
@@ -318,6 +336,10 @@ FROM lc p JOIN lc s ON s.taxi_id = p.taxi_id AND s.ts_ms BETWEEN p.ts_ms - 18000
 WHERE p.kind = 'forwarded' AND s.speed_reason = 'ok'""")
 
 
+ORACLES["file_report"] = f"""{with_(TRIPS, FILE_LINES)}
+SELECT 'read' AS state, CAST(count(*) AS BIGINT) AS lines FROM file_lines"""
+
+
 # ------------------------------------------------ connectors (round trips)
 ORACLES["raw_csv_scan"] = _raw_query("SELECT taxi_id, date_time, longitude, latitude FROM raw_pings")
 ORACLES["prepared_csv_scan"] = _raw_query(
@@ -341,13 +363,15 @@ parsed AS (
     FROM (SELECT event_id, arrival_key, string_split(message, ',') AS f FROM messages
           WHERE NOT starts_with(message, 'taxi_id')) m
   ) p WHERE taxi_id IS NOT NULL AND ts_ms IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
-        AND end_flag IS NOT NULL AND produced_ts IS NOT NULL)"""
+        AND end_flag IS NOT NULL AND produced_ts IS NOT NULL AND isfinite(latitude) AND isfinite(longitude))"""
+_REPLAY = with_(TRIPS, MESSAGES, PARSED, lifecycle_ctes('parsed', DEFAULT))
 ORACLES["vehicle_stream_replay"] = (
-    f"{with_(TRIPS, MESSAGES, PARSED, lifecycle_ctes('parsed', DEFAULT))}\n"
-    "SELECT taxi_id, event_id, kind, status, area_violations, halt_event, total_distance_km, total_time_s, "
-    f"avg_reason, average_speed_kmph, speed_reason, speed_kmph, speeding_count, {r6('stored_total')} AS stored_total "
-    "FROM lc")
-
+    f"{_REPLAY}\nSELECT taxi_id, event_id, kind, status, area_violations, halt_event, total_distance_km, total_time_s, "
+    "avg_reason, average_speed_kmph, speed_reason, speed_kmph, speeding_count, stored_total FROM lc")
+ORACLES["vehicle_state_stream_replay"] = (
+    f"{_REPLAY},\n{STATE}\nSELECT taxi_id, status, total_distance_km, last_update_ms, average_speed_kmph, "
+    "current_speed_kmph, speeding, speeding_speed_kmph, ten_km_crossed, area_violations, fleet_km FROM state")
+ORACLES["event_log_stream_replay"] = f"{_REPLAY}\nSELECT taxi_id, event_id, arrival_key, sub, kind, message FROM lc_events"
 ORACLES["location_speed_join_stream_replay"] = (
     f"{with_(TRIPS, MESSAGES, PARSED, lifecycle_ctes('parsed', DEFAULT))}\n"
     "SELECT p.taxi_id, p.event_id, s.event_id AS speed_event_id, p.ts_ms, s.speed_kmph, "

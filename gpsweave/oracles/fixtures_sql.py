@@ -25,7 +25,7 @@ trips AS (
          rrn = 1 AS end_flag,
          CAST(us AS DOUBLE) / 1000000 AS produced_ts,
          event_id + CASE WHEN event_id % 17 = 0 THEN 300 ELSE 0 END AS arrival_key,
-         event_id, lat_e6, lon_e6, value
+         event_id, lat_e6, lon_e6, value, us
   FROM _g)"""
 
 MESSAGES = f"""

@@ -26,7 +26,7 @@ _lr AS (
     CAST(NULL AS BIGINT) AS s_max_ts, CAST(0 AS BIGINT) AS s_area_count, false AS s_warned,
     false AS s_has_last, 0.0::DOUBLE AS s_last_lat, 0.0::DOUBLE AS s_last_lon, CAST(0 AS BIGINT) AS s_last_ts,
     CAST(0 AS BIGINT) AS s_tot_cents, CAST(0 AS BIGINT) AS s_tot_s, CAST(0 AS BIGINT) AS s_halt_s,
-    false AS s_halted, CAST(NULL AS VARCHAR) AS s_status, 0.0::DOUBLE AS s_stored,
+    false AS s_halted, CAST(NULL AS VARCHAR) AS s_status, CAST(0 AS BIGINT) AS s_stored,
     false AS s_has_anchor, 0.0::DOUBLE AS s_anchor_lat, 0.0::DOUBLE AS s_anchor_lon,
     CAST(0 AS BIGINT) AS s_anchor_ts, CAST(0 AS BIGINT) AS s_speeding,
     CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BIGINT) AS arrival_key, CAST(NULL AS BIGINT) AS ts_ms,
@@ -38,7 +38,7 @@ _lr AS (
     CAST(NULL AS VARCHAR) AS trip_reset, CAST(NULL AS VARCHAR) AS avg_reason,
     CAST(NULL AS DOUBLE) AS average_speed_kmph, CAST(NULL AS VARCHAR) AS speed_reason,
     CAST(NULL AS DOUBLE) AS speed_kmph, CAST(NULL AS BOOLEAN) AS is_speeding,
-    CAST(NULL AS VARCHAR) AS status_before, CAST(NULL AS DOUBLE) AS fleet_delta,
+    CAST(NULL AS VARCHAR) AS status_before, CAST(NULL AS BIGINT) AS fleet_delta_cents,
     CAST(NULL AS VARCHAR) AS ev_removal, CAST(NULL AS VARCHAR) AS ev_warn, CAST(NULL AS VARCHAR) AS ev_halt,
     CAST(NULL AS VARCHAR) AS ev_status, CAST(NULL AS VARCHAR) AS ev_speeding
   FROM (SELECT DISTINCT taxi_id FROM _lp) v
@@ -56,8 +56,8 @@ _lr AS (
     CASE WHEN fwd THEN x_halt_s ELSE s_halt_s END,
     CASE WHEN x_halt_on THEN true WHEN x_halt_off THEN false ELSE s_halted END,
     NULLIF(CASE WHEN fwd THEN st3 ELSE st1 END, ''),
-    CASE WHEN disc THEN 0.0::DOUBLE WHEN NOT fwd THEN s_stored WHEN x_avg_reason = 'ok' THEN x_total_km
-         WHEN x_step_km > 0 THEN x_total_km ELSE s_stored END,
+    CASE WHEN disc THEN 0 WHEN NOT fwd THEN s_stored WHEN x_avg_reason = 'ok' THEN x_tot_cents
+         WHEN x_step_km > 0 THEN x_tot_cents ELSE s_stored END,
     CASE WHEN x_anchor_moves THEN NOT end_flag ELSE s_has_anchor END,
     CASE WHEN x_anchor_moves AND NOT end_flag THEN latitude ELSE s_anchor_lat END,
     CASE WHEN x_anchor_moves AND NOT end_flag THEN longitude ELSE s_anchor_lon END,
@@ -75,7 +75,7 @@ _lr AS (
     x_speed_reason, CASE WHEN x_speed_reason = 'ok' THEN x_spd END,
     CASE WHEN x_speed_reason = 'ok' THEN x_spd > {c.speed_limit_kmph} END,
     s_status,
-    CASE WHEN x_delta > 0 THEN x_delta ELSE 0.0::DOUBLE END,
+    CASE WHEN x_delta > 0 THEN x_delta ELSE 0 END,
     CASE WHEN disc AND st0 <> 'removed' THEN concat('[Removal Alert] Taxi Id:', taxi_id,
          ' removed after exceeding 15km zone. Area violations: ', CAST(s_area_count + 1 AS VARCHAR), '.') END,
     CASE WHEN fwd AND d > {c.warn_radius_km} AND NOT s_warned THEN
@@ -108,7 +108,7 @@ _lr AS (
   FROM (SELECT *,
           CASE WHEN x_halt_on AND st1 NOT IN ('removed', 'halted') THEN 'halted'
                WHEN x_halt_off AND st1 NOT IN ('removed', 'active') THEN 'active' ELSE st1 END AS st2,
-          CASE WHEN x_step_km > 0 THEN x_total_km - s_stored END AS x_delta,
+          CASE WHEN x_step_km > 0 THEN x_tot_cents - s_stored END AS x_delta,
           {r2('x_total_km / (CAST(x_tot_s AS DOUBLE) / 3600.0::DOUBLE)')} AS x_avg,
           CASE WHEN x_akm IS NOT NULL AND NOT (x_adt < {c.min_time_s} OR x_akm < {c.min_distance_km})
                THEN floor((x_akm / x_adt) * 3600 * 100.0::DOUBLE + 0.5) / 100.0::DOUBLE END AS x_spd
@@ -140,7 +140,7 @@ _lr AS (
   ) a1) a2) a3) a4) a5) a6) a7) a8) a9
 ),
 lc AS (SELECT *, s_area_count AS area_violations, s_warned AS warned, s_halted AS halted, s_status AS status,
-              s_stored AS stored_total, s_speeding AS speeding_count
+              s_stored / 100.0::DOUBLE AS stored_total, s_speeding AS speeding_count
        FROM _lr WHERE k > 0),
 lc_events AS (SELECT taxi_id, event_id, arrival_key,
                 CAST(ROW_NUMBER() OVER (PARTITION BY taxi_id, event_id ORDER BY pos) - 1 AS INTEGER) AS sub,

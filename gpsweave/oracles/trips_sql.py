@@ -1,4 +1,4 @@
-"""DuckDB text of the per-ping trip chain (``operators/trips.py``) with plain windows."""
+"""DuckDB text of the geofence operators (``operators/trips.py``) with plain windows."""
 
 from __future__ import annotations
 
@@ -42,43 +42,9 @@ _s3 AS (SELECT *, accepted AND d_center_km > {cfg.remove_radius_km} AS discarded
                d_center_km > {cfg.warn_radius_km} AS far FROM _s2),
 _s4 AS (SELECT *,
           sum(CAST(discarded AS INTEGER)) OVER {W_INC} AS area_violations,
-          coalesce(sum(CAST(forwarded AND end_flag AS INTEGER)) OVER {W_EXC}, 0) AS trip_no,
-          last_value(CASE WHEN forwarded THEN latitude END IGNORE NULLS) OVER {W_EXC} AS p_lat,
-          last_value(CASE WHEN forwarded THEN longitude END IGNORE NULLS) OVER {W_EXC} AS p_lon,
-          last_value(CASE WHEN forwarded THEN ts_ms END IGNORE NULLS) OVER {W_EXC} AS p_ts,
-          last_value(CASE WHEN forwarded THEN far END IGNORE NULLS) OVER {W_EXC} AS p_far,
-          last_value(CASE WHEN forwarded THEN end_flag END IGNORE NULLS) OVER {W_EXC} AS p_end
+          last_value(CASE WHEN forwarded THEN far END IGNORE NULLS) OVER {W_EXC} AS p_far
         FROM _s3),
-_s5 AS (SELECT *, coalesce(forwarded AND p_lat IS NOT NULL AND NOT p_end, false) AS has_step FROM _s4),
-_s6 AS (SELECT *,
-          CASE WHEN has_step THEN {hav_sql('p_lat', 'p_lon', 'latitude', 'longitude', cfg)} END AS step_km,
-          CASE WHEN has_step THEN CASE WHEN ts_ms - p_ts > 0 THEN (ts_ms - p_ts) // 1000 ELSE 0 END END AS step_s,
+steps AS (SELECT *,
           CASE WHEN forwarded AND far AND NOT coalesce(p_far, false) THEN 'warn'
                WHEN forwarded AND NOT far AND coalesce(p_far, false) THEN 'reset' END AS area_event
-        FROM _s5),
-_s7 AS (SELECT *, has_step AND step_km < {cfg.min_distance_km} AS still FROM _s6),
-_s8 AS (SELECT *,
-          sum(CASE WHEN step_km > 0 THEN floor(step_km * 100 + 0.5) ELSE 0 END) OVER {W_INC} AS cum_cents,
-          sum(coalesce(step_s, 0)) OVER {W_INC} AS cum_s,
-          sum(CASE WHEN still THEN step_s ELSE 0 END) OVER {W_INC} AS still_s_total
-        FROM _s7),
-_s9 AS (SELECT *, CASE WHEN still AND still_s_total >= {cfg.halt_after_s} THEN true
-                       WHEN has_step AND NOT still THEN false END AS halt_set FROM _s8),
-_s10 AS (SELECT *,
-          last_value(CASE WHEN forwarded AND end_flag THEN cum_cents END IGNORE NULLS) OVER {W_EXC} AS base_c,
-          last_value(CASE WHEN forwarded AND end_flag THEN cum_s END IGNORE NULLS) OVER {W_EXC} AS base_s,
-          coalesce(last_value(halt_set IGNORE NULLS) OVER {W_INC}, false) AS halted,
-          coalesce(last_value(halt_set IGNORE NULLS) OVER {W_EXC}, false) AS halted_before
-        FROM _s9),
-_s11 AS (SELECT *,
-          CASE WHEN forwarded THEN (cum_cents - coalesce(base_c, 0)) / 100.0::DOUBLE END AS total_distance_km,
-          CASE WHEN forwarded THEN CAST(cum_s - coalesce(base_s, 0) AS BIGINT) END AS total_time_s,
-          CASE WHEN forwarded AND halted AND NOT halted_before THEN 'halt'
-               WHEN forwarded AND NOT halted AND halted_before THEN 'resume' END AS halt_event
-        FROM _s10),
-_s12 AS (SELECT *, {r2('total_distance_km / (CAST(total_time_s AS DOUBLE) / 3600.0::DOUBLE)')} AS _avg FROM _s11),
-steps AS (SELECT *,
-          CASE WHEN NOT forwarded THEN NULL
-               WHEN total_time_s < {cfg.min_time_s} OR total_distance_km < {cfg.min_distance_km} THEN 'average_skipped'
-               WHEN _avg > {cfg.max_speed_kmph} THEN 'average_unrealistic' ELSE 'ok' END AS avg_reason
-        FROM _s12)"""
+        FROM _s4)"""

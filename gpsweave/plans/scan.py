@@ -5,8 +5,8 @@ task. One vehicle may hold a third of all pings, so the per-vehicle scans of
 this package are computed in two levels instead (a parallel prefix scan):
 
 1. rows are split into *chunks*: ``chunk = f(order)`` must be non-decreasing
-   in the order (for example ``arrival_key div span``), so a chunk is a
-   contiguous, bounded run of one key's rows;
+   in the order, so a chunk is a contiguous run of one key's rows
+   (``row_chunks`` sizes them by the key's own number of rows);
 2. running aggregates are computed within ``(key, chunk)`` by a window;
 3. one summary row per ``(key, chunk)`` (a partial aggregate, small) gets the
    aggregate of all *earlier* chunks of its key by a window over the summary;
@@ -119,68 +119,22 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     return out.drop(*[f"_l_{a.name}" for a in aggs], *[f"_c_{a.name}" for a in aggs])
 
 
-def arrival_chunk(col: str, span: int) -> Column:
-    """Chunk id from an integer arrival position."""
-    return idiv(F.col(col), span)
+def row_chunks(df: DataFrame, keys: list[str], order_col: str, target_rows: int,
+               chunk_col: str = "_chunk") -> DataFrame:
+    """Add chunk ids that cut each key's own rows into ranges of ``order_col``
+    of about ``target_rows`` rows each, in order.
 
-
-MAX_SUBCHUNKS = 1 << 20
-
-
-def density_chunks(df: DataFrame, keys: list[str], order_col: str, coarse_span: int, target_rows: int,
-                   chunk_col: str = "_chunk") -> DataFrame:
-    """Chunk ids sized by each key's own density, monotone in ``order_col``.
-
-    Positions are cut into coarse buckets of ``coarse_span``; a partial
-    aggregate counts the rows of every (key, bucket) and their position range,
-    and a bucket with ``n`` rows is split into ``ceil(n / target_rows)`` equal
-    sub-ranges of that range. A sparse key keeps one chunk per bucket (a small
-    summary table); a key holding a large share of all rows gets sub-ranges of
-    about ``target_rows`` rows, so no chunk grows with the data. The count
-    table has one row per (key, bucket): it is computed once (one narrow scan)
-    and written with ``checkpoint()``, so plans that read ``df`` in several
-    branches do not recount it; AQE broadcasts it when measured small.
+    One partial aggregate counts the rows of every key and their range; a key
+    with ``n`` rows gets ``ceil(n / target_rows)`` equal ranges. So a key of up
+    to ``target_rows`` rows is one chunk (one summary row), and a key holding a
+    third of all rows spreads over as many chunks as it needs. The counts are
+    written once (one row per key); adaptive execution decides from their size
+    how they are joined. Rows whose key is null are one chunk.
     """
-    b = idiv(F.col(order_col), coarse_span)
-    subs = F.least(F.lit(MAX_SUBCHUNKS), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(target_rows))))
-    counts = (df.groupBy(*keys, b.alias("_b"))
-              .agg(F.count("*").alias("_n"), F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
-              .select(*keys, "_b", "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_w"),
-                      subs.cast("long").alias("_subs")))
-    counts = materialize(counts)
-    out = df.withColumn("_b", b).join(size_checked_broadcast(counts, row_bytes=64 + 16 * len(keys)),
-                                      [*keys, "_b"], "left")
-    # (pos - lo) * subs / width lies in [0, subs); floor division keeps it monotone
-    sub = ((F.col(order_col) - F.col("_lo")) * F.col("_subs") - F.pmod((F.col(order_col) - F.col("_lo"))
-                                                                        * F.col("_subs"), F.col("_w"))) / F.col("_w")
-    return (out.withColumn(chunk_col, F.col("_b") * F.lit(MAX_SUBCHUNKS) + sub.cast("long"))
-            .drop("_b", "_lo", "_w", "_subs"))
-
-
-def size_checked_broadcast(small: DataFrame, row_bytes: int) -> DataFrame:
-    """Broadcast a written (checkpointed) table only when its measured size is
-    under the session's broadcast threshold; otherwise leave the join to a
-    shuffle. Its row count is one number read back from the written table."""
-    spark = small.sparkSession
-    limit_bytes = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    if limit_bytes > 0 and small.count() * row_bytes <= limit_bytes:
-        return F.broadcast(small)
-    return small
-
-
-def _bytes(text: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    t = text.strip().lower()
-    for u in sorted(units, key=len, reverse=True):
-        if t.endswith(u) and t[:-len(u)].strip().lstrip("-").isdigit():
-            return int(t[:-len(u)]) * units[u]
-    return int(t)
-
-
-def vehicle_chunks(df: DataFrame, order_col: str, span: int, rows: int, key: str = "taxi_id",
-                   chunk_col: str = "_chunk") -> DataFrame:
-    """Add the chunk column of the per-vehicle scans: density-sized when
-    ``rows`` is set, fixed-width buckets otherwise."""
-    if rows:
-        return density_chunks(df, [key], order_col, span, rows, chunk_col)
-    return df.withColumn(chunk_col, arrival_chunk(order_col, span))
+    counts = materialize(df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
+        .select(*keys, "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_w"),
+                F.ceil(F.col("_n") / F.lit(target_rows)).cast("long").alias("_subs")))
+    at = idiv((F.col(order_col) - F.col("_lo")) * F.col("_subs"), F.col("_w"))
+    return (df.join(counts, keys, "left").withColumn(chunk_col, F.coalesce(at, F.lit(0)))
+            .drop("_lo", "_w", "_subs"))

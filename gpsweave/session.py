@@ -91,11 +91,15 @@ def build_session(master: str | None = None, app: str = "gpsweave",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only when
-    it is unset (local tests) a fresh scratch folder is created and recorded.
+    On a cluster this setting names shared storage and is used as is; without
+    it a cluster session is refused, since executors don't share local folders.
+    A session in one process (``local[...]``, tests) gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="gpsweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

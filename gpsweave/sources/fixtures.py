@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, FleetConfig
 from ..functions.num import idiv
 from ..plans.scan import Running, keyed_scan
 from .tables import table
@@ -41,9 +40,21 @@ def _sel(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(e).alias(n) for n, e in cols.items()])
 
 
-def trips(spark: SparkSession, sf_dir: str, cfg: FleetConfig = DEFAULT) -> DataFrame:
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def store_trips(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the pings of ``sf_dir`` once; queries of this application then
+    read them from ``path``, as a deployment reads its stored pings."""
+    trips(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _STORED[spark.sparkContext.applicationId, sf_dir] = path
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ping per event: ``taxi_id, ts_ms, latitude, longitude, end_flag,
-    produced_ts, arrival_key, event_id, lat_e6, lon_e6, value``."""
+    produced_ts, arrival_key, event_id, lat_e6, lon_e6, value, us``."""
+    if _STORED and (path := _STORED.get((spark.sparkContext.applicationId, sf_dir))):
+        return spark.read.parquet(path)
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "value", F.expr("unix_micros(CAST(ts AS TIMESTAMP))").alias("us"))
     # position in the user's time order and "is the user's last event", both as
@@ -68,7 +79,7 @@ def trips(spark: SparkSession, sf_dir: str, cfg: FleetConfig = DEFAULT) -> DataF
         "end_flag": "end_flag",
         "produced_ts": "CAST(us AS DOUBLE) / 1000000",
         "arrival_key": f"event_id + CASE WHEN pmod(event_id, {LATE_EVERY}) = 0 THEN {LATE_BY} ELSE 0 END",
-        "event_id": "event_id", "lat_e6": "lat_e6", "lon_e6": "lon_e6", "value": "value"})
+        "event_id": "event_id", "lat_e6": "lat_e6", "lon_e6": "lon_e6", "value": "value", "us": "us"})
 
 
 def _e6_text(col: str) -> str:
@@ -112,11 +123,10 @@ def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("veh_"), F.col("c_custkey").cast("string"), F.lit(".txt")).alias("file_name"))
 
 
-def grid_speeds(spark: SparkSession, sf_dir: str, trips_df: DataFrame) -> DataFrame:
+def grid_speeds(trips_df: DataFrame) -> DataFrame:
     """Per-ping speeds for the traffic grid, on the uncompressed event time."""
-    ev = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     return trips_df.select("taxi_id", "event_id", "ts_ms", "latitude", "longitude",
-                           (F.col("value") / 10).alias("speed_kmph")).join(ev, "event_id")
+                           (F.col("value") / 10).alias("speed_kmph"), F.timestamp_micros("us").alias("ts"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..config import DEFAULT, FleetConfig
-from ..operators.grid import (CONGESTED_BELOW, CONGESTED_MIN_VEHICLES, MODERATE_BELOW, MODERATE_MIN_VEHICLES,
-                              MODERATE_SPARSE_BELOW, MODERATE_SPARSE_MIN_VEHICLES, with_grid_id)
+from ..operators.grid import STATUS_RULES, with_grid_id
 
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("grid_id", T.StringType()), T.StructField("bottom_left_lat", T.DoubleType()),
@@ -33,13 +32,7 @@ SNAPSHOT_SCHEMA = T.StructType([
 
 
 def _status(avg: float, n: int) -> str:
-    if avg < CONGESTED_BELOW and n >= CONGESTED_MIN_VEHICLES:
-        return "CONGESTED"
-    if avg < MODERATE_BELOW and n >= MODERATE_MIN_VEHICLES:
-        return "MODERATE"
-    if avg < MODERATE_SPARSE_BELOW and n >= MODERATE_SPARSE_MIN_VEHICLES:
-        return "MODERATE"
-    return "FREE_FLOW"
+    return next((name for name, below, least in STATUS_RULES if avg < below and n >= least), "FREE_FLOW")
 
 
 def _window_ms(cfg: FleetConfig) -> int:
@@ -61,9 +54,14 @@ class GridCellProcessor(StatefulProcessor):
         self.timer = handle.getValueState("timer", "expires long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival_key", "event_id"], kind="stable")
-        for tid, spd in zip(pdf["taxi_id"].tolist(), pdf["speed_kmph"].tolist()):
-            self.speeds.updateValue((tid,), (float(spd),))
+        # batch by batch: of a vehicle's speeds only the latest by arrival is kept
+        newest: dict = {}
+        for pdf in rows:
+            for tid, at, spd in zip(pdf["taxi_id"].tolist(), zip(pdf["arrival_key"].tolist(), pdf["event_id"].tolist()), pdf["speed_kmph"].tolist()):
+                if tid not in newest or newest[tid][0] <= at:
+                    newest[tid] = (at, float(spd))
+        for tid, (_, spd) in newest.items():
+            self.speeds.updateValue((tid,), (spd,))
         if not self.timer.exists():
             expires = timerValues.getCurrentProcessingTimeInMs() + _window_ms(self.cfg)
             self.handle.registerTimer(expires)

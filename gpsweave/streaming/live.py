@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, FleetConfig
+from ..functions.num import idiv
 from ..operators.grid import grid_window
 from ..operators.lifecycle import IN_COLS, with_center_distance
 from ..operators.parse import parse_pings
+from ..operators.speed import alert_text
 from .processor import STREAM_OUT_SCHEMA, VehicleProcessor
 
 # a file-stream message record: arrival position, tiebreak and the wire text
@@ -37,19 +39,25 @@ def file_messages(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str = "taxi-location",
-                   max_offsets_per_trigger: int | None = None) -> DataFrame:
+                   max_offsets_per_trigger: int = 1_000_000) -> DataFrame:
     """The topic from the earliest offset (full replay on each fresh start).
 
-    Needs the Kafka connector on the classpath. The producer keys messages by
-    vehicle, so a vehicle's pings share a partition and the offset is its
-    arrival order.
+    Needs the Kafka connector on the classpath. Offsets repeat across
+    partitions, so the arrival key is the broker's time and the id is made of
+    partition and offset: together they order all records and tell them apart.
+    ``max_offsets_per_trigger`` bounds a micro-batch, the first one too.
     """
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic).option("startingOffsets", "earliest"))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return r.load().select(F.col("offset").alias("event_id"), F.col("offset").alias("arrival_key"),
-                           F.col("value").cast("string").alias("message"))
+         .option("subscribe", topic).option("startingOffsets", "earliest")
+         .option("maxOffsetsPerTrigger", max_offsets_per_trigger))
+    return message_records(r.load())
+
+
+def message_records(records: DataFrame) -> DataFrame:
+    """Kafka records as message records (``MESSAGE_SCHEMA``)."""
+    return records.select(
+        (F.col("partition").cast("long") * (1 << 44) + F.col("offset")).alias("event_id"),
+        F.unix_micros("timestamp").alias("arrival_key"), F.col("value").cast("string").alias("message"))
 
 
 def vehicle_stream(messages: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
@@ -77,67 +85,53 @@ def grid_stream(vehicle_out: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame
 
 def alert_stream(vehicle_out: DataFrame) -> DataFrame:
     """Speeding alert texts."""
-    return vehicle_out.filter(F.col("is_speeding")).select(
-        "taxi_id", "ts_ms", F.concat(F.lit("Speeding Alert! TaxiID="), F.col("taxi_id"), F.lit(" | Speed="),
-                                     F.col("speed_kmph").cast("string"), F.lit(" km/h")).alias("alert"))
+    return vehicle_out.filter(F.col("is_speeding")).select("taxi_id", "ts_ms", alert_text().alias("alert"))
 
 
-def location_speed_join_stream(pings_out: DataFrame, speeds_out: DataFrame, bound: str = "5 seconds",
+def location_speed_join_stream(pings_out: DataFrame, speeds_out: DataFrame, bound_ms: int = 5000,
                                watermark: str = "10 seconds") -> DataFrame:
     """T25 live: forwarded pings joined with the same vehicle's speed outputs
-    within +-``bound`` of event time (stream-stream inner join; both sides
-    watermarked so join state is dropped once it can no longer match).
+    within ``bound_ms`` of event time. A time bucket is part of the key, so a
+    ping meets only its vehicle's speeds of three buckets, and a hot vehicle
+    spreads over its buckets; both sides are watermarked, so state is dropped
+    once it can no longer match.
 
     Both inputs are streams over the written per-ping table (two reads of it).
     """
+    bucket = idiv(F.col("ts_ms"), bound_ms)
     p = (pings_out.filter(F.col("kind") == "forwarded")
-         .select("taxi_id", "event_id", "ts_ms", "latitude", "longitude", "end_flag", "event_time")
+         .select("taxi_id", "event_id", "ts_ms", "latitude", "longitude", "end_flag", "event_time",
+                 F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
          .withWatermark("event_time", watermark))
     s = (speeds_out.filter(F.col("speed_reason") == "ok")
          .select(F.col("taxi_id").alias("s_taxi_id"), F.col("event_id").alias("speed_event_id"),
-                 F.col("event_time").alias("s_time"), F.col("speed_kmph"), F.col("is_speeding").alias("speed_is_speeding"))
+                 F.col("event_time").alias("s_time"), F.col("speed_kmph"), F.col("is_speeding").alias("speed_is_speeding"),
+                 bucket.alias("s_bucket"))
          .withWatermark("s_time", watermark))
-    cond = F.expr(f"taxi_id = s_taxi_id AND s_time BETWEEN event_time - INTERVAL {bound} "
-                  f"AND event_time + INTERVAL {bound}")
-    return p.join(s, cond).drop("s_taxi_id", "s_time")
+    cond = F.expr(f"taxi_id = s_taxi_id AND bucket = s_bucket AND s_time BETWEEN event_time - INTERVAL {bound_ms} MILLISECONDS "
+                  f"AND event_time + INTERVAL {bound_ms} MILLISECONDS")
+    return p.join(s, cond).drop("s_taxi_id", "s_time", "bucket", "s_bucket")
 
 
-def stage_replay_files(messages: DataFrame, path: str, per_file: int) -> None:
-    """Write message records as one file per range of ``per_file`` arrival
-    positions, with modification times in arrival order: the file source then
-    hands them to the stream in arrival order, one range per micro-batch.
-    Spark writes the files; the driver only renames them and sets their times."""
-    spark = messages.sparkSession
-    staging = path.rstrip("/") + "_staging"
-    (messages.withColumn("_part", (F.col("arrival_key") / F.lit(per_file)).cast("long"))
-     .repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(staging))
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = src.getFileSystem(conf)
-    dst = jvm.org.apache.hadoop.fs.Path(path)
-    fs.mkdirs(dst)
-    parts = sorted((int(st.getPath().getName().split("=")[1]), st.getPath())
-                   for st in fs.listStatus(src) if st.getPath().getName().startswith("_part="))
-    base_ms = 1_600_000_000_000
-    for i, (_, d) in enumerate(parts):
-        for j, st in enumerate(sorted(fs.listStatus(d), key=lambda x: x.getPath().getName())):
-            if not st.getPath().getName().endswith(".parquet"):
-                continue
-            target = jvm.org.apache.hadoop.fs.Path(dst, f"{i:06d}_{j:04d}.parquet")
-            fs.rename(st.getPath(), target)            # metadata only: no data through the driver
-            fs.setTimes(target, base_ms + 10_000 * i, -1)
-
-
-def replay_vehicle_stream(spark: SparkSession, src: str, out_root: str, cfg: FleetConfig = DEFAULT,
-                          timeout_s: int = 1800) -> DataFrame:
-    """Run the live vehicle path over staged files to completion
-    (``availableNow``) and return the written per-ping table."""
-    from .sinks import state_sinks
-    out = vehicle_stream(file_messages(spark, src, max_files_per_trigger=1), cfg)
-    q = (out.writeStream.foreachBatch(state_sinks(out_root))
-         .option("checkpointLocation", out_root.rstrip("/") + "/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+def finish(writer) -> None:
+    """Start a query over all that is available and wait until it is done, for
+    as long as that takes; an error of the query is raised here."""
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(out_root.rstrip("/") + "/pings")
+
+
+def replay_vehicle_stream(messages: DataFrame, root: str, steps: int, cfg: FleetConfig = DEFAULT) -> None:
+    """Let message records arrive in ``steps`` parts by arrival position, and run
+    the live vehicle path after each: every run goes on from the checkpoint of
+    the one before. Messages in ``root/in``, outputs in ``root/out``."""
+    from .sinks import state_sinks
+    spark = messages.sparkSession
+    last = messages.agg(F.max("arrival_key")).first()[0]
+    span = ((last or 0) + steps) // steps
+    for i in range(steps):
+        (messages.filter(idiv(F.col("arrival_key"), span) == i).select(*MESSAGE_SCHEMA.names)
+         .write.mode("append").parquet(f"{root}/in"))
+        out = vehicle_stream(file_messages(spark, f"{root}/in"), cfg)
+        finish(out.writeStream.foreachBatch(state_sinks(f"{root}/out")).option("checkpointLocation", f"{root}/checkpoint"))

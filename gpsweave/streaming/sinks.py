@@ -3,13 +3,12 @@
 The reference upserts hashes, sets and lists in a key-value store per record.
 Here every micro-batch of per-ping outputs is written once by ``foreachBatch``:
 
-* ``VersionedTable``: upsert (newest row per key wins) by writing a complete
-  new version ``v=<batch id>`` next to the previous one. A replayed batch id
-  rewrites the same version, so the sink is idempotent; readers take the
-  newest complete version (``_SUCCESS`` present). The table holds one row per
-  vehicle, so its size follows the fleet, not the ping volume.
-* ``append_batch``: append-only tables (event log, grid snapshots) partitioned
-  by batch id; dynamic partition overwrite makes a replay idempotent.
+* ``append_batch``: append-only tables (event log, grid snapshots, per-ping
+  outputs) partitioned by batch id; dynamic partition overwrite makes a replay
+  idempotent.
+* the served vehicle state is appended too, as one partial state per vehicle
+  and batch, and merged on read (newest field group wins), so a batch costs what
+  it holds and not the fleet. ``compact_vehicle_state`` bounds the table.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
 from ..operators.grid import grid_snapshot
-from ..operators.views import merge_vehicle_state, vehicle_state_partial
+from ..operators.views import flatten_state, merge_vehicle_state, vehicle_state_partial
 
 
 def _fs(spark: SparkSession, path: str):
@@ -28,80 +27,32 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def newest_row(key: list[str], order: list[str]):
-    """Merge rule: the newest row per key by ``order`` wins."""
-    def merge(df: DataFrame) -> DataFrame:
-        ordk = F.struct(*[F.col(c) for c in order])
-        return (df.groupBy(*key).agg(F.max_by(F.struct(*df.columns), ordk).alias("_r")).select("_r.*"))
-    return merge
-
-
-class VersionedTable:
-    """Upsert table: rows of the stored version and of the batch are combined
-    by ``merge`` (default: newest row per ``key`` by ``order``)."""
-
-    def __init__(self, root: str, key: list[str], order: list[str] | None = None, keep_versions: int = 3,
-                 merge=None):
-        self.root, self.key, self.keep = root.rstrip("/"), key, keep_versions
-        self.merge = merge or newest_row(key, order)
-
-    def versions(self, spark: SparkSession) -> list[int]:
-        fs, p, jvm = _fs(spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        vs = self.versions(spark)
-        return spark.read.parquet(f"{self.root}/v={vs[-1]}") if vs else None
-
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prior = [v for v in self.versions(spark) if v < batch_id]
-        merged = batch
-        if prior:
-            merged = spark.read.parquet(f"{self.root}/v={prior[-1]}").unionByName(batch)
-        merged = self.merge(merged)
-        merged.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
-        self._retain(spark)
-
-    def clear(self, spark: SparkSession, schema) -> None:
-        """Start from an empty table (an empty version 0 ahead of all batches)."""
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.root}/v=-1")
-
-    def _retain(self, spark: SparkSession) -> None:
-        vs = self.versions(spark)
-        fs, _, jvm = _fs(spark, self.root)
-        for v in vs[:-self.keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}"), True)
-
-
 def append_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     """Append-only sink: rows of one micro-batch under ``batch_id=<n>``."""
     (batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def vehicle_state_table(root: str) -> VersionedTable:
-    """The served vehicle rows; ``views.flatten_state`` reads them flat."""
-    return VersionedTable(f"{root}/state", ["taxi_id"], merge=merge_vehicle_state)
+def read_vehicle_state(spark: SparkSession, root: str) -> DataFrame:
+    """One row per vehicle, merged from the appended partial states."""
+    return flatten_state(merge_vehicle_state(spark.read.parquet(f"{root}/state").drop("batch_id")))
+
+
+def compact_vehicle_state(spark: SparkSession, root: str, target: str) -> None:
+    """Write the merged partial states as a new table: one row per vehicle, to
+    which a restarted sink may go on appending."""
+    (merge_vehicle_state(spark.read.parquet(f"{root}/state").drop("batch_id"))
+     .withColumn("batch_id", F.lit(-1).cast("long")).write.mode("overwrite").partitionBy("batch_id").parquet(target))
 
 
 def state_sinks(root: str):
     """``foreachBatch`` function writing the vehicle-state views of one batch:
 
     * ``state``: S9–S11 (position, update time, totals, speed fields, status),
-      newest row per vehicle;
+      a partial state per vehicle of the batch;
     * ``events``: S12 event log (one row per message);
     * ``pings``: the per-ping outputs (input of the grid stream and audits).
     """
-    state = vehicle_state_table(root)
-
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -111,7 +62,7 @@ def state_sinks(root: str):
             ev = batch.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e")).select(
                 "taxi_id", "event_id", "arrival_key", "e.sub", "e.kind", "e.message")
             append_batch(ev, batch_id, f"{root}/events")
-            state.upsert(vehicle_state_partial(batch), batch_id)
+            append_batch(vehicle_state_partial(batch), batch_id, f"{root}/state")
         finally:
             batch.unpersist()
     return write

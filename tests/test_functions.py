@@ -1,28 +1,18 @@
-"""Column and SQL forms of the shared functions agree bit for bit; the two
-interval-join strategies give the same pairs."""
+"""Shared functions: rounding as the reference does it, the bucketed interval
+join, alert texts."""
 
 import math
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from gpsweave.functions.geo import haversine_km, haversine_sql, round_half_up
-from gpsweave.operators.joins import interval_join, interval_pairs
+from gpsweave.functions.geo import round_half_up
+from gpsweave.operators.joins import interval_join
 from gpsweave.operators.lifecycle import lifecycle
+from gpsweave.operators.speed import speed_chain
 from gpsweave.sources.fixtures import trips
 
 
-def test_haversine_column_and_sql_forms_are_identical(spark):
-    w = Window.partitionBy("taxi_id").orderBy("event_id")
-    df = trips(spark, SF001).select("latitude", "longitude", F.lag("latitude").over(w).alias("plat"),
-                                    F.lag("longitude").over(w).alias("plon")).dropna()
-    out = df.select(haversine_km(F.col("plat"), F.col("plon"), F.col("latitude"), F.col("longitude")).alias("a"),
-                    F.expr(haversine_sql("plat", "plon", "latitude", "longitude")).alias("b"))
-    assert out.filter(F.col("a") != F.col("b")).count() == 0
-    assert out.count() > 900 - 20
-
-
 def test_java_style_rounding(spark):
     df = spark.createDataFrame([(2.675,), (1.005,), (-1.5,), (0.125,)], "x double")
     got = [r.r for r in df.select(round_half_up(F.col("x"), 2).alias("r")).collect()]
@@ -30,14 +20,15 @@ def test_java_style_rounding(spark):
     assert got == [math.floor(x * 100 + 0.5) / 100 for x in (2.675, 1.005, -1.5, 0.125)]
 
 
-def test_bucketed_join_equals_range_frame_pairs(spark):
-    lc = lifecycle(trips(spark, SF001)).select(
-        "taxi_id", "event_id", "ts_ms", "kind", "speed_reason", F.col("speed_kmph").alias("kmph"))
+def test_bucketed_join_equals_the_plain_condition(spark):
+    pings = speed_chain(trips(spark, SF001)).select("taxi_id", "event_id", "ts_ms")
+    speeds = speed_chain(trips(spark, SF001)).filter("speed_reason = 'ok'").select(
+        "taxi_id", "event_id", "ts_ms", F.col("speed_kmph").alias("kmph"))
     bound = 30 * 60 * 1000
-    a = interval_pairs(lc, F.col("kind") == "forwarded", F.col("speed_reason") == "ok", bound,
-                       ["event_id", "ts_ms", "kmph"]).select("event_id", "speed_event_id", "speed_kmph")
-    pings = lc.filter(F.col("kind") == "forwarded").select("taxi_id", "event_id", "ts_ms")
-    speeds = lc.filter(F.col("speed_reason") == "ok").select("taxi_id", "event_id", "ts_ms", "kmph")
+    s = speeds.select(F.col("taxi_id").alias("t"), F.col("event_id").alias("speed_event_id"), F.col("ts_ms").alias("at"),
+                      F.col("kmph").alias("speed_kmph"))
+    a = pings.join(s, (F.col("taxi_id") == F.col("t")) & (F.abs(F.col("at") - F.col("ts_ms")) <= bound)).select(
+        "event_id", "speed_event_id", "speed_kmph")
     b = interval_join(pings, speeds, bound).select("event_id", "speed_event_id", "speed_kmph")
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0

@@ -4,44 +4,37 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF01
-from gpsweave.operators.lifecycle import lifecycle
-from gpsweave.operators.trips import ping_steps
+from gpsweave.operators.machine import trip_chain
+from gpsweave.operators.speed import speed_chain
+from gpsweave.operators.trips import fence_steps
 from gpsweave.operators.views import status_counts, vehicle_state
 from gpsweave.sources.fixtures import trips
 
 
 def test_status_counts_cover_every_vehicle_with_a_status(spark):
-    lc = lifecycle(trips(spark, SF01))
-    st = vehicle_state(lc)
+    pings = trips(spark, SF01)
+    st = vehicle_state(trip_chain(pings), speed_chain(pings))
     counted = status_counts(st).agg(F.sum("vehicles")).first()[0]
     assert counted == st.filter(F.col("status").isNotNull()).count()
-    assert st.count() == lc.select("taxi_id").distinct().count()
+    assert st.count() == pings.select("taxi_id").distinct().count()
 
 
 def test_totals_never_decrease_within_a_trip_and_accepted_time_never_decreases(spark):
-    s = ping_steps(trips(spark, SF01)).filter("forwarded")
+    s = trip_chain(trips(spark, SF01)).filter("kind = 'forwarded'")
     w = Window.partitionBy("taxi_id", "trip_no").orderBy("arrival_key", "event_id")
-    d = s.select(F.col("total_distance_km") - F.lag("total_distance_km").over(w)).alias("dd")
-    assert d.filter(F.col(d.columns[0]) < 0).count() == 0
-    t = s.select(F.col("total_time_s") - F.lag("total_time_s").over(w))
-    assert t.filter(F.col(t.columns[0]) < 0).count() == 0
-    a = ping_steps(trips(spark, SF01)).filter("accepted")
+    d = s.select((F.col("total_distance_km") - F.lag("total_distance_km").over(w)).alias("d"),
+                 (F.col("total_time_s") - F.lag("total_time_s").over(w)).alias("t"))
+    assert d.filter("d < 0 OR t < 0").count() == 0
+    a = fence_steps(trips(spark, SF01)).filter("accepted")
     wa = Window.partitionBy("taxi_id").orderBy("arrival_key", "event_id")
-    back = a.select((F.col("ts_ms") - F.lag("ts_ms").over(wa)).alias("dt")).filter(F.col("dt") < 0)
-    assert back.count() == 0
+    assert a.select((F.col("ts_ms") - F.lag("ts_ms").over(wa)).alias("dt")).filter("dt < 0").count() == 0
 
 
-def test_machine_and_windowed_chain_agree_where_they_must(spark):
-    """The late filter, the geofence and the 10 km transitions do not depend on
-    the status machine, so both formulations give identical values."""
+def test_fence_and_machine_agree(spark):
     t = trips(spark, SF01)
-    lc = lifecycle(t).select("event_id", F.col("kind"), F.col("area_event").alias("a1"),
-                             F.col("area_violations").alias("v1"))
-    w = ping_steps(t).select("event_id", F.when(~F.col("accepted"), "late").when(F.col("discarded"), "discarded")
-                             .otherwise("forwarded").alias("k2"), F.col("area_event").alias("a2"),
-                             F.col("area_violations").alias("v2"))
-    j = lc.join(w, "event_id")
+    m = trip_chain(t).select("event_id", "kind", F.col("area_event").alias("a1"), F.col("area_violations").alias("v1"))
+    f = fence_steps(t).select("event_id", F.when(~F.col("accepted"), "late").when(F.col("discarded"), "discarded")
+                              .otherwise("forwarded").alias("k2"), F.col("area_event").alias("a2"), F.col("area_violations").alias("v2"))
+    j = m.join(f, "event_id")
     assert j.count() == 10000
-    bad = j.filter((F.col("kind") != F.col("k2")) | ~F.col("a1").eqNullSafe(F.col("a2"))
-                   | (F.col("v1") != F.col("v2")))
-    assert bad.count() == 0
+    assert j.filter((F.col("kind") != F.col("k2")) | ~F.col("a1").eqNullSafe(F.col("a2")) | (F.col("v1") != F.col("v2"))).count() == 0

@@ -1,21 +1,30 @@
 """State machine quirks on hand-written tables (expected values read off the
-reference's operator code), checked on both the batch machine and, where it
-applies, the windowed chain."""
+reference's operator code), checked on both forms of the machine: ping by ping
+(streams) and as window expressions (batch)."""
 
 from edge import north, pings
 from gpsweave.operators.lifecycle import lifecycle
-from gpsweave.operators.trips import ping_steps
+from gpsweave.operators.machine import trip_chain
+from gpsweave.operators.speed import speed_chain
+from gpsweave.operators.trips import late_filter
+
+BOTH = ["kind", "area_violations", "area_event", "halt_event", "halted", "total_distance_km", "total_time_s", "trip_reset",
+        "avg_reason", "average_speed_kmph", "status_before", "status", "stored_total", "fleet_delta_cents"]
 
 
 def run(spark, rows, taxi="7"):
-    return [r.asDict() for r in lifecycle(pings(spark, rows, taxi)).orderBy("arrival_key").collect()]
+    """Rows of the ping-by-ping form, after the window form gave the same."""
+    out = [r.asDict() for r in lifecycle(pings(spark, rows, taxi)).orderBy("arrival_key").collect()]
+    windows = [r.asDict() for r in trip_chain(pings(spark, rows, taxi)).orderBy("arrival_key").collect()]
+    assert [[r[c] for c in BOTH] for r in out] == [[r[c] for c in BOTH] for r in windows]
+    return out
 
 
 def test_late_pings_use_max_accepted_not_previous(spark):
     p = north(1)
     out = run(spark, [(10, p, 0), (20, p, 0), (15, p, 0), (20, p, 0), (18, p, 0)])
     assert [r["kind"] for r in out] == ["forwarded", "forwarded", "late", "forwarded", "late"]
-    w = ping_steps(pings(spark, [(10, p, 0), (20, p, 0), (15, p, 0), (20, p, 0), (18, p, 0)]))
+    w = late_filter(pings(spark, [(10, p, 0), (20, p, 0), (15, p, 0), (20, p, 0), (18, p, 0)]))
     assert [r.accepted for r in w.orderBy("arrival_key").collect()] == [True, True, False, True, False]
 
 
@@ -34,8 +43,6 @@ def test_tiny_steps_round_away(spark):
     rows = [(i * 10, north(1 + i * 0.003), 0) for i in range(100)]
     out = run(spark, rows)
     assert all(r["total_distance_km"] == 0.0 for r in out)
-    w = ping_steps(pings(spark, rows)).orderBy("arrival_key").collect()
-    assert all(r.total_distance_km == 0.0 for r in w)
 
 
 def test_halt_time_is_cumulative(spark):
@@ -81,7 +88,7 @@ def test_reentry_counts_whole_total_again(spark):
     assert out[1]["status"] == "active"
     assert out[2]["status"] == "removed" and out[2]["stored_total"] == 0.0
     # first ping back: step from the pre-excursion place, total re-added to the fleet
-    assert out[3]["total_distance_km"] == 2.0 and out[3]["fleet_delta"] == 2.0
+    assert out[3]["total_distance_km"] == 2.0 and out[3]["fleet_delta_cents"] == 200
     assert out[3]["status"] == "active" and out[3]["trip_reset"] == "removal"
 
 
@@ -106,7 +113,7 @@ def test_zero_average_updates_position_but_keeps_stored_average(spark):
     out = [r.asDict() for r in lc.orderBy("arrival_key").collect()]
     assert out[1]["average_speed_kmph"] == 20.0
     assert out[3]["avg_reason"] == "ok" and out[3]["average_speed_kmph"] == 0.0
-    st = vehicle_state(lc).first()
+    st = vehicle_state(trip_chain(pings(spark, rows)), speed_chain(pings(spark, rows))).first()
     assert st.average_speed_kmph == 20.0                          # not overwritten by 0.0
     assert st.last_update_ms == out[3]["ts_ms"] and st.latitude == out[3]["latitude"]
 
@@ -134,8 +141,8 @@ def test_two_excursions_count_and_refund_the_fleet_total(spark):
     assert out[0]["status"] is None                        # first ping: no stats row passes yet
     assert [r["status"] for r in out[1:]] == ["active", "removed", "active", "active", "removed", "active"]
     assert [r["area_violations"] for r in out] == [0, 0, 1, 1, 1, 2, 2]
-    assert out[3]["fleet_delta"] == 2.0 and out[3]["trip_reset"] == "removal"
-    assert out[6]["fleet_delta"] == 1.0 and out[6]["trip_reset"] == "removal"
+    assert out[3]["fleet_delta_cents"] == 200 and out[3]["trip_reset"] == "removal"
+    assert out[6]["fleet_delta_cents"] == 100 and out[6]["trip_reset"] == "removal"
     removals = [e["message"] for r in out for e in r["events"] if e["kind"] == "removal"]
     assert removals == [
         "[Removal Alert] Taxi Id:7 removed after exceeding 15km zone. Area violations: 1.",

@@ -4,25 +4,34 @@ import re
 
 from conftest import SF001
 from gpsweave.catalog import queries
-from gpsweave.operators.trips import ping_steps
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_trip_chain_stays_linear_and_jvm_only(spark, tmp_path):
-    # pings from a stored table, as in production
-    queries()["geofence_discard"](spark, SF001)  # warm the session
+def _stored_pings(spark, tmp_path):
     from gpsweave.sources.fixtures import trips
+    queries()["geofence_discard"](spark, SF001)  # warm the session
     path = str(tmp_path / "pings")
     trips(spark, SF001).write.parquet(path)
-    plan = _plan(ping_steps(spark.read.parquet(path)))
-    assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
-    # main branch and summary branch, each with the small newest-ts pre-aggregate
-    assert len(re.findall(r"FileScan parquet", plan)) <= 4
-    # two shuffles of the pings (main, summary); the rest move per-chunk tables
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 12
+    return spark.read.parquet(path)
+
+
+def test_trip_chain_is_one_scan_one_shuffle_no_python(spark, tmp_path):
+    from gpsweave.operators.machine import trip_chain
+    plan = _plan(trip_chain(_stored_pings(spark, tmp_path)))
+    assert not re.search(r"Python|Pandas|Arrow", plan)
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    assert len(re.findall(r"Exchange", plan)) == 1 and len(re.findall(r"\bSort \[", plan)) == 1
+
+
+def test_speed_chain_sends_only_its_columns_to_python(spark, tmp_path):
+    from gpsweave.operators.speed import speed_chain
+    plan = _plan(speed_chain(_stored_pings(spark, tmp_path)))
+    scan = re.search(r"ReadSchema: struct<([^>\n]*)", plan).group(1)
+    assert "produced_ts" not in scan and "value" not in scan
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
 
 
 def test_scans_prune_columns(spark):
@@ -31,6 +40,13 @@ def test_scans_prune_columns(spark):
     assert schemas and all("props" not in s and "user_id" not in s for s in schemas)
 
 
-def test_state_machine_is_one_python_stage(spark):
-    plan = _plan(queries()["status_counts"](spark, SF001))
-    assert len(re.findall(r"MapInPandas", plan)) == 1
+def test_trip_views_run_no_python(spark):
+    for name in ("status_counts", "fleet_distance", "average_speed", "removal_events"):
+        assert not re.search(r"Python|Pandas|MapInArrow", _plan(queries()[name](spark, SF001))), name
+
+
+def test_hot_keys_are_not_windowed_or_collected(spark):
+    for name in ("grid_moves", "location_speed_interval_join", "add_end_flag"):
+        plan = _plan(queries()[name](spark, SF001))
+        assert "collect_list" not in plan, name
+    assert not re.search(r"\bWindow \[", _plan(queries()["grid_window"](spark, SF001)).split("Window [_n")[0].split("Aggregate")[0])

@@ -5,7 +5,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gpsweave.plans.scan import Running, arrival_chunk, keyed_scan
+from gpsweave.functions.num import idiv
+from gpsweave.plans.scan import Running, keyed_scan, row_chunks
 
 rows_st = st.lists(st.tuples(st.integers(0, 3), st.integers(-5, 5) | st.none()), min_size=1, max_size=60)
 
@@ -18,7 +19,7 @@ def test_keyed_scan_equals_plain_window(spark, rows, span):
     aggs = [Running("s", "sum", F.col("v")), Running("sx", "sum", F.col("v"), inclusive=False),
             Running("mx", "max", F.col("v")), Running("mn", "min", F.col("v"), inclusive=False),
             Running("lst", "last", F.col("v"), inclusive=False), Running("tot", "max", F.col("v"), whole=True)]
-    got = keyed_scan(df, ["k"], ["pos"], arrival_chunk("pos", span), aggs)
+    got = keyed_scan(df, ["k"], ["pos"], idiv(F.col("pos"), span), aggs)
     w = Window.partitionBy("k").orderBy("pos")
     inc, exc = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("k", "pos",
@@ -33,18 +34,19 @@ def test_keyed_scan_equals_plain_window(spark, rows, span):
     assert a == b
 
 
-def test_density_chunks_bound_a_hot_key(spark):
-    from gpsweave.plans.scan import density_chunks
+def test_row_chunks_follow_each_keys_own_rows(spark):
     n = 30000
-    # one key holds a third of all positions, 200 others share the rest
+    # one key holds a third of all positions, 10,000 others two rows each, some rows no key
     df = spark.range(n).select(F.col("id").alias("pos"),
-                               F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 200).alias("k"))
-    ch = density_chunks(df, ["k"], "pos", coarse_span=1 << 20, target_rows=500)
+                               F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 100 != 1, F.col("id") % 10000).alias("k"))
+    ch = row_chunks(df, ["k"], "pos", target_rows=500)
     sizes = ch.groupBy("k", "_chunk").count()
     hot = sizes.filter("k = -1")
-    assert hot.count() == 20                              # 10,000 rows in ~500-row chunks
-    assert hot.agg(F.max("count")).first()[0] <= 3 * 500
-    assert sizes.filter("k <> -1").agg(F.max("count")).first()[0] == 100   # sparse keys: one chunk each
+    assert hot.count() == 20                              # 10,000 rows in 500-row chunks
+    assert hot.agg(F.max("count")).first()[0] <= 501
+    sparse = sizes.filter("k >= 0")
+    assert sparse.count() == df.filter("k >= 0").select("k").distinct().count()   # one summary row per key
+    assert ch.filter("k IS NULL").count() == df.filter("k IS NULL").count() > 0
     # chunk ids are monotone in position within every key
     w = Window.partitionBy("k").orderBy("pos")
     assert ch.select((F.col("_chunk") < F.lag("_chunk").over(w)).alias("b")).filter("b").count() == 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gpsweave.operators import prep as Q
 from gpsweave.sources import files as S
-from gpsweave.streaming.sinks import VersionedTable, append_batch
+from gpsweave.streaming.sinks import append_batch
 
 
 @pytest.fixture()
@@ -79,18 +79,46 @@ def test_metrics_json_scan(spark):
     assert df[1].endpoints["/a"]["404"] == 1.0 and df[0].cache_hit_ratio is None
 
 
-def test_versioned_table_upsert_is_idempotent(spark):
+def test_vehicle_state_is_merged_on_read_and_idempotent(spark):
+    from gpsweave.operators.views import GROUPS, vehicle_state_partial
+    from gpsweave.streaming.sinks import compact_vehicle_state, read_vehicle_state
+    cols = ("taxi_id string, event_id long, arrival_key long, ts_ms long, latitude double, longitude double, status string, "
+            "stored_total double, warned boolean, area_violations long, avg_reason string, average_speed_kmph double, "
+            "speed_reason string, speed_kmph double, is_speeding boolean, fleet_delta_cents long")
+    row = lambda v, i, status, cents: (v, i, i, i, 39.9, 116.4, status, cents / 100, False, 0, "ok", 10.0 + i, "ok", 60.0, i % 2 == 0, cents)
     root = tempfile.mkdtemp(prefix="gw-state-")
-    t = VersionedTable(root, ["taxi_id"], ["arrival_key"])
-    b0 = spark.createDataFrame([("1", 1, "active"), ("1", 2, "halted"), ("2", 3, "active")],
-                               "taxi_id string, arrival_key long, status string")
-    t.upsert(b0, 0)
-    b1 = spark.createDataFrame([("2", 4, "removed")], "taxi_id string, arrival_key long, status string")
-    t.upsert(b1, 1)
-    t.upsert(b1, 1)                                        # replayed batch
-    got = {r.taxi_id: r.status for r in t.read(spark).collect()}
-    assert got == {"1": "halted", "2": "removed"}
-    assert t.versions(spark)[-1] == 1
+    for n, rows in enumerate([[row("1", 1, "active", 100), row("1", 2, "halted", 50), row("2", 3, "active", 7)],
+                              [row("2", 4, "removed", 3)], [row("2", 4, "removed", 3)]]):
+        append_batch(vehicle_state_partial(spark.createDataFrame(rows, cols)), min(n, 1), f"{root}/state")   # batch 1 is replayed
+    got = {r.taxi_id: (r.status, r.fleet_cents, r.speeding_speed_kmph) for r in read_vehicle_state(spark, root).collect()}
+    assert got == {"1": ("halted", 150, 60.0), "2": ("removed", 10, 60.0)}
+    compact_vehicle_state(spark, root, f"{root}/small/state")
+    small = spark.read.parquet(f"{root}/small/state")
+    assert small.count() == 2 and set(GROUPS) <= set(small.columns)
+    assert {r.taxi_id: r.status for r in read_vehicle_state(spark, f"{root}/small").collect()} == {"1": "halted", "2": "removed"}
+
+
+def test_end_flag_keeps_rows_without_an_id(spark):
+    rows = [(None, "2008-02-02 15:36:08", 116.5, 39.9), ("7", "2008-02-02 15:36:08", 116.5, 39.9), ("7", "2008-02-02 15:37:08", 116.5, 39.9)]
+    raw = spark.createDataFrame([(*r, i, i) for i, r in enumerate(rows)],
+                                "taxi_id string, date_time string, longitude double, latitude double, arrival_key long, event_id long")
+    assert [(r.taxi_id, r.end_flag) for r in Q.prepare(raw).orderBy("event_id").collect()] == [(None, 0), ("7", 0), ("7", 1)]
+
+
+def test_file_report_names_empty_and_unreadable_files(spark, raw_dir):
+    with open(f"{raw_dir}/broken.txt.gz", "wb") as f:
+        f.write(b"this is no gzip stream, though its name says so")
+    got = {r.file_name: (r.state, r.lines) for r in S.file_report(spark, raw_dir, glob="*.{txt,gz}").collect()}
+    assert got == {"1.txt": ("read", 3), "2.txt": ("read", 5), "3.txt": ("empty", 0), "broken.txt.gz": ("unreadable", 0)}
+
+
+def test_kafka_records_keep_a_total_order_across_partitions(spark):
+    from gpsweave.streaming.live import message_records
+    rec = spark.createDataFrame([(0, 5, "2024-01-01 00:00:02", "b"), (1, 5, "2024-01-01 00:00:01", "a"), (2, 5, "2024-01-01 00:00:02", "c")],
+                                "partition int, offset long, t string, v string")
+    out = message_records(rec.select("partition", "offset", F.to_timestamp("t").alias("timestamp"), F.col("v").cast("binary").alias("value")))
+    assert [r.message for r in out.orderBy("arrival_key", "event_id").collect()] == ["a", "b", "c"]
+    assert out.select("event_id").distinct().count() == 3
 
 
 def test_append_batch_replay_overwrites_its_partition(spark):
@@ -107,10 +135,9 @@ def test_start_fresh_clears_sink_tables(spark):
     root = tempfile.mkdtemp(prefix="gw-fresh-")
     df = spark.createDataFrame([("a",)], "m string")
     append_batch(df, 0, f"{root}/events")
-    VersionedTable(f"{root}/state", ["m"], ["m"]).upsert(df, 0)
+    append_batch(df, 0, f"{root}/state")
     start_fresh(spark, root)
     assert not os.path.exists(f"{root}/events") and not os.path.exists(f"{root}/state")
-    assert VersionedTable(f"{root}/state", ["m"], ["m"]).read(spark) is None
 
 
 def test_profile_when_every_file_is_empty(spark):

@@ -11,12 +11,14 @@ from conftest import SF001
 from gpsweave.operators.lifecycle import lifecycle
 from gpsweave.operators.parse import parse_pings
 from gpsweave.sources import fixtures as FX
-from gpsweave.operators.joins import interval_pairs
-from gpsweave.streaming.live import file_messages, grid_stream, location_speed_join_stream, vehicle_stream
-from gpsweave.operators.views import flatten_state, vehicle_state
+from gpsweave.operators.joins import interval_join
+from gpsweave.streaming.live import file_messages, finish, grid_stream, location_speed_join_stream, vehicle_stream
+from gpsweave.operators.machine import trip_chain
+from gpsweave.operators.speed import speed_chain
+from gpsweave.operators.views import vehicle_state
 from gpsweave.config import DEFAULT
 from gpsweave.operators.grid import grid_snapshot, grid_window
-from gpsweave.streaming.sinks import grid_sinks, state_sinks, vehicle_state_table
+from gpsweave.streaming.sinks import grid_sinks, read_vehicle_state, state_sinks
 
 
 def _stage_files(spark, msgs, root, per_file=250):
@@ -41,10 +43,7 @@ def _publish(files, dst):
 
 def _run(spark, src, root):
     out = vehicle_stream(file_messages(spark, src, max_files_per_trigger=1))
-    q = (out.writeStream.foreachBatch(state_sinks(f"{root}/sinks"))
-         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination(600)
-    assert q.exception() is None
+    finish(out.writeStream.foreachBatch(state_sinks(f"{root}/sinks")).option("checkpointLocation", f"{root}/ckpt"))
 
 
 def test_stream_matches_batch_with_restart(spark):
@@ -68,11 +67,21 @@ def test_stream_matches_batch_with_restart(spark):
                .select("taxi_id", "event_id", "arrival_key", "e.sub", "e.kind", "e.message"))
     assert ev.exceptAll(want_ev.select(*ev.columns)).count() == 0 and ev.count() == want_ev.count()
 
-    state = flatten_state(vehicle_state_table(f"{root}/sinks").read(spark))
-    batch_state = vehicle_state(lifecycle(parse_pings(msgs, keep=["event_id", "arrival_key"])))
-    cols = [c for c in batch_state.columns if c != "fleet_km"]
+    pings = parse_pings(msgs, keep=["event_id", "arrival_key"])
+    state, batch_state = read_vehicle_state(spark, f"{root}/sinks"), vehicle_state(trip_chain(pings), speed_chain(pings))
     assert state.count() == batch_state.count()
-    assert state.select(*cols).exceptAll(batch_state.select(*cols)).count() == 0
+    assert state.exceptAll(batch_state.select(*state.columns)).count() == 0      # fleet_cents included
+
+
+def test_a_failing_query_raises(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="gw-fail-")
+    spark.createDataFrame([(1, 1, "x")], "event_id long, arrival_key long, message string").write.parquet(f"{root}/in")
+
+    def broken(batch, batch_id):
+        raise RuntimeError("sink failed")
+    with pytest.raises(Exception, match="sink failed"):
+        finish(file_messages(spark, f"{root}/in").writeStream.foreachBatch(broken).option("checkpointLocation", f"{root}/c"))
 
 
 def test_grid_stream_over_written_outputs(spark):
@@ -84,10 +93,8 @@ def test_grid_stream_over_written_outputs(spark):
     pings_schema = spark.read.parquet(f"{root}/sinks/pings").schema
     live = spark.readStream.schema(pings_schema).parquet(f"{root}/sinks/pings")
     cfg = DEFAULT.with_(cell_km=5.0, grid_window="1 hour")
-    q = (grid_stream(live, cfg).writeStream.outputMode("append").foreachBatch(grid_sinks(f"{root}/sinks", cfg))
-         .option("checkpointLocation", f"{root}/gckpt").trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    assert q.exception() is None
+    finish(grid_stream(live, cfg).writeStream.outputMode("append").foreachBatch(grid_sinks(f"{root}/sinks", cfg))
+           .option("checkpointLocation", f"{root}/gckpt"))
     snaps = spark.read.parquet(f"{root}/sinks/grids")
     # closed windows only: every emitted window equals the batch computation of that window
     live_rows = {(r.grid_id, r.updated_at, r.vehicles) for r in snaps.collect()}
@@ -107,15 +114,13 @@ def test_interval_join_stream_matches_batch_pairs(spark):
     schema = spark.read.parquet(f"{root}/sinks/pings").schema
     a = spark.readStream.schema(schema).parquet(f"{root}/sinks/pings")
     b = spark.readStream.schema(schema).parquet(f"{root}/sinks/pings")
-    j = location_speed_join_stream(a, b, bound="30 minutes", watermark="3650 days")
-    q = (j.writeStream.format("parquet").option("path", f"{root}/pairs")
-         .option("checkpointLocation", f"{root}/jckpt").trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    assert q.exception() is None
+    j = location_speed_join_stream(a, b, bound_ms=30 * 60 * 1000, watermark="2 hours")
+    finish(j.writeStream.format("parquet").option("path", f"{root}/pairs").option("checkpointLocation", f"{root}/jckpt"))
     got = spark.read.parquet(f"{root}/pairs").select("event_id", "speed_event_id", "speed_kmph")
-    table = spark.read.parquet(f"{root}/sinks/pings").withColumnRenamed("speed_kmph", "kmph")
-    want = interval_pairs(table, F.col("kind") == "forwarded", F.col("speed_reason") == "ok", 30 * 60 * 1000,
-                          ["event_id", "kmph"]).select("event_id", "speed_event_id", "speed_kmph")
+    table = spark.read.parquet(f"{root}/sinks/pings")
+    want = interval_join(table.filter("kind = 'forwarded'").select("taxi_id", "event_id", "ts_ms"),
+                         table.filter("speed_reason = 'ok'").select("taxi_id", "event_id", "ts_ms", F.col("speed_kmph").alias("kmph")),
+                         30 * 60 * 1000).select("event_id", "speed_event_id", "speed_kmph")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
 
