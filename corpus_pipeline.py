@@ -26,9 +26,10 @@ def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose quality score reaches the threshold."""
-    scored = quality_texts(docs, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
-                           names=("quality stage score", "quality stage decision"))
-    return scored.filter("`quality stage decision` = 1").select(*docs.columns)
+    longer = "_" * max(len(c) for c in docs.columns)   # no column of documents has these names
+    score, decision = f"score{longer}", f"decision{longer}"
+    scored = quality_texts(docs, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), names=(score, decision))
+    return scored.filter(F.col(decision) == 1).drop(score, decision)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
