@@ -69,9 +69,7 @@ def _count(batches):
 
 def _units(model, h, shape):
     """Unit of each word: the number of a frequent word, else of its shape."""
-    at = np.minimum(np.searchsorted(model["word"], h), max(len(model["word"]) - 1, 0))
-    if not len(model["word"]):
-        return model["n_words"] + shape.astype(np.int64), at, np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(model["word"], h), len(model["word"]) - 1)
     known = model["word"][at] == h
     unit = np.where(known, model["unit"][at], -1)
     return np.where(unit >= 0, unit, model["n_words"] + shape.astype(np.int64)), at, known
@@ -232,6 +230,8 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
     frequent = np.lexsort((word, -c))[:n_words]
     unit = np.full(len(word), -1, np.int64)
     unit[frequent] = np.arange(len(frequent))
+    if not len(word):  # nothing to learn from: one entry that no word matches
+        word, c, top_shape, unit = np.array([-2**63]), np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([-1])
     model = {"word": word, "unit": unit, "n_words": len(frequent)}
 
     u = len(frequent) + N_SHAPES + 1
