@@ -23,10 +23,20 @@ OPS = {
     "windows": r"\bWindow \[",
     "joins": r"SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin",
     "aggregates": r"HashAggregate\(keys=\[[^\]]*\], functions=\[[^\]]*\], output|SortAggregate\(key=\[[^\]]*\], functions=\[[^\]]*\], output|ObjectHashAggregate\(keys",
-    "python": r"MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas",
+    "python": r"MapInArrow|MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas",
 }
 
 
+def final_plan(df) -> str:
+    """The plan this very DataFrame ran with: executed through its own query
+    execution, then the final section of the adaptive plan alone."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "== Final Plan ==" in plan:
+        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    return plan
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", app="gpsweave-plans", shuffle_partitions=16,
@@ -37,9 +47,7 @@ def main() -> None:
              "| query | " + " | ".join(OPS) + " | read schemas |",
              "|---|" + "---|" * (len(OPS) + 1)]
     for name, q in sorted(queries().items()):
-        df = q(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = final_plan(q(spark, sf_dir))
         counts = [len(re.findall(p, plan)) for p in OPS.values()]
         schemas = sorted(set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)))
         schema_txt = "; ".join(s.replace(":bigint", "").replace(":string", "").replace(":double", "")
@@ -48,7 +56,7 @@ def main() -> None:
     # formatted plans of a few headline queries (operator tree part)
     for name in ("interval_metrics", "grid_window", "status_counts"):
         df = queries()[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         lines += ["", f"## `{name}` (explain formatted, operator tree and scans)", "", "```"]
