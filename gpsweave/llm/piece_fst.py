@@ -35,7 +35,7 @@ _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 BYTE_COST = 1e12
 LITERAL_MARK = "\ud800"  # stands for a mark in the input itself; no text holds a lone surrogate
-MAX_WORDS = 300_000  # words a task remembers; beyond it starts anew
+MAX_WORDS = 600_000  # words a task remembers; beyond it starts anew
 _P = np.uint64(0x9E3779B97F4A7C55)
 
 
@@ -113,7 +113,8 @@ class Transducer:
         self.cost = np.full(len(model["decode"]), np.inf)
         for i, c in model["cost"].items():
             self.cost[i] = c
-        self.allowed: dict[int, bool] = {}
+        # pairs the acceptor has judged, sorted
+        self.pairs, self.pair_ok = np.array([-1], np.int64), np.array([False])
 
     def _prefix(self, cps):
         n = len(cps)
@@ -133,23 +134,26 @@ class Transducer:
         return h ^ (h >> np.uint64(29))
 
     def _pairs(self, a, b):
-        """Whether the acceptor allows piece b after piece a (-1: any)."""
+        """Whether the acceptor allows piece b after piece a."""
         key = a.astype(np.int64) * (1 << 32) + b
         u, inverse = np.unique(key, return_inverse=True)
-        text, score, known = self.m["text"], self.m["score"], self.allowed
-        out = np.empty(len(u), bool)
-        for j, k in enumerate(u.tolist()):
-            ok = known.get(k)
-            if ok is None:
-                x, y = text[k >> 32], text[k & 0xFFFFFFFF]
-                ok = known[k] = _merge(x + y, score) == [x, y]
-            out[j] = ok
-        return out[inverse]
-
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Piece ids of the shortest path of each word."""
+        at = np.searchsorted(self.pairs, u)
+        new = self.pairs[np.minimum(at, len(self.pairs) - 1)] != u
+        if new.any():
+            text, score = self.m["text"], self.m["score"]
+            fresh = u[new]
+            # two pieces that join to a piece would be merged on
+            ok = np.fromiter((x + y not in score and _merge(x + y, score) == [x, y] for x, y in
+                              ((text[k >> 32], text[k & 0xFFFFFFFF]) for k in fresh.tolist())), bool, len(fresh))
+            self.pairs, self.pair_ok = np.insert(self.pairs, at[new], fresh), np.insert(self.pair_ok, at[new], ok)
+            at = np.searchsorted(self.pairs, u)
+        return self.pair_ok[at][inverse]
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of the shortest paths of all words, one after the other, and
+        the number of ids of each word."""
         if not words:
-            return []
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         cps = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         size = np.array([len(w) for w in words])
         ends = np.cumsum(size)
@@ -198,19 +202,41 @@ class Transducer:
             e_sorted = e[by]
             top = by[np.concatenate([[True], e_sorted[1:] != e_sorted[:-1]])] if len(by) else by
             best[e[top] - 1], back[e[top] - 1], last[e[top] - 1] = cost[top], s[top], p[top]
-        back, last = back.tolist(), last.tolist()
-        out = []
-        for w, b, e in zip(words, begins.tolist(), ends.tolist()):
-            ids, at = [], e
-            while at > b:
-                s, p = back[at - 1], last[at - 1]
-                if p == -2:
-                    ids = None
-                    break
-                ids.extend((p,) if p >= 0 else reversed(self._bytes(w[s - b:at - b])))
-                at = s
-            out.append(ids[::-1] if ids is not None else self._merged(w))
-        return out
+        # walk all paths back at once: (word, step from the end, first character, piece)
+        word, at = np.arange(len(words)), ends.copy()
+        dead = last[ends - 1] == -2  # no path of finite cost
+        word, at = word[~dead], at[~dead]
+        walked, step = [], 0
+        while len(word):
+            s, p = back[at - 1], last[at - 1]
+            walked.append((word, np.full(len(word), step), s, p))
+            step += 1
+            on = s > begins[word]
+            word, at = word[on], s[on]
+        word, step, s, p = (np.concatenate(x) for x in zip(*walked)) if walked else (np.zeros(0, np.int64),) * 4
+        by = np.lexsort((-step, word))
+        word, s, p = word[by], s[by], p[by]
+        odd = np.flatnonzero(p < 0)
+        own = {int(w): self._merged(words[w]) for w in np.flatnonzero(dead)}
+        if len(odd) or own:  # characters as bytes, words without a path
+            parts, at = [], 0
+            spelled = {c: self._bytes(chr(c)) for c in np.unique(cps[s[odd]]).tolist()}
+            sizes = np.ones(len(p), np.int64)
+            sizes[odd] = [len(spelled[c]) for c in cps[s[odd]].tolist()]
+            flat = np.repeat(p, sizes)
+            starts = np.cumsum(sizes) - sizes
+            for k, c in zip(starts[odd].tolist(), cps[s[odd]].tolist()):
+                flat[k:k + len(spelled[c])] = spelled[c]
+            counts = np.bincount(word, sizes, len(words)).astype(np.int64)
+            if own:
+                edges = np.cumsum(counts)
+                for w in sorted(own):
+                    parts += [flat[at:edges[w]], np.array(own[w], np.int64)]
+                    at = edges[w]
+                    counts[w] = len(own[w])
+                flat = np.concatenate([*parts, flat[at:]])
+            return flat.astype(np.int32), counts
+        return p.astype(np.int32), np.bincount(word, minlength=len(words))
 
     def _bytes(self, c: str) -> list[int]:
         c = MARK if c == LITERAL_MARK else c
@@ -239,38 +265,73 @@ def decode_ids(model: dict, ids: list[int]) -> str:
     return raw.decode("utf-8", "replace")
 
 
+def _gather(starts, sizes):
+    """Places of runs given by their starts and sizes, one after the other."""
+    total = int(sizes.sum())
+    before = np.cumsum(sizes) - sizes
+    return np.arange(total) + np.repeat(starts - before, sizes)
+
+
+class _Words:
+    """Numbers of the words seen so far and their ids, in one array."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, words, ids, sizes):
+        n = len(self.number)
+        self.number.update(zip(words, range(n, n + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+
+
+def _segments(text: str, prefix: bool) -> list[str]:
+    """The words of a normalised text, each with the mark in front of it."""
+    text = normalise(text, prefix)
+    if MARK + MARK in text or "\0" in text or not text.startswith(MARK):
+        return _SEGMENT.findall(text)
+    return text.replace(MARK, "\0" + MARK).split("\0")[1:]
+
+
 def _encoded(sent, keep_text):
     def run(batches):
         model = sent.value
-        fst, known, table = Transducer(model), {}, model["decode"]
+        # a worker keeps its copy of the broadcast model from task to task, and with it the judged pairs
+        fst, known = model.setdefault("made here", None) or Transducer(model), _Words()
+        model["made here"] = fst
+        is_byte = np.isinf(fst.cost)
+        spell = np.frombuffer(b"".join(model["decode"]), np.uint8)
+        spell_size = np.array([len(x) for x in model["decode"]])
+        spell_start = np.cumsum(spell_size) - spell_size
         for batch in batches:
             for r in range(0, batch.num_rows, 512):
                 part = batch.slice(r, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                segments = []
-                for t in texts:
-                    t = normalise(t, model["prefix"])
-                    # words end where a mark begins; runs of marks need the pattern
-                    segments.append(_SEGMENT.findall(t) if MARK + MARK in t or not t.startswith(MARK) else t.replace(MARK, "\0" + MARK).split("\0")[1:] if "\0" not in t else _SEGMENT.findall(t))
-                new = list({w for s in segments for w in s if w not in known})
-                if len(known) + len(new) > MAX_WORDS:
-                    known = {}
-                    new = list({w for s in segments for w in s})
-                for w, ids in zip(new, fst.encode(new)):
-                    known[w] = (np.array(ids, np.int32), b"".join([table[i] for i in ids]), sum(1 for i in ids if fst.cost[i] == np.inf))
-                flat, sizes, decoded, n_bytes = [], [], [], []
-                for s in segments:
-                    got = [known[w] for w in s]
-                    ids = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int32)
-                    flat.append(ids)
-                    sizes.append(len(ids))
-                    n_bytes.append(sum([g[2] for g in got]))
-                    raw = b"".join([g[1] for g in got])
-                    decoded.append(raw[1:] if model["prefix"] and raw[:1] == b" " else raw)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
-                source = [t.encode("utf-8", "surrogatepass") for t in texts]
-                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(n_bytes, pa.int64()), lists,
-                           pa.array([hashlib.sha256(x).hexdigest() for x in decoded]), pa.array([a == b for a, b in zip(decoded, source)])]
+                segments = [_segments(t, model["prefix"]) for t in texts]
+                flat = [w for s in segments for w in s]
+                new = [w for w in dict.fromkeys(flat) if w not in known.number]
+                if len(known.number) + len(new) > MAX_WORDS:
+                    known, new = _Words(), list(dict.fromkeys(flat))
+                known.add(new, *fst.encode(new))
+                number = np.fromiter(map(known.number.__getitem__, flat), np.int64, len(flat))
+                doc_of = np.repeat(np.arange(len(texts)), [len(s) for s in segments])
+                sizes = known.sizes[number]
+                ids = known.ids[_gather(known.starts[number], sizes)]
+                owner = np.repeat(doc_of, sizes)
+                n_tokens = np.bincount(owner, minlength=len(texts))
+                n_bytes = np.bincount(owner, is_byte[ids], len(texts)).astype(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)), pa.array(ids))
+                # the output side: the pieces' bytes
+                raw = spell[_gather(spell_start[ids], spell_size[ids])].tobytes()
+                ends = np.cumsum(np.bincount(owner, spell_size[ids], len(texts)).astype(np.int64)).tolist()
+                decoded = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+                if model["prefix"]:
+                    decoded = [x[1:] if x[:1] == b" " else x for x in decoded]
+                columns = [part.column(0), pa.array(n_tokens, pa.int64()), pa.array(n_bytes), lists,
+                           pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
+                           pa.array([a == b.encode("utf-8", "surrogatepass") for a, b in zip(decoded, texts)])]
                 names = ["doc_id", "n_tokens", "n_byte_tokens", "token_ids", "decoded_sha256", "round_trip"]
                 if keep_text:
                     columns.append(pa.array([x.decode("utf-8", "replace") for x in decoded]))
