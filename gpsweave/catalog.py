@@ -654,7 +654,7 @@ def q_file_report(spark, sf_dir):
 
 
 # ------------------------------------------------------ the live path
-REPLAY_STEPS = 4   # runs of the stream over what has arrived so far
+REPLAY_STEPS = 3   # runs of the stream over what has arrived so far
 
 
 def _replayed(spark, sf_dir):
