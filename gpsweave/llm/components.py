@@ -1,5 +1,5 @@
-"""Connected components of a table of links, by alternating large-star and
-small-star steps on DataFrames."""
+"""Connected components of a table of links, by the least label of the
+neighbours and pointer jumping, on DataFrames."""
 
 from __future__ import annotations
 
@@ -9,31 +9,26 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Each node's neighbours (all, and those above it move; or those below it)
-    linked to the least of them and itself."""
-    both = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if large:
-        both = written(both.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "neighbours")
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        moved = both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:  # links run from the larger node a to the smaller b
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")), "least")
-        moved = (both.join(least, "u").filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-                 .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
-    return written(moved.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-
-
 def components(links: DataFrame) -> DataFrame:
-    """node, root (least node of its component) of every node with a link.
-    ``links`` has the columns a and b; loops and repeats do no harm."""
-    links = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    """node, root (least node of its component) of every node with a link to
+    another. ``links`` has the columns a and b; loops and repeats do no harm.
+
+    A round gives every node the least label of itself and its neighbours, then
+    that label's own label, so a chain of length n takes about log(n) rounds and
+    a star two. Labels are written each round; the links are read from one
+    written table, so adaptive execution can split a node with many of them.
+    """
+    both = written(links.filter("a <> b").select(F.inline(F.expr(
+        "array(named_struct('u', a, 'v', b), named_struct('u', b, 'v', a))"))).distinct(), "links")
+    labels = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("root")), "labels")
     state = None
     while True:
-        links = _star(_star(links, True), False)
-        now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        now = tuple(labels.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "root").cast("decimal(38,0)"))).first())
         if now == state:
-            break
+            return labels.select(F.col("u").alias("node"), "root")
         state = now
-    nodes = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return written(nodes.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "components")
+        of = labels.select(F.col("u").alias("v"), F.col("root").alias("near"))
+        least = both.join(of, "v").groupBy("u").agg(F.min("near").alias("near"))
+        jump = labels.select(F.col("u").alias("near"), F.col("root").alias("far"))
+        labels = written(labels.join(least, "u").select("u", F.least("root", "near").alias("near"))
+                         .join(jump, "near").select("u", F.least("near", "far").alias("root")), "labels")

@@ -31,7 +31,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -40,7 +40,7 @@ from .components import components
 
 N = 5
 HOT = 64
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 NO_CLASS = np.uint32(0xFFFFFFFF)
 MARGIN = 0.3  # partitions beyond k, as a share of k
 
@@ -92,8 +92,8 @@ def _classes(batches):
         for r0, d, o in tk.blocks(data, offs):
             _, _, size, cls = shingle_sets(d, o, hasher)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(r0, len(size)), pa.array(size, pa.int64()),
-                 pa.array(cls.view(np.int64), mask=size == 0)], ["doc_id", "n_shingles", "cls"])
+                [batch.column(0).slice(r0, len(size)), batch.column(2).slice(r0, len(size)), pa.array(size, pa.int64()),
+                 pa.array(cls.view(np.int64), mask=size == 0)], ["doc_id", "h", "n_shingles", "cls"])
 
 
 def signatures(row, g, size):
@@ -163,7 +163,7 @@ def _send(n_buckets):
     def run(batches):
         hasher = tk.Hasher(tk.white_space_words())
         part, flushed = TaskContext.get().partitionId(), 0
-        seen, cls, ts, sigs, keys, size = set(), [], [], [], [], 0
+        seen, cls, ts, sets, sigs, keys, size = set(), [], [], [], [], [], 0
 
         def flush():
             """Arrays for each signature range (kind 0), the class table (1), hot entries (2)."""
@@ -178,7 +178,8 @@ def _send(n_buckets):
             hot = np.repeat(run_size >= HOT, run_size)
             out = []
             home = block % n_buckets
-            out.append((home, block, 1, np.concatenate(cls).tobytes(), np.concatenate(ts).astype(np.int32).tobytes(), b""))
+            out.append((home, block, 1, np.concatenate(cls).tobytes(), np.concatenate(ts).astype(np.int32).tobytes(),
+                        np.concatenate(sets).astype(np.int64).tobytes()))
             if hot.any():
                 b = _bucket(sig[hot], n_buckets).astype(np.uint64)
                 out.append((home, block, 2, ((b << np.uint64(40)) | (sig[hot] & LOW40)).tobytes(), key[hot].tobytes(), np.full(int(hot.sum()), 255, np.uint8).tobytes()))
@@ -211,13 +212,14 @@ def _send(n_buckets):
                 row, inst, sig, t = signatures(number[row[use]], g[use], n[fresh])
                 cls.append(c[fresh])
                 ts.append(t)
+                sets.append(n[fresh])
                 sigs.append(sig)
                 keys.append(((row + count) * 4 + inst).astype(np.uint32))
                 count += int(fresh.sum())
                 size += len(sig)
                 if size > FLUSH:
                     yield from flush()
-                    seen, cls, ts, sigs, keys, size, count = set(), [], [], [], [], 0, 0
+                    seen, cls, ts, sets, sigs, keys, size, count = set(), [], [], [], [], [], 0, 0
         if size:
             yield from flush()
     return run
@@ -258,15 +260,15 @@ def _shared(key, table):
 
 
 def _candidates(key, table):
-    """(sig, cls) of a block's classes that pass the count filter, without their
-    T - 1 most frequent signatures."""
+    """(sig, cls, size) of a block's classes that pass the count filter, without
+    their T - 1 most frequent signatures."""
     kinds = table["kind"].to_pylist()
     a, b, c = (table[x].to_pylist() for x in ("a", "b", "c"))
     one = kinds.index(1)
-    cls, t = np.frombuffer(a[one], np.int64), np.frombuffer(b[one], np.int32)
+    cls, t, sets = np.frombuffer(a[one], np.int64), np.frombuffer(b[one], np.int32), np.frombuffer(c[one], np.int64)
     mine = [i for i, x in enumerate(kinds) if x == 2]
     if not mine:
-        return pa.table({"sig": pa.array([], pa.int64()), "cls": pa.array([], pa.int64())})
+        return pa.table({x: pa.array([], pa.int64()) for x in ("sig", "cls", "size")})
     sig = np.concatenate([np.frombuffer(a[i], np.uint64) for i in mine])
     k = np.concatenate([np.frombuffer(b[i], np.uint32) for i in mine])
     weight = np.concatenate([np.frombuffer(c[i], np.uint8) for i in mine])
@@ -278,7 +280,7 @@ def _candidates(key, table):
     keep = np.where(n < need, 0, n - np.maximum(need - 1, 0))
     place = np.arange(len(k)) - np.repeat(heads, n)
     use = place < np.repeat(keep, n)
-    return pa.table({"sig": sig[use].view(np.int64), "cls": cls[k[use] >> 2]})
+    return pa.table({"sig": sig[use].view(np.int64), "cls": cls[k[use] >> 2], "size": sets[k[use] >> 2]})
 
 
 def _verified(batches):
@@ -312,63 +314,102 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts' sets are linked."""
     with_b = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), "verified")
+    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(tk.gives_back(_verified), "a long, b long"), "verified")
 
 
-def similarity_classes(docs: DataFrame, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
+def _single_features(batches):
+    hasher = tk.Hasher(tk.white_space_words())
+    for batch in batches:
+        data, offs = tk.utf8(batch.column(1))
+        for r0, d, o in tk.blocks(data, offs):
+            row, g, size, _ = shingle_sets(d, o, hasher)
+            cls = batch.column(0).slice(r0, len(size)).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(cls[row]), pa.array(size[row], pa.int64())],
+                                             ["feature", "cls", "size"])
+
+
+def _by_features(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of the classes in ``rows`` that lie in different
+    components: single features as signatures, by the same two filters. Linked
+    sets share at least T = ceil(0.8 * size) features, so a class with fewer
+    shared ones drops out, and the T - 1 most frequent of them aren't needed;
+    a positional filter bounds what a pair can share. Classes that only have a
+    passage in common, and copies too far apart, don't meet here."""
+    left = written(rows.select("cls", "root").distinct(), "left")
+    features = written(texts.join(left, "cls", "left_semi").select("cls", "text")
+                       .mapInArrow(tk.gives_back(_single_features), "feature long, cls long, size long"), "features")
+    shared = written(features.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "frequency")
+    own = Window.partitionBy("cls")  # one text's features
+    kept = (features.join(shared, "feature")
+            .withColumn("place", F.row_number().over(own.orderBy("n", "feature"))).withColumn("held", F.count(F.lit(1)).over(own))
+            .filter("place <= held - (size * 4 + 4) div 5 + 1"))
+    kept = written(kept.join(left, "cls").select("feature", "cls", "size", "root", (F.col("held") - F.col("place") + 1).alias("rest")), "kept")
+    other = kept.select("feature", *[F.col(c).alias(f"{c}2") for c in ("cls", "size", "root", "rest")])
+    # positional filter: from the first common feature on, each has at most `rest` left, and linked sets
+    # share at least 4/9 of the sum of their sizes; only rows that could be the first one are kept
+    return (kept.join(other, "feature").filter("root < root2 AND 9 * least(rest, rest2) >= 4 * (size + size2)")
+            .select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")))
+
+
+def similarity_classes(docs: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, cls) of every document and (cls, root) of every
     class linked to another; cls is the hash of the shingle set.
 
     Candidate classes that share a signature are first compared with one of
-    them, chosen by hash, ``rounds`` times; what is then still in different
-    components is compared pair by pair. So large groups of copies cost a few
-    comparisons a member, and no link between components is missed."""
+    them, chosen by hash, ``rounds`` times, so large groups of copies cost a few
+    comparisons a member. Classes that still share signatures across components
+    are then compared through their single features (_by_features), which
+    misses no link between components."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    member = written(docs.mapInArrow(_classes, "doc_id long, n_shingles long, cls long"), "classes")
+    docs = docs.withColumn("h", F.xxhash64("text"))  # tells texts apart where ids repeat or are null
+    member = written(docs.mapInArrow(tk.gives_back(_classes), "doc_id long, h long, n_shingles long, cls long"), "classes")
     n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = (docs.select("text").mapInArrow(_send(n_buckets), PACKED)
+    packed = (docs.select("text").mapInArrow(tk.gives_back(_send(n_buckets)), PACKED)
               .groupBy("bucket").applyInArrow(_shared, PACKED)
-              .groupBy("block").applyInArrow(_candidates, "sig long, cls long"))
+              .groupBy("block").applyInArrow(_candidates, "sig long, cls long, size long"))
     found = written(packed.distinct(), "signatures")
     several = written(found.groupBy("sig").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).filter("x <> y").select("sig"), "shared")
     found = written(found.join(several, "sig", "left_semi"), "candidates")
 
     # one text of each candidate class
     pick = (member.join(found.select("cls").distinct(), "cls", "left_semi")
-            .groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
+            .groupBy("cls").agg(F.min("h").alias("h")))
     chosen = written(pick, "chosen")
-    texts = written(docs.join(chosen, "doc_id").dropDuplicates(["cls"]).select("cls", "text"), "texts")
+    texts = written(docs.join(chosen, "h").dropDuplicates(["cls"]).select("cls", "text"), "texts")
 
     links, checked, root = None, None, None
+    rows, last = found.withColumn("root", F.col("cls")), False
     for i in range(rounds + 1):
-        rows = found
-        if root is not None:
-            rows = found.join(root.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-            rows = written(rows, "rooted")
-            open_ = written(rows.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("sig"), "open")
-            rows = written(rows.join(open_, "sig", "left_semi"), "rooted")
-        else:
-            rows = rows.withColumn("root", F.col("cls"))
-        if i < rounds:  # one member of each signature, by a hash that changes with the round, against the others
-            hub = written(rows.groupBy("sig").agg(F.min_by(F.struct("cls", "root"), F.xxhash64("cls", F.lit(i))).alias("hub")), "hubs")
-            pairs = (rows.join(hub, "sig").filter("hub.root <> root")
+        last = last or i == rounds
+        if not last:  # one member of each signature, by a hash that changes with the round, against the others
+            hub = written(rows.groupBy("sig").agg(F.min_by(F.struct("cls", "root", "size"), F.xxhash64("cls", F.lit(i))).alias("hub")), "hubs")
+            pairs = (rows.join(hub, "sig").filter("hub.root <> root AND 5 * least(size, hub.size) >= 4 * greatest(size, hub.size)")
                      .select(F.least("hub.cls", "cls").alias("a"), F.greatest("hub.cls", "cls").alias("b")))
         else:
-            other = rows.select("sig", F.col("cls").alias("cls2"), F.col("root").alias("root2"))
-            pairs = rows.join(other, "sig").filter("root < root2").select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b"))
+            pairs = _by_features(rows, texts)
         pairs = pairs.distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            if i < rounds:
-                continue
-            break
         new = _links(pairs, texts)
         checked = pairs if checked is None else checked.unionByName(pairs)
+        if new.isEmpty():
+            if last:
+                break
+            last = True  # hubs find nothing more: compare the rest
+            continue
         links = new if links is None else links.unionByName(new)
         root = components(links)
+        if last:
+            break
+        # go on with the signatures whose members are in different components
+        rows = written(rows.drop("root").join(root.withColumnRenamed("node", "cls"), "cls", "left")
+                       .withColumn("root", F.coalesce("root", "cls")), "rooted")
+        open_ = written(rows.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("sig"), "open")
+        if open_.isEmpty():
+            break
+        rows = written(rows.join(open_, "sig", "left_semi"), "rooted")
     if root is None:
         root = spark.createDataFrame([], "node long, root long")
     return member, root.select(F.col("node").alias("cls"), "root")

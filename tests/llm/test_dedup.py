@@ -62,6 +62,8 @@ def brute_components(rows):
 
 def test_jaccard_components_cases(spark):
     rows = [(i + 100, t) for i, t in near_copies(3, groups=12, shared=25)] + ROWS
+    long = " ".join(f"z{i}" for i in range(200))
+    rows += [(None, long), (None, long + " end"), (999, long + " other"), (999, " ".join(f"y{i}" for i in range(90)))]   # no id, one id twice
     got = sorted((tuple(r) for r in jaccard_components(documents(spark, rows)).collect()), key=key)
     assert got == brute_components(rows)
 
