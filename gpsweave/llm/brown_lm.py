@@ -209,7 +209,7 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     training = docs.filter(bucket_of("doc_id", modulus) != held).select("text")
-    counts = written(training.mapInArrow(_count, "h long, shape byte, n long")
+    counts = written(training.mapInArrow(tk.gives_back(_count), "h long, shape byte, n long")
                      .groupBy("h").agg(F.sum("n").alias("c"), F.max("shape").alias("shape")), "words")
     n_docs = training.count()
     # the smallest count that at most `head` words reach, from a histogram of at most a few hundred bands
@@ -236,7 +236,7 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
 
     u = len(frequent) + N_SHAPES + 1
     sent = spark.sparkContext.broadcast(model)
-    got = (training.mapInArrow(_pair_count(sent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas())
+    got = (training.mapInArrow(tk.gives_back(_pair_count(sent)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas())
     pairs = np.zeros(u * u)
     pairs[got["pair"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=float)
     pairs = pairs.reshape(u, u)
@@ -263,7 +263,7 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
               "base": np.log10(c + 1.0), "end_base": float(np.log10(n_docs + 1)), "end_known": int(n_docs > 0)}
     sent = spark.sparkContext.broadcast(model)
     rows = (docs.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
-            .mapInArrow(_score(sent), SCORE_SCHEMA))
+            .mapInArrow(tk.gives_back(_score(sent)), SCORE_SCHEMA))
     rare = F.element_at(F.lit(unseen.tolist()), F.col("shape").cast("int") + 1)
     tail = counts.filter(F.col("c") < F.lit(least if least is not None else 2**62)).select("h", "c")
     scored = (rows.join(tail, "h", "left")

@@ -106,5 +106,5 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.8, n:
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).toArrow()
         index = spark.sparkContext.broadcast(
             _index(block.column(0).to_pylist(), block.column(1), threshold, n))
-        parts.append(docs.mapInArrow(_search(index, threshold), SCHEMA))
+        parts.append(docs.mapInArrow(tk.gives_back(_search(index, threshold)), SCHEMA))
     return reduce(DataFrame.union, parts)

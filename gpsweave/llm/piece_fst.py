@@ -29,13 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textkit as tk
+
 MARK = "\u2581"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 # Kinds of pieces in the model format.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 BYTE_COST = 1e12
 LITERAL_MARK = "\ud800"  # stands for a mark in the input itself; no text holds a lone surrogate
-MAX_WORDS = 600_000  # words a task remembers; beyond it starts anew
+MAX_WORDS = 400_000  # words a task remembers; beyond it starts anew
+SLICE_BYTES = 400_000  # text encoded at a time; bounds the arcs in memory
 _P = np.uint64(0x9E3779B97F4A7C55)
 
 
@@ -306,8 +309,9 @@ def _encoded(sent, keep_text):
         spell_size = np.array([len(x) for x in model["decode"]])
         spell_start = np.cumsum(spell_size) - spell_size
         for batch in batches:
-            for r in range(0, batch.num_rows, 512):
-                part = batch.slice(r, 512)
+            data, offs = tk.utf8(batch.column(1))
+            for r, _, o in tk.blocks(data, offs, SLICE_BYTES):
+                part = batch.slice(r, len(o) - 1)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 segments = [_segments(t, model["prefix"]) for t in texts]
                 flat = [w for s in segments for w in s]
@@ -356,4 +360,4 @@ def encode_documents(docs: DataFrame, model_path: str, keep_text: bool = False)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(compile_model(spark, model_path))
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(_encoded(sent, keep_text), SCHEMA + (", decoded string" if keep_text else "")))
+            .mapInArrow(tk.gives_back(_encoded(sent, keep_text)), SCHEMA + (", decoded string" if keep_text else "")))

@@ -252,7 +252,7 @@ def repeated_spans(docs: DataFrame, n_batches: int = 4) -> DataFrame:
     may overlap) of every text with bytes covered by a LENGTH-byte string that
     also starts elsewhere in the table."""
     texts = docs.select(F.xxhash64("text").alias("h"), "text")
-    entries = written(texts.mapInArrow(_entries, ENTRY_SCHEMA), "entries")
+    entries = written(texts.mapInArrow(tk.gives_back(_entries), ENTRY_SCHEMA), "entries")
     own = entries.filter("kind = 0").drop("kind")
     family = SuffixIndexFamily()
     for i in range(n_batches):
@@ -266,7 +266,7 @@ def repeated_spans(docs: DataFrame, n_batches: int = 4) -> DataFrame:
                        .groupBy("h").agg(F.collect_list("entry").alias("entries")), "compared")
     # texts that are copies of each other give the same rows: one of them is enough
     windows = written(texts.join(compared, "h").select("h", "text", "entries")
-                      .mapInArrow(_window_rows, "h long, start long, size int, alone boolean, cover long, core long, windows array<long>"), "windows")
+                      .mapInArrow(tk.gives_back(_window_rows), "h long, start long, size int, alone boolean, cover long, core long, windows array<long>"), "windows")
     covers = written(_repeated(windows.select("h", "start", "cover").distinct(), "cover"), "covers")
     cores = written(_repeated(windows.select("h", "start", "core").distinct(), "core"), "cores")
     alone = windows.filter("alone")
@@ -294,4 +294,4 @@ def remove_repeats(docs: DataFrame, n_batches: int = 4) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spans = repeated_spans(docs, n_batches)
     return (docs.withColumn("h", F.xxhash64("text")).join(spans, "h", "left").select("doc_id", "text", "spans")
-            .mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+            .mapInArrow(tk.gives_back(_kept), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))

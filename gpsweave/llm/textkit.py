@@ -9,14 +9,31 @@ collision is about V*V / 2**65).
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
 _P = 0xD6E8FEB86659FD93  # odd, 3 modulo 8: few low bits are lost
 
 
+def gives_back(run):
+    """For the generators that run in tasks: a Python worker serves the tasks of
+    many stages, so memory freed by one is given back to the system at its end."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+    return wrapped
+
+
 def _byte_values() -> np.ndarray:
     return np.random.RandomState(20240607).randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 

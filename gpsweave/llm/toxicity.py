@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import textkit as tk
 from .common import bucket_of
 from .labelled import SAMPLE_ROWS, training_rows
 
@@ -156,7 +157,7 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float]
     if not toxic or toxic == n:
         return {}
     odds = F.log((F.col("toxic") + 0.5) / (toxic - F.col("toxic") + 0.5)) - F.log((F.col("n") - F.col("toxic") + 0.5) / (n - toxic - F.col("n") + F.col("toxic") + 0.5))
-    found = (rows.mapInArrow(_terms, "term binary, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    found = (rows.mapInArrow(tk.gives_back(_terms), "term binary, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
              .withColumn("odds", odds).filter((F.col("odds") >= MIN_ODDS) & (F.col("toxic") >= max(3, MIN_SHARE * toxic)))
              .orderBy(F.desc("odds"), F.desc(F.length("term")), "term").limit(4 * size).collect())
     lexicon: dict[str, float] = {}
@@ -198,11 +199,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     """
     rows = training_rows(docs, labels, "toxic", sample)
     lexicon = learn_lexicon(rows)
-    got = rows.mapInArrow(_measured(lexicon), "x array<double>, label int").toPandas()
+    got = rows.mapInArrow(tk.gives_back(_measured(lexicon)), "x array<double>, label int").toPandas()
     x, y = np.array(got["x"].tolist(), float).reshape(len(got), 5), got["label"].to_numpy()
     by = np.lexsort((*x.T, y))
     model = fit_calibration(x[by], y[by])
     scored = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-              .mapInArrow(_scored(lexicon, model), "doc_id long, score double"))
+              .mapInArrow(tk.gives_back(_scored(lexicon, model)), "doc_id long, score double"))
     return scored.select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
