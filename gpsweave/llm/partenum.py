@@ -351,6 +351,31 @@ def _by_features(rows: DataFrame, texts: DataFrame) -> DataFrame:
             .select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")))
 
 
+BITS = 1 << 23
+
+
+def _bitmap(chosen: DataFrame) -> np.ndarray:
+    """One bit for each value of h modulo BITS that occurs: 1 MB at any size."""
+    number = F.pmod("h", F.lit(BITS)) + 1
+    rows = (chosen.groupBy(F.bitmap_bucket_number(number).alias("part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")).collect())
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in rows:
+        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[(r["part"] - 1) * 4096:(r["part"] - 1) * 4096 + len(bits)] = bits
+    return out
+
+
+def _likely(sent):
+    """Of rows (h, text), those that can have a chosen h: the others needn't be shuffled."""
+    def run(batches):
+        bits = sent.value
+        for batch in batches:
+            at = batch.column(0).to_numpy() % BITS
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+    return run
+
+
 def similarity_classes(docs: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, cls) of every document and (cls, root) of every
     class linked to another; cls is the hash of the shingle set.
@@ -376,7 +401,9 @@ def similarity_classes(docs: DataFrame, rounds: int = 2) -> tuple[DataFrame, Dat
     pick = (member.join(found.select("cls").distinct(), "cls", "left_semi")
             .groupBy("cls").agg(F.min("h").alias("h")))
     chosen = written(pick, "chosen")
-    texts = written(docs.join(chosen, "h").dropDuplicates(["cls"]).select("cls", "text"), "texts")
+    sent = spark.sparkContext.broadcast(_bitmap(chosen))
+    likely = docs.select("h", "text").mapInArrow(tk.gives_back(_likely(sent)), "h long, text string")
+    texts = written(likely.join(chosen, "h").dropDuplicates(["cls"]).select("cls", "text"), "texts")
 
     links, checked, root = None, None, None
     rows, last = found.withColumn("root", F.col("cls")), False
