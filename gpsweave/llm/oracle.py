@@ -49,5 +49,36 @@ FROM words w LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
 
+FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * len(t))::INT
+             + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > first_id, false)::INT AS fails
+      FROM w LEFT JOIN marks ON w.doc_id = marks.doc_id),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+letters(f, i) AS (VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3), ('E', 4)),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step, (1 << (ascii(filter_order[step]) - 65))::INT AS own,
+                 list_sum([0] || list_transform(range(1, step), lambda i: (1 << (ascii(filter_order[i]) - 65))::INT))::INT AS earlier
+          FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, own,
+             sum(CASE WHEN fails & (earlier | own) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN fails & earlier = 0 AND fails & own > 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN fails & earlier > 0 AND fails & own > 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN fails & earlier = 0 AND fails & own > 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN fails & earlier = 0 AND fails & own > 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM g, steps GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_scan_sql(), "op8_exact_dedup": EXACT_DEDUP}
+    return {"op2_license_scan": license_scan_sql(), "op8_exact_dedup": EXACT_DEDUP, "op12_filter_audit": FILTER_AUDIT}

@@ -77,6 +77,13 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_scores(read_documents(spark, sf_dir))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes, in every order of the five, by language."""
+    from .filter_audit import filter_audit
+    return filter_audit(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op5_partenum, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm)}
+        op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op5_partenum, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm,
+        op12_filter_audit)}
