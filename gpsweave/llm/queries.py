@@ -83,7 +83,13 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under SimHash fingerprints that differ in at most 4 bits."""
+    from .simhash import simhash_components
+    return simhash_components(read_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op5_partenum, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm,
-        op12_filter_audit)}
+        op12_filter_audit, op13_simhash)}
