@@ -80,5 +80,31 @@ FROM r
 """
 
 
+COLLOCATIONS = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+sizes(k) AS (VALUES (1), (2), (3), (4)),
+starts AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, sizes WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM starts GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE f >= 30),
+longer AS (SELECT lang, unnest([array_to_string(v[1:s], ' ') FOR s IN [k - 1]] || [array_to_string(v[2:k], ' ')] ||
+                               CASE WHEN k = 4 THEN [array_to_string(v[1:2], ' '), array_to_string(v[2:3], ' '), array_to_string(v[3:4], ' ')] ELSE [] END)
+                  AS phrase, f FROM (SELECT *, string_split(phrase, ' ') AS v FROM often WHERE k > 2)),
+inside AS (SELECT lang, phrase, max(f) AS most FROM longer GROUP BY ALL),
+kept AS (SELECT o.lang, o.phrase, o.k, o.f AS a, string_split(o.phrase, ' ') AS v FROM often o LEFT JOIN inside i ON o.lang = i.lang AND o.phrase = i.phrase
+         WHERE o.k > 1 AND coalesce(100 * i.most < 80 * o.f, true)),
+cuts AS (SELECT lang, phrase, a, k, v, unnest(range(1, k)) AS c FROM kept),
+parts AS (SELECT x.lang, x.phrase, x.a, x.c, l.f AS l, r.f AS r, (2000000::HUGEINT * x.a) // (l.f::HUGEINT + r.f) AS score
+          FROM cuts x JOIN often l ON l.lang = x.lang AND l.phrase = array_to_string(x.v[1:x.c], ' ')
+                      JOIN often r ON r.lang = x.lang AND r.phrase = array_to_string(x.v[x.c + 1:x.k], ' ')),
+least AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_scan_sql(), "op8_exact_dedup": EXACT_DEDUP, "op12_filter_audit": FILTER_AUDIT}
+    return {"op2_license_scan": license_scan_sql(), "op8_exact_dedup": EXACT_DEDUP, "op11_collocations": COLLOCATIONS,
+            "op12_filter_audit": FILTER_AUDIT}

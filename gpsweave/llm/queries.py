@@ -77,6 +77,12 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_scores(read_documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to four words of each language."""
+    from .collocations import collocations
+    return collocations(read_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each filter removes, in every order of the five, by language."""
     from .filter_audit import filter_audit
@@ -92,4 +98,4 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_license_scan, op3_toxicity, op4_piece_fst, op5_partenum, op6_chat_format, op7_suffix_index, op8_exact_dedup, op9_quality, op10_brown_lm,
-        op12_filter_audit, op13_simhash)}
+        op11_collocations, op12_filter_audit, op13_simhash)}
