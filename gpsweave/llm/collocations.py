@@ -16,6 +16,7 @@ the last walk counts phrases by their words.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 import numpy as np
@@ -26,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import textkit as tk
 from .common import written
 
@@ -33,7 +35,7 @@ MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
 INSIDE_PERCENT = 80          # a phrase mostly seen inside a longer one is dropped
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 MAX_BITS = 1 << 29           # of a bitmap: 64 MB
 BITS_PER_KEY = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -43,17 +45,26 @@ INDEX = ("shard long, langs array<string>, lang binary, ids binary, counts binar
 
 
 # ----------------------------------------------------------------- indexes
+def _order(key: np.ndarray) -> np.ndarray:
+    """Stable order of non-negative keys; key and place are sorted as one number where both fit."""
+    bits = len(key).bit_length()
+    if not len(key) or int(key.max()).bit_length() + bits > 64:
+        return np.argsort(key, kind="stable")
+    packed = key.astype(np.uint64) << np.uint64(bits) | np.arange(len(key), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def transform(t: np.ndarray, depth: int = MAX_WORDS) -> np.ndarray:
     """Burrows-Wheeler transform of a circular text, its rotations sorted by their first ``depth`` symbols."""
     rank, have = t.astype(np.int64), 1
     while have < depth:
         pair = rank * (int(rank.max()) + 1) + np.roll(rank, -have)
-        have *= 2
+        order, have = _order(pair), 2 * have
         if have < depth:
-            rank = np.unique(pair, return_inverse=True)[1]
-        else:
-            rank = pair
-    return t[np.argsort(rank, kind="stable") - 1]
+            pair = pair[order]
+            rank[order] = np.cumsum(np.concatenate([[False], pair[1:] != pair[:-1]]))
+    return t[order - 1]
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -135,6 +146,16 @@ def _indexes(shard_words):
     return run
 
 
+def _written_index(df: DataFrame) -> DataFrame:
+    """The index table, its few large rows a row group each: neither the writer
+    nor a reader holds more than about one of them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-indexes-{uuid.uuid4().hex}")
+    df.write.options(**{"parquet.block.size": 1 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1,
+                        "parquet.enable.dictionary": "false"}).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def _one_row_batches(spark):
     """An index is one row of many MB: tasks take them one by one."""
@@ -171,7 +192,7 @@ class _Side:
     def __init__(self, symbols: np.ndarray):
         self.symbols = symbols
         self.to = np.empty(len(symbols), np.int32)
-        self.to[np.argsort(symbols, kind="stable")] = np.arange(len(symbols), dtype=np.int32)
+        self.to[_order(symbols)] = np.arange(len(symbols), dtype=np.int32)
 
     def extend(self, lo, size, other):
         """One word more for every interval: (phrase it extends, word, count, its
@@ -180,7 +201,7 @@ class _Side:
         at = np.concatenate([[0], np.cumsum(size)])
         rows = np.repeat(lo - at[:-1], size) + np.arange(at[-1])
         code = of * (int(self.symbols.max(initial=0)) + 1) + self.symbols[rows]
-        by = np.argsort(code, kind="stable")
+        by = _order(code)
         code, of = code[by], of[by]
         heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
         count, rows, of = np.diff(np.append(heads, len(code))), rows[by[heads]], of[heads]
@@ -323,7 +344,7 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    index = written(texts.mapInArrow(tk.gives_back(_indexes(shard_words)), INDEX), "indexes")
+    index = _written_index(texts.mapInArrow(tk.gives_back(_indexes(shard_words)), INDEX))
     sent = []
 
     def frequent(keys):
