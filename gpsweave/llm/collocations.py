@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ INSIDE_PERCENT = 80          # a phrase mostly seen inside a longer one is dropp
 SHARD_WORDS = 1 << 20
 MAX_BITS = 1 << 29           # of a bitmap: 64 MB
 BITS_PER_KEY = 16
+KEY_BITS = np.uint64((1 << 48) - 1)   # of a key, where phrases are counted only to sieve them
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 INDEX = ("shard long, langs array<string>, lang binary, ids binary, counts binary, words binary, lengths binary, "
@@ -91,6 +93,10 @@ class _Shard:
         names = list(self.langs)
         self.parts, self.size, self.langs = [], 0, {}
         own, one, local, counts = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+        by = np.argsort(-counts, kind="stable")                  # frequent words get small numbers, which pack well
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        own, one, local, counts = own[by], one[by], place[local], counts[by]
         sizes = (ends - starts)[one]
         t = np.zeros(len(ids) + int(fresh.sum()), np.int32)      # 0 in front of each piece
         t[np.arange(len(ids)) + np.cumsum(fresh)] = local + 1
@@ -152,7 +158,7 @@ def _written_index(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-indexes-{uuid.uuid4().hex}")
     df.write.options(**{"parquet.block.size": 1 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1,
-                        "parquet.enable.dictionary": "false"}).parquet(path)
+                        "parquet.enable.dictionary": "false", "compression": "zstd"}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -177,12 +183,12 @@ def _words_of(r: dict) -> tuple[pa.Array, pa.Array, np.ndarray]:
     return words, langs, np.frombuffer(r["ids"], np.uint64)
 
 
-def _word_counts(batches):
+def _totals(batches):
+    """Words of each language of an index."""
     for batch in batches:
         for r in batch.to_pylist():
-            words, langs, ids = _words_of(r)
-            yield pa.RecordBatch.from_arrays([langs, words, pa.array(ids.view(np.int64)), pa.array(np.frombuffer(r["counts"], np.int64))],
-                                             ["lang", "phrase", "id", "f"])
+            n = np.bincount(np.frombuffer(r["lang"], np.int32), np.frombuffer(r["counts"], np.int64), len(r["langs"]))
+            yield pa.RecordBatch.from_arrays([pa.array(r["langs"], pa.string()), pa.array(n.astype(np.int64))], ["lang", "n"])
 
 
 # ----------------------------------------------------------------- walking
@@ -219,18 +225,22 @@ def _joined(key: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 
 def walk(r: dict, filters: list[np.ndarray]):
-    """Yields for each length from 2 to len(filters) + 1: the phrases of a shard
+    """Yields for each length from 1 to len(filters) + 1: the phrases of a shard
     as word numbers (a row a phrase), their keys and counts. Phrases whose parts
     aren't all in the filters are left out; filters[i] holds those of i + 1 words."""
-    forward, backward = (_Side(np.frombuffer(r[c], np.int32)) for c in ("forward", "backward"))
     ids = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(r["ids"], np.uint64)])
     counts = np.frombuffer(r["counts"], np.int64)
-    n, start = len(ids), len(forward.symbols) - int(counts.sum())
-    usable = _has(filters[0], ids)
-    usable[0] = False
-    word = np.flatnonzero(usable)
-    lo = (start + np.cumsum(counts) - counts)[word - 1]
-    phrases, keys, size, at = word[:, None], ids[word], counts[word - 1], [lo, lo]     # intervals in forward, backward
+    word, n = np.arange(1, len(ids)), len(ids)
+    if filters:
+        word = word[_has(filters[0], ids[1:])]
+    yield word[:, None], ids[word], counts[word - 1]
+    if not filters:
+        return
+    usable = np.zeros(n, bool)
+    usable[word] = True
+    forward, backward = (_Side(np.frombuffer(r[c], np.int32)) for c in ("forward", "backward"))
+    lo = (len(forward.symbols) - int(counts.sum()) + np.cumsum(counts) - counts)[word - 1]     # behind the separators
+    phrases, size, at = word[:, None], counts[word - 1], [lo, lo]     # intervals in forward, backward
     codes = []                                          # of the phrases one word shorter
     for length in range(2, len(filters) + 2):
         right = length % 2 == 0                         # words are added on both ends in turn
@@ -241,9 +251,8 @@ def walk(r: dict, filters: list[np.ndarray]):
         old = phrases[of]
         new = np.concatenate([old, symbol[:, None]], 1) if right else np.concatenate([symbol[:, None], old], 1)
         if length > 2:                                  # the part without the word on the other end must be there as well
-            part = new[:, 1:] if right else new[:, :-1]
-            keep = _known(codes, part, n)
-            of, size, mine, others, new = (v[keep] for v in (of, size, mine, others, new))
+            keep = _known(codes, new[:, 1:] if right else new[:, :-1], n)
+            size, mine, others, new = (v[keep] for v in (size, mine, others, new))
         keys = ids[new[:, 0]]
         for j in range(1, length):
             keys = _joined(keys, ids[new[:, j]])
@@ -280,9 +289,11 @@ def _keys(sent):
         filters = [s.value for s in sent]
         for batch in batches:
             for r in batch.to_pylist():
-                for phrases, keys, size in walk(r, filters):
+                for _, keys, size in walk(r, filters):
                     pass
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(size, pa.int64())], ["id", "f"])
+                keys &= KEY_BITS
+                by = np.argsort(keys)      # neighbours share their high bytes, which the shuffle's compression takes out
+                yield pa.RecordBatch.from_arrays([pa.array(keys[by].view(np.int64)), pa.array(size[by], pa.int64())], ["id", "f"])
     return run
 
 
@@ -292,7 +303,7 @@ def _phrases(sent):
         for batch in batches:
             for r in batch.to_pylist():
                 words, langs, _ = _words_of(r)
-                for phrases, _, size in walk(r, filters):
+                for phrases, _, size in islice(walk(r, filters), len(filters)):
                     for i in range(0, len(phrases), 1 << 16):
                         p = phrases[i:i + (1 << 16)] - 1
                         text = pc.binary_join_element_wise(*(words.take(pa.array(p[:, j])) for j in range(p.shape[1])), " ")
@@ -340,30 +351,24 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
 
     A task holds one shard at a time; a shard ends with a piece, so only a piece
     longer than a shard makes a larger one. Ties in score and count go by phrase.
-    Words are told apart by 64-bit hashes within a shard, by their text across.
+    Words are told apart by 64-bit hashes within a shard, phrases by their text;
+    keys only sieve.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     index = _written_index(texts.mapInArrow(tk.gives_back(_indexes(shard_words)), INDEX))
     sent = []
 
-    def frequent(keys):
-        sent.append(spark.sparkContext.broadcast(_bitmap(keys)))
-
     with _one_row_batches(spark):
-        words = (index.select("langs", "lang", "ids", "counts", "words", "lengths")
-                 .mapInArrow(tk.gives_back(_word_counts), "lang string, phrase string, id long, f long"))
-        words = written(words.groupBy("lang", "phrase").agg(F.first("id").alias("id"), F.sum("f").alias("f")), "words")
-        often = words.filter(F.col("f") >= min_count)
-        frequent(often.select("id"))
-        walked = index.select("ids", "counts", "forward", "backward")
-        for _ in range(2, MAX_WORDS):
-            keys = walked.mapInArrow(tk.gives_back(_keys(list(sent))), "id long, f long")
-            frequent(written(keys.groupBy("id").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count).select("id"), "keys"))
-        found = index.drop("shard").mapInArrow(tk.gives_back(_phrases(list(sent))), "lang string, phrase string, f long")
-        found = written(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "phrases")
-    total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    known = written(found.unionByName(often.select("lang", "phrase", "f")), "known")
+        for _ in range(MAX_WORDS):
+            keys = index.drop("shard", "words", "lengths").mapInArrow(tk.gives_back(_keys(list(sent))), "id long, f long")
+            keys = written(keys.groupBy("id").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count).select("id"), "keys")
+            sent.append(spark.sparkContext.broadcast(_bitmap(keys)))
+        total = written(index.select("langs", "lang", "counts").mapInArrow(_totals, "lang string, n long")
+                        .groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+        known = index.drop("shard").mapInArrow(tk.gives_back(_phrases(list(sent))), "lang string, phrase string, f long")
+        known = written(known.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "phrases")
+    found = known.filter("phrase LIKE '% %'")
 
     # a phrase's count inside longer ones is largest in one that is one word longer
     cut = F.split("phrase", " ")
