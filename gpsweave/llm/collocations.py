@@ -17,7 +17,6 @@ the last walk counts phrases by their words.
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import textkit as tk
-from .common import written
+from .common import rows_per_batch, written
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -39,6 +38,7 @@ INSIDE_PERCENT = 80          # a phrase mostly seen inside a longer one is dropp
 SHARD_WORDS = 1 << 20
 MAX_BITS = 1 << 29           # of a bitmap: 64 MB
 BITS_PER_KEY = 16
+PROBES = (0, 10, 19)         # windows of a key's low 48 bits that give its bits
 KEY_BITS = np.uint64((1 << 48) - 1)   # of a key, where phrases are counted only to sieve them
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -116,6 +116,21 @@ def _word_bytes() -> tuple[np.ndarray, np.ndarray]:
     return ends, words
 
 
+def _word_ids(h, salt):
+    """Ids of words from their hashes and those of their languages."""
+    return tk.mix(h + salt * _ODD)
+
+
+def _with_ids(batches):
+    """Adds the id of the word to rows (lang, word)."""
+    hasher = tk.Hasher(_word_bytes()[1])
+    for batch in batches:
+        data, offs = tk.utf8(batch.column(1))
+        h, first, _, _ = hasher.words(data, offs)
+        salt = np.array([xxhash.xxh64_intdigest(x) for x in batch.column(0).to_pylist()], np.uint64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_word_ids(h, salt).view(np.int64))], ["lang", "phrase", "id"])
+
+
 def _indexes(shard_words):
     def run(batches):
         ends_piece, word_bytes = _word_bytes()
@@ -136,7 +151,7 @@ def _indexes(shard_words):
                 fresh[1:] = (row[1:] != row[:-1]) | (breaks[starts[1:]] > breaks[ends[:-1]])
                 block = names[r0:r0 + len(o) - 1]
                 salt = np.array([xxhash.xxh64_intdigest(x) for x in block], np.uint64)[row]
-                ids, d = tk.mix(h + salt * _ODD), small[d]
+                ids, d = _word_ids(h, salt), small[d]
                 heads, x = np.flatnonzero(fresh), 0
                 while x < len(h):        # a shard ends where a piece does
                     room = heads[np.searchsorted(heads, x + max(1, shard_words - shard.size)):]
@@ -162,18 +177,6 @@ def _written_index(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def _one_row_batches(spark):
-    """An index is one row of many MB: tasks take them one by one."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "1")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _words_of(r: dict) -> tuple[pa.Array, pa.Array, np.ndarray]:
     """Words and languages of an index, and the words' ids."""
     sizes = np.frombuffer(r["lengths"], np.int32)
@@ -216,8 +219,12 @@ class _Side:
 
 
 def _has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    at = key & np.uint64(8 * len(bits) - 1)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    """Whether all of a key's bits are set."""
+    out = np.ones(len(key), bool)
+    for shift in PROBES:
+        at = key >> np.uint64(shift) & np.uint64(8 * len(bits) - 1)
+        out &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    return out
 
 
 def _joined(key: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -291,7 +298,8 @@ def _keys(sent):
             for r in batch.to_pylist():
                 for _, keys, size in walk(r, filters):
                     pass
-                keys &= KEY_BITS
+                if len(filters):
+                    keys &= KEY_BITS
                 by = np.argsort(keys)      # neighbours share their high bytes, which the shuffle's compression takes out
                 yield pa.RecordBatch.from_arrays([pa.array(keys[by].view(np.int64)), pa.array(size[by], pa.int64())], ["id", "f"])
     return run
@@ -303,7 +311,7 @@ def _phrases(sent):
         for batch in batches:
             for r in batch.to_pylist():
                 words, langs, _ = _words_of(r)
-                for phrases, _, size in islice(walk(r, filters), len(filters)):
+                for phrases, _, size in islice(walk(r, filters), 1, len(filters)):
                     for i in range(0, len(phrases), 1 << 16):
                         p = phrases[i:i + (1 << 16)] - 1
                         text = pc.binary_join_element_wise(*(words.take(pa.array(p[:, j])) for j in range(p.shape[1])), " ")
@@ -313,14 +321,14 @@ def _phrases(sent):
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """One bit for each value of id, modulo a power of two of at most MAX_BITS."""
+    """A Bloom filter of the ids, of a power of two of at most MAX_BITS bits."""
     bits = 1 << 15
     while bits < min(MAX_BITS, BITS_PER_KEY * keys.count()):
         bits *= 2
-    number = F.pmod("id", F.lit(bits)) + 1
+    keys = keys.select(F.explode(F.array(*(F.pmod(F.shiftrightunsigned("id", p), F.lit(bits)) + 1 for p in PROBES))).alias("bit"))
     out = np.zeros(bits // 8, np.uint8)
-    for part, own in (keys.groupBy(F.bitmap_bucket_number(number).alias("part"))
-                      .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")).toLocalIterator()):
+    for part, own in (keys.groupBy(F.bitmap_bucket_number("bit").alias("part"))
+                      .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toLocalIterator()):
         own = np.frombuffer(bytes(own), np.uint8)
         out[(part - 1) * 4096:(part - 1) * 4096 + len(own)] = own
     return out
@@ -351,24 +359,28 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
 
     A task holds one shard at a time; a shard ends with a piece, so only a piece
     longer than a shard makes a larger one. Ties in score and count go by phrase.
-    Words are told apart by 64-bit hashes within a shard, phrases by their text;
-    keys only sieve.
+    Words are told apart by 64-bit hashes, phrases by their words; keys of phrases
+    only sieve.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     index = _written_index(texts.mapInArrow(tk.gives_back(_indexes(shard_words)), INDEX))
     sent = []
 
-    with _one_row_batches(spark):
+    with rows_per_batch(spark, 1):     # an index is one row of several MB
         for _ in range(MAX_WORDS):
             keys = index.drop("shard", "words", "lengths").mapInArrow(tk.gives_back(_keys(list(sent))), "id long, f long")
-            keys = written(keys.groupBy("id").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count).select("id"), "keys")
-            sent.append(spark.sparkContext.broadcast(_bitmap(keys)))
+            keys = written(keys.groupBy("id").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "keys")
+            words = keys if not sent else words
+            sent.append(spark.sparkContext.broadcast(_bitmap(keys.select("id"))))
         total = written(index.select("langs", "lang", "counts").mapInArrow(_totals, "lang string, n long")
                         .groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-        known = index.drop("shard").mapInArrow(tk.gives_back(_phrases(list(sent))), "lang string, phrase string, f long")
-        known = written(known.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "phrases")
-    found = known.filter("phrase LIKE '% %'")
+        found = index.drop("shard").mapInArrow(tk.gives_back(_phrases(list(sent))), "lang string, phrase string, f long")
+        found = written(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "phrases")
+    # counts of the words of phrases, by the words' ids
+    used = written(found.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct(), "used")
+    used = used.mapInArrow(_with_ids, "lang string, phrase string, id long").join(words, "id").select("lang", "phrase", "f")
+    known = written(found.unionByName(used), "known")
 
     # a phrase's count inside longer ones is largest in one that is one word longer
     cut = F.split("phrase", " ")

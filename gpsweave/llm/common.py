@@ -4,6 +4,7 @@ written to shared storage, and the ASCII-only normalisation of texts."""
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +45,16 @@ def bucket_of(column: str, n: int) -> Column:
     """crc32 of a column's text, modulo n (the split rule of labelled rows); null
     counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
+
+
+@contextmanager
+def rows_per_batch(spark: SparkSession, n: int):
+    """Within the block, tasks get their rows in Arrow batches of at most ``n``:
+    for tables whose rows are large, so that a batch of them isn't."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
