@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import written
+from .common import rows_per_batch, written
 from .components import components
 
 N = 5
@@ -283,16 +283,21 @@ def _candidates(key, table):
     return pa.table({"sig": sig[use].view(np.int64), "cls": cls[k[use] >> 2], "size": sets[k[use] >> 2]})
 
 
+PAIRS_AT_ONCE = 256      # pairs of whole texts in a batch
+KEPT_FEATURES = 1 << 20  # of texts held for the pairs to come: 8 MB
+
+
 def _verified(batches):
     """Of rows (a, b, text_a, text_b): those whose sets are linked."""
     hasher, kept = tk.Hasher(tk.white_space_words()), {}
 
     def one(cls, text):
         if cls not in kept:
-            if len(kept) > 512:
-                kept.clear()
             data, offs = tk.utf8(pa.array([text]))
-            kept[cls] = shingle_sets(data, offs, hasher)[1]
+            g = shingle_sets(data, offs, hasher)[1]
+            if sum(map(len, kept.values())) + len(g) > KEPT_FEATURES:
+                kept.clear()
+            kept[cls] = g
         return kept[cls]
 
     for batch in batches:
@@ -314,7 +319,8 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts' sets are linked."""
     with_b = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(tk.gives_back(_verified), "a long, b long"), "verified")
+    with rows_per_batch(pairs.sparkSession, PAIRS_AT_ONCE):
+        return written(both.select("a", "b", "text_a", "text_b").mapInArrow(tk.gives_back(_verified), "a long, b long"), "verified")
 
 
 def _single_features(batches):
