@@ -25,6 +25,7 @@ from .operators import prep as Q
 from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
+from .operators.speed_chunks import speed_chain_chunked
 from .plans.scan import Running, keyed_scan
 from .session import configure, scratch_path
 from .sources import files as FS
@@ -175,6 +176,14 @@ def q_instant_speed(spark, sf_dir):
         "taxi_id", "event_id", "ts_ms", "speed_kmph", "is_speeding")
 
 
+@query("instant_speed_chunk_borders")
+def q_instant_speed_chunk_borders(spark, sf_dir):
+    """T18/T20 with three pings per chunk and two of them read first: chunks start
+    speculatively and are mended from their predecessors."""
+    return speed_chain_chunked(_pings(spark, sf_dir), BORDERS, head=2).select(
+        "taxi_id", "event_id", "speed_reason", "speed_kmph", "is_speeding", "speeding_count")
+
+
 @query("speeding_flag_count")
 def q_speeding_flag_count(spark, sf_dir):
     """Running count of speeding outputs per vehicle, reset at trip end."""
@@ -561,22 +570,32 @@ def q_error_log(spark, sf_dir):
     return M.error_log(_req(spark, sf_dir))
 
 
-def _processed_stats(spark, sf_dir):
+def _processed_stats(spark, sf_dir, fan_out=DEFAULT.scan_fan_out):
     """Passing stats rows with the time they were produced and processed. The
     stream's clock when a ping arrives is the newest production time among the
-    pings that have arrived, so a ping that arrives late has a latency."""
+    pings that have arrived, so a ping that arrives late has a latency. The
+    clock runs over all pings as one key, so its carries are a tree."""
     pings = _pings(spark, sf_dir).withColumn("_all", F.lit(1))
     clock = keyed_scan(pings, ["_all"], ["arrival_key", "event_id"], idiv(F.col("arrival_key"), 4096),
-                       [Running("processed_us", "max", F.col("us"))], chunk_col="_achunk").drop("_all", "_achunk")
+                       [Running("processed_us", "max", F.col("us"))], chunk_col="_achunk", fan_out=fan_out).drop("_all", "_achunk")
     return X.trip_chain(clock).filter("avg_reason = 'ok'").select(
         "taxi_id", "event_id", idiv(F.col("processed_us"), 1000).alias("processed_ms"), idiv(F.col("us"), 1000).alias("produced_ms"))
 
 
+def _latency(stats):
+    return stats.select("taxi_id", "event_id", (F.col("processed_ms") - F.col("produced_ms")).alias("latency_ms"))
+
+
 @query("end_to_end_latency")
 def q_end_to_end_latency(spark, sf_dir):
     """Latency of each written stats row, from production to processing."""
-    return _processed_stats(spark, sf_dir).select(
-        "taxi_id", "event_id", (F.col("processed_ms") - F.col("produced_ms")).alias("latency_ms"))
+    return _latency(_processed_stats(spark, sf_dir))
+
+
+@query("end_to_end_latency_carry_tree")
+def q_end_to_end_latency_carry_tree(spark, sf_dir):
+    """T23 with two summary rows a window: the carries come down a tree of many levels."""
+    return _latency(_processed_stats(spark, sf_dir, fan_out=2))
 
 
 @query("latency_metrics")

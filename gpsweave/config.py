@@ -47,6 +47,8 @@ class FleetConfig:
     # chunking of the per-vehicle scans (plans/scan.py): about this many of a
     # vehicle's own pings per chunk, for any vehicle and any data size
     scan_chunk_rows: int = 1 << 20
+    # summary rows of one key that a window of the carry tree sees at most
+    scan_fan_out: int = 1 << 12
 
     def with_(self, **kw) -> "FleetConfig":
         return replace(self, **kw)

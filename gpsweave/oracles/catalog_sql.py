@@ -72,6 +72,8 @@ state AS (
 
 ORACLES["instant_speed"] = _lc_query(
     "SELECT taxi_id, event_id, ts_ms, speed_kmph, is_speeding FROM lc WHERE speed_reason = 'ok'")
+ORACLES["instant_speed_chunk_borders"] = _lc_query(
+    "SELECT taxi_id, event_id, speed_reason, speed_kmph, is_speeding, speeding_count FROM lc WHERE kind = 'forwarded'")
 ORACLES["speeding_flag_count"] = _lc_query(
     "SELECT taxi_id, event_id, speeding_count FROM lc WHERE is_speeding")
 ORACLES["speed_outputs"] = _lc_query(
@@ -324,6 +326,7 @@ stats AS (SELECT lc.taxi_id, lc.event_id, processed_ms, produced_ms FROM lc JOIN
 ORACLES["end_to_end_latency"] = _lc_query("").rstrip() + f""",
 {CLOCK}
 SELECT taxi_id, event_id, processed_ms - produced_ms AS latency_ms FROM stats"""
+ORACLES["end_to_end_latency_carry_tree"] = ORACLES["end_to_end_latency"]
 ORACLES["latency_metrics"] = _lc_query("").rstrip() + f""",
 {CLOCK}
 SELECT (processed_ms // 3600000) * 3600 AS interval_start_s,

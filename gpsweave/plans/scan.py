@@ -13,6 +13,11 @@ this package are computed in two levels instead (a parallel prefix scan):
 4. the carry is joined back on ``(key, chunk)`` and combined with the local
    value.
 
+The summary of a key with very many chunks is itself cut (``carries``): groups of
+``fan_out`` neighbouring chunks are summed into one row each, these again, until a
+level has at most ``fan_out`` rows of any key. The carries then come down the
+tree, by windows over at most ``fan_out`` rows each.
+
 The big rows are shuffled once, on ``(key, chunk)``; the summary and carry are
 one row per chunk. The join back finds its big side already partitioned and
 sorted on ``(key, chunk)``, and AQE turns it into a broadcast when the carry
@@ -72,13 +77,52 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
     return F.coalesce(local, carry)
 
 
+def _over_rows(kind: str, value: Column, order: Column) -> Column:
+    """The aggregate of ``kind`` over a group of summary rows."""
+    return F.max_by(value, F.when(value.isNotNull(), order)) if kind == "last" else _window_agg(kind, value)
+
+
+def carries(summary: DataFrame, keys: list[str], chunk: str, kinds: dict[str, str], fan_out: int) -> DataFrame:
+    """``keys``, ``chunk`` and for each column in ``kinds`` (column -> kind) its
+    aggregate over the key's earlier summary rows, under the same name.
+
+    ``summary`` has one row per key and chunk. Every level is written once and
+    counted: a level goes up until no key has more than ``fan_out`` rows in it,
+    and no window sees more rows than that. Null keys are a key.
+    """
+    parent = f"({chunk} - pmod({chunk}, {fan_out})) div {fan_out}"
+    levels = [materialize(summary.select(*keys, chunk, *kinds))]
+    while (levels[-1].groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) > fan_out:
+        up = levels[-1].withColumn("_up", F.expr(parent))
+        levels.append(materialize(up.groupBy(*keys, "_up").agg(
+            *[_over_rows(k, F.col(c), F.col(chunk)).alias(c) for c, k in kinds.items()]).withColumnRenamed("_up", chunk)))
+    above = None
+    for level in reversed(levels):
+        group = [*keys] if above is None else [*keys, "_up"]
+        rows = level.withColumn("_up", F.expr(parent))
+        w = Window.partitionBy(*group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+        own = rows.select(*keys, chunk, "_up", *[_window_agg(k, F.col(c)).over(w).alias(c) for c, k in kinds.items()])
+        if above is not None:
+            up = above.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(chunk).alias("_at"),
+                              *[F.col(c).alias(f"_a{i}") for i, c in enumerate(kinds)])
+            same = F.col("_up") == F.col("_at")
+            for i, k in enumerate(keys):
+                same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+            own = own.join(up, same, "left").select(*keys, chunk, *[
+                _combine(k, F.col(f"_a{i}"), F.col(c)).alias(c) for i, (c, k) in enumerate(kinds.items())])
+        above = own.select(*keys, chunk, *kinds)
+    return above
+
+
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
-               aggs: list[Running], chunk_col: str = "_chunk") -> DataFrame:
+               aggs: list[Running], chunk_col: str = "_chunk", fan_out: int | None = None) -> DataFrame:
     """Add one column per ``Running`` aggregate, computed chunk-wise.
 
     ``chunk`` must be non-decreasing along ``order`` within a key. The chunk
     column is kept so that several scans chained on one DataFrame reuse the
-    same partitioning (no further shuffle of the big rows).
+    same partitioning (no further shuffle of the big rows). ``fan_out`` bounds
+    the summary rows a window sees; without it one window sees all of a key's,
+    which is meant for chunks of ``row_chunks`` (about one in a million rows).
     """
     if chunk_col not in df.columns:
         df = df.withColumn(chunk_col, chunk)
@@ -96,14 +140,20 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
         else:
             summ_aggs.append(_window_agg(a.kind, a.expr).alias(f"_t_{a.name}"))
     summary = df.groupBy(*part).agg(*summ_aggs)
-    prev_chunks = (Window.partitionBy(*keys).orderBy(chunk_col)
-                   .rowsBetween(Window.unboundedPreceding, -1))
-    all_chunks = (Window.partitionBy(*keys).orderBy(chunk_col)
-                  .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    carry = summary.select(*part, *[
-        _window_agg(a.kind, F.col(f"_t_{a.name}"))
-        .over(all_chunks if a.whole else prev_chunks).alias(f"_c_{a.name}")
-        for a in aggs])
+    if fan_out and any(a.whole for a in aggs):
+        raise ValueError("whole aggregates have no carry tree")
+    if fan_out:
+        carry = carries(summary, keys, chunk_col, {f"_t_{a.name}": a.kind for a in aggs}, fan_out)
+        carry = carry.select(*part, *[F.col(f"_t_{a.name}").alias(f"_c_{a.name}") for a in aggs])
+    else:
+        prev_chunks = (Window.partitionBy(*keys).orderBy(chunk_col)
+                       .rowsBetween(Window.unboundedPreceding, -1))
+        all_chunks = (Window.partitionBy(*keys).orderBy(chunk_col)
+                      .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        carry = summary.select(*part, *[
+            _window_agg(a.kind, F.col(f"_t_{a.name}"))
+            .over(all_chunks if a.whole else prev_chunks).alias(f"_c_{a.name}")
+            for a in aggs])
 
     local = {}
     for a in aggs:

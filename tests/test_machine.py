@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from gpsweave.operators.lifecycle import lifecycle
 from gpsweave.operators.machine import trip_chain
+from gpsweave.config import DEFAULT
 from gpsweave.operators.speed import speed_chain
+from gpsweave.operators.speed_chunks import speed_chain_chunked
 
 SCHEMA = ("taxi_id string, event_id long, arrival_key long, ts_ms long, latitude double, longitude double, "
           "end_flag boolean, produced_ts double")
@@ -51,6 +53,17 @@ def test_window_form_equals_the_step(spark):
         assert {r.status for r in trips.select("status").distinct().collect()} >= {"active", "removed", "inactive"}
 
 
+def test_chunked_anchor_equals_the_sequential_one(spark):
+    """Chunks of a few pings that start speculatively: every result and count, and no chunk above its size."""
+    for seed, rows, head in ((4, 3, 2), (5, 12, 256)):
+        pings = spark.createDataFrame(random_pings(seed, vehicles=25, pings=60), SCHEMA)
+        want, got = speed_chain(pings), speed_chain_chunked(pings, DEFAULT.with_(scan_chunk_rows=rows), head)
+        assert got.columns == want.columns and got.count() == want.count() > 200
+        assert want.exceptAll(got).count() == 0
+    empty = spark.createDataFrame([], SCHEMA)
+    assert speed_chain_chunked(empty, DEFAULT.with_(scan_chunk_rows=3)).count() == 0
+
+
 def test_positions_that_are_not_finite_are_dropped(spark):
     from gpsweave.operators.parse import parse_pings
     lines = ["1,2024-01-01 00:00:00,116.40,39.91,0,1.0", "1,2024-01-01 00:01:00,116.40,NaN,0,1.0",

@@ -32,6 +32,26 @@ def test_keyed_scan_equals_plain_window(spark, rows, span):
     a = sorted(tuple(r) for r in got.select(*cols).collect())
     b = sorted(tuple(r) for r in want.select(*cols).collect())
     assert a == b
+    if span < 1000:   # the same by a carry tree of two rows a window
+        tree = keyed_scan(df, ["k"], ["pos"], idiv(F.col("pos"), span), aggs[:-1], fan_out=2)
+        assert sorted(tuple(r) for r in tree.select(*cols[:-1]).collect()) == sorted(tuple(r) for r in want.select(*cols[:-1]).collect())
+
+
+def test_carry_tree_has_levels_of_bounded_groups(spark, monkeypatch):
+    """One key with 3,000 chunks and a fan-out of 10: levels of 3,000, 300, 30 and 4 rows, right carries, an exact null key."""
+    from gpsweave.plans import scan
+    sizes, write = [], scan.materialize
+    monkeypatch.setattr(scan, "materialize", lambda df: (out := write(df), sizes.append(out.count()))[0])
+    df = spark.range(3000).select(F.when(F.col("id") < 0, 1).alias("k"), (F.col("id") - 1500).alias("c"),
+                                  (F.col("id") % 7).alias("s"), F.when(F.col("id") % 50 == 3, F.col("id")).alias("last"))
+    got = {r.c: (r.s, r.last) for r in scan.carries(df, ["k"], "c", {"s": "sum", "last": "last"}, 10).collect()}
+    assert sizes == [3000, 300, 30, 4]
+    total, last = 0, None
+    for i in range(3000):
+        assert (got[i - 1500][0] or 0, got[i - 1500][1]) == (total, last)
+        total, last = total + i % 7, i if i % 50 == 3 else last
+    empty = spark.createDataFrame([], "k int, pos long, v int")
+    assert keyed_scan(empty, ["k"], ["pos"], F.col("pos"), [Running("s", "sum", F.col("v"))], fan_out=2).count() == 0
 
 
 def test_row_chunks_follow_each_keys_own_rows(spark):
