@@ -25,6 +25,7 @@ from .operators import prep as Q
 from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
+from .operators.machine_chunks import trip_chain_chunked
 from .operators.speed_chunks import speed_chain_chunked
 from .plans.scan import Running, keyed_scan
 from .session import configure, scratch_path
@@ -230,6 +231,31 @@ def q_status_machine(spark, sf_dir):
         "taxi_id", "event_id", "status_before", "status")
 
 
+def _bordered(spark, sf_dir):
+    return trip_chain_chunked(_pings(spark, sf_dir), BORDERS)
+
+
+@query("trip_stats_chunk_borders")
+def q_trip_stats_chunk_borders(spark, sf_dir):
+    """T11/T12/T16 with three pings per chunk: the composed states decide."""
+    return _bordered(spark, sf_dir).filter("kind = 'forwarded'").select(
+        "taxi_id", "event_id", "ts_ms", "trip_no", "total_distance_km", "total_time_s", "latitude", "longitude", "produced_ts")
+
+
+@query("halt_detection_chunk_borders")
+def q_halt_detection_chunk_borders(spark, sf_dir):
+    """T13/T14 with three pings per chunk."""
+    return _bordered(spark, sf_dir).filter(F.col("halt_event").isNotNull()).select(
+        "taxi_id", "event_id", "halt_event", "still_s_total", "status")
+
+
+@query("status_machine_chunk_borders")
+def q_status_machine_chunk_borders(spark, sf_dir):
+    """V2 with three pings per chunk."""
+    return _bordered(spark, sf_dir).filter(~F.col("status").eqNullSafe(F.col("status_before"))).select(
+        "taxi_id", "event_id", "status_before", "status")
+
+
 def _trip_state(spark, sf_dir):
     """The state without its speed fields: no speed anchor needed."""
     return V.vehicle_state_partial(_trips(spark, sf_dir), V.TRIP_GROUPS).select("taxi_id", "last.*", "ok.*", "avg.*")

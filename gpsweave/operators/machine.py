@@ -62,6 +62,26 @@ def kinds(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
                               "THEN 'discarded' ELSE 'forwarded' END"}).drop("_newest")
 
 
+def _said(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The messages of every row, and the columns of the result."""
+    df = _with(df, {"_mid": "coalesce(_hset, status_before)"})
+    active = " ".join(f"WHEN _mid = '{k}' THEN {_message(v, id='taxi_id')}" for k, v in MSG_ACTIVE_FROM.items() if k)
+    texts = {
+        "removal": f"CASE WHEN _d AND NOT status_before <=> 'removed' THEN {_message(MSG_REMOVED, id='taxi_id', n='area_violations')} END",
+        "area_warning": f"CASE WHEN area_event = 'warn' THEN {_message(MSG_AREA_WARN, id='taxi_id')} END",
+        "halt": f"CASE WHEN _hset = 'halted' AND NOT status_before <=> 'halted' THEN {_message(MSG_HALTED, id='taxi_id')} END",
+        "resume": f"CASE WHEN _hset = 'active' AND NOT status_before <=> 'active' THEN {_message(MSG_RESUMED, id='taxi_id')} END",
+        "inactive": f"CASE WHEN _passed AND end_flag AND _mid IS NULL THEN {_message(MSG_INACTIVE_NEW, id='taxi_id')} END",
+        "active": f"CASE WHEN _passed AND NOT end_flag AND NOT coalesce(_mid IN ('halted', 'active'), false) THEN "
+                  f"CASE {active} ELSE {_message(MSG_ACTIVE_FROM[None], id='taxi_id')} END END"}
+    items = ", ".join(f"named_struct('pos', {i}, 'kind', '{k}', 'message', {t})" for i, (k, t) in enumerate(texts.items()))
+    df = _with(df, {"events": f"filter(array({items}), e -> e.message IS NOT NULL)"})
+    return df.select(*columns, "d_center_km", "kind", "area_violations", "area_event", "warned", "has_step", "step_km",
+                     "step_s", "total_distance_km", "total_time_s", "trip_reset", "trip_no", "avg_reason",
+                     "average_speed_kmph", "still_s_total", "halted", "halt_event", "status_before", "status",
+                     "stored_total", "fleet_delta_cents", "events")
+
+
 def trip_chain(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
     """One row per ping: the input columns and
 
@@ -132,19 +152,4 @@ def trip_chain(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
                     "stored_total": "_stored / 100.0D",
                     "fleet_delta_cents": "CASE WHEN _moved THEN greatest(_c - _stored_before, 0L) ELSE 0L END"})
     df = _with(df, {"status_before": "lag(status) OVER (PARTITION BY taxi_id ORDER BY arrival_key, event_id)"})
-    df = _with(df, {"_mid": "coalesce(_hset, status_before)"})
-    active = " ".join(f"WHEN _mid = '{k}' THEN {_message(v, id='taxi_id')}" for k, v in MSG_ACTIVE_FROM.items() if k)
-    texts = {
-        "removal": f"CASE WHEN _d AND NOT status_before <=> 'removed' THEN {_message(MSG_REMOVED, id='taxi_id', n='area_violations')} END",
-        "area_warning": f"CASE WHEN area_event = 'warn' THEN {_message(MSG_AREA_WARN, id='taxi_id')} END",
-        "halt": f"CASE WHEN _hset = 'halted' AND NOT status_before <=> 'halted' THEN {_message(MSG_HALTED, id='taxi_id')} END",
-        "resume": f"CASE WHEN _hset = 'active' AND NOT status_before <=> 'active' THEN {_message(MSG_RESUMED, id='taxi_id')} END",
-        "inactive": f"CASE WHEN _passed AND end_flag AND _mid IS NULL THEN {_message(MSG_INACTIVE_NEW, id='taxi_id')} END",
-        "active": f"CASE WHEN _passed AND NOT end_flag AND NOT coalesce(_mid IN ('halted', 'active'), false) THEN "
-                  f"CASE {active} ELSE {_message(MSG_ACTIVE_FROM[None], id='taxi_id')} END END"}
-    items = ", ".join(f"named_struct('pos', {i}, 'kind', '{k}', 'message', {t})" for i, (k, t) in enumerate(texts.items()))
-    df = _with(df, {"events": f"filter(array({items}), e -> e.message IS NOT NULL)"})
-    return df.select(*pings.columns, "d_center_km", "kind", "area_violations", "area_event", "warned", "has_step", "step_km",
-                     "step_s", "total_distance_km", "total_time_s", "trip_reset", "trip_no", "avg_reason",
-                     "average_speed_kmph", "still_s_total", "halted", "halt_event", "status_before", "status",
-                     "stored_total", "fleet_delta_cents", "events")
+    return _said(df, pings.columns)

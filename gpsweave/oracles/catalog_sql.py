@@ -110,6 +110,8 @@ ORACLES["stats_line"] = _lc_query(
     "FROM lc WHERE avg_reason = 'ok'")
 ORACLES["status_machine"] = _lc_query(
     "SELECT taxi_id, event_id, status_before, status FROM lc WHERE status IS DISTINCT FROM status_before")
+for _name in ("trip_stats", "halt_detection", "status_machine"):   # the same results from chunks of three pings
+    ORACLES[f"{_name}_chunk_borders"] = ORACLES[_name]
 ORACLES["status_counts"] = _lc_query(
     "SELECT status, count(*) AS vehicles FROM state WHERE status IS NOT NULL GROUP BY status")
 ORACLES["status_members"] = _lc_query("SELECT status, taxi_id FROM state WHERE status IS NOT NULL")

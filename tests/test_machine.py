@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gpsweave.operators.lifecycle import lifecycle
 from gpsweave.operators.machine import trip_chain
+from gpsweave.operators.machine_chunks import trip_chain_chunked
 from gpsweave.config import DEFAULT
 from gpsweave.operators.speed import speed_chain
 from gpsweave.operators.speed_chunks import speed_chain_chunked
@@ -64,6 +65,19 @@ def test_chunked_anchor_equals_the_sequential_one(spark):
     assert speed_chain_chunked(empty, DEFAULT.with_(scan_chunk_rows=3)).count() == 0
 
 
+def test_chunked_machine_equals_the_windows(spark):
+    """Composed chunk states: every column, message and event, with chunks of a few pings."""
+    for seed, rows in ((6, 3), (7, 11)):
+        pings = spark.createDataFrame(random_pings(seed, vehicles=40, pings=80), SCHEMA)
+        want, got = trip_chain(pings), trip_chain_chunked(pings, DEFAULT.with_(scan_chunk_rows=rows))
+        assert got.columns == want.columns
+        assert sorted(map(str, want.collect())) == sorted(map(str, got.collect()))
+        seen = want.select(F.collect_set("status"), F.collect_set("halt_event"), F.collect_set("trip_reset")).first()
+        assert {len(seen[0]), len(seen[1]), len(seen[2])} <= {2, 3, 4} and "removal" in seen[2]
+    empty = spark.createDataFrame([], SCHEMA)
+    assert trip_chain_chunked(empty, DEFAULT.with_(scan_chunk_rows=3)).count() == 0
+
+
 def test_positions_that_are_not_finite_are_dropped(spark):
     from gpsweave.operators.parse import parse_pings
     lines = ["1,2024-01-01 00:00:00,116.40,39.91,0,1.0", "1,2024-01-01 00:01:00,116.40,NaN,0,1.0",
