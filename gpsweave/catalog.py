@@ -25,6 +25,7 @@ from .operators import prep as Q
 from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
+from .operators.grid_first import grid_window_first_record
 from .operators.machine_chunks import trip_chain_chunked
 from .operators.speed_chunks import speed_chain_chunked
 from .plans.scan import Running, keyed_scan
@@ -497,6 +498,15 @@ def q_grid_window(spark, sf_dir):
                     round6(F.col("avg_speed_kmph")).alias("avg_speed_kmph"), "vehicles")
 
 
+@query("grid_window_first_record")
+def q_grid_window_first_record(spark, sf_dir):
+    """G3 as the reference opens windows: by each cell's first record, and again by
+    the first one at least a window later."""
+    w = grid_window_first_record(_grid_speeds(spark, sf_dir), FIXTURE_GRID)
+    return w.select("grid_id", "window_start_us", round6(F.col("avg_speed_kmph")).alias("avg_speed_kmph"), "vehicles",
+                    G.traffic_status(F.col("avg_speed_kmph"), F.col("vehicles")).alias("traffic_status"))
+
+
 @query("traffic_status")
 def q_traffic_status(spark, sf_dir):
     """Cells per traffic status."""

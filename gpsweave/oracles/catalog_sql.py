@@ -255,6 +255,20 @@ ORACLES["grid_bounds"] = _steps_query(
     "WHERE forwarded) g")
 ORACLES["grid_window"] = _grid_query(
     f"SELECT window_start_s, grid_id, {r6('avg_speed_kmph')} AS avg_speed_kmph, vehicles FROM cells")
+ORACLES["grid_window_first_record"] = f"""{with_(TRIPS, GRID_SPEEDS)},
+_r AS (SELECT {grid_id_sql(FG)} AS grid_id, epoch_us(ts) AS us, taxi_id, event_id, speed_kmph FROM grid_speeds),
+_n AS (SELECT grid_id, us, min(us) OVER (PARTITION BY grid_id ORDER BY us RANGE BETWEEN 86400000000 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt
+       FROM (SELECT DISTINCT grid_id, us FROM _r) t),
+_w AS (SELECT grid_id, min(us) AS start FROM _r GROUP BY grid_id
+       UNION ALL SELECT w.grid_id, n.nxt FROM _w w JOIN _n n ON n.grid_id = w.grid_id AND n.us = w.start WHERE n.nxt IS NOT NULL),
+_l AS (SELECT r.grid_id, w.start, speed_kmph,
+              row_number() OVER (PARTITION BY r.grid_id, w.start, taxi_id ORDER BY us DESC, event_id DESC) AS rn
+       FROM _r r JOIN _w w ON w.grid_id = r.grid_id AND r.us >= w.start AND r.us < w.start + 86400000000),
+_c AS (SELECT grid_id, start AS window_start_us, (sum(floor(speed_kmph * 1000000.0::DOUBLE + 0.5)) / count(*)) / 1000000.0::DOUBLE AS a,
+              count(*) AS vehicles FROM _l WHERE rn = 1 GROUP BY ALL)
+SELECT grid_id, window_start_us, {r6('a')} AS avg_speed_kmph, vehicles,
+       CASE WHEN a < 5.0 AND vehicles >= 3 THEN 'CONGESTED' WHEN a < 15.0 AND vehicles >= 3 THEN 'MODERATE'
+            WHEN a < 10.0 AND vehicles >= 2 THEN 'MODERATE' ELSE 'FREE_FLOW' END AS traffic_status FROM _c"""
 ORACLES["traffic_status"] = _grid_query("SELECT traffic_status, count(*) AS cells FROM snap GROUP BY 1")
 ORACLES["grid_snapshot"] = _grid_query(
     f"SELECT grid_id, {bounds_sql(FG)}, {r6('avg_speed_kmph')} AS avg_speed_kmph, CAST(CAST(round(CAST(CAST(avg_speed_kmph AS VARCHAR) AS DECIMAL(30, 17)), 2) AS DECIMAL(18, 2)) AS VARCHAR) AS avg_speed_text, "
