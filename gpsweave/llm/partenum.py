@@ -289,15 +289,18 @@ KEPT_FEATURES = 1 << 20  # of texts held for the pairs to come: 8 MB
 
 def _verified(batches):
     """Of rows (a, b, text_a, text_b): those whose sets are linked."""
-    hasher, kept = tk.Hasher(tk.white_space_words()), {}
+    hasher, kept, held = tk.Hasher(tk.white_space_words()), {}, 0
 
     def one(cls, text):
+        nonlocal held
         if cls not in kept:
             data, offs = tk.utf8(pa.array([text]))
             g = shingle_sets(data, offs, hasher)[1]
-            if sum(map(len, kept.values())) + len(g) > KEPT_FEATURES:
+            if held + len(g) > KEPT_FEATURES:
                 kept.clear()
+                held = 0
             kept[cls] = g
+            held += len(g)
         return kept[cls]
 
     for batch in batches:
