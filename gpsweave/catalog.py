@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .config import DEFAULT, FIXTURE_GRID
 from .functions.geo import grid_id, round6
 from .functions.num import idiv
+from .operators import counters as C
 from .operators import grid as G
 from .operators import joins as J
 from .operators import machine as X
@@ -25,6 +26,7 @@ from .operators import prep as Q
 from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
+from .operators.geo_index import GeoIndex, write_geo_index
 from .operators.grid_first import grid_window_first_record
 from .operators.machine_chunks import trip_chain_chunked
 from .operators.speed_chunks import speed_chain_chunked
@@ -268,6 +270,18 @@ def q_status_counts(spark, sf_dir):
     return V.status_counts(_trip_state(spark, sf_dir))
 
 
+@query("status_count_series")
+def q_status_count_series(spark, sf_dir):
+    """V3 over time: the four counters after every status change."""
+    return C.status_count_series(C.status_changes(_trips(spark, sf_dir)))
+
+
+@query("status_count_series_carry_tree")
+def q_status_count_series_carry_tree(spark, sf_dir):
+    """V3 over time with two summary rows a window and short chunks."""
+    return C.status_count_series(C.status_changes(_trips(spark, sf_dir)), fan_out=2, chunk=64)
+
+
 @query("status_members")
 def q_status_members(spark, sf_dir):
     """V4: members of each status set."""
@@ -317,6 +331,33 @@ def q_vehicles_in_bounds(spark, sf_dir):
         "taxi_id", "latitude", "longitude", "status")
 
 
+def _geo_index(spark, sf_dir):
+    """The trip state's positions as an index of small runs, so that lookups
+    cross the borders of runs at every scale."""
+    state = _stored(_trip_state(spark, sf_dir).select("taxi_id", "latitude", "longitude", "status"), "positions")
+    path = _scratch(spark, "geo")
+    write_geo_index(state, path, run_rows=64)
+    return GeoIndex(spark, path, state.schema)
+
+
+@query("vehicles_in_bounds_indexed")
+def q_vehicles_in_bounds_indexed(spark, sf_dir):
+    """The same rectangle through the geo index: only covering runs are read."""
+    return _geo_index(spark, sf_dir).in_bounds(*BOUNDS)
+
+
+@query("vehicles_near")
+def q_vehicles_near(spark, sf_dir):
+    """Vehicles at most 5 km from the centre, through the geo index."""
+    return _geo_index(spark, sf_dir).near(DEFAULT.center_lat, DEFAULT.center_lon, 5.0)
+
+
+@query("vehicles_nearest")
+def q_vehicles_nearest(spark, sf_dir):
+    """The ten vehicles nearest to the north-eastern corner of the map rectangle."""
+    return _geo_index(spark, sf_dir).nearest(BOUNDS[2], BOUNDS[3], 10)
+
+
 @query("vehicle_lookup")
 def q_vehicle_lookup(spark, sf_dir):
     """Lookup by violation: the vehicles whose latest speed output was speeding."""
@@ -333,8 +374,10 @@ def q_vehicle_lookup_by_status(spark, sf_dir):
 
 @query("vehicle_lookup_by_id")
 def q_vehicle_lookup_by_id(spark, sf_dir):
-    """Lookup by id: one vehicle's state row."""
-    return V.vehicle_lookup(_state(spark, sf_dir), taxi_id=7).select(
+    """Lookup by id: one vehicle's state row. No vehicle's state depends on
+    another's pings, so the id is looked up among the pings, before both chains."""
+    pings = V.vehicle_lookup(_pings(spark, sf_dir), taxi_id=7)
+    return V.vehicle_state(X.trip_chain(pings), S.speed_chain(pings)).select(
         "taxi_id", "status", "total_distance_km", "average_speed_kmph", "current_speed_kmph")
 
 
@@ -748,6 +791,13 @@ def q_event_log_stream_replay(spark, sf_dir):
         "taxi_id", "event_id", "arrival_key", "sub", "kind", "message")
 
 
+@query("status_count_series_stream_replay")
+def q_status_count_series_stream_replay(spark, sf_dir):
+    """V3 over time from the status changes the replayed stream appended."""
+    changes = spark.read.parquet(f"{_replayed(spark, sf_dir)}/out/status_changes").drop("batch_id")
+    return C.status_count_series(changes)
+
+
 @query("location_speed_join_stream_replay")
 def q_location_speed_join_stream_replay(spark, sf_dir):
     """T25 live: the replayed per-ping outputs joined stream-to-stream (same

@@ -6,7 +6,7 @@ from ..config import DEFAULT
 from ..config import FIXTURE_GRID
 from .fixtures_sql import FILE_LINES, GRID_SPEEDS, MESSAGES, RAW_PINGS, REQUESTS, TRIPS, with_
 from .lifecycle_sql import lifecycle_ctes
-from .trips_sql import r6, steps_ctes
+from .trips_sql import hav_sql, r6, steps_ctes
 
 ORACLES: dict[str, str] = {}
 
@@ -114,6 +114,12 @@ for _name in ("trip_stats", "halt_detection", "status_machine"):   # the same re
     ORACLES[f"{_name}_chunk_borders"] = ORACLES[_name]
 ORACLES["status_counts"] = _lc_query(
     "SELECT status, count(*) AS vehicles FROM state WHERE status IS NOT NULL GROUP BY status")
+_SERIES = "SELECT taxi_id, event_id, arrival_key, status_before, status, " + ", ".join(
+    f"CAST(sum(CASE WHEN status = '{_s}' THEN 1 ELSE 0 END - CASE WHEN status_before = '{_s}' THEN 1 ELSE 0 END) "
+    f"OVER (ORDER BY arrival_key, event_id, taxi_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS {_s}"
+    for _s in ("active", "inactive", "halted", "removed")) + " FROM lc WHERE status IS DISTINCT FROM status_before"
+for _name in ("status_count_series", "status_count_series_carry_tree"):
+    ORACLES[_name] = _lc_query(_SERIES)
 ORACLES["status_members"] = _lc_query("SELECT status, taxi_id FROM state WHERE status IS NOT NULL")
 ORACLES["fleet_distance"] = _lc_query(
     "SELECT sum(fleet_delta_cents) / 100.0::DOUBLE AS total_distance_all_km FROM lc")
@@ -131,6 +137,13 @@ ORACLES["vehicle_current"] = _lc_query(
 ORACLES["vehicles_in_bounds"] = _lc_query(
     "SELECT taxi_id, latitude, longitude, status FROM state "
     "WHERE latitude BETWEEN 39.85::DOUBLE AND 39.98::DOUBLE AND longitude BETWEEN 116.30::DOUBLE AND 116.50::DOUBLE")
+ORACLES["vehicles_in_bounds_indexed"] = ORACLES["vehicles_in_bounds"]
+_NEAR = ("SELECT taxi_id, latitude, longitude, status, distance_km FROM (SELECT *, {d} AS distance_km FROM state "
+         "WHERE latitude IS NOT NULL AND longitude IS NOT NULL) n ")
+ORACLES["vehicles_near"] = _lc_query(_NEAR.format(d=r6(hav_sql(
+    f"{DEFAULT.center_lat!r}::DOUBLE", f"{DEFAULT.center_lon!r}::DOUBLE", "latitude", "longitude"))) + "WHERE distance_km <= 5")
+ORACLES["vehicles_nearest"] = _lc_query(_NEAR.format(d=r6(hav_sql(
+    "39.98::DOUBLE", "116.50::DOUBLE", "latitude", "longitude"))) + "ORDER BY distance_km, taxi_id LIMIT 10")
 ORACLES["vehicle_lookup"] = _lc_query(
     "SELECT taxi_id, status, current_speed_kmph, speeding_speed_kmph FROM state WHERE coalesce(speeding, false)")
 ORACLES["vehicle_lookup_by_status"] = _lc_query(
@@ -391,6 +404,7 @@ ORACLES["vehicle_state_stream_replay"] = (
     f"{_REPLAY},\n{STATE}\nSELECT taxi_id, status, total_distance_km, last_update_ms, average_speed_kmph, "
     "current_speed_kmph, speeding, speeding_speed_kmph, ten_km_crossed, area_violations, fleet_km FROM state")
 ORACLES["event_log_stream_replay"] = f"{_REPLAY}\nSELECT taxi_id, event_id, arrival_key, sub, kind, message FROM lc_events"
+ORACLES["status_count_series_stream_replay"] = f"{_REPLAY}\n{_SERIES}"
 ORACLES["location_speed_join_stream_replay"] = (
     f"{with_(TRIPS, MESSAGES, PARSED, lifecycle_ctes('parsed', DEFAULT))}\n"
     "SELECT p.taxi_id, p.event_id, s.event_id AS speed_event_id, p.ts_ms, s.speed_kmph, "

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, FleetConfig
+from ..operators.counters import status_changes
 from ..operators.grid import grid_snapshot
 from ..operators.views import flatten_state, merge_vehicle_state, vehicle_state_partial
 
@@ -51,6 +52,7 @@ def state_sinks(root: str):
     * ``state``: S9–S11 (position, update time, totals, speed fields, status),
       a partial state per vehicle of the batch;
     * ``events``: S12 event log (one row per message);
+    * ``status_changes``: the deltas of the status counters (V3 over time);
     * ``pings``: the per-ping outputs (input of the grid stream and audits).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -62,6 +64,7 @@ def state_sinks(root: str):
             ev = batch.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e")).select(
                 "taxi_id", "event_id", "arrival_key", "e.sub", "e.kind", "e.message")
             append_batch(ev, batch_id, f"{root}/events")
+            append_batch(status_changes(batch), batch_id, f"{root}/status_changes")
             append_batch(vehicle_state_partial(batch), batch_id, f"{root}/state")
         finally:
             batch.unpersist()
@@ -82,7 +85,7 @@ def start_fresh(spark: SparkSession, root: str) -> None:
     that resumes from an existing checkpoint must not call this: its sinks
     are idempotent and continue where they stopped."""
     fs, p, jvm = _fs(spark, root.rstrip("/"))
-    for name in ("state", "pings", "events", "grids"):
+    for name in ("state", "pings", "events", "status_changes", "grids"):
         sub = jvm.org.apache.hadoop.fs.Path(p, name)
         if fs.exists(sub):
             fs.delete(sub, True)

@@ -50,3 +50,9 @@ def test_hot_keys_are_not_windowed_or_collected(spark):
         plan = _plan(queries()[name](spark, SF001))
         assert "collect_list" not in plan, name
     assert not re.search(r"\bWindow \[", _plan(queries()["grid_window"](spark, SF001)).split("Window [_n")[0].split("Aggregate")[0])
+
+
+def test_an_id_lookup_filters_before_the_speed_anchor(spark):
+    plan = _plan(queries()["vehicle_lookup_by_id"](spark, SF001))
+    below = plan[plan.index("MapInArrow"):]
+    assert re.search(r"Filter .*= 7\)", below)
