@@ -23,6 +23,7 @@ from .operators import machine as X
 from .operators import opsmetrics as M
 from .operators import parse as P
 from .operators import prep as Q
+from .operators import sessions as E
 from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
@@ -142,6 +143,23 @@ def q_trip_stats(spark, sf_dir):
         "taxi_id", "event_id", "ts_ms", "trip_no", "total_distance_km", "total_time_s", "latitude", "longitude", "produced_ts")
 
 
+IDLE_MS = 30 * 60 * 1000   # a vehicle silent for longer starts anew
+
+
+@query("vehicle_sessions")
+def q_vehicle_sessions(spark, sf_dir):
+    """The stretches of a vehicle's pings without a gap beyond the idle limit."""
+    return E.vehicle_sessions(_pings(spark, sf_dir), IDLE_MS)
+
+
+@query("trip_stats_with_expiry")
+def q_trip_stats_with_expiry(spark, sf_dir):
+    """T1 with T3-T17 and V2: the machine whose state expires while a vehicle is idle."""
+    return E.trip_chain_with_expiry(_pings(spark, sf_dir), IDLE_MS).select(
+        "taxi_id", "session_start_ms", "event_id", "kind", "status", "area_violations", "halt_event",
+        "total_distance_km", "total_time_s", "avg_reason", "average_speed_kmph", "stored_total")
+
+
 @query("halt_detection")
 def q_halt_detection(spark, sf_dir):
     """Halt after 180 cumulative still seconds, resume on a moving step."""
@@ -743,12 +761,16 @@ def q_metrics_json_scan(spark, sf_dir):
 
 @query("file_report")
 def q_file_report(spark, sf_dir):
-    """State and lines of every listed raw file, empty ones named."""
+    """State and lines of every vehicle that is listed or has written raw
+    files. A vehicle's lines may lie in several files; one that is listed (one
+    per customer) and has none is empty."""
     path = _scratch(spark, "listed")
-    lines = FX.file_lines(FX.trips(spark, sf_dir)).select(F.col("line").alias("value"), F.regexp_replace("file_name", "[.]txt$", "").alias("vehicle"))
+    vehicle = F.regexp_replace("file_name", "[.]txt$", "")
+    lines = FX.file_lines(FX.trips(spark, sf_dir)).select(F.col("line").alias("value"), vehicle.alias("vehicle"))
     lines.hint("rebalance", "vehicle").write.partitionBy("vehicle").text(path)
-    r = FS.file_report(spark, path + "/*", glob="*.txt")
-    return r.groupBy("state").agg(F.sum("lines").cast("long").alias("lines"))
+    parts = FS.file_report(spark, path + "/*", glob="*.txt").withColumn("vehicle", F.regexp_extract("file_path", "/vehicle=([^/]+)/", 1))
+    listed = FX.file_list(spark, sf_dir).select(vehicle.alias("vehicle"))
+    return FS.vehicle_report(listed, parts)
 
 
 # ------------------------------------------------------ the live path
@@ -798,6 +820,27 @@ def q_status_count_series_stream_replay(spark, sf_dir):
     return C.status_count_series(changes)
 
 
+EXPIRY_STEPS = 4
+EXPIRY_WATERMARK = "30 minutes"   # pings of this query arrive up to five places late
+
+
+@query("vehicle_expiry_stream_replay")
+def q_vehicle_expiry_stream_replay(spark, sf_dir):
+    """T1 live: event-time timers flush idle vehicles and give up their state.
+    Outputs of every ping and a row for every session that has ended, whether by
+    its timer or by a ping beyond the limit."""
+    from .streaming.expiry import expiring_vehicle_stream, session_sinks
+    from .streaming.live import replay_vehicle_stream
+    root = _scratch(spark, "expiry")
+    late = F.when(F.pmod("event_id", F.lit(17)) == 0, 5).otherwise(0)
+    messages = FX.messages(FX.trips(spark, sf_dir)).withColumn("arrival_key", F.col("event_id") + late)
+    replay_vehicle_stream(messages, root, EXPIRY_STEPS, stream=lambda m: expiring_vehicle_stream(m, IDLE_MS, EXPIRY_WATERMARK),
+                          sinks=session_sinks)
+    return spark.read.parquet(f"{root}/out/sessions").select(
+        "taxi_id", "session_start_ms", "event_id", "ts_ms", "kind", "status", "area_violations", "total_distance_km",
+        "total_time_s", "avg_reason", "speed_reason", "speed_kmph", "speeding_count", "stored_total")
+
+
 @query("location_speed_join_stream_replay")
 def q_location_speed_join_stream_replay(spark, sf_dir):
     """T25 live: the replayed per-ping outputs joined stream-to-stream (same

@@ -6,7 +6,7 @@ from ..config import DEFAULT
 from ..config import FIXTURE_GRID
 from .fixtures_sql import FILE_LINES, GRID_SPEEDS, MESSAGES, RAW_PINGS, REQUESTS, TRIPS, with_
 from .lifecycle_sql import lifecycle_ctes
-from .trips_sql import hav_sql, r6, steps_ctes
+from .trips_sql import W_EXC, W_INC, hav_sql, r6, steps_ctes
 
 ORACLES: dict[str, str] = {}
 
@@ -369,7 +369,9 @@ WHERE p.kind = 'forwarded' AND s.speed_reason = 'ok'""")
 
 
 ORACLES["file_report"] = f"""{with_(TRIPS, FILE_LINES)}
-SELECT 'read' AS state, CAST(count(*) AS BIGINT) AS lines FROM file_lines"""
+SELECT replace(file_name, '.txt', '') AS vehicle, CASE WHEN count(line) > 0 THEN 'read' ELSE 'empty' END AS state,
+       CAST(count(line) AS BIGINT) AS lines
+FROM (SELECT file_name, line FROM file_lines UNION ALL SELECT file_name, NULL FROM file_list) f GROUP BY file_name"""
 
 
 # ------------------------------------------------ connectors (round trips)
@@ -412,6 +414,40 @@ ORACLES["location_speed_join_stream_replay"] = (
     "FROM lc p JOIN lc s ON s.taxi_id = p.taxi_id AND s.ts_ms BETWEEN p.ts_ms - 1800000 AND p.ts_ms + 1800000 "
     "WHERE p.kind = 'forwarded' AND s.speed_reason = 'ok'")
 
+# ------------------------------------------------------ idle vehicles expire
+IDLE_MS, DELAY_MS = 1800000, 1800000
+
+
+def sessions_ctes(src: str) -> str:
+    """``sessions``: the rows of ``src`` with their session; taxi_id names both."""
+    return f"""
+_newest AS (SELECT *, max(ts_ms) OVER {W_EXC} AS newest FROM {src}),
+_started AS (SELECT * EXCLUDE (newest), max(CASE WHEN newest IS NULL OR ts_ms - newest > {IDLE_MS} THEN ts_ms END) OVER {W_INC}
+             AS session_start_ms FROM _newest),
+sessions AS (SELECT * REPLACE (concat(taxi_id, '#', CAST(session_start_ms AS VARCHAR)) AS taxi_id) FROM _started)"""
+
+
+_OF = "split_part(taxi_id, '#', 1) AS taxi_id, CAST(split_part(taxi_id, '#', 2) AS BIGINT) AS session_start_ms"
+ORACLES["vehicle_sessions"] = (
+    f"{with_(TRIPS, sessions_ctes('trips'))}\nSELECT {_OF}, max(ts_ms) AS newest_ms, CAST(count(*) AS BIGINT) AS pings, "
+    f"max(ts_ms) + {IDLE_MS} AS expires_ms FROM sessions GROUP BY sessions.taxi_id")
+ORACLES["trip_stats_with_expiry"] = (
+    f"{with_(TRIPS, sessions_ctes('trips'), lifecycle_ctes('sessions', DEFAULT))}\nSELECT {_OF}, event_id, kind, status, "
+    "area_violations, halt_event, total_distance_km, total_time_s, avg_reason, average_speed_kmph, stored_total FROM lc")
+_ARRIVED = """
+arrived AS (SELECT * REPLACE (event_id + CASE WHEN event_id % 17 = 0 THEN 5 ELSE 0 END AS arrival_key) FROM parsed)"""
+ORACLES["vehicle_expiry_stream_replay"] = f"""{with_(TRIPS, MESSAGES, PARSED, _ARRIVED, sessions_ctes('arrived'), lifecycle_ctes('sessions', DEFAULT))},
+ends AS (SELECT taxi_id, max(ts_ms) OVER s + {IDLE_MS} AS expires_ms, k = max(k) OVER s AS is_last, area_violations, s_tot_cents / 100.0::DOUBLE AS km,
+                s_tot_s, speeding_count, stored_total FROM lc WINDOW s AS (PARTITION BY taxi_id)),
+ended AS (SELECT *, lead(session_start_ms) OVER (PARTITION BY taxi_id ORDER BY session_start_ms) AS next_ms
+          FROM (SELECT {_OF}, * EXCLUDE (taxi_id) FROM ends WHERE is_last) e)
+SELECT {_OF}, event_id, ts_ms, kind, status, area_violations, total_distance_km, total_time_s, avg_reason, speed_reason,
+       speed_kmph, speeding_count, stored_total FROM lc
+UNION ALL
+SELECT taxi_id, session_start_ms, NULL, expires_ms, 'expired', NULL, area_violations, km, s_tot_s, NULL, NULL, NULL,
+       speeding_count, stored_total
+FROM ended WHERE next_ms IS NOT NULL OR expires_ms < (SELECT max(ts_ms) - {DELAY_MS} FROM arrived)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

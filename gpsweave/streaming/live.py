@@ -122,16 +122,19 @@ def finish(writer) -> None:
         raise q.exception()
 
 
-def replay_vehicle_stream(messages: DataFrame, root: str, steps: int, cfg: FleetConfig = DEFAULT) -> None:
+def replay_vehicle_stream(messages: DataFrame, root: str, steps: int, cfg: FleetConfig = DEFAULT,
+                          stream=None, sinks=None) -> None:
     """Let message records arrive in ``steps`` parts by arrival position, and run
-    the live vehicle path after each: every run goes on from the checkpoint of
-    the one before. Messages in ``root/in``, outputs in ``root/out``."""
+    the live vehicle path (or ``stream`` of the messages into ``sinks``) after
+    each: every run goes on from the checkpoint of the one before. Messages in
+    ``root/in``, outputs in ``root/out``."""
     from .sinks import state_sinks
+    stream, sinks = stream or (lambda m: vehicle_stream(m, cfg)), sinks or state_sinks
     spark = messages.sparkSession
     last = messages.agg(F.max("arrival_key")).first()[0]
     span = ((last or 0) + steps) // steps
     for i in range(steps):
         (messages.filter(idiv(F.col("arrival_key"), span) == i).select(*MESSAGE_SCHEMA.names)
          .write.mode("append").parquet(f"{root}/in"))
-        out = vehicle_stream(file_messages(spark, f"{root}/in"), cfg)
-        finish(out.writeStream.foreachBatch(state_sinks(f"{root}/out")).option("checkpointLocation", f"{root}/checkpoint"))
+        out = stream(file_messages(spark, f"{root}/in"))
+        finish(out.writeStream.foreachBatch(sinks(f"{root}/out")).option("checkpointLocation", f"{root}/checkpoint"))
