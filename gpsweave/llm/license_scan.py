@@ -1,6 +1,10 @@
 """License scan: exact phrase places, and an exact set-similarity join of text
 blocks with license notices. DataFrame operations only.
 
+A notice may be wrapped over lines and has dots inside ("v. 2.0"), so a block is
+a run of words: every window of a paragraph as long as the notice and a fifth
+more. Windows are formed only around the words that the prefix filter asks for.
+
 The join follows prefix filtering: tokens are ordered by their document
 frequency over the whole corpus (rarest first); a block that holds at least
 ``ceil(t * |T|)`` of a notice's tokens must hold one of the notice's first
@@ -20,8 +24,8 @@ from .common import ascii_lower, written
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Phrase -> label.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-# A block ends at a line end or at a sentence end followed by white space.
-BLOCK_END = r"[\n\r]+|[.!?][ \t\n\r]+"
+# Blocks don't cross blank lines.
+PARAGRAPH_END = r"\n[ \t\r]*\n"
 # Notices in their usual short wording -> label. Lower case, words only.
 NOTICES = [
     ("released under the mit license", "mit"),
@@ -40,6 +44,13 @@ NOTICES = [
     ("released into the public domain", "public-domain"),
 ]
 CONTAINMENT = 0.9
+CHUNK = 4096  # words of a paragraph that are looked through at once
+
+
+def window(notice: str) -> int:
+    """Words of the blocks compared with a notice."""
+    n = len(notice.split())
+    return n + ceil(n / 5)
 
 
 def _words(text: Column) -> Column:
@@ -89,8 +100,8 @@ def license_scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES,
     base_labels, labels, score.
 
     ``labels`` holds the base labels and those of the notices of which some
-    block of the text holds at least the share ``containment`` of the distinct
-    words; ``score`` is 1.0 for a base phrase, else the largest such share,
+    block of the text (see ``window``) holds at least the share ``containment``
+    of the distinct words; ``score`` is 1.0 for a base phrase, else the largest such share,
     else 0.0. Null text counts as empty: no words, empty labels, score 0. Rows
     that repeat an id are each returned, with the labels of their own text. The
     notices are a parameter of the code and small, so they are broadcast; the
@@ -121,15 +132,28 @@ def license_scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES,
     for i, s in enumerate(sets):
         s = sorted(s, key=rank.get)
         for at in range(len(s) - need[i] + 1):
-            prefixes.append((s[at], i, at, len(s), need[i], s, notices[i][1]))
-    prefix = spark.createDataFrame(prefixes, "token string, notice int, at int, size int, need int, words array<string>, label string")
-
-    blocks = (base.filter(F.col("candidate").isNotNull())
-              .select("doc_id", "h", F.explode(F.split("candidate", BLOCK_END)).alias("block"))
-              .select("doc_id", "h", F.array_intersect(_strings(order), _tokens(_words(F.col("block")))).alias("block"))
-              .filter(F.size("block") >= min(need)))
-    pairs = (blocks.select("doc_id", "h", "block", F.size("block").alias("n"), F.posexplode("block").alias("pos", "token"))
-             .join(F.broadcast(prefix), "token")
+            prefixes.append((s[at], i, at, len(s), need[i], window(notices[i][0]), s, notices[i][1]))
+    prefix = spark.createDataFrame(prefixes, "token string, notice int, at int, size int, need int, width int, words array<string>, label string")
+
+    # chunks of a paragraph's words, each with the words that a window starting in it can reach
+    reach = max((window(t) for t, _ in notices), default=1)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(CHUNK))
+    chunks = (base.filter(F.col("candidate").isNotNull())
+              .select("doc_id", "h", F.explode(F.split("candidate", PARAGRAPH_END)).alias("paragraph"))
+              .select("doc_id", "h", _tokens(_words(F.col("paragraph"))).alias("all"))
+              .select("doc_id", "h", F.explode(F.transform(starts, lambda s: F.slice("all", s + 1, F.lit(CHUNK + reach - 1)))).alias("chunk"))
+              .filter(F.size(F.array_intersect("chunk", _strings(order))) >= min(need, default=0)))
+    # every place of a prefix word, with the words around it
+    asked = _strings(sorted({p[0] for p in prefixes}))
+    places = F.filter(F.transform("chunk", lambda w, i: F.struct(w.alias("token"), i.alias("i"))), lambda x: F.array_contains(asked, x["token"]))
+    first = lambda x: F.greatest(x["i"] - (reach - 1), F.lit(0))
+    around = F.transform(places, lambda x: F.struct(x["token"].alias("token"), (x["i"] - first(x)).alias("i"),
+                                                    F.slice("chunk", first(x) + 1, F.lit(2 * reach - 1)).alias("near")))
+    windows = F.transform(F.sequence(F.greatest(F.col("i") - F.col("width") + 1, F.lit(0)), F.col("i")),
+                          lambda s: F.array_intersect(_strings(order), F.slice("near", s + 1, F.col("width"))))
+    pairs = (chunks.select("doc_id", "h", F.inline(around)).join(F.broadcast(prefix), "token")
+             .select("doc_id", "h", "token", "at", "size", "need", "words", "label", F.explode(windows).alias("block"))
+             .withColumns({"n": F.size("block"), "pos": F.array_position("block", F.col("token")) - 1})
              # length filter; positional filter: words before, this one, words after
              .filter("n >= need and least(at, pos) + 1 + least(size - at - 1, n - pos - 1) >= need")
              .withColumn("share", F.size(F.array_intersect("block", "words")) / F.col("size"))

@@ -20,24 +20,24 @@ def license_scan_sql() -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     notices = ", ".join(
         f"([{', '.join(repr(w) for w in sorted(set(t.split())))}], "
-        f"{ceil(lic.CONTAINMENT * len(set(t.split())) - 1e-9)}, '{label}')" for t, label in lic.NOTICES)
+        f"{ceil(lic.CONTAINMENT * len(set(t.split())) - 1e-9)}, {lic.window(t)}, '{label}')" for t, label in lic.NOTICES)
     hits = " UNION ALL ".join(
         f"SELECT doc_id, unnest(list_filter(range(len(w)), lambda i: "
         + " AND ".join(f"w[i + {j + 1}] = '{x}'" for j, x in enumerate(p.split()))
         + f")) AS pos, '{label}' AS label FROM words" for p, label in lic.PHRASES.items())
-    ends = lic.BLOCK_END
+    ends = lic.PARAGRAPH_END
     return f"""
 WITH low AS (SELECT doc_id, {LOWERED} AS t FROM documents),
 words AS (SELECT doc_id, regexp_extract_all(t, '{word}') AS w FROM low),
 hits AS ({hits}),
 base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
                 list(DISTINCT label) AS labels FROM hits GROUP BY doc_id),
-notices(need_words, need, label) AS (VALUES {notices}),
-blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(b, '{word}')) AS w
-           FROM (SELECT doc_id, unnest(string_split_regex(t, '{ends}')) AS b FROM low)
-           WHERE b LIKE '%licens%' OR b LIKE '%permi%' OR b LIKE '%public%'),
-shares AS (SELECT doc_id, label, len(list_intersect(w, need_words)) AS n, len(need_words) AS size, need
-           FROM blocks, notices),
+notices(need_words, need, width, label) AS (VALUES {notices}),
+paragraphs AS (SELECT doc_id, regexp_extract_all(b, '{word}') AS w
+               FROM (SELECT doc_id, unnest(string_split_regex(t, '{ends}')) AS b FROM low)),
+likely AS (SELECT doc_id, w, need_words, need, width, label FROM paragraphs, notices WHERE len(list_intersect(w, need_words)) >= need),
+shares AS (SELECT doc_id, label, len(list_intersect(w[i:i + width - 1], need_words)) AS n, len(need_words) AS size, need
+           FROM (SELECT *, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains(need_words, w[i]))) AS i FROM likely)),
 found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(n / size) AS share
           FROM shares WHERE n >= need GROUP BY doc_id)
 SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(b.n_base, 0)::BIGINT AS n_base,
