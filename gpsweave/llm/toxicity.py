@@ -105,6 +105,20 @@ def _automaton(lexicon: dict[str, float]):
     return a
 
 
+def _outside(hits: list, spans: list) -> list:
+    """The hits (start, end, weight) that lie in no span (start, end). The
+    automaton gives both by rising ends, so one pass from the last to the first
+    suffices: of the spans that reach a hit's end, the smallest start counts."""
+    kept, i, least = [], len(spans) - 1, float("inf")
+    for h in reversed(hits):
+        while i >= 0 and spans[i][1] + 1 >= h[1]:
+            least = min(least, spans[i][0])
+            i -= 1
+        if least > h[0]:
+            kept.append(h)
+    return kept[::-1]
+
+
 def measure(text: str, automaton) -> list[float]:
     """Features of one text: weight per word, total weight, largest weight,
     distinct terms, hits per word."""
@@ -118,7 +132,7 @@ def measure(text: str, automaton) -> list[float]:
         else:
             hits.append((end - size + 1, end, w))
     if spans:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b + 1 for a, b in spans)]
+        hits = _outside(hits, spans)
     best = {}  # one hit per word: its largest weight
     for a, _, w in hits:
         best[a] = max(best.get(a, 0.0), w)

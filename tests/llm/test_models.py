@@ -62,6 +62,22 @@ def test_classifiers_take_awkward_rows(spark):
     assert all(q[100 + i] == i % 2 and t[100 + i] == 1 - i % 2 for i in range(40))
 
 
+def test_hits_inside_exception_phrases():
+    import random
+    import time
+    rng = random.Random(3)
+    for _ in range(300):
+        ends = sorted(rng.randrange(60) for _ in range(rng.randrange(12)))
+        hits = [(e - rng.randrange(9), e, 1.0) for e in ends]
+        spans = [(e - rng.randrange(15), e) for e in sorted(rng.randrange(60) for _ in range(rng.randrange(1, 8)))]
+        assert tox._outside(hits, spans) == [h for h in hits if not any(a <= h[0] and h[1] <= b + 1 for a, b in spans)]
+    automaton = tox._automaton({" trash": 4.0})
+    started = time.time()
+    assert tox.measure("trash can " * 15000, automaton)[1] == 0.0
+    assert tox.measure("trash can " * 15000 + "trash", automaton)[2] == 4.0
+    assert time.time() - started < 5
+
+
 def test_bradley_terry_learns_the_order():
     rng = np.random.RandomState(1)
     y = np.repeat([0, 1], 300)
