@@ -28,6 +28,7 @@ from .operators import speed as S
 from .operators import trips as T
 from .operators import views as V
 from .operators.geo_index import GeoIndex, write_geo_index
+from .operators.log_ranges import append_log, newest_messages
 from .operators.grid_first import grid_window_first_record
 from .operators.machine_chunks import trip_chain_chunked
 from .operators.speed_chunks import speed_chain_chunked
@@ -330,6 +331,19 @@ def q_event_log(spark, sf_dir):
     return V.newest_first(V.event_log(_trips(spark, sf_dir), _speeds(spark, sf_dir)))
 
 
+LOG_RANGE, LOG_BATCHES, NEWEST = 256, 3, 100   # arrival keys of a range, appends, messages of the report
+
+
+@query("event_log_newest")
+def q_event_log_newest(spark, sf_dir):
+    """The newest messages of a log appended in batches, from its last arrival ranges alone."""
+    path = _scratch(spark, "log")
+    events = _stored(V.event_log(_trips(spark, sf_dir), _speeds(spark, sf_dir)), "events")
+    for b in range(LOG_BATCHES):   # a batch holds messages of all ranges
+        append_log(events.filter(F.pmod("event_id", F.lit(LOG_BATCHES)) == b), b, path, LOG_RANGE)
+    return newest_messages(spark, path, NEWEST)
+
+
 @query("vehicle_current")
 def q_vehicle_current(spark, sf_dir):
     """V1: current state row of every vehicle."""

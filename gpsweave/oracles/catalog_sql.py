@@ -131,6 +131,8 @@ ORACLES["violation_counts"] = _lc_query(
     "count(*) FILTER (WHERE coalesce(ten_km_crossed, false)) AS area_violation_vehicles "
     "FROM state WHERE coalesce(ten_km_crossed, false) OR coalesce(speeding, false)")
 ORACLES["event_log"] = _lc_query("SELECT taxi_id, event_id, arrival_key, sub, kind, message FROM lc_events")
+ORACLES["event_log_newest"] = _lc_query("SELECT taxi_id, event_id, arrival_key, sub, kind, message FROM lc_events "
+                                        "ORDER BY arrival_key DESC, event_id DESC, sub DESC LIMIT 100")
 ORACLES["vehicle_current"] = _lc_query(
     "SELECT taxi_id, status, total_distance_km, last_update_ms, latitude, longitude, average_speed_kmph, "
     "current_speed_kmph, speeding, speeding_speed_kmph, ten_km_crossed, area_violations FROM state")

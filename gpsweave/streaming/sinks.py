@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, FleetConfig
 from ..operators.counters import status_changes
 from ..operators.grid import grid_snapshot
+from ..operators.log_ranges import append_log
 from ..operators.views import flatten_state, merge_vehicle_state, vehicle_state_partial
 
 
@@ -46,12 +47,13 @@ def compact_vehicle_state(spark: SparkSession, root: str, target: str) -> None:
      .withColumn("batch_id", F.lit(-1).cast("long")).write.mode("overwrite").partitionBy("batch_id").parquet(target))
 
 
-def state_sinks(root: str):
+def state_sinks(root: str, log_width: int | None = None):
     """``foreachBatch`` function writing the vehicle-state views of one batch:
 
     * ``state``: S9–S11 (position, update time, totals, speed fields, status),
       a partial state per vehicle of the batch;
-    * ``events``: S12 event log (one row per message);
+    * ``events``: S12 event log (one row per message), or with ``log_width`` the
+      ``log`` by arrival ranges of that width (``operators/log_ranges.py``);
     * ``status_changes``: the deltas of the status counters (V3 over time);
     * ``pings``: the per-ping outputs (input of the grid stream and audits).
     """
@@ -63,7 +65,10 @@ def state_sinks(root: str):
             append_batch(batch.drop("events").withColumn("latency_ms", latency), batch_id, f"{root}/pings")
             ev = batch.select("taxi_id", "event_id", "arrival_key", F.explode("events").alias("e")).select(
                 "taxi_id", "event_id", "arrival_key", "e.sub", "e.kind", "e.message")
-            append_batch(ev, batch_id, f"{root}/events")
+            if log_width:
+                append_log(ev, batch_id, f"{root}/log", log_width)
+            else:
+                append_batch(ev, batch_id, f"{root}/events")
             append_batch(status_changes(batch), batch_id, f"{root}/status_changes")
             append_batch(vehicle_state_partial(batch), batch_id, f"{root}/state")
         finally:
@@ -85,7 +90,7 @@ def start_fresh(spark: SparkSession, root: str) -> None:
     that resumes from an existing checkpoint must not call this: its sinks
     are idempotent and continue where they stopped."""
     fs, p, jvm = _fs(spark, root.rstrip("/"))
-    for name in ("state", "pings", "events", "status_changes", "grids"):
+    for name in ("state", "pings", "events", "log", "status_changes", "grids"):
         sub = jvm.org.apache.hadoop.fs.Path(p, name)
         if fs.exists(sub):
             fs.delete(sub, True)
