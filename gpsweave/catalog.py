@@ -834,7 +834,7 @@ def q_status_count_series_stream_replay(spark, sf_dir):
     return C.status_count_series(changes)
 
 
-EXPIRY_STEPS = 4
+EXPIRY_STEPS = 2
 EXPIRY_WATERMARK = "30 minutes"   # pings of this query arrive up to five places late
 
 
