@@ -188,3 +188,39 @@ def test_gains_of_a_move_are_those_of_the_likelihood():
             moved = cls.copy()
             moved[i] = c
             assert abs(gain[i, c] - gain[i, cls[i]] - likelihood(counts(moved)) + likelihood(counts(cls))) < 1e-8
+
+
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    import gpsweave.llm.quality as quality
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 40)
+    rng = np.random.RandomState(2)
+    ids = np.arange(500)
+    y = (rng.rand(500) < 0.7).astype(int)
+    x = rng.normal(size=(500, quality.N_FEATURES))
+    x[:, 2] += 2 * y
+    x[ids == 499] = 1000.0                             # one row that moves every mean
+    features = spark.createDataFrame([(int(d), x[d].tolist()) for d in ids], "doc_id long, x array<double>").repartition(7)
+    marks = spark.createDataFrame([(int(d), int(y[d])) for d in ids], "doc_id long, quality int")
+    m, again = quality.quality_model(features, marks), quality.quality_model(features.repartition(3), marks)
+    used = np.array([not held(d) for d in ids])
+    assert used[499]
+    assert np.allclose(m["mean"], x[used].mean(0)) and np.allclose(m["std"], x[used].std(0))
+    assert (m["w"] == again["w"]).all() and m["cut"] == again["cut"]
+    raw = np.sort(np.clip((x[used] - m["mean"]) / m["std"], -8, 8) @ m["w"])
+    bad = int((y[used] == 0).sum())
+    n = len(raw)
+    assert np.isclose(m["cut"], np.quantile(raw, [(bad - 0.5) / n, (bad + 0.5) / n]).mean())
+    assert abs((raw < m["cut"]).mean() - bad / n) < 0.01
+    small = quality.fit_bradley_terry(x[used], y[used])
+    assert np.corrcoef(m["w"], small["w"])[0, 1] > 0.95
+
+
+def test_quality_fit_uses_every_pair():
+    x = np.zeros((30_000, 15))
+    x[::2, 0], x[1::2, 0] = 1.0, -1.0
+    x[1::2, 1] = np.arange(15_000) >= 14_990           # rare: a sample of the pairs loses most of it
+    import gpsweave.llm.quality as quality
+    d = quality._pairs(x, np.tile([1, 0], 15_000), 8, 7)
+    assert len(d) == 120_000 and (d[:, 1] == -1).sum() == 80
+    d = quality._pairs(np.concatenate([x, x]), np.tile([1, 0], 30_000), 8, 7)
+    assert len(d) == 240_000
