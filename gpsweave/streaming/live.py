@@ -16,10 +16,10 @@ from pyspark.sql import types as T
 from ..config import DEFAULT, FleetConfig
 from ..functions.num import idiv
 from ..operators.grid import grid_window
-from ..operators.lifecycle import IN_COLS, with_center_distance
+from ..operators.lifecycle import IN_COLS, OUT_SCHEMA, with_center_distance
 from ..operators.parse import parse_pings
 from ..operators.speed import alert_text
-from .processor import STREAM_OUT_SCHEMA, VehicleProcessor
+from .processor import BUCKETS, VehicleProcessor
 
 # a file-stream message record: arrival position, tiebreak and the wire text
 MESSAGE_SCHEMA = T.StructType([
@@ -61,7 +61,7 @@ def message_records(records: DataFrame) -> DataFrame:
 
 
 def vehicle_stream(messages: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
-    """Per-ping outputs of the state machine (``STREAM_OUT_SCHEMA``), streaming."""
+    """Per-ping outputs of the state machine (``OUT_SCHEMA``) with their event time, streaming."""
     pings = parse_pings(messages, keep=["event_id", "arrival_key"])
     pings = with_center_distance(pings, cfg).select(*IN_COLS)
     pings = (pings.withColumn("event_time", F.timestamp_millis("ts_ms"))
@@ -70,9 +70,10 @@ def vehicle_stream(messages: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame
     # them), so the stateful operator does not re-stamp event time: outputs may
     # be older than the watermark. Event-time consumers read the written output
     # as a second stream with their own watermark (``grid_stream``).
-    return pings.groupBy("taxi_id").transformWithStateInPandas(
-        statefulProcessor=VehicleProcessor(cfg), outputStructType=STREAM_OUT_SCHEMA,
-        outputMode="Append", timeMode="None")
+    bucketed = pings.withColumn("bucket", F.pmod(F.xxhash64("taxi_id"), F.lit(BUCKETS)))
+    out = bucketed.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=VehicleProcessor(cfg), outputStructType=OUT_SCHEMA, outputMode="Append", timeMode="None")
+    return out.withColumn("event_time", F.timestamp_millis("ts_ms"))
 
 
 def grid_stream(vehicle_out: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
@@ -126,15 +127,16 @@ def replay_vehicle_stream(messages: DataFrame, root: str, steps: int, cfg: Fleet
                           stream=None, sinks=None) -> None:
     """Let message records arrive in ``steps`` parts by arrival position, and run
     the live vehicle path (or ``stream`` of the messages into ``sinks``) after
-    each: every run goes on from the checkpoint of the one before. Messages in
-    ``root/in``, outputs in ``root/out``."""
+    each: every run goes on from the checkpoint of the one before. All messages in
+    ``root/sent``, those arrived in ``root/in``, outputs in ``root/out``."""
     from .sinks import state_sinks
     stream, sinks = stream or (lambda m: vehicle_stream(m, cfg)), sinks or state_sinks
     spark = messages.sparkSession
+    messages.select(*MESSAGE_SCHEMA.names).write.parquet(f"{root}/sent")   # made once, read by every part
+    messages = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{root}/sent")
     last = messages.agg(F.max("arrival_key")).first()[0]
     span = ((last or 0) + steps) // steps
     for i in range(steps):
-        (messages.filter(idiv(F.col("arrival_key"), span) == i).select(*MESSAGE_SCHEMA.names)
-         .write.mode("append").parquet(f"{root}/in"))
+        (messages.filter(idiv(F.col("arrival_key"), span) == i).write.mode("append").parquet(f"{root}/in"))
         out = stream(file_messages(spark, f"{root}/in"))
         finish(out.writeStream.foreachBatch(sinks(f"{root}/out")).option("checkpointLocation", f"{root}/checkpoint"))

@@ -153,3 +153,37 @@ def test_processing_time_grid_windows_fire_and_clear(spark):
     got = {r.grid_id: r.vehicles for r in out.collect()}
     want = {r.grid_id: r.n for r in cells.collect()}
     assert got == want
+
+
+def test_a_key_holds_many_vehicles_in_one_frame():
+    import pandas as pd
+    from gpsweave.operators.lifecycle import IN_COLS, OUT_COLS, VehicleState, VehicleStep
+    from gpsweave.streaming.processor import VehicleProcessor
+
+    class Handle:
+        def __init__(self):
+            self.kept = {}
+
+        def getMapState(self, *_):
+            return self
+
+        def getValue(self, key):
+            return self.kept.get(key)
+
+        def updateValue(self, key, value):
+            self.kept[key] = value
+
+    handle, processor = Handle(), VehicleProcessor()
+    processor.init(handle)
+    rows = [(str(v), i, i, 1704067200000 + 40_000 * i, 39.9 + 0.01 * (i % 5), 116.39 + 0.001 * v, False, 1.0, 3.0) for i in range(12) for v in range(50)]
+    want, states, step = [], {}, VehicleStep()
+    for r in rows:
+        want.append(step.step(states.setdefault(r[0], VehicleState()), r))
+    got = []
+    for part in (rows[:300], rows[300:]):               # two micro-batches, rows in no order
+        frames = list(processor.handleInputRows((0,), iter([pd.DataFrame(part[::-1][:100], columns=IN_COLS), pd.DataFrame(part[::-1][100:], columns=IN_COLS)]), None))
+        assert len(frames) == 1
+        got += [tuple(r) for r in frames[0].itertuples(index=False)]
+    plain = lambda rows: sorted(repr([v for c, v in zip(OUT_COLS, r)]) for r in rows)
+    assert plain(got) == plain(want)
+    assert handle.kept == {(v,): st.as_tuple() for v, st in states.items()}
