@@ -32,6 +32,7 @@ from .machine import _said, _with
 from .trips import KEY, late_filter
 
 _CHUNK = [*KEY, "_chunk"]
+_PLACES, _TOTALS = ["n_in", "gap_in", "p_in"], ["c_in", "s_in", "dead_in", "still_in", "halted_in"]   # carries
 _BY = "PARTITION BY taxi_id, _chunk ORDER BY arrival_key, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND"
 UPTO, BEFORE = f"OVER ({_BY} CURRENT ROW)", f"OVER ({_BY} 1 PRECEDING)"
 _SO_FAR = "OVER (PARTITION BY taxi_id ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -99,10 +100,10 @@ def _place_carry(rows: DataFrame, cfg: FleetConfig) -> DataFrame:
     return _written(s.select(*_CHUNK, "n_in", (F.col("gap_in") > 0).alias("gap_in"), "p_in"), "places")
 
 
-def _steps(rows: DataFrame, carry: DataFrame, cfg: FleetConfig) -> DataFrame:
-    """Steps and cuts, exact; totals of the chunk's own rows."""
+def _steps(rows: DataFrame, cfg: FleetConfig) -> DataFrame:
+    """Steps and cuts, exact; totals of the chunk's own rows. ``rows`` have their places carry."""
     return _levels(
-        _places(rows.join(carry, _CHUNK), cfg),
+        _places(rows, cfg),
         {"area_violations": "n_in + _n", "_back": "_f AND (_gap OR (_own IS NULL AND gap_in))",
          "_p": "coalesce(named_struct('lat', _own.lat, 'lon', _own.lon, 'ts', _own.ts, 'far', _own.far), "
                "named_struct('lat', p_in.lat, 'lon', p_in.lon, 'ts', p_in.ts, 'far', p_in.far))".replace("coalesce(", "if(_own IS NOT NULL, ", 1),
@@ -117,14 +118,20 @@ def _steps(rows: DataFrame, carry: DataFrame, cfg: FleetConfig) -> DataFrame:
         {"_base": f"last(CASE WHEN _cut THEN named_struct('c', _cum_c, 's', _cum_s) END, true) {BEFORE}"})
 
 
+def _kept(names: list[str]) -> list:
+    """Carries the chunk's rows have already, for the next carry: rows join one."""
+    return [F.any_value(c).alias(c) for c in names]
+
+
 def _total_carry(rows: DataFrame, places: DataFrame, cfg: FleetConfig) -> DataFrame:
-    df = _with(_steps(rows, places, cfg), {"_oc": "_cum_c - _base.c", "_os": "_cum_s - _base.s"})
+    """The places carry with the totals added."""
+    df = _with(_steps(rows.join(places, _CHUNK), cfg), {"_oc": "_cum_c - _base.c", "_os": "_cum_s - _base.s"})
     # behind the chunk's first cut a gate is the chunk's own; the first cut's depends on what came in
     df = _with(df, {"_fails": f"coalesce(_back AND {_gate(cfg, '_oc', '_os', _average('_oc', '_os'))} <> 'ok' AND _base IS NOT NULL, false)"})
     df = _with(df, {"_ended": f"coalesce(max(_fails) {BEFORE}, false)"})
     both = {"a": "_base IS NULL", "b": "NOT _ended"}      # live rows if the first cut fails its gate, and if not
     s = df.groupBy(*_CHUNK).agg(
-        F.max("_cum_c").alias("all_c"), F.max("_cum_s").alias("all_s"),
+        *_kept(_PLACES), F.max("_cum_c").alias("all_c"), F.max("_cum_s").alias("all_s"),
         F.expr("max_by(named_struct('c', _cum_c, 's', _cum_s), CASE WHEN _cut THEN _place END)").alias("cut"),
         F.expr("min_by(named_struct('c', _cum_c, 's', _cum_s, 'back', _back), CASE WHEN _cut THEN _place END)").alias("first"),
         F.max("_fails").alias("fails"),
@@ -143,14 +150,15 @@ def _total_carry(rows: DataFrame, places: DataFrame, cfg: FleetConfig) -> DataFr
     # past the limit every still step halts and every other one resumes: the last step decides
     s = _with(s, {"halts": f"CASE WHEN last IS NULL THEN NULL WHEN still_in + still >= {cfg.halt_after_s} THEN last WHEN moves THEN false END"})
     s = _with(s, {"halted_in": f"coalesce(last(halts, true) {_EARLIER}, false)"})
-    return _written(s.select(*_CHUNK, "c_in", "s_in", "dead_in", "still_in", "halted_in"), "totals")
+    return _written(s.select(*_CHUNK, *_PLACES, *_TOTALS), "totals")
 
 
-def _trips(rows: DataFrame, places: DataFrame, totals: DataFrame, cfg: FleetConfig) -> DataFrame:
-    """T9–T17 of every row, exact, and what each row does to the status."""
+def _trips(rows: DataFrame, cfg: FleetConfig) -> DataFrame:
+    """T9–T17 of every row, exact, and what each row does to the status. ``rows``
+    have their places and totals carry."""
     c = cfg
     return _levels(
-        _steps(rows.join(totals, _CHUNK), places, cfg),
+        _steps(rows, cfg),
         {"_tc": "_cum_c + if(_base IS NULL, c_in, -_base.c)", "_ts": "_cum_s + if(_base IS NULL, s_in, -_base.s)"},
         {"_avg": _average("_tc", "_ts")},
         {"_gate": f"CASE WHEN _f THEN {_gate(c, '_tc', '_ts', '_avg')} END"},
@@ -179,12 +187,13 @@ _SET, _ON = f"CASE WHEN _set IS NOT NULL THEN named_struct('v', _set, 'at', {_AT
 
 
 def _status_carry(trips: DataFrame) -> DataFrame:
+    """The places and totals carry with the status added."""
     s = trips.groupBy(*_CHUNK).agg(
-        F.expr(f"max_by({_SET}, CASE WHEN _set IS NOT NULL THEN _place END)").alias("set"), F.expr(f"max({_ON})").alias("on"),
+        *_kept([*_PLACES, *_TOTALS]), F.expr(f"max_by({_SET}, CASE WHEN _set IS NOT NULL THEN _place END)").alias("set"), F.expr(f"max({_ON})").alias("on"),
         F.expr("max_by(_wrote, CASE WHEN _wrote IS NOT NULL THEN _place END)").alias("wrote"), F.count("trip_reset").alias("resets"))
     s = _with(s, {"set_in": f"last(set, true) {_EARLIER}", "on_in": f"last(on, true) {_EARLIER}", "stored_in": f"coalesce(last(wrote, true) {_EARLIER}, 0L)",
                   "trips_in": f"coalesce(sum(resets) {_EARLIER}, 0L)"})
-    return _written(s.select(*_CHUNK, "set_in", "on_in", "stored_in", "trips_in"), "status")
+    return _written(s.select(*_CHUNK, *_PLACES, *_TOTALS, "set_in", "on_in", "stored_in", "trips_in"), "status")
 
 
 def trip_chain_chunked(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFrame:
@@ -193,9 +202,9 @@ def trip_chain_chunked(pings: DataFrame, cfg: FleetConfig = DEFAULT) -> DataFram
     rows = _written(classified(pings, cfg), "classified")
     places = _place_carry(rows, cfg)
     totals = _total_carry(rows, places, cfg)
-    trips = _trips(rows, places, totals, cfg)
+    trips = _trips(rows.join(totals, _CHUNK), cfg)
     df = _levels(
-        _trips(rows.join(_status_carry(trips), _CHUNK), places, totals, cfg),
+        _trips(rows.join(_status_carry(trips), _CHUNK), cfg),
         {"_last": f"coalesce(last({_SET}, true) {UPTO}, set_in)", "_on": f"coalesce(last({_ON}, true) {UPTO}, on_in)",
          "_stored": f"coalesce(last(_wrote, true) {UPTO}, stored_in)", "_stored_before": f"coalesce(last(_wrote, true) {BEFORE}, stored_in)",
          "trip_no": f"trips_in + coalesce(count(trip_reset) {BEFORE}, 0L)"},
