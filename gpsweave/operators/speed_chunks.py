@@ -76,22 +76,24 @@ def _first_runs(cfg: FleetConfig):
     return run
 
 
-_HEAD_NAMES = [*_CHUNK, "place", *_RUN_NAMES, "ended", "met", "state"]
-_HEAD_TYPES = [pa.string(), pa.int64(), pa.int64(), *_RUN_TYPES, pa.int64(), pa.bool_(), _STATE]
-_HEAD = f"taxi_id string, _chunk long, place long, {_RUN}, ended long, met boolean, state struct<lat: double, lon: double, ts: bigint>"
+_HEAD_NAMES = [*_CHUNK, "place", *_RUN_NAMES, "ended", "met", "state", "own", "own_ends"]
+_HEAD_TYPES = [pa.string(), pa.int64(), pa.int64(), *_RUN_TYPES, pa.int64(), pa.bool_(), _STATE, pa.int64(), pa.int64()]
+_HEAD = (f"taxi_id string, _chunk long, place long, {_RUN}, ended long, met boolean, state struct<lat: double, lon: double, ts: bigint>, "
+         "own long, own_ends long")
 
 
 def _heads(cfg: FleetConfig):
     """Heads of chunks run from the anchor in ``start``, up to the ping at which
-    the run meets the written one: results, trips ended up to and with the row."""
+    the run meets the written one: results, trips ended up to and with the row;
+    the written run's count and ended trips there."""
     step = anchor_step(cfg)
 
     def run(batches):
         key, anchor, count, met, ended = None, None, 0, False, 0
         for batch in batches:
             out = []
-            for tid, chunk, place, ts, lat, lon, end, moved, start in _columns(
-                    batch, *_CHUNK, "place", "ts_ms", "latitude", "longitude", "end_flag", "moved", "start"):
+            for tid, chunk, place, ts, lat, lon, end, moved, start, own, ends in _columns(
+                    batch, *_CHUNK, "place", "ts_ms", "latitude", "longitude", "end_flag", "moved", "start", "speeding_count", "ends"):
                 if (tid, chunk) != key:
                     key, met, count, ended = (tid, chunk), False, 0, 0
                     anchor = start["lat"], start["lon"], start["ts"]
@@ -100,7 +102,7 @@ def _heads(cfg: FleetConfig):
                 reason, speed, fast, number, anchor, count, moves = step(anchor, count, ts, lat, lon, end)
                 ended, met = ended + (moves and end), moves and moved
                 state = anchor and dict(zip(("lat", "lon", "ts"), anchor))
-                out.append((tid, chunk, place, reason, speed, fast, number, count, ended, met, state))
+                out.append((tid, chunk, place, reason, speed, fast, number, count, ended, met, state, own, ends + (moved and end)))
             yield _batch(out, _HEAD_NAMES, _HEAD_TYPES)
     return run
 
@@ -110,7 +112,7 @@ def _replayed(first: DataFrame, todo: DataFrame, cfg: FleetConfig, head: int) ->
     done = None
     while True:
         rows = first.filter(F.col("place") < head).join(todo, _CHUNK).select(
-            *_CHUNK, "place", "ts_ms", "latitude", "longitude", "end_flag", "moved", "start")
+            *_CHUNK, "place", "ts_ms", "latitude", "longitude", "end_flag", "moved", "start", "speeding_count", "ends")
         out = _written(rows.repartition(*_CHUNK).sortWithinPartitions(*_CHUNK, "place").mapInArrow(_heads(cfg), _HEAD), "speed-heads")
         ready = out.groupBy(*_CHUNK).agg(F.max("met").alias("met")).join(todo, _CHUNK).withColumn("ready", F.col("met") | (F.col("rows") <= head))
         ready = _written(ready, "speed-ready")
@@ -160,10 +162,8 @@ def speed_chain_chunked(pings: DataFrame, cfg: FleetConfig = DEFAULT, head: int
 
 def _assembled(first: DataFrame, heads: DataFrame, chunks: DataFrame, in_order) -> DataFrame:
     """The written runs with their heads replaced and the counts of trips that go on added."""
-    meet = (heads.filter("met").select(*_CHUNK, "place", F.col("speeding_count").alias("count"), "ended")
-            .join(first.select(*_CHUNK, "place", F.col("speeding_count").alias("own"),
-                               (F.col("ends") + (F.col("moved") & F.col("end_flag")).cast("long")).alias("at_ends")), [*_CHUNK, "place"])
-            .select(*_CHUNK, F.col("place").alias("at"), (F.col("count") - F.col("own")).alias("more"), "at_ends", (F.col("ended") == 0).alias("goes_on")))
+    meet = heads.filter("met").select(*_CHUNK, F.col("place").alias("at"), (F.col("speeding_count") - F.col("own")).alias("more"),
+                                      F.col("own_ends").alias("at_ends"), (F.col("ended") == 0).alias("goes_on"))
     alone = (heads.groupBy(*_CHUNK).agg(F.max("met").alias("met"), F.max_by("speeding_count", "place").alias("head_count"), F.max("ended").alias("head_ends")))
     info = chunks.join(alone, _CHUNK, "left").join(meet, _CHUNK, "left")
     # what a chunk leaves for the next: a count of its own (reset) or one to add to what came in

@@ -106,3 +106,26 @@ def test_fleet_sums_have_the_same_bits_for_any_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(seen) == 1
+
+
+def test_chunk_passes_join_one_carry(spark):
+    rows = [("1", i, i, 39.9 + 0.01 * (i % 5), 116.39, i % 7 == 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "taxi_id string, event_id long, arrival_key long, latitude double, longitude double, end_flag boolean")
+    df = df.selectExpr("*", "1704067200000 + 40000 * event_id AS ts_ms", "1.0D AS produced_ts")
+    plan = trip_chain_chunked(df, DEFAULT.with_(scan_chunk_rows=3))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
+def test_the_meeting_points_need_no_rows(spark, monkeypatch):
+    from gpsweave.operators import speed_chunks
+    plans, written = {}, speed_chunks._written
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, name)
+    monkeypatch.setattr(speed_chunks, "_written", spy)
+    rows = [("1", i, i, 39.9 + 0.01 * (i % 5), 116.39, i % 7 == 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "taxi_id string, event_id long, arrival_key long, latitude double, longitude double, end_flag boolean")
+    df = df.selectExpr("*", "1704067200000 + 40000 * event_id AS ts_ms", "1.0D AS produced_ts")
+    assert speed_chain_chunked(df, DEFAULT.with_(scan_chunk_rows=3), 2).count() > 0
+    assert plans["speed-info"].count("Join ") == 2
