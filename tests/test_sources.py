@@ -162,3 +162,19 @@ def test_message_sink_file_fallback_roundtrip(spark):
     b = parse_pings(msgs).select("taxi_id", "ts_ms", "latitude", "longitude", "end_flag")
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_many_folders_are_listed_by_a_few_hundred_tasks(spark):
+    d = tempfile.mkdtemp(prefix="gw-many-")
+    for i in range(400):
+        os.mkdir(f"{d}/vehicle={i}")
+        with open(f"{d}/vehicle={i}/part.csv", "w") as f:
+            f.write(f"{i},2008-02-02 15:36:08,116.5,39.9\n")
+    sc = spark.sparkContext
+    sc.setJobGroup("many-folders", "listing")
+    df = S.raw_csv_scan(spark, d, glob="*.csv", recursive=True)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("many-folders") for s in status.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) <= 256
+    assert {r.taxi_id for r in df.collect()} == {str(i) for i in range(400)}
