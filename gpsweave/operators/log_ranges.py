@@ -2,7 +2,7 @@
 messages touches only the last ranges.
 
 ``append_log`` adds the messages of a micro-batch (or of a whole table) under
-``arrival_range=<r>/batch_id=<b>`` and one row per range with its number of
+``batch_id=<b>/arrival_range=<r>`` and one row per range with its number of
 messages to a manifest. Writing again under the same batch id replaces what that
 batch wrote, so a replayed micro-batch changes nothing. Messages that arrive in
 a later batch lie in the range of their own arrival.
@@ -28,8 +28,18 @@ def append_log(events: DataFrame, batch_id: int, path: str, width: int) -> None:
     rows = events.withColumns({"arrival_range": idiv(F.col("arrival_key"), width), "batch_id": F.lit(batch_id).cast("long")})
     counts = rows.groupBy("arrival_range", "batch_id").agg(F.count(F.lit(1)).alias("messages"))
     # messages first: a reader that meets them without their manifest rows reads a range too many
-    for table, by, name in ((rows.hint("rebalance", "arrival_range"), ["arrival_range", "batch_id"], "messages"), (counts, ["batch_id"], "manifest")):
-        (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{path}/{name}"))
+    _write_messages(rows.drop("batch_id"), f"{path}/messages/batch_id={batch_id}")
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/manifest"))
+
+
+def _write_messages(rows: DataFrame, folder: str) -> None:
+    """A folder per range. Only a batch that is written again replaces them one
+    by one, which the driver does: a new one is committed a task at a time."""
+    spark = rows.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    again = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    (rows.hint("rebalance", "arrival_range").write.mode("overwrite").partitionBy("arrival_range")
+     .option("partitionOverwriteMode", "dynamic" if again else "static").parquet(folder))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The event log by arrival range: newest messages against a plain sort, what is read, replays."""
 
+import os
 import tempfile
 
 import pytest
@@ -86,3 +87,13 @@ def test_the_live_sinks_keep_the_log_by_ranges(spark):
     start_fresh(spark, root)
     with pytest.raises(Exception):
         read_log(spark, f"{root}/log").count()
+
+
+def test_a_batch_is_one_folder_of_ranges(spark):
+    path = tempfile.mkdtemp(prefix="gw-log-") + "/log"
+    events = _events(spark, 300)
+    append_log(events, 4, path, 100)
+    assert len(os.listdir(f"{path}/messages/batch_id=4")) > 3
+    append_log(events.filter("event_id < 150"), 5, path, 100)
+    append_log(events, 4, path, 100)   # a replay
+    assert read_log(spark, path).count() == events.count() + events.filter("event_id < 150").count()
