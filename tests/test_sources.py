@@ -178,3 +178,25 @@ def test_many_folders_are_listed_by_a_few_hundred_tasks(spark):
     tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("many-folders") for s in status.getJobInfo(j).stageIds]
     assert tasks and max(tasks) <= 256
     assert {r.taxi_id for r in df.collect()} == {str(i) for i in range(400)}
+
+
+def test_file_listing_of_folders_has_names_and_sizes(spark):
+    d = tempfile.mkdtemp(prefix="gw-list-")
+    os.makedirs(f"{d}/vehicle=1/old.txt")               # a folder of that name is no file
+    for name, text in (("a b.txt", "1\n"), ("none.txt", ""), ("x.md", "2"), (",file.txt", "345"), ("_hidden%20.txt", "67")):
+        with open(f"{d}/vehicle=1/{name}", "w") as f:
+            f.write(text)
+    rows = sorted(tuple(r) for r in S.file_listing(spark, f"{d}/*").collect())
+    assert [(n, k, at.endswith(f"vehicle=1/{n}")) for n, k, at in rows] == [(",file.txt", 3, True), ("_hidden%20.txt", 2, True),
+                                                                            ("a b.txt", 2, True), ("none.txt", 0, True)]
+
+
+def test_listing_many_files_needs_few_calls(spark, monkeypatch):
+    d = tempfile.mkdtemp(prefix="gw-calls-")
+    for i in range(300):
+        with open(f"{d}/{i}.txt", "w") as f:
+            f.write("1\n")
+    client, calls = type(spark.sparkContext._gateway._gateway_client), []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda self, *a, **k: calls.append(1) or send(self, *a, **k))
+    assert S.file_listing(spark, d).count() == 300 and len(calls) < 300
