@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from . import textkit as tk
 from .common import bucket_of, written
@@ -155,16 +155,12 @@ def _score(model, threshold, x):
     return 1 / (1 + np.exp(-np.clip(s, -50, 50)))
 
 
-def _scored_rows(model, threshold, names):
-    def run(batches):
+def _text_scores(model, threshold):
+    def run(texts):
         hasher = tk.Hasher(tk.white_space_words())
-        for batch in batches:
-            data, offs = tk.utf8(batch.column(batch.schema.get_field_index("text")))
-            for r0, d, o in tk.blocks(data, offs):
-                score = _score(model, threshold, _features(d, o, hasher))
-                part = batch.slice(r0, len(score))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
-                                                 [*batch.schema.names, *names])
+        for text in texts:
+            scores = [_score(model, threshold, _features(d, o, hasher)) for _, d, o in tk.blocks(*tk.utf8(text))]
+            yield pa.array(np.concatenate([np.zeros(0), *scores]))
     return run
 
 
@@ -255,8 +251,9 @@ def quality_texts(docs: DataFrame, training: DataFrame, labels: DataFrame, thres
     """The rows and columns of ``docs`` with the score and the decision in two
     more columns, ``names``; learns from all labelled texts of ``training``."""
     model = quality_model(document_features(training), labels)
-    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
-    return docs.mapInArrow(tk.gives_back(_scored_rows(model, threshold, names)), schema)
+    # only the texts go to Python and only the scores come back; each is computed once
+    score = F.arrow_udf(tk.gives_back(_text_scores(model, threshold)), "double", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    return docs.withColumn(names[0], score("text")).withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -4,12 +4,14 @@ queries and SQL of the subpackage."""
 import re
 
 import corpus_pipeline as cp
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
 from cases import documents, low
 from conftest import SF001, SF01
 from gpsweave.llm import oracle
+from gpsweave.llm.quality import quality_texts
 from gpsweave.llm.queries import queries
 from oracle_harness import compare
 from test_dedup import brute_components
@@ -77,3 +79,18 @@ def test_stages_take_awkward_rows(spark):
     assert kept.columns == documents(spark).columns
     empty = documents(spark).limit(0)
     assert all(cp.written(stage(spark, empty, SF001), name).count() == 0 for name, stage in cp.STAGES)
+
+
+def test_texts_go_to_python_in_small_batches_and_stay_there(spark):
+    docs = spark.range(3000, numPartitions=1).selectExpr("id doc_id", "repeat('some words ', 1000) text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+    seen = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(seen) == 3000 and max(seen) * 11_000 < 16 << 20
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    scored = quality_texts(docs, docs, labels)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    assert scored.filter("predicted = cast(score >= 0.3 as int)").count() == 3000
