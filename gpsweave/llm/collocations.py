@@ -8,15 +8,17 @@ phrase is a pair of intervals, one in each transform; one word more on the right
 a shard at once: the symbols in an interval are its extensions and their counts.
 
 Shards are walked level by level. After a level the counts are summed across
-shards; a phrase can only be frequent if all its parts are, so the next level
-extends what is left. The keys of frequent parts travel as a bitmap of bounded
-size: it may let a phrase through that isn't frequent, never hold one back, and
-the last walk counts phrases by their words.
+shards, by 64-bit keys; a phrase can only be frequent if all its parts are, so the
+next level extends what is left. The keys of frequent parts travel as a bitmap of
+bounded size: it may let a phrase through that isn't frequent, never hold one back.
+Of the shards that hold a frequent phrase one owns it: in the last walk only that
+one writes out its words, so a phrase is one row however many shards hold it.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -39,7 +41,6 @@ SHARD_WORDS = 1 << 20
 MAX_BITS = 1 << 29           # of a bitmap: 64 MB
 BITS_PER_KEY = 16
 PROBES = (0, 10, 19)         # windows of a key's low 48 bits that give its bits
-KEY_BITS = np.uint64((1 << 48) - 1)   # of a key, where phrases are counted only to sieve them
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 INDEX = ("shard long, langs array<string>, lang binary, ids binary, counts binary, words binary, lengths binary, "
@@ -69,6 +70,15 @@ def transform(t: np.ndarray, depth: int = MAX_WORDS) -> np.ndarray:
     return t[order - 1]
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """First bytes of all numbers, then second ones ...: they pack better."""
+    return np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The given spans of data, one after another."""
     at = np.concatenate([[0], np.cumsum(sizes)])
@@ -101,7 +111,7 @@ class _Shard:
         t = np.zeros(len(ids) + int(fresh.sum()), np.int32)      # 0 in front of each piece
         t[np.arange(len(ids)) + np.cumsum(fresh)] = local + 1
         blobs = (lang[one].astype(np.int32), own, counts, _gather(data, starts[one], sizes), sizes.astype(np.int32),
-                 transform(t), transform(t[::-1]))
+                 _planes(transform(t)), _planes(transform(t[::-1])))
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([names], pa.list_(pa.string())), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)],
             ["shard", "langs", "lang", "ids", "counts", "words", "lengths", "forward", "backward"])
@@ -245,7 +255,7 @@ def walk(r: dict, filters: list[np.ndarray]):
         return
     usable = np.zeros(n, bool)
     usable[word] = True
-    forward, backward = (_Side(np.frombuffer(r[c], np.int32)) for c in ("forward", "backward"))
+    forward, backward = (_Side(_numbers(r[c])) for c in ("forward", "backward"))
     lo = (len(forward.symbols) - int(counts.sum()) + np.cumsum(counts) - counts)[word - 1]     # behind the separators
     phrases, size, at = word[:, None], counts[word - 1], [lo, lo]     # intervals in forward, backward
     codes = []                                          # of the phrases one word shorter
@@ -291,6 +301,11 @@ def _codes(phrases, n):
     return out
 
 
+def _tag(shard: int) -> np.uint64:
+    """A shard's mark, as random as the keys."""
+    return tk.mix(np.array([shard + 1], np.uint64))[0]
+
+
 def _keys(sent):
     def run(batches):
         filters = [s.value for s in sent]
@@ -298,25 +313,27 @@ def _keys(sent):
             for r in batch.to_pylist():
                 for _, keys, size in walk(r, filters):
                     pass
-                if len(filters):
-                    keys &= KEY_BITS
                 by = np.argsort(keys)      # neighbours share their high bytes, which the shuffle's compression takes out
-                yield pa.RecordBatch.from_arrays([pa.array(keys[by].view(np.int64)), pa.array(size[by], pa.int64())], ["id", "f"])
+                tag = np.full(len(by), _tag(r["shard"]))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[by].view(np.int64)), pa.array(size[by], pa.int64()), pa.array(tag.view(np.int64))],
+                                                 ["id", "f", "tag"])
     return run
 
 
-def _phrases(sent):
+def _phrases(sent, owned):
+    """The words of the phrases that a shard owns."""
     def run(batches):
-        filters = [s.value for s in sent]
+        filters, own = [s.value for s in sent], owned.value
         for batch in batches:
             for r in batch.to_pylist():
                 words, langs, _ = _words_of(r)
-                for phrases, _, size in islice(walk(r, filters), 1, len(filters)):
+                for phrases, keys, _ in islice(walk(r, filters), 1, len(filters)):
+                    keep = _has(own, keys ^ _tag(r["shard"]))
+                    phrases, keys = phrases[keep] - 1, keys[keep].view(np.int64)
                     for i in range(0, len(phrases), 1 << 16):
-                        p = phrases[i:i + (1 << 16)] - 1
+                        p = phrases[i:i + (1 << 16)]
                         text = pc.binary_join_element_wise(*(words.take(pa.array(p[:, j])) for j in range(p.shape[1])), " ")
-                        yield pa.RecordBatch.from_arrays([langs.take(pa.array(p[:, 0])), text, pa.array(size[i:i + (1 << 16)], pa.int64())],
-                                                         ["lang", "phrase", "f"])
+                        yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + (1 << 16)]), langs.take(pa.array(p[:, 0])), text], ["id", "lang", "phrase"])
     return run
 
 
@@ -359,24 +376,27 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
 
     A task holds one shard at a time; a shard ends with a piece, so only a piece
     longer than a shard makes a larger one. Ties in score and count go by phrase.
-    Words are told apart by 64-bit hashes, phrases by their words; keys of phrases
-    only sieve.
+    Words and phrases are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     index = _written_index(texts.mapInArrow(tk.gives_back(_indexes(shard_words)), INDEX))
-    sent = []
+    sent, levels = [], []
 
     with rows_per_batch(spark, 1):     # an index is one row of several MB
         for _ in range(MAX_WORDS):
-            keys = index.drop("shard", "words", "lengths").mapInArrow(tk.gives_back(_keys(list(sent))), "id long, f long")
-            keys = written(keys.groupBy("id").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "keys")
-            words = keys if not sent else words
+            keys = index.drop("words", "lengths").mapInArrow(tk.gives_back(_keys(list(sent))), "id long, f long, tag long")
+            keys = written(keys.groupBy("id").agg(F.sum("f").alias("f"), F.min("tag").alias("owner")).filter(F.col("f") >= min_count), "keys")
+            levels.append(keys)
             sent.append(spark.sparkContext.broadcast(_bitmap(keys.select("id"))))
+        words, frequent = levels[0], reduce(DataFrame.unionByName, levels[1:])
+        owned = spark.sparkContext.broadcast(_bitmap(frequent.select(F.col("id").bitwiseXOR(F.col("owner")).alias("id"))))
         total = written(index.select("langs", "lang", "counts").mapInArrow(_totals, "lang string, n long")
                         .groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-        found = index.drop("shard").mapInArrow(tk.gives_back(_phrases(list(sent))), "lang string, phrase string, f long")
-        found = written(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count), "phrases")
+        texts = index.mapInArrow(tk.gives_back(_phrases(list(sent), owned)), "id long, lang string, phrase string")
+        # the bitmaps may let a phrase through in another shard, or one that isn't frequent
+        texts = texts.groupBy("id").agg(F.min(F.struct("lang", "phrase")).alias("of"))
+        found = written(texts.join(frequent, "id").select("of.lang", "of.phrase", "f"), "phrases")
     # counts of the words of phrases, by the words' ids
     used = written(found.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct(), "used")
     used = used.mapInArrow(_with_ids, "lang string, phrase string, id long").join(words, "id").select("lang", "phrase", "f")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cases import CLASHING, ROWS, key, low
-from gpsweave.llm.collocations import collocations, transform
+from gpsweave.llm.collocations import _numbers, _planes, collocations, transform
 
 
 def brute(rows, top, least):
@@ -88,3 +88,26 @@ def test_transform_sorts_rotations():
     t = rng.integers(0, 4, 300).astype(np.int32)
     rotations = sorted(range(300), key=lambda i: (tuple(np.roll(t, -i)[:4]), i))
     assert transform(t).tolist() == [t[i - 1] for i in rotations]
+
+
+def test_a_phrase_is_written_by_one_of_its_shards(spark, monkeypatch):
+    rows = [("en", "a b c d e f g")] * 400 + [("de", f"a b c d x{i}") for i in range(400)]
+    df = frame(spark, rows)
+    made, whole = [], type(df).mapInArrow
+
+    def spied(self, run, schema, **kw):
+        out = whole(self, run, schema, **kw)
+        if "phrase" in out.columns:
+            made.append(out)
+        return out
+
+    monkeypatch.setattr(type(df), "mapInArrow", spied)
+    assert got(df, shard_words=50) == brute(rows, 2000, 30)
+    texts = made[0].select("lang", "phrase")
+    # 15 phrases of one language and 6 of the other, in shards of 50 words; the bitmap may let a few through twice
+    assert texts.distinct().count() == 21 and texts.count() <= 30
+
+
+def test_symbols_come_back_from_planes():
+    x = np.array([0, 1, 255, 256, 70_000, 2**31 - 1], np.int32)
+    assert _numbers(_planes(x).tobytes()).tolist() == x.tolist() and not len(_numbers(b""))
