@@ -14,6 +14,8 @@ start come to the driver, whose sizes are parameters.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +28,7 @@ from .partenum import BITS, _bitmap
 N_SHAPES = 16
 DISCOUNT = 0.5
 FLUSH = 1 << 21
+SLICES = 4  # texts are scored in so many parts, one after the other: the joins of one part at a time take disk
 
 
 def _shape(data, starts, ends):
@@ -427,8 +430,8 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
             waits = (waits.withColumn("key", F.when(closed, F.xxhash64("a", "b")).otherwise(F.col(unit))).join(met, "key", "left")
                      .withColumn(unit, F.when(closed | F.col("met"), F.col(unit)).otherwise(F.col(shape) + F.lit(len(word)).cast("long")))
                      .drop("key", "met"))
-        pairs = _freed(written(pairs.filter("sa < 0 and sb < 0").select("a", "b", "n")  # a pair may have several rows
-                               .unionByName(waits.groupBy("a", "b").agg(F.sum("n").alias("n"))), "units"))
+        waits = _freed(written(waits.groupBy("a", "b").agg(F.sum("n").alias("n")), "units"))
+        pairs = pairs.filter("sa < 0 and sb < 0").select("a", "b", "n").unionByName(waits)  # a pair may have several rows
 
     # the start: frequent words and shapes, each other word pooled with its shape
     u = len(frequent) + N_SHAPES + 1
@@ -457,35 +460,39 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
     model |= {"cls": cls, "step": step, "emit": emit, "tail": np.log10(np.maximum(c - DISCOUNT, DISCOUNT)),
               "base": np.log10(c + 1.0), "end_base": float(np.log10(n_docs + 1)), "end_known": int(n_docs > 0)}
     sent = spark.sparkContext.broadcast(model)
-    rows = (docs.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
-            .mapInArrow(tk.gives_back(_score(sent)), SCORE_SCHEMA))
     at = lambda values, i: F.element_at(F.lit(np.asarray(values).ravel().tolist()), i.cast("int") + 1)
     shape_cls = lambda x: at(cls[len(word):edge], F.col(x))
     tail = tail.select("h", "c")
-    if far is None:
-        scored = rows.join(tail, "h", "left").withColumn("own", F.lit(None).cast("long"))
-        moved = F.lit(0.0)
-    else:
-        tail = written(tail.join(far.select(F.col("h").alias("met"), F.col("cls").alias("own")), F.col("h") == F.col("met"), "left").drop("met"), "tail")
-        # rows without an open word before them meet nothing; a key of their own spreads them
-        free = ~F.col("late") | (F.col("since") >= 0)
-        scored = (rows.join(tail, "h", "left")
-                  .withColumn("prev", F.when(free, F.xxhash64("doc_id", "text_hash", "h")).otherwise(F.col("prev")))
-                  .join(far.select(F.col("h").alias("prev"), F.col("cls").alias("before")), "prev", "left"))
-        come = F.when(F.col("since") >= 0, F.col("since").cast("long")).otherwise(F.coalesce("before", shape_cls("prev_shape")))
-        go = F.when(F.col("to") >= 0, F.col("to").cast("long")).otherwise(F.coalesce("own", shape_cls("shape")))
-        moved = F.when(F.col("late"), at(step, come * n_classes + go)).otherwise(0.0)
-    word_score = (F.when(F.col("own").isNotNull(), F.log10("c") - at(n_class, F.col("own")))
-                  .otherwise(at(shape_emit, F.col("shape")) + F.coalesce(F.log10(F.col("c") - DISCOUNT), at(unseen, F.col("shape")))))
-    scored = (scored.groupBy("doc_id", "text_hash")
-              .agg(F.sum("copies").alias("copies"), F.sum("n_tokens").alias("n_tokens"),
-                   F.sum(F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("n_known"),
-                   F.sum(F.col("base") + F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("base"),
-                   F.sum(F.col("score") + moved + F.when(F.col("tf") > 0, F.col("tf") * word_score).otherwise(0.0)).alias("score")))
+    if far is not None:
+        tail = _freed(written(tail.join(far.select(F.col("h").alias("met"), F.col("cls").alias("own")), F.col("h") == F.col("met"), "left").drop("met"), "tail"))
     each = lambda x: F.col(x) / F.col("copies")  # noqa: E731  repeated rows of one text
-    return (scored.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select("doc_id", (bucket_of("doc_id", modulus) == held).alias("held_out"),
-                    each("n_tokens").cast("long").alias("n_tokens"), each("n_known").cast("long").alias("n_known"),
-                    F.lit(int(n_tokens)).cast("long").alias("train_tokens"),
-                    (each("base") - each("n_tokens") * float(np.log10(n_tokens + v + 1))).alias("base_score"),
-                    each("score").alias("score")))
+
+    def scored(texts):
+        rows = texts.mapInArrow(tk.gives_back(_score(sent)), SCORE_SCHEMA).join(tail, "h", "left")
+        if far is None:
+            rows, moved = rows.withColumn("own", F.lit(None).cast("long")), F.lit(0.0)
+        else:
+            # rows without an open word before them meet nothing; a key of their own spreads them
+            free = ~F.col("late") | (F.col("since") >= 0)
+            rows = (rows.withColumn("prev", F.when(free, F.xxhash64("doc_id", "text_hash", "h")).otherwise(F.col("prev")))
+                    .join(far.select(F.col("h").alias("prev"), F.col("cls").alias("before")), "prev", "left"))
+            come = F.when(F.col("since") >= 0, F.col("since").cast("long")).otherwise(F.coalesce("before", shape_cls("prev_shape")))
+            go = F.when(F.col("to") >= 0, F.col("to").cast("long")).otherwise(F.coalesce("own", shape_cls("shape")))
+            moved = F.when(F.col("late"), at(step, come * n_classes + go)).otherwise(0.0)
+        word_score = (F.when(F.col("own").isNotNull(), F.log10("c") - at(n_class, F.col("own")))
+                      .otherwise(at(shape_emit, F.col("shape")) + F.coalesce(F.log10(F.col("c") - DISCOUNT), at(unseen, F.col("shape")))))
+        return (rows.groupBy("doc_id", "text_hash")
+                .agg(F.sum("copies").alias("copies"), F.sum("n_tokens").alias("n_tokens"),
+                     F.sum(F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("n_known"),
+                     F.sum(F.col("base") + F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("base"),
+                     F.sum(F.col("score") + moved + F.when(F.col("tf") > 0, F.col("tf") * word_score).otherwise(0.0)).alias("score"))
+                .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+                .select("doc_id", (bucket_of("doc_id", modulus) == held).alias("held_out"),
+                        each("n_tokens").cast("long").alias("n_tokens"), each("n_known").cast("long").alias("n_known"),
+                        F.lit(int(n_tokens)).cast("long").alias("train_tokens"),
+                        (each("base") - each("n_tokens") * float(np.log10(n_tokens + v + 1))).alias("base_score"),
+                        each("score").alias("score")))
+
+    texts = docs.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
+    parts = (texts.filter(F.pmod("text_hash", F.lit(SLICES)) == i) for i in range(SLICES))
+    return reduce(DataFrame.unionByName, [_freed(written(scored(part), "scores")) for part in parts])

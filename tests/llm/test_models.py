@@ -224,3 +224,17 @@ def test_quality_fit_uses_every_pair():
     assert len(d) == 120_000 and (d[:, 1] == -1).sum() == 80
     d = quality._pairs(np.concatenate([x, x]), np.tile([1, 0], 30_000), 8, 7)
     assert len(d) == 240_000
+
+
+def test_language_model_scores_each_text_once_in_any_number_of_parts(spark, monkeypatch):
+    import gpsweave.llm.brown_lm as lm
+    docs = documents(spark, planted_texts() + ROWS, clash=False)
+    made, write = [], lm.written
+    monkeypatch.setattr(lm, "written", lambda df, name: made.append(name) or write(df, name))
+    got = {}
+    for slices in (1, 4):
+        monkeypatch.setattr(lm, "SLICES", slices)
+        got[slices] = sorted(map(tuple, brown_scores(docs, n_words=20, n_classes=8, head=100).collect()), key=key)
+    assert [x[:5] for x in got[1]] == [x[:5] for x in got[4]] and len(got[4]) == len(planted_texts() + ROWS)
+    assert all(abs(a[i] - b[i]) < 1e-6 for a, b in zip(got[1], got[4]) for i in (5, 6))
+    assert made.count("scores") == 5
