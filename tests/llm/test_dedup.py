@@ -133,3 +133,33 @@ def test_empty_tables(spark):
     assert exact_dedup(empty).count() == 0
     assert jaccard_components(empty).count() == 0
     assert remove_repeats(empty).count() == 0
+
+
+def word_run_rows():
+    rng = random.Random(5)
+    voc = [f"{c}{i}" for c in "abcde" for i in range(60)]
+    some = lambda n: " ".join(rng.choice(voc) for _ in range(n))
+    runs = [some(n) for n in (50, 51, 52, 60, 75, 130)]                         # 50 is too short; all have fewer than 400 bytes but the last
+    rows = [(i, f"{some(rng.randint(0, 60))} {runs[i % 6]}\n{some(rng.randint(0, 60))} {rng.choice(runs)} ") for i in range(40)]
+    cut = runs[4].split()
+    rows += [(100, some(300)), (101, " ".join(cut[:60])), (102, "x " + " ".join(cut[20:])), (103, runs[3].upper()), (104, " ".join(runs[1].split()[1:]))]
+    inside, own = some(70), some(70)
+    rows += [(109, f"{own} {some(7)} {own} {own}")]                            # repeats itself only
+    rows += [(110, f"{inside} {some(9)} {inside}"), (111, some(80)), (112, None), (113, ""), (114, some(50)), (115, "w " * 51), (116, "w " * 90)]
+    twice = f"{some(30)} {cut[0]}"
+    return rows + [(120, f"{inside[:-3]} z {twice}"), (None, rows[42][1]), (121, rows[46][1]), (121, rows[46][1]), (122, runs[5] + " " + runs[5])]
+
+
+def test_words_in_passages_that_other_rows_have(spark):
+    rows, size = word_run_rows(), 51
+    texts = [(d, (t or "").split()) for d, t in rows]
+    holders = defaultdict(set)
+    for i, (_, w) in enumerate(texts):
+        for s in range(len(w) - size + 1):
+            holders[tuple(w[s:s + size])].add(i)
+    want = [(d, len({s + j for s in range(len(w) - size + 1) if len(holders[tuple(w[s:s + size])]) > 1 for j in range(size)})) for d, w in texts]
+    assert sum(n > 0 for _, n in want) > 20 and sum(n == 0 for _, n in want) > 7
+    for batches in (1, 4):
+        got = remove_repeats(documents(spark, rows), batches, words=size)
+        assert sorted(((r.doc_id, r.n_shared_words) for r in got.collect()), key=key) == sorted(want, key=key)
+        assert sorted((tuple(r)[:5] for r in got.collect()), key=key) == brute_repeats(rows)
