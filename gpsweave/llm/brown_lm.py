@@ -203,12 +203,16 @@ def exchange_gains(m, cls, right, left, own):
     for counts, other, table in ((right, left, m.T), (left, right, m)):
         i, d = np.nonzero(counts)
         x, a = counts[i, d], cls[i]
-        base = table[d].copy()                 # entry with class d of each class the unit may enter
-        base[np.arange(len(i)), a] -= x        # without the unit
+        base, before = table[d], f(table)[d]   # entry with class d of each class the unit may enter
+        each = np.arange(len(i))
+        base[each, a] -= x                     # without the unit
+        before[each, a] = f(base[each, a])
         same = np.flatnonzero(d == a)
         base[same] -= other[i[same]]
         base[same, a[same]] -= own[i[same]]
-        np.add.at(gain, i, f(base + x[:, None]) - f(base))
+        before[same] = f(base[same])
+        new = np.flatnonzero(np.diff(i, prepend=-1))
+        gain[i[new]] += np.add.reduceat(f(base + x[:, None]) - before, new) if len(new) else 0.0
     diag = np.broadcast_to(np.diag(m), gain.shape).copy()
     diag[at, cls] -= right[at, cls] + left[at, cls] + own
     gain += f(diag + right + left + own[:, None]) + f(diag) - f(diag + right) - f(diag + left)
@@ -332,7 +336,7 @@ def _score(model):
             score = of_row(step) + summed(np.where(known, m["emit"][np.where(known, unit, edge)] + np.where(unit < len(m["word"]), 0.0, m["tail"][at]), 0.0))
             base = summed(np.where(known, m["base"][at], 0.0)) + m["end_base"]
             row = np.repeat(np.arange(rows), np.diff(first))
-            rest = ~known
+            rest = ~known & ~open_
             key = np.stack([row[rest], h[rest]])
             by = np.lexsort((key[1], key[0]))
             key, kind = key[:, by], shape[rest][by]
@@ -340,24 +344,26 @@ def _score(model):
             tf = np.diff(np.append(new, key.shape[1]))
             key, kind = key[:, new], kind[new]
             part = batch.slice(r0, rows)
-            i = np.flatnonzero(late)
-            s = _sequence(shape.astype(np.int64), first, 0)
-            pick = pa.array(np.concatenate([np.arange(rows), key[0], np.repeat(np.arange(rows), np.diff(first) + 1)[i]]))
+            s, row_of = _sequence(shape.astype(np.int64), first, 0), np.repeat(np.arange(rows), np.diff(first) + 1)
+            o = np.flatnonzero(waits)                # a word whose class comes by a join, in each of its places
+            i = np.flatnonzero(waits[:-1] & waits[1:])
+            pick = pa.array(np.concatenate([np.arange(rows), key[0], row_of[o - 1], row_of[i]]))
             text_hash = part.column(1).to_numpy(zero_copy_only=False)
-            k, n = key.shape[1], len(i)
-            # three kinds of rows: a text, one of its words beyond the head, one of its late transitions (prev, h)
-            three = lambda x, y, z, t: pa.array(np.concatenate([x, np.broadcast_to(y, k), np.broadcast_to(z, n)]).astype(t))
+            sizes = [rows, key.shape[1], len(o), len(i)]
+            # four kinds of rows: a text, one of its closed words beyond the head, an open word between
+            # two classes (-1: open too), two open words in a row
+            four = lambda *x: lambda t: pa.array(np.concatenate([np.broadcast_to(v, n) for v, n in zip(x, sizes)]).astype(t))
             yield pa.RecordBatch.from_arrays([
                 part.column(0).take(pick), part.column(1).take(pick),
-                three(text_hash, key[1], seq[1:][i], np.int64), three(np.zeros(rows), kind, s[1:][i], np.int8),
-                three(text_hash, text_hash[key[0]], seq[:-1][i], np.int64), three(np.zeros(rows), 0, s[:-1][i], np.int8),
-                three(np.full(rows, -1), -1, np.where(waits[1:][i], -1, c[1:][i]), np.int8),
-                three(np.full(rows, -1), -1, np.where(waits[:-1][i], -1, c[:-1][i]), np.int8),
-                three(np.zeros(rows), 0, 1, bool),
-                three(np.zeros(rows), tf, 0, np.int64), three(np.ones(rows), 0, 0, np.int64),
-                three(np.diff(first) + 1, 0, 0, np.int64),
-                three(np.diff(np.concatenate([[0], np.cumsum(known)])[first]) + m["end_known"], 0, 0, np.int64),
-                three(base, 0.0, 0.0, float), three(score, 0.0, 0.0, float),
+                four(text_hash, key[1], seq[o], seq[1:][i])(np.int64), four(0, kind, s[o], s[1:][i])(np.int8),
+                four(text_hash, text_hash[key[0]], text_hash[row_of[o - 1]], seq[:-1][i])(np.int64), four(0, 0, 0, s[:-1][i])(np.int8),
+                four(-1, -1, np.where(waits[o + 1], -1, c[o + 1]), -1)(np.int8),
+                four(-1, -1, np.where(waits[o - 1], -1, c[o - 1]), -1)(np.int8),
+                four(0, 0, 0, 1)(bool),
+                four(0, tf, 1, 0)(np.int64), four(1, 0, 0, 0)(np.int64),
+                four(np.diff(first) + 1, 0, 0, 0)(np.int64),
+                four(np.diff(np.concatenate([[0], np.cumsum(known)])[first]) + m["end_known"], 0, 0, 0)(np.int64),
+                four(base, 0.0, 0.0, 0.0)(float), four(score, 0.0, 0.0, 0.0)(float),
             ], SCORE_NAMES)
     return run
 
@@ -472,13 +478,13 @@ def brown_scores(docs: DataFrame, modulus: int = 7, held: int = 2, n_words: int
         if far is None:
             rows, moved = rows.withColumn("own", F.lit(None).cast("long")), F.lit(0.0)
         else:
-            # rows without an open word before them meet nothing; a key of their own spreads them
-            free = ~F.col("late") | (F.col("since") >= 0)
-            rows = (rows.withColumn("prev", F.when(free, F.xxhash64("doc_id", "text_hash", "h")).otherwise(F.col("prev")))
+            # rows that aren't two open words meet nothing more; a key of their own spreads them
+            rows = (rows.withColumn("prev", F.when(~F.col("late"), F.xxhash64("doc_id", "text_hash", "h")).otherwise(F.col("prev")))
                     .join(far.select(F.col("h").alias("prev"), F.col("cls").alias("before")), "prev", "left"))
-            come = F.when(F.col("since") >= 0, F.col("since").cast("long")).otherwise(F.coalesce("before", shape_cls("prev_shape")))
-            go = F.when(F.col("to") >= 0, F.col("to").cast("long")).otherwise(F.coalesce("own", shape_cls("shape")))
-            moved = F.when(F.col("late"), at(step, come * n_classes + go)).otherwise(0.0)
+            entered = F.coalesce("own", shape_cls("shape"))
+            moved = (F.when(F.col("late"), at(step, F.coalesce("before", shape_cls("prev_shape")) * n_classes + entered)).otherwise(0.0)
+                     + F.when(F.col("since") >= 0, at(step, F.col("since") * n_classes + entered)).otherwise(0.0)
+                     + F.when(F.col("to") >= 0, at(step, entered * n_classes + F.col("to"))).otherwise(0.0))
         word_score = (F.when(F.col("own").isNotNull(), F.log10("c") - at(n_class, F.col("own")))
                       .otherwise(at(shape_emit, F.col("shape")) + F.coalesce(F.log10(F.col("c") - DISCOUNT), at(unseen, F.col("shape")))))
         return (rows.groupBy("doc_id", "text_hash")

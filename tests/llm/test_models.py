@@ -238,3 +238,31 @@ def test_language_model_scores_each_text_once_in_any_number_of_parts(spark, monk
     assert [x[:5] for x in got[1]] == [x[:5] for x in got[4]] and len(got[4]) == len(planted_texts() + ROWS)
     assert all(abs(a[i] - b[i]) < 1e-6 for a, b in zip(got[1], got[4]) for i in (5, 6))
     assert made.count("scores") == 5
+
+
+def test_an_open_word_is_one_row_with_the_classes_beside_it():
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    import gpsweave.llm.brown_lm as lm
+    names = ["alpha", "beta", "farone", "fartwo", "unseen"]
+    text = "alpha farone beta farone fartwo alpha unseen"
+    h = next(lm._parsed([pa.RecordBatch.from_pydict({"text": [" ".join(names)]})]))[2]
+    word, far = np.sort(h[:2]), np.zeros(lm.BITS // 8, np.uint8)
+    for x in h[2:4] % lm.BITS:
+        far[x >> 3] |= 1 << (x & 7)
+    k = 3
+    cls = np.concatenate([[0, 1], np.zeros(lm.N_SHAPES, int), [2]])
+    model = {"word": word, "clustered": np.ones(2, bool), "far": far, "cls": cls, "step": np.arange(9.0).reshape(k, k), "emit": np.zeros(len(cls)),
+             "tail": np.zeros(2), "base": np.zeros(2), "end_base": 0.0, "end_known": 1}
+    rows = [(1, 11, text), (2, 22, ""), (3, 33, "fartwo")]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["doc_id", "text_hash", "text"])
+    got = pa.Table.from_batches(lm._score(SimpleNamespace(value=model))([batch])).to_pylist()
+    of = {n: int(np.searchsorted(word, x)) for n, x in zip(names[:2], h)}
+    places = sorted((r["doc_id"], r["h"], r["since"], r["to"], r["tf"]) for r in got if r["copies"] == 0 and not r["late"])
+    far1, far2, unseen = (int(x) for x in h[2:])
+    assert places == sorted([(1, far1, of["alpha"], of["beta"], 1), (1, far1, of["beta"], -1, 1), (1, far2, -1, of["alpha"], 1), (1, unseen, -1, -1, 1), (3, far2, 2, 2, 1)])
+    assert [(r["doc_id"], r["prev"], r["h"], r["tf"]) for r in got if r["late"]] == [(1, far1, far2, 0)]
+    step = model["step"]
+    known = step[2, of["alpha"]] + step[of["alpha"], 0] + step[0, 2]      # edge to alpha, alpha to the shape of unseen, that to the edge
+    assert [(r["doc_id"], r["n_tokens"], r["score"]) for r in got if r["copies"]] == [(1, 8, known), (2, 1, step[2, 2]), (3, 2, 0.0)]
