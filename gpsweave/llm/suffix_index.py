@@ -248,17 +248,21 @@ def _window_rows(words):
                 start, stop, _, n = (x[kind == 2] for x in wanted)
                 if len(start):
                     b.load_words(hasher.words(data, offs)[0])
-                    s = [np.arange(x, z - words + 1) for x, z in zip(start.tolist(), stop.tolist())]
-                    none = np.zeros(len(s), np.int64)
-                    yield _window_batch(2, h, start, [len(x) for x in s], n == 1, none, none, [b.spans(x, x + words).view(np.int64) for x in s])
+                    size = stop - start - words + 1
+                    at = np.concatenate([[0], np.cumsum(size)])
+                    s = np.arange(at[-1]) + np.repeat(start - at[:-1], size)
+                    windows = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(b.spans(s, s + words).view(np.int64)))
+                    none = np.zeros(len(start), np.int64)
+                    yield _window_batch(2, h, start, size, n == 1, none, none, windows)
     return run
 
 
 def _window_batch(kind, h, start, size, alone, cover, core, windows):
     n = len(size)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(n, kind, np.int8)), pa.array(np.full(n, h, np.int64)), pa.array(start, pa.int64()), pa.array(size, pa.int32()),
-        pa.array(alone), pa.array(cover, pa.int64()), pa.array(core, pa.int64()), pa.array(windows, pa.list_(pa.int64()))],
+        pa.array(np.full(n, kind, np.int8)), pa.array(np.full(n, h, np.int64)), pa.array(start, pa.int64()), pa.array(size).cast(pa.int32()),
+        pa.array(alone), pa.array(cover, pa.int64()), pa.array(core, pa.int64()),
+        windows if isinstance(windows, pa.Array) else pa.array(windows, pa.list_(pa.int64()))],
         ["kind", "h", "start", "size", "alone", "cover", "core", "windows"])
 
 
