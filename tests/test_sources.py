@@ -200,3 +200,83 @@ def test_listing_many_files_needs_few_calls(spark, monkeypatch):
     send = client.send_command
     monkeypatch.setattr(client, "send_command", lambda self, *a, **k: calls.append(1) or send(self, *a, **k))
     assert S.file_listing(spark, d).count() == 300 and len(calls) < 300
+
+
+def _files(root, spoil=lambda text: sorted(text.split("\n"))):
+    """The lines of every vehicle's folder, and the names of its files."""
+    found = {d: os.listdir(f"{root}/{d}") for d in os.listdir(root) if d.startswith("vehicle=")}
+    return {d: spoil("".join(open(f"{root}/{d}/{f}").read() for f in names if f.startswith("part-"))) for d, names in found.items()}, found
+
+
+ODD_IDS = ["7", None, "", "a/b", "50%", "x y", 'q"{[]}', "a=b:c*?#^\\'", "tab\tid"]
+
+
+def test_raw_files_are_one_per_vehicle_and_as_sparks_writer_makes_them(spark):
+    rows = [(v, t, x, y) for v in ODD_IDS for t, x, y in (("2008-02-02 15:36:08", 116.5, 39.9), (None, None, None), (' "a", b ', 1e-9, -0.0),
+                                                         ("two\nlines", 1e20, 5.0), ("", float("nan"), 1.0))]
+    df = spark.createDataFrame(rows, S.RAW_SCHEMA)
+    root = tempfile.mkdtemp(prefix="gw-sink-")
+    S.raw_files_sink(df.filter("taxi_id = '7'"), f"file://{root}/new")
+    S.raw_files_sink(df, f"file://{root}/new")                                # takes the place of what was there
+    df.withColumn("vehicle", F.col("taxi_id")).coalesce(1).write.partitionBy("vehicle").csv(f"{root}/spark")
+    lines, names = _files(f"{root}/new")
+    assert lines == _files(f"{root}/spark")[0] and len(lines) == 8
+    assert all(len(n) == 1 and n[0].endswith(".csv") for n in names.values()), names      # no checksum files beside them
+    assert sorted(os.listdir(root)) == ["new", "spark"] and "_SUCCESS" in os.listdir(f"{root}/new")
+    assert S.raw_csv_scan(spark, f"{root}/new", glob="*.csv", recursive=True).count() == \
+        S.raw_csv_scan(spark, f"{root}/spark", glob="*.csv", recursive=True).count()
+
+
+def test_line_files_are_one_per_vehicle_and_as_sparks_writer_makes_them(spark):
+    df = spark.createDataFrame([(v, t) for v in ODD_IDS for t in ("1,2", None, "  ", "", "\u00e9")], "vehicle string, value string")
+    root = tempfile.mkdtemp(prefix="gw-sink-")
+    S.line_files_sink(df, f"{root}/new")
+    df.coalesce(1).write.partitionBy("vehicle").text(f"{root}/spark")
+    lines, names = _files(f"{root}/new")
+    assert lines == _files(f"{root}/spark")[0] and len(lines) == 8
+    assert all(len(n) == 1 and n[0].endswith(".txt") for n in names.values()), names
+    with pytest.raises(FileExistsError):
+        S.line_files_sink(df, f"{root}/new")
+    S.line_files_sink(df.filter("false"), f"{root}/none")
+    assert os.listdir(f"{root}/none") == ["_SUCCESS"]
+
+
+def test_a_vehicle_in_several_tasks_has_several_files(spark):
+    df = spark.range(0, 40000, 1, 8).select(F.lit("1").alias("vehicle"), F.concat(F.lit("line "), "id").alias("value"))
+    root, key = tempfile.mkdtemp(prefix="gw-hot-"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "16k")
+    try:
+        S.line_files_sink(df, f"{root}/new")
+    finally:
+        spark.conf.unset(key)
+    lines, names = _files(f"{root}/new", spoil=str.split)
+    assert len(names["vehicle=1"]) > 1 and len(lines["vehicle=1"]) == 80000 and len(set(lines["vehicle=1"])) == 40001
+
+
+def test_a_failed_task_leaves_the_old_files(spark):
+    root = tempfile.mkdtemp(prefix="gw-fail-")
+    good = spark.createDataFrame([("1", "2008-02-02 15:36:08", 116.5, 39.9)], S.RAW_SCHEMA)
+    S.raw_files_sink(good, f"{root}/new")
+    with pytest.raises(Exception, match="no such ping"):
+        S.raw_files_sink(good.withColumn("date_time", F.raise_error(F.lit("no such ping"))), f"{root}/new")
+    assert os.listdir(root) == ["new"] and S.raw_csv_scan(spark, f"{root}/new", glob="*.csv", recursive=True).count() == 1
+
+
+def test_arity_of_folders_is_read_without_a_column_for_each_folder_name(spark):
+    d = tempfile.mkdtemp(prefix="gw-arity-")
+    for v, text in (("vehicle=1", "1,a,2,3\n\n"), ("vehicle=2/old", "2,a,2,3,4\n")):     # two depths: no columns fit these names
+        os.makedirs(f"{d}/{v}")
+        with open(f"{d}/{v}/part.csv", "w") as f:
+            f.write(text)
+    assert S.raw_arity(spark, d, glob="*.csv", recursive=True).first().max_fields == 5
+
+
+def test_folders_of_other_stores_are_left_to_sparks_writer(spark):
+    assert S.local_folder(spark, "file:///tmp/a b") == S.local_folder(spark, "/tmp/a b") == "/tmp/a b"
+    root = tempfile.mkdtemp(prefix="gw-store-")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.gwstore.link./out", f"file://{root}")
+    assert S.local_folder(spark, "viewfs://gwstore/out/new") is None
+    S.raw_files_sink(spark.createDataFrame([("1", "2008-02-02 15:36:08", 116.5, 39.9)], S.RAW_SCHEMA), "viewfs://gwstore/out/new")
+    S.line_files_sink(spark.createDataFrame([("1", "a")], "vehicle string, value string"), "viewfs://gwstore/out/lines")
+    assert _files(f"{root}/new")[0] == {"vehicle=1": ["", "1,2008-02-02 15:36:08,116.5,39.9"]}
+    assert _files(f"{root}/lines")[0] == {"vehicle=1": ["", "a"]}
