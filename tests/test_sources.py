@@ -280,3 +280,40 @@ def test_folders_of_other_stores_are_left_to_sparks_writer(spark):
     S.line_files_sink(spark.createDataFrame([("1", "a")], "vehicle string, value string"), "viewfs://gwstore/out/lines")
     assert _files(f"{root}/new")[0] == {"vehicle=1": ["", "1,2008-02-02 15:36:08,116.5,39.9"]}
     assert _files(f"{root}/lines")[0] == {"vehicle=1": ["", "a"]}
+
+
+def test_many_small_files_are_read_by_a_few_thousand_tasks(spark):
+    d, key = tempfile.mkdtemp(prefix="gw-small-"), "spark.sql.files.maxPartitionBytes"
+    for i in range(200):
+        with open(f"{d}/{i}.csv", "w") as f:
+            f.write(f"{i},2008-02-02 15:36:08,116.5,39.9\n")
+    was = spark.conf.get(key)
+    spark.conf.set(key, "1")                 # every byte is a partition of its own
+    try:
+        df = S.raw_csv_scan(spark, d, glob="*.csv")
+        assert df.rdd.getNumPartitions() <= 4200
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_files_are_listed_by_tasks_in_batches(spark, monkeypatch):
+    d = tempfile.mkdtemp(prefix="gw-batch-")
+    os.symlink("nowhere", f"{d}/lost")
+    for v in range(3):
+        os.mkdir(f"{d}/v{v}")
+        for i in range(7):
+            with open(f"{d}/v{v}/{i}.txt", "w") as f:
+                f.write("1" * i)
+    with open(f"{d}/v1/.0.txt.crc", "w") as f:
+        f.write("a checksum")
+    monkeypatch.setattr(S, "LISTED_AT_ONCE", 2)
+    monkeypatch.setattr(S, "_driver_listing", None)
+    df = S.file_listing(spark, f"{d}/*", "{?.txt,.*}")
+    assert sorted((at.split("/")[-2], n, k) for n, k, at in df.collect()) == [(f"v{v}", f"{i}.txt", i) for v in range(3) for i in range(7)]
+    assert S.file_listing(spark, f"{d}/none").count() == 0 and S.file_listing(spark, f"{d}/*", "*.md").count() == 0
+
+
+def test_files_of_other_stores_are_listed_by_the_driver(spark, raw_dir):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.gwlist.link./in", f"file://{raw_dir}")
+    there = {(r.file_name, r.length) for r in S.file_listing(spark, "viewfs://gwlist/in").collect()}
+    assert there == {(r.file_name, r.length) for r in S.file_listing(spark, raw_dir).collect()} and len(there) == 3
